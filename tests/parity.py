@@ -57,6 +57,20 @@ def _key(row):
     return tuple((x is None, repr(x)) for x in row)
 
 
+_FAMILY = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+           "DateType": "DATE", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+           "TimestampType": "TIMESTAMP", "FloatType": "FLOAT", "ShortType": "SMALLINT", "ByteType": "TINYINT"}
+
+
+def spark_types(df):
+    return {f.name: _FAMILY.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in df.schema.fields}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {n: str(t) for n, t in zip(rel.columns, rel.types)}
+
+
 def rows_spark(df):
     cols = sorted(df.columns)
     return cols, sorted((tuple(_norm(r[c]) for c in cols) for r in df.select(*cols).collect()), key=_key)
@@ -73,7 +87,8 @@ def rows_duck(con, sql):
 
 def compare(spark, con, name, fn, sql, sf_dir):
     t = time.time()
-    sc, sr = rows_spark(fn(spark, sf_dir))
+    df = fn(spark, sf_dir)
+    sc, sr = rows_spark(df)
     ts = time.time() - t
     dc, dr = rows_duck(con, sql)
     if sc != dc:
@@ -81,8 +96,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if len(sr) != len(dr):
         return False, f"rows differ: spark={len(sr)} duck={len(dr)}", ts
     bad = [(a, b) for a, b in zip(sr, dr) if a != b]
+    st, dt_ = spark_types(df), duck_types(con, sql)
+    tdiff = {c: (st[c], dt_.get(c)) for c in st if st[c] != dt_.get(c)}
     if not bad:
-        return True, f"{len(sr)} rows", ts
+        return (not tdiff), f"{len(sr)} rows" + (f"; TYPES differ {tdiff}" if tdiff else ""), ts
     gap = 0.0
     for a, b in bad:
         for x, y in zip(a, b):
