@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillcast.catalog import encode_q, panel_q, profile_q  # noqa: F401  (registers queries)
+from tillcast.catalog import drift_q, encode_q, panel_q, profile_q  # noqa: F401  (registers queries)
 from tillcast.catalog.registry import ORACLE, QUERIES
 
 

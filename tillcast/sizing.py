@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` iff it holds at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    exceeded, so the check costs at most ``max_rows + 1`` rows.
+    ``known_rows`` is a bound the caller can prove from how ``df`` was
+    built (e.g. one row per feature of a fixed feature list); when it is
+    within ``max_rows`` no data is read. Otherwise
+    ``limit(max_rows + 1).count()`` checks the size, stopping as soon as
+    the bound is exceeded.
     """
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)
