@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tillcast.functions import scalars as S
 from tillcast.operators import filters as B
+from tillcast.session import cut_lineage
 from tillcast.sizing import broadcast_checked
 
 DATE_FEATURES = ["Year", "Month", "WeekOfYear", "DayOfMonth", "IsWeekend", "Quarter",
@@ -76,62 +77,67 @@ def fit_one_hot(train: DataFrame, cols, max_levels: int = 1000) -> OneHot:
 # ---------------------------------------------------------------- E3 scaler
 @dataclass
 class Scaler:
-    """E3 fitted statistics: one row with ``{c}__mean`` and ``{c}__std``."""
-    stats: DataFrame
-    cols: list[str]
+    """E3 fitted parameters: mean and population std per column (like an
+    MLlib StandardScalerModel, the 2p numbers live with the model)."""
+    means: dict[str, float]
+    stds: dict[str, float]
+
+    @property
+    def cols(self) -> list[str]:
+        return list(self.means)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            c: (F.col(c) - self.stats.select(f"{c}__mean").scalar()) / self.stats.select(f"{c}__std").scalar()
-            for c in self.cols})
+        return df.withColumns({c: (F.col(c) - F.lit(self.means[c])) / F.lit(self.stds[c]) for c in self.means})
 
 
 def fit_scaler(train: DataFrame, cols) -> Scaler:
-    """Mean and population std per column; a zero std becomes 1."""
+    """Mean and population std per column (one aggregate); a zero std becomes 1."""
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
-    stats = train.agg(*aggs)
-    stats = stats.withColumns({f"{c}__std": F.when(F.col(f"{c}__std") == 0, F.lit(1.0))
-                               .otherwise(F.col(f"{c}__std")) for c in cols})
-    return Scaler(stats, list(cols))
+    row = train.agg(*aggs).first()
+    means = {c: float(row[f"{c}__mean"]) if row[f"{c}__mean"] is not None else 0.0 for c in cols}
+    stds = {c: float(row[f"{c}__std"]) if row[f"{c}__std"] else 1.0 for c in cols}
+    return Scaler(means, stds)
 
 
 # ---------------------------------------------------------------- E4 group-median imputer
 @dataclass
 class GroupMedian:
-    """E4 fitted state: per-group medians and a one-row global median."""
+    """E4 fitted state: per-group medians (materialized table) and the global median."""
     target: str
     group: str
     medians: DataFrame
-    global_median: DataFrame | None
+    global_median: float | None
 
     def transform(self, df: DataFrame) -> DataFrame:
         fill = F.col("__gm_group")
         if self.global_median is not None:
-            fill = F.coalesce(fill, self.global_median.scalar())
+            fill = F.coalesce(fill, F.lit(self.global_median))
         return (df.join(broadcast_checked(self.medians), self.group, "left")
                 .withColumn(self.target, F.coalesce(F.col(self.target), fill)).drop("__gm_group")
                 .select(*df.columns))
 
 
 def fit_group_median(train: DataFrame, target: str, group: str, global_fallback: bool = True) -> GroupMedian:
-    med = train.groupBy(group).agg(F.median(target).alias("__gm_group"))
-    glob = train.agg(F.median(target).alias("m")) if global_fallback else None
-    return GroupMedian(target, group, med, glob)
+    """Fitting is an action: the per-group table is written to the checkpoint
+    folder so every later transform (and its size check) reads it cheaply."""
+    med = cut_lineage(train.groupBy(group).agg(F.median(target).alias("__gm_group")))
+    glob = train.agg(F.median(target)).first()[0] if global_fallback else None
+    return GroupMedian(target, group, med, None if glob is None else float(glob))
 
 
 # ---------------------------------------------------------------- E5 smoothed target encoder
 @dataclass
 class TargetEncoding:
-    """E5 fitted state: per column a (level, encoded) table and the global mean."""
+    """E5 fitted state: per column a materialized (level, encoded) table and the global mean."""
     tables: dict[str, DataFrame]
-    global_mean: DataFrame
+    global_mean: float
     suffix: str = "_encoded"
     drop_source: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
-        g = self.global_mean.scalar()
+        g = F.lit(self.global_mean)
         out = df
         for c, t in self.tables.items():
             name = f"{c}{self.suffix}"
@@ -148,13 +154,13 @@ def fit_target_encoder(train: DataFrame, cols, target: str = "y", smoothing: flo
     One grouped aggregate per column (sum and count, partial-aggregated
     map-side); unseen and null levels get g at transform time.
     """
-    g = train.agg(F.avg(target).alias("g"))
-    gm = g.scalar()
+    gm = float(train.agg(F.avg(target)).first()[0])
     tables = {}
     for c in cols:
         st = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.sum(target).alias("s"), F.count(target).alias("n"))
-        tables[c] = st.select(c, ((F.col("s") + F.lit(smoothing) * gm) / (F.col("n") + F.lit(smoothing))).alias("enc"))
-    return TargetEncoding(tables, g)
+        tables[c] = cut_lineage(st.select(
+            c, ((F.col("s") + F.lit(smoothing) * F.lit(gm)) / (F.col("n") + F.lit(smoothing))).alias("enc")))
+    return TargetEncoding(tables, gm)
 
 
 # ---------------------------------------------------------------- E6 out-of-fold target encoder
@@ -174,7 +180,7 @@ def target_encode_oof(train: DataFrame, cols, target: str = "y", fold: Column |
     """
     fold = fold if fold is not None else default_fold(keys, k)
     df = train.withColumn("__fold", fold)
-    g = df.agg(F.avg(target)).scalar()
+    g = F.lit(float(df.agg(F.avg(target)).first()[0]))
     from pyspark.sql import Window
     out = df
     for c in cols:
@@ -190,8 +196,9 @@ def target_encode_oof(train: DataFrame, cols, target: str = "y", fold: Column |
 
 def fit_target_means(train: DataFrame, cols, target: str = "y") -> TargetEncoding:
     """E6 inference mode: plain per-level means, fallback the global mean."""
-    g = train.agg(F.avg(target).alias("g"))
-    tables = {c: train.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(target).alias("enc")) for c in cols}
+    g = float(train.agg(F.avg(target)).first()[0])
+    tables = {c: cut_lineage(train.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(target).alias("enc")))
+              for c in cols}
     return TargetEncoding(tables, g, suffix="_target_enc", drop_source=False)
 
 

@@ -62,20 +62,30 @@ def scenario_scale(df: DataFrame, start, factor_drop: float = 0.3, date: str = "
     return df.withColumn(col, F.when(cond, F.col(col) * (1 - factor_drop)).otherwise(F.col(col)))
 
 
-def train_medians(train: DataFrame, cols, accuracy: int | None = None) -> DataFrame:
-    """Fit part of B12: one row of per-column medians over the training rows."""
-    if accuracy:
-        return train.agg(*[F.percentile_approx(c, 0.5, accuracy).cast("double").alias(c) for c in cols])
-    return train.agg(*[F.median(c).cast("double").alias(c) for c in cols])
+def train_medians(train: DataFrame, cols, exact: bool = True) -> dict[str, float | None]:
+    """Fit part of B12: per-column medians over the training rows.
 
-
-def fill_with(df: DataFrame, medians: DataFrame, cols) -> DataFrame:
-    """Apply part of B12: ``coalesce(c, median_c)``.
-
-    The medians row is read through scalar subqueries (one row, computed
-    once), so no join or cross product is planned over ``df``.
+    Exact medians come from the distributed rank computation (all columns
+    in one unpivoted pass, no column's distinct values held in one task);
+    ``exact=False`` uses ``percentile_approx``. The result is one number
+    per column, kept with the fitted flow like any model parameter.
     """
-    return df.withColumns({c: F.coalesce(F.col(c), medians.select(c).scalar()) for c in cols})
+    from tillcast.operators.ranks import exact_quantiles
+    cols = list(cols)
+    if not exact:
+        row = train.agg(*[F.percentile_approx(c, 0.5, 10_000).cast("double").alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
+    long = (train.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    q = exact_quantiles(long, "column", "value", [0.5], buckets=None, n_groups=len(cols))
+    got = {r["column"]: r["q"] for r in q.collect()}  # one row per column
+    return {c: got.get(c) for c in cols}
+
+
+def fill_with(df: DataFrame, medians: dict, cols) -> DataFrame:
+    """Apply part of B12: ``coalesce(c, median_c)`` with the fitted medians as literals."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c]).cast("double")) for c in cols
+                           if medians.get(c) is not None})
 
 
 def date_to_epoch(df: DataFrame, col: str = "Date", name: str = "Date_epoch") -> DataFrame:

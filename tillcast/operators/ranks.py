@@ -79,6 +79,9 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs, buckets: int |
     lo + (hi - lo) * frac, as numpy's default and SQL ``percentile_cont``.
     """
     vals = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("__c"))
+    if buckets is None:
+        from tillcast.session import cut_lineage
+        vals = cut_lineage(vals)  # read by the slicing count and by several branches
     return quantiles_from_counts(vals, group, value, "__c", probs, buckets, n_groups)
 
 

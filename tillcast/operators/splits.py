@@ -15,8 +15,13 @@ from tillcast.sizing import broadcast_checked
 
 
 def cutoff_date(df: DataFrame, months: int = 3, date: str = "Date") -> Column:
-    """max(date) minus ``months`` calendar months (clipped to month end), as a scalar subquery."""
-    return df.agg(F.add_months(F.max(date), -months)).scalar()
+    """max(date) minus ``months`` calendar months (clipped to month end).
+
+    Evaluated once (a max over one column) and returned as a literal, so
+    the split predicates reach the scans as pushed filters.
+    """
+    cut = df.agg(F.add_months(F.max(date), -months)).first()[0]
+    return F.lit(cut)
 
 
 def time_split(df: DataFrame, months: int = 3, date: str = "Date") -> tuple[DataFrame, DataFrame]:
