@@ -295,3 +295,30 @@ def q_residual_monthly(spark, sf):
     f = B.drop_closed(_features(spark, sf), keep_flag=True).where(F.col("lag_7").isNotNull())
     m = M.residual_monthly(f, "Date", F.col("Sales") - F.col("lag_7"))
     return m.select("month", rnd("mean_residual").alias("mean_residual"), "flagged")
+
+
+@query("cusum_stream")
+def q_cusum_stream(spark, sf):
+    """M5: the online monitor over the events table as a file stream (days
+    close as the watermark passes; each entity's last day stays open)."""
+    from tillcast.streaming.cusum_stream import cusum_stream, event_stream, run_to_table
+    schema = read_table(spark, sf, "events", ["event_type", "ts", "value"]).schema
+    ev = event_stream(spark, sf, schema, "events.parquet")
+    s = cusum_stream(ev, "event_type", "ts", F.col("value") - F.lit(_BASE), threshold=_THR, k_factor=_KF)
+    return run_to_table(spark, s)
+
+
+@query("drift_alerts", _cusum_sql() + """
+SELECT entity, alert AS type,
+       CASE WHEN alert = 'POSITIVE_DRIFT' THEN 'Model underpredicting. CUSUM_pos=' || printf('%.2f', alert_value)
+            ELSE 'Model overpredicting. CUSUM_neg=' || printf('%.2f', alert_value) END AS message,
+       CAST(batch AS VARCHAR) AS timestamp,
+       round(CASE WHEN alert = 'POSITIVE_DRIFT' THEN alert_value END + 1e-11, 6) AS cusum_pos,
+       round(CASE WHEN alert = 'NEGATIVE_DRIFT' THEN alert_value END + 1e-11, 6) AS cusum_neg
+FROM r WHERE alert IS NOT NULL""")
+def q_drift_alerts(spark, sf):
+    """A4: the alert records the monitor writes."""
+    from tillcast.sources.sinks import alerts
+    a = alerts(M.cusum(_events_batches(spark, sf), threshold=_THR, k_factor=_KF))
+    return a.select("entity", "type", "message", "timestamp", rnd("cusum_pos", 6).alias("cusum_pos"),
+                    rnd("cusum_neg", 6).alias("cusum_neg"))
