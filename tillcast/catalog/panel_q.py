@@ -130,7 +130,7 @@ def q_panel_features(spark, sf):
 @query("interactions", _FEATURES_SQL + f"""
 SELECT "Store", "Date",
        "Promo" * CASE WHEN isodow("Date") >= 6 THEN 1 ELSE 0 END AS "Promo_x_Weekend",
-       "Promo" * month("Date") AS "Promo_x_Month",
+       "Promo" * CAST(month("Date") AS INTEGER) AS "Promo_x_Month",
        "Promo" * "SchoolHoliday" AS "Promo_x_SchoolHoliday",
        {srnd('rolling_mean_7 - lag_7')} AS sales_momentum
 FROM f""")

@@ -14,20 +14,35 @@ from pyspark.sql import functions as F
 # hold one row per category/feature/replica. Beyond this many rows a hash
 # join is the safer plan.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+# Optimizer size estimate under which a side is broadcast without reading it.
+DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (the statistic behind
+    ``autoBroadcastJoinThreshold``; no job runs). Aggregates and filters
+    inherit their input's size, so it errs on the large side."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
 
 
 def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` iff it holds at most ``max_rows`` rows.
-
-    ``known_rows`` is a bound the caller can prove from how ``df`` was
-    built (e.g. one row per feature of a fixed feature list); when it is
-    within ``max_rows`` no data is read. Otherwise
-    ``limit(max_rows + 1).count()`` checks the size, stopping as soon as
-    the bound is exceeded.
+                      known_rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` iff it is provably small; otherwise leave the join to
+    a shuffle.
+
+    Checks, cheapest first: ``known_rows``, a bound the caller can prove
+    from how ``df`` was built (one row per feature of a fixed list); the
+    optimizer's size estimate; and finally ``limit(max_rows + 1).count()``,
+    which stops reading as soon as the bound is exceeded.
     """
     if known_rows is not None and known_rows <= max_rows:
         return F.broadcast(df)
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.sizing import broadcast_checked
 
 # Fixed panel schema (no inference: a file of only '0' holidays must not
 # turn StateHoliday into an integer).
@@ -77,8 +76,8 @@ def store_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     on (nation, day) with map-side partial aggregation, so a hot nation is
     combined before the shuffle. The distinct-customer count is planned by
     Spark as a two-level aggregate keyed by (nation, day, customer). The
-    nation dimension is joined after aggregation, broadcast behind a size
-    check.
+    nation dimension is joined after aggregation; the planner broadcasts
+    it from its file-size statistics (autoBroadcastJoinThreshold).
     """
     orders = read_table(spark, sf_dir, "orders", ["o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -93,7 +92,7 @@ def store_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("Date")
     closed = F.weekday(d) == 6  # Sunday
     k = F.col("c_nationkey")
-    return (daily.join(broadcast_checked(nation), daily.c_nationkey == nation.n_nationkey)
+    return (daily.join(nation, daily.c_nationkey == nation.n_nationkey)
             .select(
                 (k + 1).cast("int").alias("Store"),
                 d,
