@@ -16,6 +16,7 @@ n = training rows):
 
 from __future__ import annotations
 
+import math
 import statistics
 from dataclasses import dataclass
 
@@ -105,12 +106,96 @@ def rmse(pred: DataFrame, label: str = "y", p: str = "p") -> float:
     return float(pred.agg(F.sqrt(F.avg((F.col(label) - F.col(p)) ** 2))).first()[0])
 
 
+# ---------------------------------------------------------------- one-pass closed-form folds (OLS / ridge)
+def segment_moments(df: DataFrame, features, label: str, segment: F.Column) -> dict:
+    """One grouped aggregate: per segment, n and the sums of z = [x, y] and z z'.
+
+    Returns {segment: (n, lin (p+1,), quad (p+1, p+1))}; segments are few
+    (fold boundaries), each row of the result holds (p+1)(p+4)/2 numbers.
+    """
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    features = list(features)
+    p = len(features)
+    z = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double")]
+    prods = [z[i] * z[j] for i in range(p + 1) for j in range(i, p + 1)]
+    rows = (df.select(segment.alias("__seg"), array_to_vector(F.array(*z, *prods)).alias("__v"))
+            .groupBy("__seg").agg(F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(F.col("__v"))).alias("s"))
+            .collect())
+    iu = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    out = {}
+    for r in rows:
+        s = np.array(r["s"], dtype=float)
+        quad = np.zeros((p + 1, p + 1))
+        for k, (i, j) in enumerate(iu):
+            quad[i, j] = quad[j, i] = s[p + 1 + k]
+        out[r["__seg"]] = (float(r["n"]), s[:p + 1], quad)
+    return out
+
+
+def _sum_moments(parts):
+    n = sum(p[0] for p in parts)
+    return n, sum(p[1] for p in parts), sum(p[2] for p in parts)
+
+
+def ridge_from_moments(n, lin, quad, alpha: float):
+    """Standardised ridge (population std, intercept unpenalised) from moments;
+    alpha = 0 is OLS (least-squares, minimum norm). Returns (b0, coef)."""
+    import numpy as np
+    p = len(lin) - 1
+    mu = lin / n
+    cov = quad / n - np.outer(mu, mu)
+    sx = np.sqrt(np.clip(np.diag(cov)[:p], 0.0, None))
+    sx[sx == 0] = 1.0
+    cxx = cov[:p, :p] * n / np.outer(sx, sx)
+    cxy = cov[:p, p] * n / sx
+    if alpha > 0:
+        ws = np.linalg.solve(cxx + alpha * np.eye(p), cxy)
+    else:
+        ws = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
+    coef = ws / sx
+    return float(mu[p] - coef @ mu[:p]), coef
+
+
+def sse_from_moments(n, lin, quad, b0, coef) -> float:
+    """Sum of squared errors of y - (b0 + x.coef) from the moments of a row set."""
+    p = len(coef)
+    sx, sy = lin[:p], lin[p]
+    sxx, sxy, syy = quad[:p, :p], quad[:p, p], quad[p, p]
+    fit_sq = n * b0 * b0 + 2 * b0 * (coef @ sx) + coef @ sxx @ coef
+    return float(max(0.0, syy - 2 * (b0 * sy + coef @ sxy) + fit_sq))
+
+
+def _closed_alpha(spec: dict) -> float | None:
+    return {"ols": 0.0, "ridge": float(spec.get("alpha", 0.0))}.get(spec["kind"])
+
+
 def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key_store", order: str = "key_date",
           label: str = "y") -> dict:
     """Expanding-window CV by row order (entity, order); per-fold RMSE,
-    their mean and population std. Each fold refits the scaler."""
+    their mean and population std. Each fold refits the scaler.
+
+    OLS and ridge use one pass: rows are labelled with their fold segment,
+    one aggregate gives per-segment moments, and every fold's fit and test
+    error come from prefix sums of those. Other models refit per fold.
+    """
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
+    alpha = _closed_alpha(spec)
+    if alpha is not None:
+        bounds = V.fold_bounds(n, k)
+        first, t = bounds[0][1], n // (k + 1)
+        i = F.col("__idx")
+        seg = F.when(i < first, F.lit(0)).otherwise(F.least(F.floor((i - first) / t) + 1, F.lit(k))).cast("int")
+        mom = segment_moments(idx, features, label, seg)
+        scores = []
+        for f in range(k):
+            b0, coef = ridge_from_moments(*_sum_moments([mom[s] for s in range(f + 1) if s in mom]), alpha)
+            te = mom[f + 1]
+            scores.append(math.sqrt(sse_from_moments(*te, b0, coef) / te[0]))
+        return {"cv_rmse_folds": scores, "cv_rmse_mean": statistics.fmean(scores),
+                "cv_rmse_std": statistics.pstdev(scores)}
     scores = []
     for fold, lo, hi in V.fold_bounds(n, k):
         tr = idx.where(F.col("__idx") < lo)
@@ -216,6 +301,9 @@ def learning_curve(train: DataFrame, features, spec: dict, sizes: int = 10, fold
     skipped); mean train and validation RMSE per size."""
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
+    alpha = _closed_alpha(spec)
+    if alpha is not None:
+        return _learning_curve_closed(train, idx, n, features, alpha, sizes, folds, label)
     rows = []
     for j in range(sizes):
         s = 0.1 + j * (1.0 - 0.1) / (sizes - 1)
@@ -232,3 +320,42 @@ def learning_curve(train: DataFrame, features, spec: dict, sizes: int = 10, fold
         if tr_scores:
             rows.append((j, min(end, n), statistics.fmean(tr_scores), statistics.fmean(va_scores)))
     return train.sparkSession.createDataFrame(rows, "size_index int, n_rows int, train_rmse double, val_rmse double")
+
+
+def _learning_curve_plan(n: int, sizes: int, folds: int):
+    plan = []
+    for j in range(sizes):
+        s = 0.1 + j * (1.0 - 0.1) / (sizes - 1)
+        end = max(int(n * s), 100)
+        fl = [(lo, hi) for _, lo, hi in V.fold_bounds(end, folds) if lo >= 10 and hi - lo >= 5]
+        plan.append((j, end, fl))
+    return plan
+
+
+def _learning_curve_closed(train, idx, n, features, alpha, sizes, folds, label):
+    """V4 for OLS/ridge in one pass: the prefix sizes and fold bounds cut the
+    row order into segments; one aggregate gives per-segment moments."""
+    import bisect
+    plan = _learning_curve_plan(n, sizes, folds)
+    cuts = sorted({c for _, _, fl in plan for lo, hi in fl for c in (lo, hi)} | {0})
+    i = F.col("__idx")
+    seg = F.lit(len(cuts) - 1)
+    for k in range(len(cuts) - 1, 0, -1):
+        seg = F.when(i < F.lit(cuts[k]), F.lit(k - 1)).otherwise(seg)
+    mom = segment_moments(idx, features, label, seg.cast("int"))
+
+    def rng(lo, hi):
+        a, b = bisect.bisect_left(cuts, lo), bisect.bisect_left(cuts, hi)
+        return _sum_moments([mom[s] for s in range(a, b) if s in mom])
+
+    rows = []
+    for j, end, fl in plan:
+        tr_s, va_s = [], []
+        for lo, hi in fl:
+            tr, va = rng(0, lo), rng(lo, hi)
+            b0, coef = ridge_from_moments(*tr, alpha)
+            tr_s.append(math.sqrt(sse_from_moments(*tr, b0, coef) / tr[0]))
+            va_s.append(math.sqrt(sse_from_moments(*va, b0, coef) / va[0]))
+        if tr_s:
+            rows.append((j, min(end, n), statistics.fmean(tr_s), statistics.fmean(va_s)))
+    return train.sparkSession.createDataFrame(rows, "size_index int, n_rows int, train_rmse double, val_rmse double")
