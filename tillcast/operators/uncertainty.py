@@ -2,9 +2,10 @@
 
 U1 fits B ridge replicas in one pass over the training rows: each row gets
 a Poisson(1) replica weight from a hash of (row key, replica) --
-deterministic and independent of partitioning -- and one grouped
-aggregate sums the weighted sufficient statistics (x, y and their
-products) per replica. Only the B small p x p solves happen on the driver.
+deterministic and independent of partitioning -- each task sums the
+weighted sufficient statistics (x, y and their products) of its rows for
+all replicas, and one small aggregate merges the task partials per
+replica. Only the B small p x p solves happen on the driver.
 Poisson weights make each replica's size random with mean n (the classic
 multinomial resample has size exactly n): a documented deviation.
 
@@ -63,24 +64,51 @@ class Ensemble:
         return df.withColumn(name, F.array(*reps))
 
 
+def _moment_partials(n_boot: int, zcols: list[str]):
+    """mapInPandas body: per partition, the Poisson-weighted moments of z = [x, y]
+    for every replica (numpy BLAS), one output row per replica."""
+    q = len(zcols)
+    iu = np.triu_indices(q)
+
+    def run(batches):
+        import pandas as pd
+        n = np.zeros(n_boot)
+        lin = np.zeros((n_boot, q))
+        quad = np.zeros((n_boot, q, q))
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            z = pdf[zcols].to_numpy(dtype=float)
+            w = np.stack(pdf["__w"].to_numpy()).astype(float)  # rows x replicas
+            n += w.sum(axis=0)
+            lin += w.T @ z
+            for r in range(n_boot):
+                quad[r] += (z * w[:, r:r + 1]).T @ z
+        yield pd.DataFrame({"__r": np.arange(n_boot, dtype=np.int32), "n": n,
+                            "s": [np.concatenate([lin[r], quad[r][iu]]) for r in range(n_boot)]})
+    return run
+
+
 def bootstrap_fit(train: DataFrame, features, n_boot: int = 30, alpha: float = 10.0, label: str = "y",
                   keys=("key_store", "key_date"), seed: int = 0) -> Ensemble:
     """B standardised-ridge replicas (sklearn ``StandardScaler`` + ``Ridge(alpha)``
-    objective ||y - Xw - b||^2 + alpha ||w||^2 on the replica's resampled rows)."""
+    objective ||y - Xw - b||^2 + alpha ||w||^2 on the replica's resampled rows).
+
+    Weights are Spark expressions (hash of row key and replica); each task
+    accumulates the B weighted moment matrices of its rows with numpy, and
+    one small aggregate (tasks x B rows) merges them per replica.
+    """
     features = list(features)
     p = len(features)
-    z = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double")]
-    prods = [z[i] * z[j] for i in range(p + 1) for j in range(i, p + 1)]
-    vec = array_to_vector(F.array(*z, *prods)).alias("__v")
-    rows = (train.select(*keys, vec)
-            .withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
-            .withColumn("__w", poisson_weight(keys, F.col("__r"), seed).cast("double"))
-            .where(F.col("__w") > 0))
-    sums = (rows.groupBy("__r").agg(F.sum("__w").alias("n"),
-                                     vector_to_array(Summarizer.sum(F.col("__v"), F.col("__w"))).alias("s"))
+    zcols = features + [label]
+    w = F.array(*[poisson_weight(keys, F.lit(r), seed) for r in range(n_boot)]).alias("__w")
+    src = train.select(*[F.col(c).cast("double").alias(c) for c in zcols], w).dropna(subset=zcols)
+    parts = src.mapInPandas(_moment_partials(n_boot, zcols), "__r int, n double, s array<double>")
+    sums = (parts.groupBy("__r").agg(F.sum("n").alias("n"),
+                                     vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s"))
             .orderBy("__r").collect())  # n_boot rows of (p+1)(p+4)/2 numbers
     intercepts, coefs = [], []
-    iu = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    iu = list(zip(*np.triu_indices(p + 1)))
     for r in sums:
         n = float(r["n"])
         s = np.array(r["s"], dtype=float)
