@@ -90,6 +90,15 @@ def quantiles_from_counts(vals: DataFrame, group: str, value: str, count_col: st
     """Exact quantiles from a (group, value, count) table (one row per distinct value, count > 0)."""
     probs = [float(p) for p in probs]
     vals = vals.select(group, value, F.col(count_col).alias("__c")).where(F.col("__c") > 0)
+    if buckets is None:
+        buckets = auto_buckets(vals)
+    if buckets <= 1:
+        # every group has at most ROWS_PER_SLICE distinct values: the built-in
+        # exact percentile with frequencies holds a map of that bounded size
+        pct = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs]), F.col("__c"))
+        agg = vals.groupBy(group).agg(pct.alias("__q"))
+        return agg.select(group, F.posexplode("__q").alias("pi", "q")).select(
+            group, "pi", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("pi") + 1).alias("p"), "q")
     cum = cumulative_counts(vals, group, value, ["__c"], buckets, n_groups=n_groups)
     n = vals.groupBy(group).agg(F.sum("__c").alias("__n"))
     # target ranks per group: for each p, floor and ceil of p*(n-1)
