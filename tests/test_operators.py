@@ -340,3 +340,24 @@ def test_fill_with_train_medians(spark):
     med = B.train_medians(tr, ["x"])
     assert med == {"x": 2.0}
     assert [r[0] for r in B.fill_with(tr, med, ["x"]).collect()] == [1.0, 2.0, 10.0, 2.0]
+
+
+def test_panel_csv_source_fixed_schema(spark, tmp_path):
+    from tillcast.sources.tables import read_panel
+    csv = ("Store,Date,DayOfWeek,Sales,Customers,Open,Promo,StateHoliday,SchoolHoliday,StoreType,Assortment,"
+           "CompetitionDistance,Promo2\n1,2024-01-01,1,100.5,10,1,0,0,0,a,basic,,0\n1,2024-01-02,2,NaN,11,1,1,0,0,a,basic,250,0\n")
+    (tmp_path / "p.csv").write_text(csv)
+    df = read_panel(spark, str(tmp_path / "p.csv"))
+    rows = df.orderBy("Date").collect()
+    assert dict(df.dtypes)["StateHoliday"] == "string"       # a column of only '0' stays a string
+    assert rows[0]["CompetitionDistance"] is None and rows[1]["Sales"] is None   # NaN -> NULL
+    assert [r["StateHoliday"] for r in B.holiday_binary(df).collect()] == [0, 0]
+
+
+def test_artifact_roundtrip(spark, tmp_path):
+    from tillcast.sources import sinks
+    sinks.save_params(spark, {"threshold": 1.5, "medians": {"a": 2.0}}, str(tmp_path / "params"))
+    assert sinks.load_params(spark, str(tmp_path / "params")) == {"threshold": 1.5, "medians": {"a": 2.0}}
+    t = spark.createDataFrame([("a", 1.0)], "g string, enc double")
+    sinks.save_table(t, str(tmp_path / "enc"))
+    assert sinks.load_table(spark, str(tmp_path / "enc")).collect() == t.collect()

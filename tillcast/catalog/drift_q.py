@@ -209,14 +209,16 @@ def q_psi_single(spark, sf):
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")
 
 
-def _ks_sql():
+def _ks_sql(prefix="WITH ", src="lineitem", side=None, features=None):
+    side = side or _LI_SIDE
+    features = features or _LI_FEATURES
     long = "long AS (" + " UNION ALL ".join(
-        f"SELECT {_LI_SIDE} AS side, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lineitem WHERE {c} IS NOT NULL"
-        for c in _LI_FEATURES) + ")"
+        f"SELECT {side} AS side, '{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS value FROM {src} \"{c}\" IS NOT NULL"
+        for c in features) + ")"
     lam = "sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * d"
     series = f"list_sum(list_transform(range(1, 101), lambda k: 2.0 * CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * ({lam}) * ({lam}))))"
     pv = f"CASE WHEN {lam} < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, {series})) END"
-    return ("WITH " + long + """,
+    return (prefix + long + """,
     c AS (SELECT feature, value, count(*) FILTER (WHERE side = 'ref') AS c_ref,
           count(*) FILTER (WHERE side = 'cur') AS c_cur FROM long GROUP BY 1, 2),
     cu AS (SELECT feature, sum(c_ref) OVER (PARTITION BY feature ORDER BY value) AS cr,
@@ -228,7 +230,7 @@ def _ks_sql():
     FROM k WHERE n_ref >= 10 AND n_cur >= 10""")
 
 
-@query("ks_stat", _ks_sql())
+@query("ks_stat", _ks_sql(src="lineitem WHERE"))
 def q_ks_stat(spark, sf):
     ref, cur = _lineitem_sides(spark, sf)
     k = M.ks_report(ref, cur, _LI_FEATURES)
@@ -322,3 +324,16 @@ def q_drift_alerts(spark, sf):
     a = alerts(M.cusum(_events_batches(spark, sf), threshold=_THR, k_factor=_KF))
     return a.select("entity", "type", "message", "timestamp", rnd("cusum_pos", 6).alias("cusum_pos"),
                     rnd("cusum_neg", 6).alias("cusum_neg"))
+
+
+_KS_PANEL = _PSI_FEATURES[:8]
+
+
+@query("ks_report", _ks_sql(with_panel(CUT, FEAT) + ",\n", 'feat WHERE "Open" = 1 AND',
+                            """CASE WHEN "Date" <= (SELECT c FROM cut) THEN 'ref' ELSE 'cur' END""", _KS_PANEL))
+def q_ks_report(spark, sf):
+    """M3 as used on the model inputs: train vs test of the first eight panel features."""
+    ref, cur = _panel_sides(spark, sf)
+    k = M.ks_report(ref, cur, _KS_PANEL)
+    return k.select("feature", "n_ref", "n_cur", rnd("KS_stat", 6).alias("KS_stat"),
+                    rnd("p_value", 6).alias("p_value"), "drift")

@@ -200,3 +200,12 @@ SELECT "Store", "Date", row_idx,
        CASE WHEN t > 0 AND row_idx >= n - t * 5 THEN CAST((row_idx - (n - t * 5)) // t AS INTEGER) END AS test_fold FROM j""")
 def q_expanding_folds(spark, sf):
     return V.expanding_folds(store_panel(spark, sf).select("Store", "Date"), 5)
+
+
+@query("date_features_draft", with_panel() + """
+SELECT "Store", "Date", CAST(year("Date") AS INTEGER) AS "Year", CAST(month("Date") AS INTEGER) AS "Month",
+       CAST(day("Date") AS INTEGER) AS "Day", CAST(weekofyear("Date") AS INTEGER) AS "WeekOfYear",
+       CASE WHEN "DayOfWeek" IN (6, 7) THEN 1 ELSE 0 END AS "IsWeekend" FROM panel""")
+def q_date_features_draft(spark, sf):
+    p = E.date_features_draft(store_panel(spark, sf).select("Store", "Date", "DayOfWeek"))
+    return p.select("Store", "Date", "Year", "Month", "Day", "WeekOfYear", "IsWeekend")

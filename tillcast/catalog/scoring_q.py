@@ -136,3 +136,12 @@ def q_batch_score(spark, sf):
     """Every request of the table scored in one plan."""
     sc = fit_scorer(store_panel(spark, sf), n_boot=30)
     return sc.score(_requests(spark, sf))
+
+
+@query("scoring_fallback")
+def q_scoring_fallback(spark, sf):
+    """P5: unknown-store requests scored on the training-median vector."""
+    from tillcast.plans.training import FEATURES, model_frames
+    md = model_frames(store_panel(spark, sf))
+    valid = P.validate_requests(_requests(spark, sf)).where("valid")
+    return P.fallback_rows(P.unknown_store(valid, store_panel(spark, sf)), md.medians, FEATURES)
