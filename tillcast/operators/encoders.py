@@ -122,8 +122,12 @@ class GroupMedian:
 def fit_group_median(train: DataFrame, target: str, group: str, global_fallback: bool = True) -> GroupMedian:
     """Fitting is an action: the per-group table is written to the checkpoint
     folder so every later transform (and its size check) reads it cheaply."""
-    med = cut_lineage(train.groupBy(group).agg(F.median(target).alias("__gm_group")))
-    glob = train.agg(F.median(target)).first()[0] if global_fallback else None
+    from tillcast.operators.ranks import exact_quantiles, scalar_quantile
+    src = train.select(group, F.col(target).cast("double").alias(target))
+    q = exact_quantiles(src.where(F.col(group).isNotNull()), group, target, [0.5], buckets=None)
+    groups = src.select(group).where(F.col(group).isNotNull()).distinct()
+    med = cut_lineage(groups.join(q.select(group, F.col("q").alias("__gm_group")), group, "left"))
+    glob = scalar_quantile(src, target, 0.5) if global_fallback else None
     return GroupMedian(target, group, med, None if glob is None else float(glob))
 
 

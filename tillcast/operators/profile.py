@@ -3,9 +3,9 @@ temporal means, promo lift, correlations, box statistics, findings.
 
 All are single-pass aggregates with map-side partial aggregation; wide
 results (per-column statistics) are produced in one ``agg`` and turned long
-with ``unpivot``/``stack`` rather than one job per column. Exact quantiles
-(``percentile``) hold a value map per group; pass ``accuracy`` to switch to
-``percentile_approx`` when a column has very many distinct values.
+with ``unpivot``/``stack`` rather than one job per column. Quantiles come
+from ``ranks`` (exact, no column or group held whole in one task); pass
+``accuracy`` to use ``percentile_approx`` instead.
 """
 
 from __future__ import annotations
@@ -44,24 +44,42 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols, accuracy: int | None = None) -> DataFrame:
-    """Count, mean, sample std, min, quartiles, max per numeric column."""
+    """Count, mean, sample std, min, quartiles, max per numeric column.
+
+    Moments come from one aggregate; quartiles from the exact distributed
+    ranks (all columns in one unpivoted pass), or ``percentile_approx``
+    when ``accuracy`` is given. The two small results (one row per column)
+    are joined on the column name.
+    """
+    cols = list(cols)
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), _quantiles(c, (0.25, 0.5, 0.75), accuracy).alias(f"q{i}"),
-                 F.max(c).cast("double").alias(f"hi{i}")]
+                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                     F.col(f"q{i}")[0].cast("double").alias("p25"), F.col(f"q{i}")[1].cast("double").alias("p50"),
-                     F.col(f"q{i}")[2].cast("double").alias("p75"), F.col(f"hi{i}").alias("max"))
+                     F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
             for i, c in enumerate(cols)]
-    return wide.select(F.inline(F.array(*rows)))
+    moments = wide.select(F.inline(F.array(*rows)))
+    if accuracy:
+        qa = df.agg(*[F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}") for i, c in enumerate(cols)])
+        q = qa.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[
+            F.col(f"q{i}")[k].cast("double").alias(n) for k, n in enumerate(("p25", "p50", "p75"))])
+            for i, c in enumerate(cols)])))
+    else:
+        from tillcast.operators.ranks import column_quantiles
+        ql = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+        q = ql.groupBy("column").agg(*[F.max(F.when(F.col("pi") == k, F.col("q"))).alias(n)
+                                       for k, n in enumerate(("p25", "p50", "p75"))])
+    return (moments.join(q, "column", "left")
+            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def center(df: DataFrame, col: str = "Sales") -> DataFrame:
-    """Mean and median."""
-    return df.agg(F.avg(col).alias("mean"), F.median(col).alias("median"))
+    """Mean and (exact, distributed) median."""
+    from tillcast.operators.ranks import scalar_quantile
+    med = scalar_quantile(df, col, 0.5)
+    return df.agg(F.avg(col).alias("mean")).withColumn("median", F.lit(med).cast("double"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
@@ -146,8 +164,14 @@ def box_stats(df: DataFrame, group: str, col: str = "Sales", accuracy: int | Non
     whiskers/outliers with the fences attached (the quartile table holds
     one row per group).
     """
-    q = df.groupBy(group).agg(_quantiles(col, (0.25, 0.5, 0.75), accuracy).alias("q"))
-    q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    if accuracy:
+        q = df.groupBy(group).agg(_quantiles(col, (0.25, 0.5, 0.75), accuracy).alias("q"))
+        q = q.select(group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    else:
+        from tillcast.operators.ranks import exact_quantiles
+        ql = exact_quantiles(df.where(F.col(group).isNotNull()), group, col, [0.25, 0.5, 0.75], buckets=None)
+        q = ql.groupBy(group).agg(*[F.max(F.when(F.col("pi") == k, F.col("q"))).alias(n)
+                                    for k, n in enumerate(("q1", "median", "q3"))])
     q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     x = F.col(col)

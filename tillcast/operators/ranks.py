@@ -123,3 +123,17 @@ def quantiles_from_counts(vals: DataFrame, group: str, value: str, count_col: st
 
     agg = hits.groupBy(group, "pi", "p", "frac").agg(F.max(hit("lo_rank")).alias("lo"), F.max(hit("hi_rank")).alias("hi"))
     return agg.select(group, "pi", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("q"))
+
+
+def column_quantiles(df: DataFrame, cols, probs, buckets: int | None = None) -> DataFrame:
+    """(column, pi, p, q): exact quantiles of several columns in one unpivoted pass."""
+    cols = list(cols)
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    return exact_quantiles(long, "column", "value", probs, buckets, n_groups=len(cols))
+
+
+def scalar_quantile(df: DataFrame, col: str, p: float) -> float | None:
+    """One exact quantile of one column, as a number."""
+    rows = column_quantiles(df, [col], [p]).collect()
+    return rows[0]["q"] if rows else None

@@ -280,9 +280,10 @@ def qq_grid(residuals: DataFrame, col: str = "residual", points: int = 199) -> D
     Returns (prob, theoretical, sample, slope, intercept, r).
     """
     probs = [(i + 0.5) / points for i in range(points)]
-    q = residuals.agg(F.percentile(F.col(col), F.array(*[F.lit(p) for p in probs])).alias("q"))
+    from tillcast.operators.ranks import column_quantiles
+    q = column_quantiles(residuals, [col], probs)  # exact, distributed ranks
     ppf = F.pandas_udf(normal_ppf, T.DoubleType())
-    grid = (q.select(F.posexplode("q").alias("i", "sample"))
+    grid = (q.select(F.col("pi").alias("i"), F.col("q").alias("sample"))
             .withColumn("prob", (F.lit(0.5) + F.col("i")) / F.lit(points))
             .withColumn("theoretical", ppf(F.col("prob"))))
     fitline = grid.agg(F.regr_slope("sample", "theoretical").alias("slope"),

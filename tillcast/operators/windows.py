@@ -102,8 +102,9 @@ def tail_mean(df: DataFrame, n: int = 30, target: str = "Sales", entity: str = "
     w = Window.partitionBy(entity).orderBy(F.col(date).desc())
     tail = (df.select(entity, date, target).withColumn("__rk", F.row_number().over(w))
             .where(F.col("__rk") <= n).groupBy(entity).agg(F.avg(target).alias(name)))
-    global_median = df.agg(F.median(target)).scalar()  # scalar subquery, runs once
-    return tail.select(entity, F.coalesce(F.col(name), global_median).alias(name))
+    from tillcast.operators.ranks import scalar_quantile
+    global_median = scalar_quantile(df, target, 0.5)  # exact, distributed ranks
+    return tail.select(entity, F.coalesce(F.col(name), F.lit(global_median).cast("double")).alias(name))
 
 
 def interactions(df: DataFrame) -> DataFrame:
