@@ -122,12 +122,22 @@ class GroupMedian:
 def fit_group_median(train: DataFrame, target: str, group: str, global_fallback: bool = True) -> GroupMedian:
     """Fitting is an action: the per-group table is written to the checkpoint
     folder so every later transform (and its size check) reads it cheaply."""
-    from tillcast.operators.ranks import exact_quantiles, scalar_quantile
-    src = train.select(group, F.col(target).cast("double").alias(target))
-    q = exact_quantiles(src.where(F.col(group).isNotNull()), group, target, [0.5], buckets=None)
-    groups = src.select(group).where(F.col(group).isNotNull()).distinct()
-    med = cut_lineage(groups.join(q.select(group, F.col("q").alias("__gm_group")), group, "left"))
-    glob = scalar_quantile(src, target, 0.5) if global_fallback else None
+    from tillcast.operators.ranks import exact_quantiles
+    src = train.select(F.col(group).cast("string").alias("__g"), F.col(target).cast("double").alias(target))
+    # group medians and the global median in one rank pass: the global rows
+    # form one more group (a key no real level can take: levels are non-null)
+    both = src.where(F.col("__g").isNotNull()).unionByName(src.select(F.lit(None).cast("string").alias("__g"), target)
+                                                           .withColumn("__all", F.lit(True)), allowMissingColumns=True)
+    both = both.select(F.when(F.col("__all"), F.lit("\u0000all")).otherwise(F.col("__g")).alias("__g"), target)
+    q = cut_lineage(exact_quantiles(both, "__g", target, [0.5], buckets=None).select("__g", "q"))
+    glob = None
+    if global_fallback:
+        row = q.where(F.col("__g") == "\u0000all").first()
+        glob = row["q"] if row else None
+    levels = train.select(group).where(F.col(group).isNotNull()).distinct()
+    med = cut_lineage(levels.join(q.where(F.col("__g") != "\u0000all"),
+                                  F.col(group).cast("string") == F.col("__g"), "left")
+                      .select(group, F.col("q").alias("__gm_group")))
     return GroupMedian(target, group, med, None if glob is None else float(glob))
 
 
