@@ -173,10 +173,10 @@ def _panel_sides(spark, sf):
     return f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
 
 
-def _lineitem_sides(spark, sf):
-    li = read_table(spark, sf, "lineitem", [*_LI_FEATURES, "l_shipdate"])
-    cut = F.lit(_LI_SPLIT).cast("timestamp_ntz")
-    return li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
+def _lineitem_long(spark, sf, features):
+    """Reference = shipped before the split date, current = after; one scan."""
+    li = read_table(spark, sf, "lineitem", [*features, "l_shipdate"])
+    return M.long_labelled(li, F.col("l_shipdate") < F.lit(_LI_SPLIT).cast("timestamp_ntz"), features)
 
 
 _PANEL_PSI_SQL = _psi_sql([CUT, FEAT], 'feat WHERE "Open" = 1 AND',
@@ -204,8 +204,7 @@ _LI_SIDE = f"CASE WHEN l_shipdate < TIMESTAMP '{_LI_SPLIT}' THEN 'ref' ELSE 'cur
 
 @query("psi_single", _psi_sql([], _LI_SRC, _LI_SIDE, ["l_extendedprice"]).replace("li WHERE WHERE", "li WHERE"))
 def q_psi_single(spark, sf):
-    ref, cur = _lineitem_sides(spark, sf)
-    r = M.psi_report(ref, cur, ["l_extendedprice"])
+    r = M.psi_report(_lineitem_long(spark, sf, ["l_extendedprice"]), None, ["l_extendedprice"])
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")
 
 
@@ -232,8 +231,7 @@ def _ks_sql(prefix="WITH ", src="lineitem", side=None, features=None):
 
 @query("ks_stat", _ks_sql(src="lineitem WHERE"))
 def q_ks_stat(spark, sf):
-    ref, cur = _lineitem_sides(spark, sf)
-    k = M.ks_report(ref, cur, _LI_FEATURES)
+    k = M.ks_report(_lineitem_long(spark, sf, _LI_FEATURES), None, _LI_FEATURES)
     return k.select("feature", "n_ref", "n_cur", rnd("KS_stat", 6).alias("KS_stat"),
                     rnd("p_value", 6).alias("p_value"), "drift")
 

@@ -30,16 +30,25 @@ def long_sides(reference: DataFrame, current: DataFrame, features) -> DataFrame:
     return one(reference, "ref").unionByName(one(current, "cur")).where(F.col("value").isNotNull())
 
 
-def side_value_counts(reference: DataFrame, current: DataFrame, features) -> DataFrame:
+def long_labelled(df: DataFrame, is_reference, features) -> DataFrame:
+    """(side, feature, value) from ONE frame whose rows are labelled by a
+    predicate (e.g. a date split): a single scan instead of two."""
+    return (df.select(F.when(is_reference, F.lit("ref")).otherwise(F.lit("cur")).alias("side"),
+                      *[F.col(c).cast("double").alias(c) for c in features])
+            .unpivot(["side"], list(features), "feature", "value").where(F.col("value").isNotNull()))
+
+
+def side_value_counts(reference: DataFrame, current: DataFrame | None, features) -> DataFrame:
     """(feature, value, c_ref, c_cur): one row per distinct value of each feature.
 
     This single aggregate (partial-aggregated map-side) is the only pass
-    over the input rows; PSI and KS work from it. It is referenced by
+    over the input rows; PSI and KS work from it (``current=None``: the
+    first argument is already a ``long_labelled`` frame). It is referenced by
     several branches (sizes, quantiles, bins), so it is written once to the
     checkpoint folder: the input is scanned once and the downstream plan
     stays small.
     """
-    long = long_sides(reference, current, features)
+    long = reference if current is None else long_sides(reference, current, features)
     vc = long.groupBy("feature", "value").agg(F.count_if(F.col("side") == "ref").alias("c_ref"),
                                               F.count_if(F.col("side") == "cur").alias("c_cur"))
     return cut_lineage(vc)
@@ -55,7 +64,7 @@ def psi_status(psi) -> F.Column:
             .otherwise(F.lit("OK")))
 
 
-def psi_report(reference: DataFrame, current: DataFrame, features, n_bins: int = 10, epsilon: float = 1e-6,
+def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins: int = 10, epsilon: float = 1e-6,
                min_rows: int = 10, open_ended: bool = False, buckets: int | None = None) -> DataFrame:
     """M1/M2: PSI per feature with its status.
 
@@ -105,7 +114,7 @@ def _kolmogorov_sf(lam) -> F.Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
-def ks_report(reference: DataFrame, current: DataFrame, features, alpha: float = 0.05, min_rows: int = 10,
+def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha: float = 0.05, min_rows: int = 10,
               buckets: int | None = None) -> DataFrame:
     """M3: two-sample KS statistic D = max |F_ref - F_cur| over the pooled values.
 

@@ -68,9 +68,14 @@ def _state_holiday(d: Column) -> Column:
             .otherwise(F.lit("0")))
 
 
-def store_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def store_panel(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Store-day panel derived from the driver tables.
 
+    The panel is an aggregate (entities x days), tiny next to ``orders``.
+    With ``materialize`` it is written once to the checkpoint folder, so
+    the many branches of a job (cutoffs, fits, joins, scalar statistics)
+    read it instead of re-joining and re-scanning the raw tables.
+
     Plan shape: orders (4 columns) join customer (2 columns) on the customer
     key (sort-merge at scale, AQE splits hot customers), then one aggregate
     on (nation, day) with map-side partial aggregation, so a hot nation is
@@ -92,7 +97,7 @@ def store_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("Date")
     closed = F.weekday(d) == 6  # Sunday
     k = F.col("c_nationkey")
-    return (daily.join(nation, daily.c_nationkey == nation.n_nationkey)
+    panel = (daily.join(nation, daily.c_nationkey == nation.n_nationkey)
             .select(
                 (k + 1).cast("int").alias("Store"),
                 d,
@@ -111,3 +116,7 @@ def store_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise(((k + 1) * 100).cast("double")).alias("CompetitionDistance"),
                 F.pmod(k, F.lit(2)).cast("int").alias("Promo2"),
             ))
+    if materialize:
+        from tillcast.session import cut_lineage
+        panel = cut_lineage(panel)
+    return panel
