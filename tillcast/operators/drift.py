@@ -85,7 +85,10 @@ def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins
     nb = F.size("bp")
     v = F.col("value")
     first, last = F.col("bp")[0], F.element_at("bp", -1)
-    inner = F.size(F.filter("bp", lambda b: b <= v)) - 1
+    # number of breakpoints <= v, minus one; unrolled over the at most
+    # n_bins + 1 breakpoints so it stays inside whole-stage codegen
+    inner = sum((F.when(nb > i, (F.col("bp")[i] <= v).cast("int")).otherwise(F.lit(0)) for i in range(n_bins + 1)),
+                F.lit(0)) - 1
     if open_ended:
         bin_ = F.when(nb < 2, None).when(v < first, 0).when(v >= last, nb - 2).otherwise(inner)
     else:
