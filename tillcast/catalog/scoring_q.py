@@ -138,10 +138,50 @@ def q_batch_score(spark, sf):
     return sc.score(_requests(spark, sf))
 
 
-@query("scoring_fallback")
+def _fallback_sql():
+    from tillcast.catalog.sqlbase import rows, w
+    from tillcast.plans.training import FEATURES
+    pi = "3.141592653589793"
+    feat = f"""f AS (SELECT *, lag("Sales", 7) OVER {w()} AS lag_7, lag("Sales", 14) OVER {w()} AS lag_14,
+        lag("Sales", 30) OVER {w()} AS lag_30,
+        avg("Sales") OVER {w(rows(-7, -1))} AS rolling_mean_7, coalesce(stddev_samp("Sales") OVER {w(rows(-7, -1))}, 0) AS rolling_std_7,
+        avg("Sales") OVER {w(rows(-30, -1))} AS rolling_mean_30, coalesce(stddev_samp("Sales") OVER {w(rows(-30, -1))}, 0) AS rolling_std_30,
+        CASE WHEN count("Sales") OVER {w(rows(-30, -1))} = 30
+             THEN coalesce(regr_slope("Sales", rn) OVER {w(rows(-30, -1))}, 0) ELSE 0 END AS trend_slope_30d
+      FROM (SELECT *, CAST(row_number() OVER {w()} AS DOUBLE) AS rn FROM panel))"""
+    cut = 'cut AS (SELECT CAST(max("Date") - INTERVAL 3 MONTH AS DATE) AS c FROM panel)'
+    tr = 'tr AS (SELECT * FROM f WHERE "Open" = 1 AND "Date" <= (SELECT c FROM cut))'
+    gm = 'gm AS (SELECT "StoreType", median("CompetitionDistance") AS m FROM tr GROUP BY 1)'
+
+    def te(c):
+        return f"""te_{c} AS (SELECT "{c}", (sum("Sales") + 10.0 * (SELECT avg("Sales") FROM tr)) / (count("Sales") + 10.0) AS enc
+            FROM tr WHERE "{c}" IS NOT NULL GROUP BY 1)"""
+    x = f"""x AS (SELECT tr."Store", tr."DayOfWeek", tr."Promo",
+            CASE WHEN tr."StateHoliday" IS NOT DISTINCT FROM '0' THEN 0 ELSE 1 END AS "StateHoliday", tr."SchoolHoliday",
+            coalesce(tr."CompetitionDistance", gm.m, (SELECT median("CompetitionDistance") FROM tr)) AS "CompetitionDistance",
+            tr."Promo2", lag_7, lag_14, lag_30, rolling_mean_7, rolling_std_7, rolling_mean_30, rolling_std_30, trend_slope_30d,
+            tr."Promo" * tr."SchoolHoliday" AS "Promo_x_SchoolHoliday", rolling_mean_7 - lag_7 AS sales_momentum,
+            year(tr."Date") AS "Year", month(tr."Date") AS "Month", weekofyear(tr."Date") AS "WeekOfYear",
+            day(tr."Date") AS "DayOfMonth", CASE WHEN isodow(tr."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
+            quarter(tr."Date") AS "Quarter",
+            sin(2 * {pi} * month(tr."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(tr."Date") / 12.0) AS "Month_cos",
+            sin(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_cos",
+            coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
+            coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
+        FROM tr LEFT JOIN gm ON tr."StoreType" = gm."StoreType"
+        LEFT JOIN te_StoreType a ON tr."StoreType" = a."StoreType" LEFT JOIN te_Assortment b ON tr."Assortment" = b."Assortment")"""
+    med = "med AS (SELECT " + ", ".join(f'median(CAST("{c}" AS DOUBLE)) AS "{c}"' for c in FEATURES) + " FROM x)"
+    unk = 'unk AS (SELECT * FROM valid WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p."Store" = valid.store_id))'
+    cols = ", ".join(f'{srnd(f"coalesce(med.{chr(34)}{c}{chr(34)}, 0.0)", 6)} AS "{c}"' for c in FEATURES)
+    return with_panel(feat, cut, tr, gm, te("StoreType"), te("Assortment"), x, med, REQUESTS_SQL, VALID, unk) + f"""
+SELECT unk.request_id, {cols}, true AS used_fallback FROM unk CROSS JOIN med"""
+
+
+@query("scoring_fallback", _fallback_sql())
 def q_scoring_fallback(spark, sf):
     """P5: unknown-store requests scored on the training-median vector."""
     from tillcast.plans.training import FEATURES, model_frames
     md = model_frames(store_panel(spark, sf))
     valid = P.validate_requests(_requests(spark, sf)).where("valid")
-    return P.fallback_rows(P.unknown_store(valid, store_panel(spark, sf)), md.medians, FEATURES)
+    fb = P.fallback_rows(P.unknown_store(valid, store_panel(spark, sf)), md.medians, FEATURES)
+    return fb.select("request_id", *[rnd(c, 6).alias(c) for c in FEATURES], "used_fallback")
