@@ -124,13 +124,6 @@ def q_scoring_frame(spark, sf):
     return f.select("request_id", "Store", "Date", *[rnd(c).alias(c) for c in _WIN], "Promo_x_SchoolHoliday")
 
 
-@query("scoring_features")
-def q_scoring_features(spark, sf):
-    """P4 + P5: the 29 model inputs per valid request (unknown stores: training medians)."""
-    sc = fit_scorer(store_panel(spark, sf), n_boot=30)
-    return sc.features(_requests(spark, sf))
-
-
 @query("batch_score")
 def q_batch_score(spark, sf):
     """Every request of the table scored in one plan."""
@@ -185,3 +178,58 @@ def q_scoring_fallback(spark, sf):
     valid = P.validate_requests(_requests(spark, sf)).where("valid")
     fb = P.fallback_rows(P.unknown_store(valid, store_panel(spark, sf)), md.medians, FEATURES)
     return fb.select("request_id", *[rnd(c, 6).alias(c) for c in FEATURES], "used_fallback")
+
+
+def _features_sql():
+    from tillcast.plans.training import FEATURES
+    base = _fallback_sql()
+    head = base[:base.index("\nSELECT unk.request_id")]
+    pi = "3.141592653589793"
+    rp = """rq AS (SELECT request_id, store_id AS "Store", CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS "Date",
+        day_of_week AS "DayOfWeek", promo AS "Promo", state_holiday AS "StateHoliday", school_holiday AS "SchoolHoliday",
+        store_type AS "StoreType", assortment AS "Assortment", competition_distance AS "CompetitionDistance",
+        promo2 AS "Promo2", store_id, date AS req_date FROM valid)"""
+    frames = [c.replace("FROM rp JOIN hs ON rp.", "FROM rq rp JOIN hs ON rp.") for c in _FRAMES[3:]]
+    fa = """fa AS (SELECT "Store", d, m, max(CASE WHEN j = 7 THEN v END) AS lag_7, max(CASE WHEN j = 14 THEN v END) AS lag_14,
+        max(CASE WHEN j = 30 THEN v END) AS lag_30, avg(CASE WHEN j <= 7 THEN v END) AS rolling_mean_7,
+        avg(CASE WHEN j <= 30 THEN v END) AS rolling_mean_30, stddev_samp(CASE WHEN j <= 7 THEN v END) AS rs7,
+        stddev_samp(CASE WHEN j <= 30 THEN v END) AS rs30, regr_slope(v, CAST(-j AS DOUBLE)) AS sl FROM lv GROUP BY 1, 2, 3)"""
+    ff = """ff AS (SELECT fr."Store", fr.d, fa.lag_7, fa.lag_14, fa.lag_30, fa.rolling_mean_7, fa.rolling_mean_30,
+        coalesce(fa.rs7, 0) AS rolling_std_7, coalesce(fa.rs30, 0) AS rolling_std_30,
+        CASE WHEN fr.m >= 30 THEN coalesce(fa.sl, 0) ELSE 0 END AS trend_slope_30d
+        FROM fr LEFT JOIN fa ON fr."Store" = fa."Store" AND fr.d = fa.d AND fr.m = fa.m)"""
+    lt = """lt AS (SELECT "Store", "CompetitionDistance" AS lcd FROM panel
+        QUALIFY row_number() OVER (PARTITION BY "Store" ORDER BY "Date" DESC) = 1)"""
+    kx = f"""kx AS (SELECT kn.request_id, kn.store_id, kn.req_date, kn."Store", kn."DayOfWeek", kn."Promo",
+        CASE WHEN kn."StateHoliday" IS NOT DISTINCT FROM '0' THEN 0 ELSE 1 END AS "StateHoliday", kn."SchoolHoliday",
+        coalesce(kn."CompetitionDistance", lt.lcd, gm.m, (SELECT median("CompetitionDistance") FROM tr)) AS "CompetitionDistance",
+        kn."Promo2", ff.lag_7, ff.lag_14, ff.lag_30, ff.rolling_mean_7, ff.rolling_std_7, ff.rolling_mean_30, ff.rolling_std_30,
+        ff.trend_slope_30d, kn."Promo" * kn."SchoolHoliday" AS "Promo_x_SchoolHoliday",
+        ff.rolling_mean_7 - ff.lag_7 AS sales_momentum,
+        year(kn."Date") AS "Year", month(kn."Date") AS "Month", weekofyear(kn."Date") AS "WeekOfYear",
+        day(kn."Date") AS "DayOfMonth", CASE WHEN isodow(kn."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
+        quarter(kn."Date") AS "Quarter",
+        sin(2 * {pi} * month(kn."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(kn."Date") / 12.0) AS "Month_cos",
+        sin(2 * {pi} * weekofyear(kn."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(kn."Date") / 52.0) AS "Week_cos",
+        coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
+        coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
+        FROM kn JOIN ff ON kn."Store" = ff."Store" AND kn."Date" = ff.d
+        LEFT JOIN lt ON kn."Store" = lt."Store" LEFT JOIN gm ON kn."StoreType" = gm."StoreType"
+        LEFT JOIN te_StoreType a ON kn."StoreType" = a."StoreType" LEFT JOIN te_Assortment b ON kn."Assortment" = b."Assortment")"""
+    known = ", ".join(f'{srnd(f"coalesce(CAST(kx.{chr(34)}{c}{chr(34)} AS DOUBLE), med.{chr(34)}{c}{chr(34)})", 4)} AS "{c}"'
+                      for c in FEATURES)
+    fallback = ", ".join(f'{srnd(f"coalesce(med.{chr(34)}{c}{chr(34)}, 0.0)", 4)} AS "{c}"' for c in FEATURES)
+    return (head + ",\n" + ",\n".join([rp, *frames, fa, ff, lt, kx]) + f"""
+SELECT kx.request_id, {known}, false AS used_fallback, kx.store_id, kx.req_date AS date FROM kx CROSS JOIN med
+UNION ALL
+SELECT unk.request_id, {fallback}, true AS used_fallback, unk.store_id, unk.date FROM unk CROSS JOIN med""")
+
+
+@query("scoring_features", _features_sql())
+def q_scoring_features(spark, sf):
+    """P4 + P5: the 29 model inputs per valid request (unknown stores: training medians)."""
+    from tillcast.plans.scoring import request_features
+    from tillcast.plans.training import FEATURES, model_frames
+    hist = store_panel(spark, sf)
+    x = request_features(_requests(spark, sf), hist, model_frames(hist))
+    return x.select("request_id", *[rnd(c, 4).alias(c) for c in FEATURES], "used_fallback", "store_id", "date")

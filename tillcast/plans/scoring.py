@@ -34,16 +34,7 @@ class Scorer:
 
     def features(self, requests: DataFrame) -> DataFrame:
         """P4 + P5: the 29 model inputs per valid request, ``used_fallback`` for unknown stores."""
-        valid = P.validate_requests(requests).where("valid")
-        rp = P.request_to_panel(valid)
-        known = P.request_window_features(rp, self.history)
-        x = self.data.preprocessor.transform(known.drop("latest", "m", "hmin", "hmax", "proxy"))
-        x = B.fill_with(x.select("request_id", *[F.col(c).cast("double").alias(c) for c in FEATURES]),
-                        self.data.medians, FEATURES)
-        x = x.withColumn("used_fallback", F.lit(False))
-        unknown = P.fallback_rows(P.unknown_store(valid, self.history), self.data.medians, FEATURES)
-        out = x.unionByName(unknown)
-        return out.join(valid.select("request_id", "store_id", "date"), "request_id")
+        return request_features(requests, self.history, self.data)
 
     def score(self, requests: DataFrame) -> DataFrame:
         """Prediction (clamped at 0), ensemble interval, uncertainty and model used."""
@@ -60,6 +51,22 @@ class Scorer:
                         "used_fallback")
 
 
+def request_features(requests: DataFrame, history: DataFrame, data: ModelData) -> DataFrame:
+    """P4 + P5 without any model: valid requests -> request-day window
+    features -> fitted preprocessing -> training-median fill; unknown stores
+    get the training-median vector and ``used_fallback``."""
+    valid = P.validate_requests(requests).where("valid")
+    rp = P.request_to_panel(valid)
+    known = P.request_window_features(rp, history)
+    x = data.preprocessor.transform(known.drop("latest", "m", "hmin", "hmax", "proxy"))
+    x = B.fill_with(x.select("request_id", *[F.col(c).cast("double").alias(c) for c in FEATURES]),
+                    data.medians, FEATURES)
+    x = x.withColumn("used_fallback", F.lit(False))
+    unknown = P.fallback_rows(P.unknown_store(valid, history), data.medians, FEATURES)
+    out = x.unionByName(unknown)
+    return out.join(valid.select("request_id", "store_id", "date"), "request_id")
+
+
 def fit_scorer(history: DataFrame, n_boot: int = 30, percentile: float = 80.0,
                accurate_spec: dict | None = None) -> Scorer:
     md = model_frames(history)
