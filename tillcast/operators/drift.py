@@ -140,9 +140,6 @@ def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha:
 
 
 # ---------------------------------------------------------------- CUSUM
-CUSUM_STATE = T.StructType([T.StructField("pos", T.DoubleType()), T.StructField("neg", T.DoubleType())])
-
-
 def residual_batches(df: DataFrame, entity: str, batch, residual) -> DataFrame:
     """Batch summaries: mean, population std and size of the residual per (entity, batch)."""
     return df.groupBy(F.col(entity).alias("entity"), batch.alias("batch")).agg(

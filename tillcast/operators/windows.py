@@ -95,7 +95,7 @@ def backfill(df: DataFrame, cols, entity: str = "Store", date: str = "Date") ->
 def tail_mean(df: DataFrame, n: int = 30, target: str = "Sales", entity: str = "Store",
               date: str = "Date", name: str = "tail_mean") -> DataFrame:
     """Per entity, mean of its last ``n`` rows; entities whose mean is
-    null fall back to the global median of ``target``.
+    null fall back to the global (exact, distributed) median of ``target``.
 
     The rank filter keeps only ``n`` rows per entity before the aggregate.
     """
