@@ -361,3 +361,37 @@ def test_artifact_roundtrip(spark, tmp_path):
     t = spark.createDataFrame([("a", 1.0)], "g string, enc double")
     sinks.save_table(t, str(tmp_path / "enc"))
     assert sinks.load_table(spark, str(tmp_path / "enc")).collect() == t.collect()
+
+
+def test_batch_scoring_end_to_end(spark):
+    """Routing follows the fitted threshold, predictions are clamped at 0,
+    unknown stores use the fallback vector, every valid request is scored once."""
+    from tillcast.plans.scoring import ACCURATE_LABEL, FAST_LABEL, fit_scorer
+    rng = np.random.default_rng(9)
+    rows = []
+    for s, st in ((1, "a"), (2, "b"), (3, "c")):
+        for i in range(200):
+            d = dt.date(2023, 1, 1) + dt.timedelta(days=i)
+            closed = d.isoweekday() == 7
+            sales = 0.0 if closed else float(1000 * s + 100 * (d.isoweekday() == 6) + rng.normal(0, 50))
+            rows.append((s, d, d.isoweekday(), sales, 10.0, 0 if closed else 1, int(i % 5 == 0), "0", 0, st, "basic",
+                         None if s == 3 else 500.0 * s, s % 2))
+    hist = spark.createDataFrame(rows, "Store int, Date date, DayOfWeek int, Sales double, Customers double, Open int, "
+                                       "Promo int, StateHoliday string, SchoolHoliday int, StoreType string, "
+                                       "Assortment string, CompetitionDistance double, Promo2 int")
+    sc = fit_scorer(hist, n_boot=5, accurate_spec={"kind": "gbt", "trees": 3, "depth": 3, "lr": 0.1,
+                                                   "subsample": 1.0, "colsample": 1.0, "min_child": 1})
+    req = spark.createDataFrame([
+        (1, 1, "2023-07-20", 4, 1, "0", 0, "a", "basic", None, 1),
+        (2, 2, "2023-05-01", 1, 0, "0", 0, "b", "basic", 100.0, 0),
+        (3, 9, "2023-07-20", 4, 0, "0", 0, "a", "basic", None, 0),      # unknown store
+        (4, 1, "2023/07/20", 4, 0, "0", 0, "a", "basic", None, 0),      # malformed date: rejected
+    ], "request_id long, store_id int, date string, day_of_week int, promo int, state_holiday string, "
+       "school_holiday int, store_type string, assortment string, competition_distance double, promo2 int")
+    out = {r["request_id"]: r for r in sc.score(req).collect()}
+    assert sorted(out) == [1, 2, 3]
+    assert out[3]["used_fallback"] and not out[1]["used_fallback"]
+    for r in out.values():
+        assert r["predicted_sales"] >= 0.0
+        assert r["model_used"] == (ACCURATE_LABEL if r["uncertainty"] > sc.threshold else FAST_LABEL)
+        assert r["lower_bound"] <= r["upper_bound"]
