@@ -109,12 +109,13 @@ class GroupMedian:
     group: str
     medians: DataFrame
     global_median: float | None
+    n_levels: int | None = None   # rows of ``medians``, counted once when fitted
 
     def transform(self, df: DataFrame) -> DataFrame:
         fill = F.col("__gm_group")
         if self.global_median is not None:
             fill = F.coalesce(fill, F.lit(self.global_median))
-        return (df.join(broadcast_checked(self.medians), self.group, "left")
+        return (df.join(broadcast_checked(self.medians, known_rows=self.n_levels), self.group, "left")
                 .withColumn(self.target, F.coalesce(F.col(self.target), fill)).drop("__gm_group")
                 .select(*df.columns))
 
@@ -138,7 +139,7 @@ def fit_group_median(train: DataFrame, target: str, group: str, global_fallback:
     med = cut_lineage(levels.join(q.where(F.col("__g") != "\u0000all"),
                                   F.col(group).cast("string") == F.col("__g"), "left")
                       .select(group, F.col("q").alias("__gm_group")))
-    return GroupMedian(target, group, med, None if glob is None else float(glob))
+    return GroupMedian(target, group, med, None if glob is None else float(glob), med.count())
 
 
 # ---------------------------------------------------------------- E5 smoothed target encoder
@@ -149,13 +150,14 @@ class TargetEncoding:
     global_mean: float
     suffix: str = "_encoded"
     drop_source: bool = True
+    n_levels: dict[str, int] = field(default_factory=dict)   # rows per table, counted once when fitted
 
     def transform(self, df: DataFrame) -> DataFrame:
         g = F.lit(self.global_mean)
         out = df
         for c, t in self.tables.items():
             name = f"{c}{self.suffix}"
-            out = (out.join(broadcast_checked(t.withColumnRenamed("enc", name)), c, "left")
+            out = (out.join(broadcast_checked(t.withColumnRenamed("enc", name), known_rows=self.n_levels.get(c)), c, "left")
                    .withColumn(name, F.coalesce(F.col(name), g)))
             if self.drop_source:
                 out = out.drop(c)
@@ -174,7 +176,7 @@ def fit_target_encoder(train: DataFrame, cols, target: str = "y", smoothing: flo
         st = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.sum(target).alias("s"), F.count(target).alias("n"))
         tables[c] = cut_lineage(st.select(
             c, ((F.col("s") + F.lit(smoothing) * F.lit(gm)) / (F.col("n") + F.lit(smoothing))).alias("enc")))
-    return TargetEncoding(tables, gm)
+    return TargetEncoding(tables, gm, n_levels={c: t.count() for c, t in tables.items()})
 
 
 # ---------------------------------------------------------------- E6 out-of-fold target encoder
@@ -213,7 +215,8 @@ def fit_target_means(train: DataFrame, cols, target: str = "y") -> TargetEncodin
     g = float(train.agg(F.avg(target)).first()[0])
     tables = {c: cut_lineage(train.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(target).alias("enc")))
               for c in cols}
-    return TargetEncoding(tables, g, suffix="_target_enc", drop_source=False)
+    return TargetEncoding(tables, g, suffix="_target_enc", drop_source=False,
+                          n_levels={c: t.count() for c, t in tables.items()})
 
 
 # ---------------------------------------------------------------- E7 preprocessing chain

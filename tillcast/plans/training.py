@@ -57,6 +57,8 @@ def model_frames(panel: DataFrame, test_months: int = 3, materialize: bool = Tru
         return out.withColumnRenamed("Sales", "y").select(*KEYS, *[F.col(c).cast("double").alias(c) for c in FEATURES], "y")
 
     xtr, xte = prep(train_raw), prep(test_raw)
+    if materialize:
+        xtr = cut_lineage(xtr)   # read by the medians and by the fill
     med = B.train_medians(xtr, FEATURES)
     xtr = B.fill_with(xtr, med, FEATURES)
     xte = B.fill_with(xte, med, FEATURES)
