@@ -58,13 +58,14 @@ def request_to_panel(req: DataFrame) -> DataFrame:
         F.col("competition_distance").alias("CompetitionDistance"), F.col("promo2").alias("Promo2"))
 
 
-def history_stats(history: DataFrame, entity: str = "Store", date: str = "Date") -> DataFrame:
+def history_stats(history: DataFrame, entity: str = "Store", date: str = "Date",
+                  global_median: float | None = None) -> DataFrame:
     """Per store: first and last history date and the latest row's fields (J5),
     plus the proxy (W7 mean of the last 30 rows). One row per store."""
     latest = history.groupBy(entity).agg(
         F.min(date).alias("hmin"), F.max(date).alias("hmax"),
         F.max_by(F.struct("CompetitionDistance", "Customers", "Promo2"), F.col(date)).alias("latest"))
-    proxy = W.tail_mean(history, LOOKBACK, "Sales", entity, date, name="proxy")
+    proxy = W.tail_mean(history, LOOKBACK, "Sales", entity, date, name="proxy", fallback=global_median)
     return latest.join(proxy, entity, "left")
 
 
@@ -105,8 +106,8 @@ def request_window_features(req_panel: DataFrame, history: DataFrame) -> DataFra
     trend_slope_30d, sales_momentum, Promo_x_SchoolHoliday, frame depth m,
     and the latest history row's CompetitionDistance/Customers/Promo2.
     """
-    hs = history_stats(history)
     gmed = global_median(history)
+    hs = history_stats(history, global_median=gmed)
     known = req_panel.join(hs, "Store")
     frames = (known.select("Store", F.col("Date").alias("d"), frame_depth(F.col("Date")).alias("m"), "proxy")
               .distinct())
@@ -151,8 +152,8 @@ def latest_row(history: DataFrame, entity: str = "Store", date: str = "Date", as
 def calendar_spine(req_panel: DataFrame, history: DataFrame, depth: int = LOOKBACK) -> DataFrame:
     """Per request, the last ``depth`` frame days before the request date with
     the history value where present, else the proxy; ``is_history`` flags which."""
-    hs = history_stats(history)
     gmed = global_median(history)
+    hs = history_stats(history, global_median=gmed)
     known = req_panel.join(broadcast_checked(hs), "Store")
     frames = known.select("Store", F.col("Date").alias("d"), frame_depth(F.col("Date")).alias("m"), "proxy").distinct()
     lv = lookback_values(frames, history, gmed)

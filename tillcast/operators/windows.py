@@ -93,7 +93,7 @@ def backfill(df: DataFrame, cols, entity: str = "Store", date: str = "Date") ->
 
 
 def tail_mean(df: DataFrame, n: int = 30, target: str = "Sales", entity: str = "Store",
-              date: str = "Date", name: str = "tail_mean") -> DataFrame:
+              date: str = "Date", name: str = "tail_mean", fallback: float | None = None) -> DataFrame:
     """Per entity, mean of its last ``n`` rows; entities whose mean is
     null fall back to the global (exact, distributed) median of ``target``.
 
@@ -103,7 +103,7 @@ def tail_mean(df: DataFrame, n: int = 30, target: str = "Sales", entity: str = "
     tail = (df.select(entity, date, target).withColumn("__rk", F.row_number().over(w))
             .where(F.col("__rk") <= n).groupBy(entity).agg(F.avg(target).alias(name)))
     from tillcast.operators.ranks import scalar_quantile
-    global_median = scalar_quantile(df, target, 0.5)  # exact, distributed ranks
+    global_median = fallback if fallback is not None else scalar_quantile(df, target, 0.5)  # exact, distributed
     return tail.select(entity, F.coalesce(F.col(name), F.lit(global_median).cast("double")).alias(name))
 
 
