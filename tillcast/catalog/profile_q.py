@@ -305,3 +305,36 @@ def q_top_n(spark, sf):
 @query("distinct_sorted", with_panel() + 'SELECT DISTINCT "StoreType" FROM panel ORDER BY 1')
 def q_distinct_sorted(spark, sf):
     return D.distinct_sorted(store_panel(spark, sf), "StoreType")
+
+
+# ---------------------------------------------------------------- G5 / G14 over all numeric columns
+_NUM = ["DayOfWeek", "Sales", "Customers", "Promo", "SchoolHoliday", "CompetitionDistance", "Promo2"]
+_LONG_SQL = "lg AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST("{c}" AS DOUBLE) AS x FROM o WHERE "{c}" IS NOT NULL""" for c in _NUM) + ")"
+
+
+@query("hist_all_numeric", with_panel(OPEN, _LONG_SQL,
+                                      'r AS (SELECT "column", min(x) AS lo, max(x) AS hi FROM lg GROUP BY 1)',
+                                      """c AS (SELECT lg."column", CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((x - r.lo) * 10 / (r.hi - r.lo)), 9) END AS INTEGER) AS bin,
+                                             count(*) AS n FROM lg JOIN r ON lg."column" = r."column" GROUP BY 1, 2)""",
+                                      'g AS (SELECT r.*, CAST(unnest(range(0, 10)) AS INTEGER) AS bin FROM r)') + f"""
+SELECT g."column", g.bin, {srnd('g.lo + g.bin * (g.hi - g.lo) / 10', 6)} AS bin_lo,
+       {srnd('g.lo + (g.bin + 1) * (g.hi - g.lo) / 10', 6)} AS bin_hi, coalesce(c.n, 0) AS "count"
+FROM g LEFT JOIN c ON g."column" = c."column" AND g.bin = c.bin""")
+def q_hist_all_numeric(spark, sf):
+    h = G.histogram_columns(_open(spark, sf), _NUM, 10)
+    return h.select("column", "bin", rnd("bin_lo", 6).alias("bin_lo"), rnd("bin_hi", 6).alias("bin_hi"), "count")
+
+
+@query("box_stats_columns", with_panel(OPEN, _LONG_SQL, """q AS (SELECT "column", quantile_cont(x, 0.25) AS q1,
+        quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3 FROM lg GROUP BY 1)""",
+                                       "f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)") + f"""
+SELECT f."column", count(*) AS n, {srnd('f.q1')} AS q1, {srnd('f.med')} AS median, {srnd('f.q3')} AS q3,
+       min(CASE WHEN lg.x >= lo_f AND lg.x <= hi_f THEN lg.x END) AS whisker_lo,
+       max(CASE WHEN lg.x >= lo_f AND lg.x <= hi_f THEN lg.x END) AS whisker_hi,
+       count(*) FILTER (WHERE NOT (lg.x >= lo_f AND lg.x <= hi_f)) AS n_outliers
+FROM lg JOIN f ON lg."column" = f."column" GROUP BY f."column", f.q1, f.med, f.q3""")
+def q_box_stats_columns(spark, sf):
+    b = G.box_stats_columns(_open(spark, sf), _NUM)
+    return b.select("column", "n", rnd("q1").alias("q1"), rnd("median").alias("median"), rnd("q3").alias("q3"),
+                    "whisker_lo", "whisker_hi", "n_outliers")

@@ -104,6 +104,33 @@ def histogram(df: DataFrame, col: str, bins: int = 60) -> DataFrame:
             .where(F.col("lo").isNotNull()))
 
 
+def histogram_columns(df: DataFrame, cols, bins: int = 10) -> DataFrame:
+    """G5 for several columns at once (one unpivoted pass): per column, equal-width
+    bins between its own min and max, last bin closed, empty bins kept."""
+    cols = list(cols)
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "x").where(F.col("x").isNotNull()))
+    rng = long.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))  # one row per column
+    x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+    idx = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((x - lo) * F.lit(bins) / (hi - lo)), F.lit(bins - 1)))
+    counts = (long.join(F.broadcast(rng), "column")  # one row per column of a fixed list
+              .groupBy("column", idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    grid = rng.select("column", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (grid.join(counts, ["column", "bin"], "left")
+            .select("column", "bin", (lo + F.col("bin") * (hi - lo) / bins).alias("bin_lo"),
+                    (lo + (F.col("bin") + 1) * (hi - lo) / bins).alias("bin_hi"),
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("count")))
+
+
+def box_stats_columns(df: DataFrame, cols) -> DataFrame:
+    """G14 over several numeric columns: the box statistics of each column
+    (the column name is the group of one unpivoted pass)."""
+    cols = list(cols)
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    return box_stats(long, "column", "value")
+
+
 def mean_by(df: DataFrame, keys, col: str = "Sales", name: str = "mean_sales") -> DataFrame:
     """Grouped mean (keys may be expressions)."""
     return df.groupBy(*keys).agg(F.avg(col).alias(name))
