@@ -395,3 +395,19 @@ def test_batch_scoring_end_to_end(spark):
         assert r["predicted_sales"] >= 0.0
         assert r["model_used"] == (ACCURATE_LABEL if r["uncertainty"] > sc.threshold else FAST_LABEL)
         assert r["lower_bound"] <= r["upper_bound"]
+
+
+def test_as_of_scoring_sees_only_the_past(spark):
+    from tillcast.operators import scoring as P
+    rows = [(1, D0 + dt.timedelta(days=i), float(i), 10.0, 0, 100.0 + i) for i in range(60)]
+    hist = spark.createDataFrame(rows, "Store int, Date date, Sales double, Customers double, Promo2 int, "
+                                       "CompetitionDistance double")
+    req = spark.createDataFrame([(1, 1, D0 + dt.timedelta(days=40), 0, 0, None)],
+                                "request_id long, Store int, Date date, Promo int, SchoolHoliday int, "
+                                "CompetitionDistance double")
+    parity = P.request_window_features(req, hist).first()
+    past = P.request_window_features(req, hist, as_of=True).first()
+    assert parity["lag_7"] == past["lag_7"] == 33.0          # history days are real rows either way
+    assert parity["CompetitionDistance"] == 159.0            # latest row of the whole history (reference)
+    assert past["CompetitionDistance"] == 139.0              # latest row before the request
+    assert parity["m"] == 40 and past["m"] == 40

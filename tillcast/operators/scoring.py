@@ -14,7 +14,7 @@ back to the requests.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import scalars as S
@@ -99,16 +99,48 @@ def lookback_values(frames: DataFrame, history: DataFrame, global_median) -> Dat
             .withColumn("v", F.coalesce("hs", "proxy", F.lit(global_median))))
 
 
-def request_window_features(req_panel: DataFrame, history: DataFrame) -> DataFrame:
+def as_of_stats(frames: DataFrame, history: DataFrame, entity: str = "Store", date: str = "Date") -> DataFrame:
+    """As-of join: for each (entity, d) frame, statistics of the history rows
+    strictly before d -- the mean of the last 30 rows and the latest row's
+    fields -- without a range join.
+
+    History rows carry their running 30-row mean; frames are unioned in,
+    ordered before history rows of the same date, and take the last non-null
+    value over the preceding rows of their entity (one window, partitioned
+    by entity; rows per entity = history days + distinct request dates).
+    """
+    run = Window.partitionBy(entity).orderBy(date).rowsBetween(-(LOOKBACK - 1), 0)
+    h = history.select(entity, F.col(date).alias("__t"), F.lit(1).alias("__k"),
+                       F.avg("Sales").over(run).alias("proxy"),
+                       F.struct("CompetitionDistance", "Customers", "Promo2").alias("latest"))
+    f = frames.select(entity, F.col("d").alias("__t"), F.lit(0).alias("__k"),
+                      F.lit(None).cast("double").alias("proxy"), F.lit(None).cast(h.schema["latest"].dataType).alias("latest"))
+    w = Window.partitionBy(entity).orderBy("__t", "__k").rowsBetween(Window.unboundedPreceding, 0)
+    u = h.unionByName(f).select(entity, "__t", "__k", F.last("proxy", ignorenulls=True).over(w).alias("proxy"),
+                                F.last("latest", ignorenulls=True).over(w).alias("latest"))
+    return u.where(F.col("__k") == 0).select(entity, F.col("__t").alias("d"), "proxy", "latest")
+
+
+def request_window_features(req_panel: DataFrame, history: DataFrame, as_of: bool = False) -> DataFrame:
     """Window features at the request date for known-store requests.
 
     Output per request: request columns + lag_7/14/30, rolling mean/std 7/30,
     trend_slope_30d, sales_momentum, Promo_x_SchoolHoliday, frame depth m,
     and the latest history row's CompetitionDistance/Customers/Promo2.
+
+    ``as_of=True`` uses only history strictly before each request date for
+    the proxy, the latest row and the frame (a request with no earlier
+    history counts as an unknown store); the default matches the reference,
+    whose proxy and latest row come from the whole history.
     """
     gmed = global_median(history)
     hs = history_stats(history, global_median=gmed)
     known = req_panel.join(hs, "Store")
+    if as_of:
+        past = as_of_stats(known.select("Store", F.col("Date").alias("d")).distinct(), history)
+        known = (known.drop("proxy", "latest").join(past.withColumnRenamed("d", "Date"), ["Store", "Date"])
+                 .where(F.col("Date") > F.col("hmin"))
+                 .withColumn("hmax", F.date_sub("Date", 1)))  # every kept history day precedes the request
     frames = (known.select("Store", F.col("Date").alias("d"), frame_depth(F.col("Date")).alias("m"), "proxy")
               .distinct())
     lv = lookback_values(frames, history, gmed)

@@ -51,18 +51,20 @@ class Scorer:
                         "used_fallback")
 
 
-def request_features(requests: DataFrame, history: DataFrame, data: ModelData) -> DataFrame:
+def request_features(requests: DataFrame, history: DataFrame, data: ModelData, as_of: bool = False) -> DataFrame:
     """P4 + P5 without any model: valid requests -> request-day window
     features -> fitted preprocessing -> training-median fill; unknown stores
     get the training-median vector and ``used_fallback``."""
     valid = P.validate_requests(requests).where("valid")
     rp = P.request_to_panel(valid)
-    known = P.request_window_features(rp, history)
+    known = P.request_window_features(rp, history, as_of=as_of)
     x = data.preprocessor.transform(known.drop("latest", "m", "hmin", "hmax", "proxy"))
     x = B.fill_with(x.select("request_id", *[F.col(c).cast("double").alias(c) for c in FEATURES]),
                     data.medians, FEATURES)
     x = x.withColumn("used_fallback", F.lit(False))
-    unknown = P.fallback_rows(P.unknown_store(valid, history), data.medians, FEATURES)
+    unknown = valid.join(known.select("request_id"), "request_id", "left_anti") if as_of \
+        else P.unknown_store(valid, history)
+    unknown = P.fallback_rows(unknown, data.medians, FEATURES)
     out = x.unionByName(unknown)
     return out.join(valid.select("request_id", "store_id", "date"), "request_id")
 
