@@ -411,3 +411,23 @@ def test_as_of_scoring_sees_only_the_past(spark):
     assert parity["CompetitionDistance"] == 159.0            # latest row of the whole history (reference)
     assert past["CompetitionDistance"] == 139.0              # latest row before the request
     assert parity["m"] == 40 and past["m"] == 40
+
+
+def test_model_matrix_is_29_wide_and_fit_on_train_only(spark):
+    from tillcast.plans.training import FEATURES, KEYS, model_frames
+    rows = [(s, dt.date(2023, 1, 1) + dt.timedelta(days=i), (dt.date(2023, 1, 1) + dt.timedelta(days=i)).isoweekday(),
+             float(100 * s + i), 5.0, 1, i % 2, "0", 0, "ab"[s % 2], "basic", 50.0 * s, 0)
+            for s in (1, 2) for i in range(150)]
+    panel = spark.createDataFrame(rows, "Store int, Date date, DayOfWeek int, Sales double, Customers double, "
+                                        "Open int, Promo int, StateHoliday string, SchoolHoliday int, StoreType string, "
+                                        "Assortment string, CompetitionDistance double, Promo2 int")
+    md = model_frames(panel)
+    assert len(FEATURES) == 29
+    assert md.train.columns == [*KEYS, *FEATURES, "y"] and md.test.columns == md.train.columns
+    cut = md.train.agg(F.max("key_date")).first()[0]
+    assert md.test.agg(F.min("key_date")).first()[0] > cut
+    # encodings come from training rows only: changing test-period sales leaves them unchanged
+    shifted = panel.withColumn("Sales", F.when(F.col("Date") > F.lit(cut), F.col("Sales") * 10).otherwise(F.col("Sales")))
+    md2 = model_frames(shifted)
+    enc = lambda m: sorted(m.train.select("StoreType_encoded", "Assortment_encoded").distinct().collect())
+    assert enc(md) == enc(md2)
