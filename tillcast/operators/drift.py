@@ -106,7 +106,7 @@ def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins
     pct = c.select("feature", (F.col("r") / F.sum("r").over(per)).alias("r"), (F.col("u") / F.sum("u").over(per)).alias("u"))
     psi = pct.groupBy("feature").agg(F.sum((F.col("u") - F.col("r")) * F.log(F.col("u") / F.col("r"))).alias("psi"))
     out = sizes.join(psi, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("PSI"))
-    return out.withColumn("status", psi_status(F.col("PSI")))
+    return out.withColumn("status", psi_status(F.col("PSI"))).orderBy(F.desc("PSI"), "feature")  # one row per feature
 
 
 def _kolmogorov_sf(lam) -> F.Column:
@@ -136,7 +136,7 @@ def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha:
     n_r, n_c = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     en = F.sqrt(n_r * n_c / (n_r + n_c))
     d = d.withColumn("p_value", _kolmogorov_sf(en * F.col("KS_stat")))
-    return d.withColumn("drift", F.col("p_value") < alpha)
+    return d.withColumn("drift", F.col("p_value") < alpha).orderBy(F.desc("KS_stat"), "feature")
 
 
 # ---------------------------------------------------------------- CUSUM
