@@ -431,3 +431,24 @@ def test_model_matrix_is_29_wide_and_fit_on_train_only(spark):
     md2 = model_frames(shifted)
     enc = lambda m: sorted(m.train.select("StoreType_encoded", "Assortment_encoded").distinct().collect())
     assert enc(md) == enc(md2)
+
+
+def test_enet_from_moments_satisfies_kkt(spark):
+    from tillcast.operators import regression as R
+    rng = np.random.default_rng(12)
+    X = rng.normal(size=(300, 5)) * [1, 3, 10, 0.1, 2]
+    X[:, 4] = X[:, 0] * 2 + rng.normal(scale=0.1, size=300)      # collinear pair
+    y = X @ [1.0, 0.0, 0.3, 5.0, 0.0] + rng.normal(size=300) + 7
+    df = spark.createDataFrame([(*map(float, X[i]), float(y[i])) for i in range(300)], "a double, b double, c double, d double, e double, y double")
+    mom = R.segment_moments(df, list("abcde"), "y", F.lit(0))[0]
+    for alpha, r in ((0.5, 1.0), (0.5, 0.5)):
+        b0, coef = R.enet_from_moments(*mom, alpha, r)
+        mu, sx, gram, cxy = R._standardized(*mom)
+        w = coef * sx
+        grad = cxy - gram @ w - alpha * (1 - r) * w                 # must lie in alpha*r * subgradient(|w|)
+        for j in range(5):
+            if abs(w[j]) > 1e-12:
+                assert grad[j] == pytest.approx(alpha * r * np.sign(w[j]), abs=1e-8)
+            else:
+                assert abs(grad[j]) <= alpha * r + 1e-8
+        assert b0 == pytest.approx(float(y.mean() - coef @ X.mean(axis=0)), rel=1e-9)

@@ -106,7 +106,26 @@ def rmse(pred: DataFrame, label: str = "y", p: str = "p") -> float:
     return float(pred.agg(F.sqrt(F.avg((F.col(label) - F.col(p)) ** 2))).first()[0])
 
 
-# ---------------------------------------------------------------- one-pass closed-form folds (OLS / ridge)
+# ---------------------------------------------------------------- one-pass folds for linear models
+LINEAR_KINDS = ("ols", "ridge", "lasso", "enet")
+
+
+def fold_moments(idx: DataFrame, n: int, k: int, features, label: str, idx_col: str = "__idx") -> dict:
+    """Moments per expanding-fold segment: segment 0 = rows before the first
+    test block, segment f+1 = test block of fold f."""
+    first, t = V.fold_bounds(n, k)[0][1], n // (k + 1)
+    i = F.col(idx_col)
+    seg = F.when(i < first, F.lit(0)).otherwise(F.least(F.floor((i - first) / t) + 1, F.lit(k))).cast("int")
+    return segment_moments(idx, features, label, seg)
+
+
+def _cv_from_moments(spec: dict, mom: dict, k: int) -> dict:
+    scores = []
+    for f in range(k):
+        b0, coef = solve_from_moments(spec, _sum_moments([mom[s] for s in range(f + 1) if s in mom]))
+        te = mom[f + 1]
+        scores.append(math.sqrt(sse_from_moments(*te, b0, coef) / te[0]))
+    return {"cv_rmse_folds": scores, "cv_rmse_mean": statistics.fmean(scores), "cv_rmse_std": statistics.pstdev(scores)}
 def segment_moments(df: DataFrame, features, label: str, segment: F.Column) -> dict:
     """One grouped aggregate: per segment, n and the sums of z = [x, y] and z z'.
 
@@ -167,6 +186,52 @@ def sse_from_moments(n, lin, quad, b0, coef) -> float:
     return float(max(0.0, syy - 2 * (b0 * sy + coef @ sxy) + fit_sq))
 
 
+def _standardized(n, lin, quad):
+    import numpy as np
+    p = len(lin) - 1
+    mu = lin / n
+    cov = quad / n - np.outer(mu, mu)
+    sx = np.sqrt(np.clip(np.diag(cov)[:p], 0.0, None))
+    sx[sx == 0] = 1.0
+    gram = cov[:p, :p] / np.outer(sx, sx)   # (1/n) Z'Z of the standardised, centred inputs
+    cxy = cov[:p, p] / sx                    # (1/n) Z'(y - mean y)
+    return mu, sx, gram, cxy
+
+
+def enet_from_moments(n, lin, quad, alpha: float, l1_ratio: float, max_iter: int = 5000, tol: float = 1e-12):
+    """Elastic net / lasso by cyclic coordinate descent on the Gram matrix of
+    the standardised inputs (same objective as the sklearn pipeline:
+    1/(2n)||y - Zw - b||^2 + alpha*r*|w|_1 + alpha*(1-r)/2*|w|^2). Returns (b0, coef)."""
+    import numpy as np
+    mu, sx, gram, cxy = _standardized(n, lin, quad)
+    p = len(cxy)
+    w = np.zeros(p)
+    l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio)
+    for _ in range(max_iter):
+        delta = 0.0
+        for j in range(p):
+            rho = cxy[j] - gram[j] @ w + gram[j, j] * w[j]
+            den = gram[j, j] + l2
+            new = 0.0 if den == 0 else np.sign(rho) * max(abs(rho) - l1, 0.0) / den
+            delta = max(delta, abs(new - w[j]))
+            w[j] = new
+        if delta <= tol * max(1.0, float(np.max(np.abs(w)))):
+            break
+    coef = w / sx
+    return float(mu[p] - coef @ mu[:p]), coef
+
+
+def solve_from_moments(spec: dict, moments):
+    """(b0, coef) of a linear model spec from (n, lin, quad) moments, or None if not linear."""
+    kind = spec["kind"]
+    if kind in ("ols", "ridge"):
+        return ridge_from_moments(*moments, float(spec.get("alpha", 0.0)) if kind == "ridge" else 0.0)
+    if kind in ("lasso", "enet"):
+        r = 1.0 if kind == "lasso" else float(spec["l1_ratio"])
+        return enet_from_moments(*moments, float(spec["alpha"]), r, int(spec.get("max_iter", 5000)))
+    return None
+
+
 def _closed_alpha(spec: dict) -> float | None:
     return {"ols": 0.0, "ridge": float(spec.get("alpha", 0.0))}.get(spec["kind"])
 
@@ -182,20 +247,9 @@ def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key
     """
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
-    alpha = _closed_alpha(spec)
-    if alpha is not None:
-        bounds = V.fold_bounds(n, k)
-        first, t = bounds[0][1], n // (k + 1)
-        i = F.col("__idx")
-        seg = F.when(i < first, F.lit(0)).otherwise(F.least(F.floor((i - first) / t) + 1, F.lit(k))).cast("int")
-        mom = segment_moments(idx, features, label, seg)
-        scores = []
-        for f in range(k):
-            b0, coef = ridge_from_moments(*_sum_moments([mom[s] for s in range(f + 1) if s in mom]), alpha)
-            te = mom[f + 1]
-            scores.append(math.sqrt(sse_from_moments(*te, b0, coef) / te[0]))
-        return {"cv_rmse_folds": scores, "cv_rmse_mean": statistics.fmean(scores),
-                "cv_rmse_std": statistics.pstdev(scores)}
+    if spec["kind"] in LINEAR_KINDS:
+        mom = fold_moments(idx, n, k, features, label)
+        return _cv_from_moments(spec, mom, k)
     scores = []
     for fold, lo, hi in V.fold_bounds(n, k):
         tr = idx.where(F.col("__idx") < lo)
@@ -217,12 +271,34 @@ def model_compare(train: DataFrame, test: DataFrame, features, specs: dict | Non
                   label: str = "y") -> DataFrame:
     """CV, full fit and train/test metrics per model, sorted by test RMSPE.
 
-    Predictions of all models are stacked into one long (model, split, y, p)
-    table and scored by a single grouped metrics aggregate.
+    Linear models (OLS, ridge, lasso, elastic net) are all solved from one
+    aggregate of per-fold-segment moments (closed form or coordinate descent
+    on the Gram matrix); other models are fitted per fold. Predictions of
+    all models are stacked into one long (model, split, y, p) table and
+    scored by a single grouped metrics aggregate.
     """
     specs = specs or MODEL_SPECS
     cv, preds = {}, []
+    features = list(features)
+    linear = {nm: sp for nm, sp in specs.items() if sp["kind"] in LINEAR_KINDS}
+    if linear:
+        # every linear model, every fold and the full-train fit from ONE aggregate of segment moments
+        idx = V.row_index(train, "key_store", "key_date", "__idx")
+        n = train.count()
+        mom = fold_moments(idx, n, cv_folds or 1, features, label)
+        total = _sum_moments(list(mom.values()))
+        for name, spec in linear.items():
+            cv[name] = _cv_from_moments(spec, mom, cv_folds) if cv_folds else None
+            b0, coef = solve_from_moments(spec, total)
+            p_expr = F.lit(float(b0))
+            for f, c in zip(features, coef):
+                p_expr = p_expr + F.lit(float(c)) * F.col(f)
+            for split, df in (("train", train), ("test", test)):
+                preds.append(df.select(F.lit(name).alias("model"), F.lit(split).alias("split"),
+                                       F.col(label).alias("y"), p_expr.alias("p")))
     for name, spec in specs.items():
+        if name in linear:
+            continue
         cv[name] = ts_cv(train, features, spec, cv_folds, label=label) if cv_folds else None
         m = fit(train, features, spec, label)
         for split, df in (("train", train), ("test", test)):
