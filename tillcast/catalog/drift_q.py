@@ -297,15 +297,23 @@ def q_residual_monthly(spark, sf):
     return m.select("month", rnd("mean_residual").alias("mean_residual"), "flagged")
 
 
-@query("cusum_stream")
+@query("cusum_stream", _cusum_sql() + f"""
+SELECT entity, batch, {srnd('m', 6)} AS mean_residual, {srnd('s', 6)} AS std_residual, n AS n_samples,
+       {srnd('pos', 6)} AS cusum_pos, {srnd('neg', 6)} AS cusum_neg, alert, {srnd('alert_value', 6)} AS alert_value
+FROM r WHERE batch + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def q_cusum_stream(spark, sf):
-    """M5: the online monitor over the events table as a file stream (days
-    close as the watermark passes; each entity's last day stays open)."""
+    """M5: the online monitor over the events table as a file stream. A day is
+    emitted once the watermark (latest event - 1 hour) passes its end, so the
+    result equals the batch fold over the closed days."""
     from tillcast.streaming.cusum_stream import cusum_stream, event_stream, run_to_table
     schema = read_table(spark, sf, "events", ["event_type", "ts", "value"]).schema
     ev = event_stream(spark, sf, schema, "events.parquet")
-    s = cusum_stream(ev, "event_type", "ts", F.col("value") - F.lit(_BASE), threshold=_THR, k_factor=_KF)
-    return run_to_table(spark, s)
+    s = cusum_stream(ev, "event_type", "ts", F.col("value") - F.lit(_BASE), threshold=_THR, k_factor=_KF,
+                     watermark="1 hour")
+    c = run_to_table(spark, s)
+    return c.select("entity", "batch", *[rnd(x, 6).alias(x) for x in ("mean_residual", "std_residual")], "n_samples",
+                    rnd("cusum_pos", 6).alias("cusum_pos"), rnd("cusum_neg", 6).alias("cusum_neg"), "alert",
+                    rnd("alert_value", 6).alias("alert_value"))
 
 
 @query("drift_alerts", _cusum_sql() + """
