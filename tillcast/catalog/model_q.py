@@ -65,9 +65,26 @@ def q_residual_hist(spark, sf):
     return h.select("bin", rnd("bin_lo", 4).alias("bin_lo"), rnd("bin_hi", 4).alias("bin_hi"), "count")
 
 
-@query("qq_grid")
+def _qq_sql(points: int = 199):
+    from tillcast.functions.scalars import normal_quantile_sql
+    probs = ", ".join(repr((i + 0.5) / points) for i in range(points))
+    prob = f"((CAST(0.5 AS DOUBLE) + CAST(i AS DOUBLE)) / CAST({points} AS DOUBLE))"
+    return with_panel(OPEN, _FIT_SQL, 'src AS (SELECT "Sales" - (b0 + b1 * "Customers") AS x FROM o, fit)',
+                      f"qs AS (SELECT quantile_cont(x, [{probs}]) AS q FROM src)",
+                      f"g AS (SELECT CAST(i AS INTEGER) - 1 AS i, q[i] AS sample FROM qs, range(1, {points + 1}) t(i))",
+                      f"gp AS (SELECT i, {prob} AS prob, sample FROM g)",
+                      f"gt AS (SELECT prob, sample, {normal_quantile_sql('prob')} AS theoretical FROM gp)",
+                      "fl AS (SELECT regr_slope(sample, theoretical) AS slope, regr_intercept(sample, theoretical) AS intercept,"
+                      " corr(sample, theoretical) AS r FROM gt)") + f"""
+SELECT {srnd('prob', 6)} AS prob, {srnd('theoretical', 6)} AS theoretical, {srnd('sample', 4)} AS sample,
+       {srnd('slope', 4)} AS slope, {srnd('intercept', 4)} AS intercept, {srnd('r', 6)} AS r FROM gt, fl"""
+
+
+@query("qq_grid", _qq_sql())
 def q_qq_grid(spark, sf):
-    return R.qq_grid(_residuals(spark, sf), "residual")
+    g = R.qq_grid(_residuals(spark, sf), "residual")
+    return g.select(rnd("prob", 6).alias("prob"), rnd("theoretical", 6).alias("theoretical"), rnd("sample", 4).alias("sample"),
+                    rnd("slope", 4).alias("slope"), rnd("intercept", 4).alias("intercept"), rnd("r", 6).alias("r"))
 
 
 # ---------------------------------------------------------------- L1-L8 on the 29-feature matrix

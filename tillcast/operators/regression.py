@@ -339,36 +339,26 @@ def residual_table(pred: DataFrame, label: str = "y", p: str = "p", keys=()) ->
                        F.col(label).alias("actual"))
 
 
-def normal_ppf(p):
-    """standard normal quantile, vectorised over a pandas Series (Arrow batches)."""
-    import pandas as pd
-    from statistics import NormalDist
-    nd = NormalDist()
-    return pd.Series([nd.inv_cdf(float(x)) for x in p])
-
-
 def qq_grid(residuals: DataFrame, col: str = "residual", points: int = 199) -> DataFrame:
     """Q-Q points on a fixed probability grid plus the fitted line.
 
-    Sample quantiles come from one exact percentile aggregate at
-    ``points`` plotting positions (no global sort of the residuals); the
-    theoretical quantiles from a vectorised pandas UDF over that grid only.
+    Sample quantiles come from the exact distributed ranks at ``points``
+    plotting positions (no global sort of the residuals); theoretical
+    quantiles from a JVM-side normal quantile expression over that grid.
     Returns (prob, theoretical, sample, slope, intercept, r).
     """
     probs = [(i + 0.5) / points for i in range(points)]
     from tillcast.operators.ranks import column_quantiles
     q = column_quantiles(residuals, [col], probs)  # exact, distributed ranks
-    ppf = F.pandas_udf(normal_ppf, T.DoubleType())
+    from tillcast.functions.scalars import normal_quantile
     grid = (q.select(F.col("pi").alias("i"), F.col("q").alias("sample"))
             .withColumn("prob", (F.lit(0.5) + F.col("i")) / F.lit(points))
-            .withColumn("theoretical", ppf(F.col("prob"))))
-    fitline = grid.agg(F.regr_slope("sample", "theoretical").alias("slope"),
-                       F.regr_intercept("sample", "theoretical").alias("intercept"),
-                       F.corr("sample", "theoretical").alias("r"))
-    return grid.select("prob", "theoretical", "sample",
-                       fitline.select("slope").scalar().alias("slope"),
-                       fitline.select("intercept").scalar().alias("intercept"),
-                       fitline.select("r").scalar().alias("r"))
+            .withColumn("theoretical", normal_quantile(F.col("prob"))))
+    fit = grid.agg(F.regr_slope("sample", "theoretical").alias("slope"),
+                   F.regr_intercept("sample", "theoretical").alias("intercept"),
+                   F.corr("sample", "theoretical").alias("r")).first()  # three numbers over <= points rows
+    return grid.select("prob", "theoretical", "sample", *[F.lit(fit[k]).cast("double").alias(k)
+                                                          for k in ("slope", "intercept", "r")])
 
 
 def learning_curve(train: DataFrame, features, spec: dict, sizes: int = 10, folds: int = 3,
