@@ -74,16 +74,22 @@ class CusumProcessor(StatefulProcessor):
 def daily_batches(events: DataFrame, entity: str, ts: str, residual, watermark: str = "1 hour") -> DataFrame:
     """Native streaming aggregate: residual mean / population std / count per (entity, day).
 
-    Watermarks need a session-zone timestamp; a zone-less column is cast
-    (with the session zone at UTC, days are UTC days as in the batch form).
+    Days are UTC days. A zone-less (NTZ) event time is turned into the
+    instant whose UTC wall clock equals it (from its fields, independent of
+    the session time zone), so the stream's days are the calendar days of
+    the batch form; the batch date is read from the window start's epoch day.
     """
     if isinstance(events.schema[ts].dataType, T.TimestampNTZType):
-        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+        t = F.col(ts)
+        secs = (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
+                + F.second(t))
+        events = events.withColumn(ts, F.timestamp_seconds(secs))
     return (events.withWatermark(ts, watermark)
             .groupBy(F.col(entity).alias("entity"), F.window(ts, "1 day").alias("w"))
             .agg(F.avg(residual).alias("mean_residual"), F.stddev_pop(residual).alias("std_residual"),
                  F.count(residual).alias("n_samples"))
-            .select("entity", F.to_date(F.col("w.start")).alias("batch"), "mean_residual", "std_residual", "n_samples"))
+            .select("entity", F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+                    .alias("batch"), "mean_residual", "std_residual", "n_samples"))
 
 
 def cusum_stream(events: DataFrame, entity: str, ts: str, residual, threshold: float = 5.0,
