@@ -452,3 +452,20 @@ def test_enet_from_moments_satisfies_kkt(spark):
             else:
                 assert abs(grad[j]) <= alpha * r + 1e-8
         assert b0 == pytest.approx(float(y.mean() - coef @ X.mean(axis=0)), rel=1e-9)
+
+
+def test_sliced_and_bounded_rank_paths_agree(spark):
+    rng = np.random.default_rng(21)
+    a = spark.createDataFrame([(float(v), float(w)) for v, w in zip(np.round(rng.normal(0, 1, 2000), 3),
+                                                                    rng.exponential(2.0, 2000))], "x double, z double")
+    b = spark.createDataFrame([(float(v), float(w)) for v, w in zip(np.round(rng.normal(0.1, 1, 1500), 3),
+                                                                    rng.exponential(2.5, 1500))], "x double, z double")
+    for fn in (M.psi_report, M.ks_report):
+        one = {r["feature"]: r for r in fn(a, b, ["x", "z"], buckets=1).collect()}
+        many = {r["feature"]: r for r in fn(a, b, ["x", "z"], buckets=7).collect()}
+        for f in ("x", "z"):
+            for k in one[f].asDict():
+                if isinstance(one[f][k], float):
+                    assert many[f][k] == pytest.approx(one[f][k], rel=1e-12, abs=1e-15)
+                else:
+                    assert many[f][k] == one[f][k]
