@@ -469,3 +469,34 @@ def test_sliced_and_bounded_rank_paths_agree(spark):
                     assert many[f][k] == pytest.approx(one[f][k], rel=1e-12, abs=1e-15)
                 else:
                     assert many[f][k] == one[f][k]
+
+
+def test_broadcast_only_behind_a_bound(spark):
+    from tillcast.sizing import broadcast_checked
+    small = spark.range(10)
+    big = spark.range(1000).withColumn("pad", F.repeat(F.lit("x"), 100))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(broadcast_checked(small))
+    # past the row bound (and with a large size estimate) no hint is added: the join will shuffle
+    assert not hinted(broadcast_checked(big, max_rows=100, max_bytes=1))
+
+
+def test_one_hot_refuses_unbounded_levels(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError):
+        E.fit_one_hot(df, ["c"], max_levels=10)
+    enc = E.fit_one_hot(spark.createDataFrame([("b",), ("a",), ("c",)], "c string"), ["c"])
+    assert enc.levels == {"c": ["b", "c"]}                      # first sorted level dropped
+
+
+def test_positional_split_and_hash_folds_are_partition_independent(spark):
+    from tillcast.operators import splits as V
+    df = spark.createDataFrame([(s, D0 + dt.timedelta(days=i)) for s in (3, 1, 2) for i in range(20)], "Store int, Date date")
+    a = {(r.Store, r.Date): r.split for r in V.positional_split(df.repartition(7), 0.8).collect()}
+    b = {(r.Store, r.Date): r.split for r in V.positional_split(df.coalesce(1), 0.8).collect()}
+    assert a == b and sum(v == "train" for v in a.values()) == 48
+    assert all(v == "train" for (s, _), v in a.items() if s in (1, 2))
+    f1 = sorted(df.repartition(5).select("Store", "Date", E.default_fold(["Store", "Date"]).alias("f")).collect())
+    f2 = sorted(df.coalesce(1).select("Store", "Date", E.default_fold(["Store", "Date"]).alias("f")).collect())
+    assert f1 == f2
