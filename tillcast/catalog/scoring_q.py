@@ -131,7 +131,31 @@ def q_batch_score(spark, sf):
     return sc.score(_requests(spark, sf))
 
 
-def _fallback_sql():
+def _x_cte(alias: str = "tr", name: str = "x", extra: str = "") -> str:
+    """Model-input projection (29 features before the median fill) of the rows of ``alias``,
+    with the preprocessing fitted on ``tr``."""
+    pi = "3.141592653589793"
+    sql = f"""x AS (SELECT {extra}tr."Store", tr."DayOfWeek", tr."Promo",
+            CASE WHEN tr."StateHoliday" IS NOT DISTINCT FROM '0' THEN 0 ELSE 1 END AS "StateHoliday", tr."SchoolHoliday",
+            coalesce(tr."CompetitionDistance", gm.m, (SELECT median("CompetitionDistance") FROM tr)) AS "CompetitionDistance",
+            tr."Promo2", lag_7, lag_14, lag_30, rolling_mean_7, rolling_std_7, rolling_mean_30, rolling_std_30, trend_slope_30d,
+            tr."Promo" * tr."SchoolHoliday" AS "Promo_x_SchoolHoliday", rolling_mean_7 - lag_7 AS sales_momentum,
+            year(tr."Date") AS "Year", month(tr."Date") AS "Month", weekofyear(tr."Date") AS "WeekOfYear",
+            day(tr."Date") AS "DayOfMonth", CASE WHEN isodow(tr."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
+            quarter(tr."Date") AS "Quarter",
+            sin(2 * {pi} * month(tr."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(tr."Date") / 12.0) AS "Month_cos",
+            sin(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_cos",
+            coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
+            coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
+        FROM tr LEFT JOIN gm ON tr."StoreType" = gm."StoreType"
+        LEFT JOIN te_StoreType a ON tr."StoreType" = a."StoreType" LEFT JOIN te_Assortment b ON tr."Assortment" = b."Assortment")"""
+    sql = sql.replace('FROM tr LEFT JOIN gm', f'FROM {alias} LEFT JOIN gm').replace('tr."', f'{alias}."')
+    return f"{name}{sql[1:]}"
+
+
+def _train_ctes() -> list[str]:
+    """CTEs of the training flow in SQL: features, cutoff, training rows, fitted
+    imputer/encoders, the 29-input projection ``x`` and its medians ``med``."""
     from tillcast.catalog.sqlbase import rows, w
     from tillcast.plans.training import FEATURES
     pi = "3.141592653589793"
@@ -149,24 +173,16 @@ def _fallback_sql():
     def te(c):
         return f"""te_{c} AS (SELECT "{c}", (sum("Sales") + 10.0 * (SELECT avg("Sales") FROM tr)) / (count("Sales") + 10.0) AS enc
             FROM tr WHERE "{c}" IS NOT NULL GROUP BY 1)"""
-    x = f"""x AS (SELECT tr."Store", tr."DayOfWeek", tr."Promo",
-            CASE WHEN tr."StateHoliday" IS NOT DISTINCT FROM '0' THEN 0 ELSE 1 END AS "StateHoliday", tr."SchoolHoliday",
-            coalesce(tr."CompetitionDistance", gm.m, (SELECT median("CompetitionDistance") FROM tr)) AS "CompetitionDistance",
-            tr."Promo2", lag_7, lag_14, lag_30, rolling_mean_7, rolling_std_7, rolling_mean_30, rolling_std_30, trend_slope_30d,
-            tr."Promo" * tr."SchoolHoliday" AS "Promo_x_SchoolHoliday", rolling_mean_7 - lag_7 AS sales_momentum,
-            year(tr."Date") AS "Year", month(tr."Date") AS "Month", weekofyear(tr."Date") AS "WeekOfYear",
-            day(tr."Date") AS "DayOfMonth", CASE WHEN isodow(tr."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
-            quarter(tr."Date") AS "Quarter",
-            sin(2 * {pi} * month(tr."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(tr."Date") / 12.0) AS "Month_cos",
-            sin(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_cos",
-            coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
-            coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
-        FROM tr LEFT JOIN gm ON tr."StoreType" = gm."StoreType"
-        LEFT JOIN te_StoreType a ON tr."StoreType" = a."StoreType" LEFT JOIN te_Assortment b ON tr."Assortment" = b."Assortment")"""
+    x = _x_cte()
     med = "med AS (SELECT " + ", ".join(f'median(CAST("{c}" AS DOUBLE)) AS "{c}"' for c in FEATURES) + " FROM x)"
+    return [feat, cut, tr, gm, te("StoreType"), te("Assortment"), x, med]
+
+
+def _fallback_sql():
+    from tillcast.plans.training import FEATURES
     unk = 'unk AS (SELECT * FROM valid WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p."Store" = valid.store_id))'
     cols = ", ".join(f'{srnd(f"coalesce(med.{chr(34)}{c}{chr(34)}, 0.0)", 6)} AS "{c}"' for c in FEATURES)
-    return with_panel(feat, cut, tr, gm, te("StoreType"), te("Assortment"), x, med, REQUESTS_SQL, VALID, unk) + f"""
+    return with_panel(*_train_ctes(), REQUESTS_SQL, VALID, unk) + f"""
 SELECT unk.request_id, {cols}, true AS used_fallback FROM unk CROSS JOIN med"""
 
 
@@ -233,3 +249,25 @@ def q_scoring_features(spark, sf):
     hist = store_panel(spark, sf)
     x = request_features(_requests(spark, sf), hist, model_frames(hist))
     return x.select("request_id", *[rnd(c, 4).alias(c) for c in FEATURES], "used_fallback", "store_id", "date")
+
+
+
+def _psi_inputs_sql():
+    from tillcast.catalog.drift_q import _psi_sql
+    from tillcast.plans.training import FEATURES
+    oa = 'oa AS (SELECT * FROM f WHERE "Open" = 1)'
+    xa = _x_cte("oa", "xa", extra="""CASE WHEN tr."Date" <= (SELECT c FROM cut) THEN 'ref' ELSE 'cur' END AS side, """)
+    xf = ("xf AS (SELECT side, " + ", ".join(f'coalesce(CAST(xa."{c}" AS DOUBLE), med."{c}") AS "{c}"' for c in FEATURES)
+          + " FROM xa CROSS JOIN med)")
+    return _psi_sql([*_train_ctes(), oa, xa, xf], "xf", "side", FEATURES)
+
+
+@query("psi_model_inputs", _psi_inputs_sql())
+def q_psi_model_inputs(spark, sf):
+    """M2 as the monitoring flow uses it: PSI of every model input, filled
+    training matrix vs filled test matrix."""
+    from tillcast.operators import drift as M
+    from tillcast.plans.training import FEATURES, model_frames
+    md = model_frames(store_panel(spark, sf))
+    r = M.psi_report(md.train, md.test, FEATURES)
+    return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")
