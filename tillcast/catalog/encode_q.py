@@ -31,10 +31,10 @@ _DATE_PARTS_SQL = """CAST(year("Date") AS INTEGER) AS "Year", CAST(month("Date")
 
 def _cyc_sql():
     return ", ".join([
-        f"""{srnd(f'sin(2 * {PI} * month("Date") / 12.0)', 6)} AS "Month_sin" """,
-        f"""{srnd(f'cos(2 * {PI} * month("Date") / 12.0)', 6)} AS "Month_cos" """,
-        f"""{srnd(f'sin(2 * {PI} * weekofyear("Date") / 52.0)', 6)} AS "Week_sin" """,
-        f"""{srnd(f'cos(2 * {PI} * weekofyear("Date") / 52.0)', 6)} AS "Week_cos" """])
+        f"""{srnd(f'(round(sin(2 * {PI} * month("Date") / 12.0), 12) + 0.0)', 6)} AS "Month_sin" """,
+        f"""{srnd(f'(round(cos(2 * {PI} * month("Date") / 12.0), 12) + 0.0)', 6)} AS "Month_cos" """,
+        f"""{srnd(f'(round(sin(2 * {PI} * weekofyear("Date") / 52.0), 12) + 0.0)', 6)} AS "Week_sin" """,
+        f"""{srnd(f'(round(cos(2 * {PI} * weekofyear("Date") / 52.0), 12) + 0.0)', 6)} AS "Week_cos" """])
 
 
 _CYC = ("Month_sin", "Month_cos", "Week_sin", "Week_cos")

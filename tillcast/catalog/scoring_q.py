@@ -143,8 +143,8 @@ def _x_cte(alias: str = "tr", name: str = "x", extra: str = "") -> str:
             year(tr."Date") AS "Year", month(tr."Date") AS "Month", weekofyear(tr."Date") AS "WeekOfYear",
             day(tr."Date") AS "DayOfMonth", CASE WHEN isodow(tr."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
             quarter(tr."Date") AS "Quarter",
-            sin(2 * {pi} * month(tr."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(tr."Date") / 12.0) AS "Month_cos",
-            sin(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(tr."Date") / 52.0) AS "Week_cos",
+            (round(sin(2 * {pi} * month(tr."Date") / 12.0), 12) + 0.0) AS "Month_sin", (round(cos(2 * {pi} * month(tr."Date") / 12.0), 12) + 0.0) AS "Month_cos",
+            (round(sin(2 * {pi} * weekofyear(tr."Date") / 52.0), 12) + 0.0) AS "Week_sin", (round(cos(2 * {pi} * weekofyear(tr."Date") / 52.0), 12) + 0.0) AS "Week_cos",
             coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
             coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
         FROM tr LEFT JOIN gm ON tr."StoreType" = gm."StoreType"
@@ -225,8 +225,8 @@ def _features_sql():
         year(kn."Date") AS "Year", month(kn."Date") AS "Month", weekofyear(kn."Date") AS "WeekOfYear",
         day(kn."Date") AS "DayOfMonth", CASE WHEN isodow(kn."Date") >= 6 THEN 1 ELSE 0 END AS "IsWeekend",
         quarter(kn."Date") AS "Quarter",
-        sin(2 * {pi} * month(kn."Date") / 12.0) AS "Month_sin", cos(2 * {pi} * month(kn."Date") / 12.0) AS "Month_cos",
-        sin(2 * {pi} * weekofyear(kn."Date") / 52.0) AS "Week_sin", cos(2 * {pi} * weekofyear(kn."Date") / 52.0) AS "Week_cos",
+        (round(sin(2 * {pi} * month(kn."Date") / 12.0), 12) + 0.0) AS "Month_sin", (round(cos(2 * {pi} * month(kn."Date") / 12.0), 12) + 0.0) AS "Month_cos",
+        (round(sin(2 * {pi} * weekofyear(kn."Date") / 52.0), 12) + 0.0) AS "Week_sin", (round(cos(2 * {pi} * weekofyear(kn."Date") / 52.0), 12) + 0.0) AS "Week_cos",
         coalesce(a.enc, (SELECT avg("Sales") FROM tr)) AS "StoreType_encoded",
         coalesce(b.enc, (SELECT avg("Sales") FROM tr)) AS "Assortment_encoded"
         FROM kn JOIN ff ON kn."Store" = ff."Store" AND kn."Date" = ff.d
