@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import decontaminate, simhash
+from tillcast.llm import bpe, decontaminate, language, simhash, toxicity
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = "contamination"
     return found.select("doc_id", f"{c}.n_words", f"{c}.n_hit", F.size(f"{c}.items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(f"{c}.items", ","), 256).alias("items_sha256"), f"{c}.contaminated")
+
+
+@register("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    ids = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+                      F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    scored = toxicity.classify(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    found = language.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
+                        F.col("prediction.lang").alias("lang_pred"), F.col("prediction.score").alias("score"))

@@ -7,7 +7,7 @@ loop runs per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,12 +86,18 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray =
     return low, starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per word: a polynomial over its bytes from prefix sums, then mixed."""
+def range_hasher(low: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that hashes byte ranges (starts, ends): a polynomial over the
+    bytes, taken from prefix sums, then mixed."""
     power, inverse = _powers(len(low))
     total = np.zeros(len(low) + 1, dtype=np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:len(low)], dtype=np.uint64, out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    return lambda starts, ends: mix((total[ends] - total[starts]) * inverse[starts])
+
+
+def word_hashes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per word."""
+    return range_hasher(low)(starts, ends)
 
 
 def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
