@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, simhash, toxicity
+from tillcast.llm import bpe, decontaminate, language, simhash, toxicity, vptree
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"),
                         F.col("prediction.lang").alias("lang_pred"), F.col("prediction.score").alias("score"))
+
+
+OP10_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
+             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 100 = 0),
+d AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_distance(q.e, v.e) AS score
+      FROM q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@register("op10_vptree", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return vptree.search(vectors.filter("vec_id % 100 = 0"), vectors, k=10)
