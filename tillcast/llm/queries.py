@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, simhash, toxicity, vptree
+from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, toxicity, vptree
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,11 +88,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
-           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 q AS (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 100 = 0),
-d AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, list_distance(q.e, v.e) AS score
+d AS (SELECT q.vec_id AS query_id, v.vec_id AS vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1),
+             lambda i: (q.e[i] - v.e[i]) * (q.e[i] - v.e[i])), lambda a, b: a + b)) AS score
       FROM q JOIN v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
@@ -103,3 +104,37 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     return vptree.search(vectors.filter("vec_id % 100 = 0"), vectors, k=10)
+
+
+_RULE_SQL = " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p} {kind}'"
+    for kind, h, p in sorted(linkgraph.RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2])))
+OP9_SQL = rf"""
+WITH RECURSIVE u AS (SELECT page_id, coalesce(html, '') AS html,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE {_RULE_SQL} END AS found FROM u),
+p AS (SELECT *, split_part(found, ' ', 1) AS rule, split_part(found, ' ', 2) AS own FROM r),
+seeds AS (SELECT host, avg(CASE WHEN own = 'allow' THEN 1.0 ELSE 0.0 END) AS good, avg(CASE WHEN own = 'block' THEN 1.0 ELSE 0.0 END) AS bad
+          FROM p WHERE host <> '' GROUP BY host),
+links AS (SELECT host AS src, translate(regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+          FROM (SELECT host, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']?([a-z][a-z0-9+.\-]*://[^"''\s>]*)', 1)) AS link FROM p)),
+edges AS (SELECT src, dst, CAST(count(*) AS DOUBLE) AS n FROM links WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+w AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS forward, n / sum(n) OVER (PARTITION BY dst) AS back FROM edges),
+base AS (SELECT host, sum(good) AS good, sum(bad) AS bad FROM (SELECT * FROM seeds UNION ALL SELECT src, 0, 0 FROM w UNION ALL SELECT dst, 0, 0 FROM w) GROUP BY host),
+m AS (SELECT host AS a, host AS b, 0.0 AS f, 0.0 AS g, {1 - linkgraph.DAMPING} * good AS c, {1 - linkgraph.DAMPING} * bad AS d FROM base
+      UNION ALL SELECT src, dst, {linkgraph.DAMPING} * forward, 0.0, 0.0, 0.0 FROM w
+      UNION ALL SELECT dst, src, 0.0, {linkgraph.DAMPING} * back, 0.0, 0.0 FROM w),
+it AS (SELECT 0 AS k, host, CAST(good AS DOUBLE) AS trust, CAST(bad AS DOUBLE) AS distrust FROM base
+       UNION ALL
+       SELECT k + 1, b, CAST(sum(trust * f + c) AS DOUBLE), CAST(sum(distrust * g + d) AS DOUBLE) FROM it JOIN m ON it.host = m.a
+       WHERE k < {linkgraph.ITERATIONS} GROUP BY k, b)
+SELECT page_id, p.host AS host, path, rule, coalesce(own, CASE WHEN distrust > {linkgraph.RATIO} * trust THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN (SELECT * FROM it WHERE k = {linkgraph.ITERATIONS}) t ON p.host = t.host
+"""
+
+
+@register("op9_linkgraph", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = linkgraph.judge(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return judged.select("page_id", *[f"url_verdict.{c}" for c in ("host", "path", "rule", "verdict")])
