@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, toxicity, vptree
+from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, toxicity, vptree, wrapper
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ FROM p LEFT JOIN (SELECT * FROM it WHERE k = {linkgraph.ITERATIONS}) t ON p.host
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = linkgraph.judge(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     return judged.select("page_id", *[f"url_verdict.{c}" for c in ("host", "path", "rule", "verdict")])
+
+
+@register("op7_wrapper")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper.extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
