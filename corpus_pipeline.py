@@ -1,13 +1,68 @@
-"""Corpus pipeline (filled in with its stages)."""
+"""Corpus pipeline: documents to token ids, in five filtering and rewriting stages.
+
+Each stage takes (spark, docs, sf_dir), works on every row the stage before it
+kept and returns a DataFrame; all but the last return the columns of
+``documents``. ``run`` writes each stage's rows as Parquet in the shared folder
+and rereads them as the next one's ``docs``.
+
+Rows with null text are clean, have fingerprint zero and no tokens; an empty
+table passes through every stage; extra columns are carried up to the last
+stage, which returns ids next to id and text.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillcast.llm import bpe, decontaminate, simhash, substring, toxicity
+from tillcast.llm.store import materialize
+from tillcast.sources.tables import read_table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below one half."""
+    scored = toxicity.classify(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    return scored.filter("toxicity < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest id."""
+    return simhash.simhash_groups(docs).filter("is_first").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without paragraphs that an earlier document holds; a document of
+    which nothing is left goes."""
+    done = substring.remove_repeats(docs)
+    shorter = F.col("repeats.removed") > 0
+    kept = done.filter(~shorter | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
+    return kept.select(*[F.when(shorter, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars"
+                         else F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold benchmark items."""
+    bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    return decontaminate.remove_documents(decontaminate.find_contamination(docs, bench))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of the ids and of their decoded text."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = docs.select("doc_id", "text", bpe.encode(F.col("text"), path).alias("ids"))
+    return coded.select("doc_id", "text", "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
+                        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("substring_dedup", cut_repeats),
+          ("benchmark_decontamination", drop_contaminated), ("bpe", tokenize)]
+ORACLE_SQL = None  # fingerprints, banding and the fitted model are beyond SQL; tests/llm compares with brute force
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, toxicity, vptree, wrapper
+from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, substring, toxicity, vptree, wrapper
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = wrapper.extract(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+@register("op3_substring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return done.select("doc_id", F.col("repeats.removed").alias("n_removed"), F.col("repeats.runs").alias("n_spans"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.col("repeats.kept_in").alias("kept_in"))

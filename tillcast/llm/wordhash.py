@@ -87,8 +87,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray =
 
 
 def range_hasher(low: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """A function that hashes byte ranges (starts, ends): a polynomial over the
-    bytes, taken from prefix sums, then mixed."""
+    """A function that hashes ranges (starts, ends) of bytes or of word hashes: a
+    polynomial over the values, taken from prefix sums, then mixed."""
     power, inverse = _powers(len(low))
     total = np.zeros(len(low) + 1, dtype=np.uint64)
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:len(low)], dtype=np.uint64, out=total[1:])
