@@ -3,7 +3,8 @@
 Paragraphs. A text is cut into sentences (line ends, and ``.``, ``!`` or ``?`` before
 white space). Paragraphs of at least ``min_words`` words are (a) the lines, (b) the
 maximal runs, in a line and in the whole text, of sentences that occur more than
-once in the corpus, and (c) the runs of sentences that occur equally often, so
+once in the corpus (with or without one differing
+sentence in between), and (c) the runs of sentences that occur equally often, so
 that a passage pasted into the middle of a line, or into a text that is itself
 copied, is a paragraph of its own. Sentence counts are taken over all documents; sentences of fewer than
 ``sentence_words`` words follow their neighbours. A line none of whose sentences
@@ -23,7 +24,8 @@ the rows and more bands, which parts paragraphs that only share a hot passage,
 and paired there whatever the bucket's size. Nothing is dropped.
 
 Removal. Linked paragraphs form components; of every component the first occurrence
-(smallest id, then position) stays and the bytes of all others are removed.
+(smallest id, then position) stays, with the paragraphs that overlap it there, and
+the bytes of all others are removed.
 
 Edge cases: null and empty texts have no paragraphs and stay as they are; null ids
 come last in the order of occurrences; repeated rows are occurrences like any
@@ -126,7 +128,10 @@ def _paragraphs(sizes: np.ndarray, counts: np.ndarray, line: np.ndarray, min_wor
             continue
         same = np.flatnonzero(np.diff(level)) + 1
         equal = zip([0, *same.tolist()], [*same.tolist(), len(level)])
-        for x, y in [*_runs(level > 1), *((x, y) for x, y in equal if level[x] > 1)]:
+        often = level > 1
+        bridged = often.copy()  # one sentence that differs, as after an edit, between repeated ones
+        bridged[1:-1] |= often[:-2] & often[2:]
+        for x, y in {*_runs(often), *_runs(bridged), *((x, y) for x, y in equal if level[x] > 1)}:
             i, j = int(known[x]), int(known[y - 1]) + 1
             if total[j] - total[i] >= min_words:
                 out.add((i, j))
@@ -258,7 +263,7 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
     heads = labelled.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")
     plan = labelled.join(heads, "root").select("digest", "check", "head")
     gone = (found.select("uid", "begin", "end", "digest", "check").join(plan, ["digest", "check"])
-            .filter(~((F.col("uid") == F.col("head.uid")) & (F.col("begin") == F.col("head.begin")) & (F.col("end") == -F.col("head.size")))))
+            .filter((F.col("uid") != F.col("head.uid")) | (F.col("begin") >= -F.col("head.size")) | (F.col("end") <= F.col("head.begin"))))
     return gone.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"),
                                    F.array_sort(F.collect_set("head.id")).alias("kept_in"))
 
