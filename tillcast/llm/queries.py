@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, substring, toxicity, vptree, wrapper
+from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, substring, suffix, toxicity, vptree, wrapper
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substring.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return done.select("doc_id", F.col("repeats.removed").alias("n_removed"), F.col("repeats.runs").alias("n_spans"),
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.col("repeats.kept_in").alias("kept_in"))
+
+
+@register("op2_suffix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return done.select("doc_id", "unique.n_bytes", "unique.n_removed", "unique.n_spans", F.sha2("unique.kept", 256).alias("kept_sha256"))
