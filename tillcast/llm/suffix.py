@@ -7,8 +7,8 @@ Sharding. Suffixes that may share ``length`` bytes are brought together by
 content: of all ``gram``-byte strings inside a window of ``length`` bytes the least
 hash is the window's key, so equal windows have equal keys wherever they
 stand. Consecutive windows of one key form a run, and the run with the bytes its
-windows cover is its context. Keys that occur once are settled. Contexts that
-occur more than once as a whole (equal digest) are repeated in full, and need no
+windows cover is its context. Keys that occur once are settled, unless the least
+string occurs twice in the run, which may then repeat itself. Contexts that occur more than once as a whole (equal digest) are repeated in full, and need no
 sorting. What is left, the distinct contexts of keys with several of them, is
 dealt to shards by key, and each shard is sorted.
 
@@ -165,11 +165,13 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """(text index, first window, last window, key, digest) of every run; positions count from the text's start."""
+    """(text index, first window, last window, key, digest, again) of every run; positions
+    count from the text's start. ``again``: the key's gram occurs more than once in the
+    run, so that the run may repeat itself."""
     n = len(data) - length + 1
     empty = np.zeros(0, dtype=np.int64)
     if n <= 0:
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(bool)
     at = np.arange(len(data) - gram + 1)
     bytes_hash = range_hasher(data)
     grams = bytes_hash(at, at + gram)
@@ -183,21 +185,27 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     stop[:-1] = new[1:] | ~inside[1:]
     last = np.flatnonzero(stop & inside)
     digest = mix(bytes_hash(first, last + length) ^ mix(range_hasher(mix(grams))(first, last + length - gram + 1)))
-    return doc[first], first - offsets[doc[first]], last - offsets[doc[first]], least[first], digest
+    again = np.zeros(len(first), dtype=bool)
+    if len(first):
+        size = last - first + length - gram + 1  # grams of each run
+        begin = np.cumsum(size) - size
+        at = np.arange(begin[-1] + size[-1]) - np.repeat(begin - first, size)
+        again = np.add.reduceat(grams[at] == np.repeat(least[first], size), begin, dtype=np.int64) > 1
+    return doc[first], first - offsets[doc[first]], last - offsets[doc[first]], least[first], digest, again
 
 
 def run_rows(docs: DataFrame, uid: str, text: str, length: int, gram: int) -> DataFrame:
-    """(uid, first, last, key, digest) of the runs of every text."""
+    """(uid, first, last, key, digest, again) of the runs of every text."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, at = batch.column(0).to_numpy(), 0
             for data, offsets in text_slices(batch.column(1), _SLICE):
-                doc, first, last, key, digest = _runs(data, offsets, length, gram)
+                doc, first, last, key, digest, again = _runs(data, offsets, length, gram)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(uids[at + doc]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
-                    pa.array(key.view(np.int64)), pa.array(digest.view(np.int64))], ["uid", "first", "last", "key", "digest"])
+                    pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(again)], ["uid", "first", "last", "key", "digest", "again"])
                 at += len(offsets) - 1
-    return docs.select(uid, text).mapInArrow(scan, "uid long, first int, last int, key long, digest long")
+    return docs.select(uid, text).mapInArrow(scan, "uid long, first int, last int, key long, digest long, again boolean")
 
 
 def _packed(text: Column) -> Column:
@@ -277,11 +285,12 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, length: int = LENGT
                    shard_bytes: int = SHARD_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(uid, spans): the byte ranges of each text to remove (they may overlap)."""
     runs = run_rows(docs, uid, f"`{text_col}`", length, gram)
-    often = runs.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    often = runs.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("again").alias("again")).filter("m > 1 OR again").select("key")
     met = materialize(runs.join(often, "key"), "suffix-runs")
-    kinds = materialize(met.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "first", "last")).alias("one")), "suffix-contexts")
-    mixed = (kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-             .filter("kinds > 1 AND least = 1").select("key", "kinds"))
+    kinds = materialize(met.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("again"),
+                                                        F.min(F.struct("uid", "first", "last")).alias("one")), "suffix-contexts")
+    mixed = (kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"), F.max("again").alias("again"))
+             .filter("(kinds > 1 OR again) AND least = 1").select("key", "kinds"))
     wanted = kinds.join(mixed, "key").select("one.uid", "one.first", "one.last", "key", "n", "kinds")
     size = wanted.agg(F.sum(F.col("last") - F.col("first") + length)).first()[0] or 0
     contexts = materialize(context_rows(docs, wanted.select("uid", "first", "last", "key", "n"), uid, f"`{text_col}`", length)
