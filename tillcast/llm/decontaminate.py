@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.store import materialize
+from tillcast.llm.store import carried, fresh, materialize
 from tillcast.llm.wordhash import owner, text_slices, window_hashes, word_bounds, word_hashes
 
 NGRAM = 13
@@ -152,21 +152,18 @@ def item_blocks(bench: DataFrame, text_col: str, id_col: str, n: int, block_wind
 
 def find_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text", bench_text: str = "text",
                        bench_id: str = "item_id", n: int = NGRAM, block_windows: int = BLOCK_WINDOWS,
-                       share: int = 20) -> DataFrame:
-    """``docs`` plus ``contamination``: n_words, n_hit, items (distinct item ids hit, as
+                       share: int = 20, out: str = "contamination") -> DataFrame:
+    """``docs`` plus a struct ``out`` (a column of that name is replaced): n_words, n_hit, items (distinct item ids hit, as
     sorted strings), spans (hit byte ranges of the UTF-8 text), and contaminated:
     n_hit > 0 and share * n_hit >= n_words."""
     spark = docs.sparkSession
-    text, mark = F.col(f"`{text_col}`"), "_marks"
-    while mark in {c.lower() for c in docs.columns}:
-        mark += "_"
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    text, mark = F.col(f"`{text_col}`"), fresh("_marks", docs.columns)
+    own = carried(docs.columns, out)
     parts = []
-    blocks = item_blocks(bench, bench_text, bench_id, n, block_windows)
-    block = next(blocks)
-    rest = list(blocks) if block else []
+    blocks = [rows for rows in item_blocks(bench, bench_text, bench_id, n, block_windows) if rows] or [[]]
+    rest = blocks[1:]
     base = docs if not rest else materialize(docs, "decontaminate-documents").withColumn(f"{mark}uid", F.monotonically_increasing_id())
-    for rows in [block, *rest]:
+    for rows in blocks:
         windows = spark.sparkContext.broadcast(WindowSet([w for _, w in rows], n))
         names = F.array(*[F.lit(i).cast("string") for i, _ in rows]) if rows else F.array().cast("array<string>")
         marked = base.withColumn(mark, mark_column(text, windows))
@@ -191,7 +188,7 @@ def find_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text"
     return found.select(*own, F.struct(
         F.col(f"{mark}.n_words").alias("n_words"), n_hit.alias("n_hit"), F.col(f"{mark}.items").alias("items"),
         F.transform(f"{mark}.runs", lambda r: F.struct(r["begin"].alias("begin"), r["end"].alias("end"))).alias("spans"),
-        ((n_hit > 0) & (share * n_hit >= F.col(f"{mark}.n_words"))).alias("contaminated")).alias("contamination"))
+        ((n_hit > 0) & (share * n_hit >= F.col(f"{mark}.n_words"))).alias("contaminated")).alias(out))
 
 
 def _union_runs(runs: Column) -> Column:
@@ -206,7 +203,7 @@ def _union_runs(runs: Column) -> Column:
     return F.aggregate(runs, F.slice(runs, 1, 0), step)
 
 
-def remove_spans(found: DataFrame, text_col: str = "text") -> DataFrame:
+def remove_spans(found: DataFrame, text_col: str = "text", out: str = "contamination") -> DataFrame:
     """The text without its hit spans (the words and what stands between them)."""
     @F.arrow_udf(T.StringType())
     def cut(column: pa.Array, spans: pa.Array) -> pa.Array:
@@ -220,9 +217,9 @@ def remove_spans(found: DataFrame, text_col: str = "text") -> DataFrame:
                 t = b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
             out.append(t)
         return pa.array(out, pa.string())
-    return found.withColumn(text_col, cut(F.col(f"`{text_col}`"), F.col("contamination.spans")))
+    return found.withColumn(text_col, cut(F.col(f"`{text_col}`"), F.col(f"{out}.spans")))
 
 
-def remove_documents(found: DataFrame) -> DataFrame:
+def remove_documents(found: DataFrame, out: str = "contamination") -> DataFrame:
     """The rows that are not contaminated, without the report column."""
-    return found.filter(~F.col("contamination.contaminated")).drop("contamination")
+    return found.filter(~F.col(f"{out}.contaminated")).drop(out)

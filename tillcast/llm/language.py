@@ -261,8 +261,8 @@ def held_out(ident: Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def identify(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-             max_rows: int = MAX_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` plus ``prediction`` (lang, score); learns from rows outside the held-out fold only."""
+             max_rows: int = MAX_ROWS, rounds: int = ROUNDS, out: str = "prediction") -> DataFrame:
+    """``docs`` plus a struct ``out`` of lang and score (a column of that name is replaced); learns from rows outside the held-out fold only."""
     learn = docs.filter(~held_out(F.col(f"`{id_col}`")))
     model = docs.sparkSession.sparkContext.broadcast(fit(learn, path, text_col, lang_col, id_col, max_rows, rounds))
-    return docs.withColumn("prediction", predict_column(F.col(f"`{text_col}`"), model, path))
+    return docs.withColumn(out, predict_column(F.col(f"`{text_col}`"), model, path))

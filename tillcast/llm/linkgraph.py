@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.store import materialize
+from tillcast.llm.store import carried, fresh, materialize
 
 # fixed values: (verdict, host, path)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -90,11 +90,9 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iter
 
 
 def judge(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules=RULES, damping: float = DAMPING,
-          iterations: int = ITERATIONS, ratio: float = RATIO) -> DataFrame:
-    """``pages`` plus ``url_verdict``: host, path, rule, verdict, trust, distrust."""
-    name = "_judged"
-    while name in {c.lower() for c in pages.columns}:
-        name += "_"
+          iterations: int = ITERATIONS, ratio: float = RATIO, out: str = "url_verdict") -> DataFrame:
+    """``pages`` plus a struct ``out`` (a column of that name is replaced): host, path, rule, verdict, trust, distrust."""
+    name = fresh("_judged", pages.columns)
     url = F.col(f"`{url_col}`")
     h, p = host(url), path(url)
     split = pages.withColumn(name, F.struct(h.alias("host"), p.alias("path")))
@@ -108,7 +106,7 @@ def judge(pages: DataFrame, url_col: str = "url", html_col: str = "html", rules=
     found = scores.select(F.col("host").alias(f"{name}host"), F.col("trust").alias(f"{name}trust"), F.col("distrust").alias(f"{name}distrust"))
     joined = ruled.join(found, F.col(f"{name}.host") == F.col(f"{name}host"), "left")
     own = F.when(F.col(f"{name}distrust") > ratio * F.col(f"{name}trust"), F.lit("block")).otherwise(F.lit("allow"))
-    return joined.select(*[F.col(f"`{c}`") for c in pages.columns], F.struct(
+    return joined.select(*carried(pages.columns, out), F.struct(
         F.col(f"{name}.host").alias("host"), F.col(f"{name}.path").alias("path"), F.col(f"{name}.rule").alias("rule"),
         F.coalesce(F.col(f"{name}.verdict"), own).alias("verdict"), F.col(f"{name}trust").alias("trust"),
-        F.col(f"{name}distrust").alias("distrust")).alias("url_verdict"))
+        F.col(f"{name}distrust").alias("distrust")).alias(out))

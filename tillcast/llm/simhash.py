@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
-from tillcast.llm.store import materialize
+from tillcast.llm.store import carried, fresh, materialize
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -126,30 +126,25 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, cell_cap: int = CELL_CAP) ->
 
 
 def simhash_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE,
-                   max_bits: int = MAX_BITS, cell_cap: int = CELL_CAP, keep_text: bool = True) -> DataFrame:
-    """``docs`` with ``fingerprint`` (16 hex digits), ``component_id`` (smallest id
-    reachable through links) and ``is_first`` (true for one row per component:
-    smallest id, ties by an arbitrary fixed row)."""
+                   max_bits: int = MAX_BITS, cell_cap: int = CELL_CAP, keep_text: bool = True, out: str = "near_copies") -> DataFrame:
+    """``docs`` plus a struct ``out`` (a column of that name is replaced): fingerprint (16 hex
+    digits), component_id (smallest id reachable through links) and is_first (true for
+    one row per component: smallest id, ties by an arbitrary fixed row)."""
     spark = docs.sparkSession
-    own = docs.columns if keep_text else [c for c in docs.columns if c != text_col]
-    fp, uid, node, least, first = (_fresh(c, docs.columns) for c in ("_fp", "_uid", "_node", "_least", "_first"))
+    own = carried(docs.columns, out, *([] if keep_text else [text_col]))
+    x = fresh("_simhash", docs.columns)
+    fp, uid = f"{x}_fp", f"{x}_uid"
     # the row number is fixed once the table is written
-    tagged = materialize(docs.select(*[F.col(f"`{c}`") for c in own], fingerprint_column(F.col(f"`{text_col}`"), shingle).alias(fp))
+    tagged = materialize(docs.select(*own, *([F.col(f"`{id_col}`").alias(f"{x}_id")]), fingerprint_column(F.col(f"`{text_col}`"), shingle).alias(fp))
                          .withColumn(uid, F.monotonically_increasing_id()), "simhash-tagged")
-    ident = F.col(f"`{id_col}`")
+    ident = F.col(f"{x}_id")
     order = F.struct(ident.isNull().alias("none"), ident.alias("id"), F.col(uid).alias("uid"))
     fps = materialize(tagged.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("least")), "simhash-distinct")
     comp = connected_components(spark, links(fps.select("fp"), max_bits, cell_cap))
     nodes = fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     heads = nodes.groupBy("root").agg(F.min("least").alias("head"))
-    label = nodes.join(heads, "root").select(F.col("fp").alias(node), F.col("head.id").alias(least), F.col("head.uid").alias(first))
-    out = tagged.join(label, F.col(fp) == F.col(node))
-    return out.select(*[F.col(f"`{c}`") for c in own], F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"),
-                      F.col(least).alias("component_id"), (F.col(uid) == F.col(first)).alias("is_first"))
-
-
-def _fresh(name: str, taken: list[str]) -> str:
-    lower = {c.lower() for c in taken}
-    while name in lower:
-        name += "_"
-    return name
+    label = nodes.join(heads, "root").select(F.col("fp").alias(f"{x}_node"), F.col("head").alias(f"{x}_head"))
+    found = tagged.join(label, F.col(fp) == F.col(f"{x}_node"))
+    return found.select(*own, F.struct(
+        F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"), F.col(f"{x}_head.id").alias("component_id"),
+        (F.col(uid) == F.col(f"{x}_head.uid")).alias("is_first")).alias(out))

@@ -4,11 +4,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tillcast.session import ensure_checkpoint_dir
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name`` with underscores added until no taken column starts with it (column names ignore case)."""
+    while any(c.lower().startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
+def carried(columns: list[str], *replaced: str) -> list[Column]:
+    """The columns that an operator passes on: all but those it replaces."""
+    gone = {c.lower() for c in replaced}
+    return [F.col(f"`{c}`") for c in columns if c.lower() not in gone]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
-from tillcast.llm.store import materialize
+from tillcast.llm.store import fresh, materialize
 from tillcast.llm.wordhash import mix, range_hasher, text_slices, window_hashes, word_bounds
 
 SHINGLE = 5
@@ -74,6 +74,7 @@ class Slice:
         self.words = range_hasher(low)(self.starts, self.ends)
         self.offsets = offsets
         lines, stops = _end_marks(data)
+        self.stops, self.line_stop = stops, data[stops] == 10
         cuts = lambda at: np.unique(np.concatenate([self.first, np.searchsorted(self.starts, at)]))
         # word numbers where a line or a sentence begins; the last entry is the number of words
         self.lines = cuts(lines)
@@ -81,6 +82,18 @@ class Slice:
         self.first_sentence = np.searchsorted(self.sentences, self.first)
         self.hash = range_hasher(self.words)
 
+    def byte_ends(self, words: np.ndarray) -> np.ndarray:
+        """Where the sentences that end before word number ``words`` end: after their mark, before
+        a line end, and at the text's end for its last sentence."""
+        close, last = self.ends[words - 1], np.searchsorted(self.first, words - 1, side="right") - 1
+        at = np.minimum(np.searchsorted(self.stops, close), max(len(self.stops) - 1, 0))
+        out = close.copy()
+        if len(self.stops):
+            mark = self.stops[at]
+            follows = np.append(self.starts, 1 << 62)[words]
+            out = np.where((mark >= close) & (mark < follows), mark + 1 - self.line_stop[at], close)
+        return np.where(words == self.first[last + 1], self.offsets[last + 1], out)
+
     def sentence_keys(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash, number of words) of every sentence."""
         a, b = self.sentences[:-1], self.sentences[1:]
@@ -196,7 +209,7 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
                     check = range_hasher(mix(s.words + np.uint64(1)))(w0, w1)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(uids[at + doc]), pa.array((s.starts[w0] - offsets[doc]).astype(np.int32)),
-                        pa.array((s.ends[w1 - 1] - offsets[doc]).astype(np.int32)),
+                        pa.array((s.byte_ends(w1) - offsets[doc]).astype(np.int32)),
                         pa.array(s.hash(w0, w1).view(np.int64)), pa.array(check.view(np.int64)),
                         pa.array(list(sig.view(np.int64)), pa.list_(pa.int64())), pa.array(list(fine.view(np.int64)), pa.list_(pa.int64())),
                         pa.array(sets, pa.list_(pa.int64()))], PARAGRAPHS.names)
@@ -297,17 +310,16 @@ def cut_column(text: Column, spans: Column) -> Column:
     return cut(text, spans)
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with repeated paragraphs cut out of the text, plus ``repeats``: removed
-    bytes, runs, and kept_in (ids of the documents that keep the removed paragraphs)."""
-    uid = "_uid"
-    while uid in {c.lower() for c in docs.columns}:
-        uid += "_"
+def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", out: str = "repeats", **options) -> DataFrame:
+    """``docs`` with repeated paragraphs cut out of the text, plus a struct ``out`` (a column
+    of that name is replaced): removed bytes, runs, and kept_in (ids of the documents
+    that keep the removed paragraphs)."""
+    uid = fresh("_substring", docs.columns)
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
     spans = repeated_spans(numbered, uid, text_col, id_col, **options)
     spans = materialize(spans.withColumnRenamed("uid", f"{uid}r").withColumnRenamed("spans", f"{uid}s").withColumnRenamed("kept_in", f"{uid}k"), "substring-spans")
     joined = numbered.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
     done = joined.withColumn(f"{uid}c", cut_column(F.col(f"`{text_col}`"), F.col(f"{uid}s")))
-    own = [F.col(f"{uid}c.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"{uid}c.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
     return done.select(*own, F.struct(F.col(f"{uid}c.removed").alias("removed"), F.col(f"{uid}c.runs").alias("runs"),
-                                      F.coalesce(F.col(f"{uid}k"), F.array().cast(spans.schema[f"{uid}k"].dataType)).alias("kept_in")).alias("repeats"))
+                                      F.coalesce(F.col(f"{uid}k"), F.array().cast(spans.schema[f"{uid}k"].dataType)).alias("kept_in")).alias(out))

@@ -8,7 +8,8 @@ content: of all ``gram``-byte strings inside a window of ``length`` bytes the le
 hash is the window's key, so equal windows have equal keys wherever they
 stand. Consecutive windows of one key form a run, and the run with the bytes its
 windows cover is its context. Keys that occur once are settled, unless the least
-string occurs twice in the run, which may then repeat itself. Contexts that occur more than once as a whole (equal digest) are repeated in full, and need no
+string occurs twice in the run, which may then repeat itself. Contexts that occur
+more than once as a whole (equal digest) are repeated in full, and need no
 sorting. What is left, the distinct contexts of keys with several of them, is
 dealt to shards by key, and each shard is sorted.
 
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.store import materialize
+from tillcast.llm.store import carried, fresh, materialize
 from tillcast.llm.wordhash import mix, range_hasher, text_slices
 
 LENGTH = 200
@@ -335,15 +336,13 @@ def _cut_column(packed: Column, spans: Column) -> Column:
     return cut(packed, spans)
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the text, plus ``unique``: kept (the remaining bytes), n_bytes, n_removed,
+def remove_repeats(docs: DataFrame, text_col: str = "text", out: str = "unique", **options) -> DataFrame:
+    """``docs`` without the text, plus a struct ``out`` (a column of that name is replaced): kept (the remaining bytes), n_bytes, n_removed,
     n_spans (maximal removed runs)."""
-    uid = "_uid"
-    while uid in {c.lower() for c in docs.columns}:
-        uid += "_"
+    uid = fresh("_suffix", docs.columns)
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
     spans = materialize(repeated_spans(numbered, uid, text_col, **options), "suffix-spans").select(F.col("uid").alias(f"{uid}r"), F.col("spans").alias(f"{uid}s"))
-    own = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    own = carried(docs.columns, out, text_col)
     packed = numbered.select(*own, uid, _packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
     joined = packed.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
-    return joined.select(*own, _cut_column(F.col(f"{uid}p"), F.col(f"{uid}s")).alias("unique"))
+    return joined.select(*own, _cut_column(F.col(f"{uid}p"), F.col(f"{uid}s")).alias(out))

@@ -153,8 +153,8 @@ def held_out(ident: Column, folds: int = 5, fold: int = 0) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
-             max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` plus ``toxicity`` (0 to 1); learns from labels outside the held-out fold only."""
+             max_rows: int = MAX_ROWS, out: str = "toxicity") -> DataFrame:
+    """``docs`` plus ``out``, a score from 0 to 1 (a column of that name is replaced); learns from labels outside the held-out fold only."""
     learn = labels.filter(~held_out(F.col(f"`{id_col}`")))
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, learn, text_col, id_col, label_col, max_rows))
-    return docs.withColumn("toxicity", score_column(F.col(f"`{text_col}`"), model))
+    return docs.withColumn(out, score_column(F.col(f"`{text_col}`"), model))
