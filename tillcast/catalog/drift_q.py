@@ -318,8 +318,7 @@ def q_cusum_stream(spark, sf):
 
 @query("drift_alerts", _cusum_sql() + """
 SELECT entity, alert AS type,
-       CASE WHEN alert = 'POSITIVE_DRIFT' THEN 'Model underpredicting. CUSUM_pos=' || printf('%.2f', alert_value)
-            ELSE 'Model overpredicting. CUSUM_neg=' || printf('%.2f', alert_value) END AS message,
+       'Residuals drift ' || CASE WHEN alert = 'POSITIVE_DRIFT' THEN 'up' ELSE 'down' END || ': sum ' || printf('%.2f', alert_value) AS message,
        CAST(batch AS VARCHAR) AS timestamp,
        round(CASE WHEN alert = 'POSITIVE_DRIFT' THEN alert_value END + 1e-11, 6) AS cusum_pos,
        round(CASE WHEN alert = 'NEGATIVE_DRIFT' THEN alert_value END + 1e-11, 6) AS cusum_neg
@@ -332,14 +331,11 @@ def q_drift_alerts(spark, sf):
                     rnd("cusum_neg", 6).alias("cusum_neg"))
 
 
-_KS_PANEL = _PSI_FEATURES[:8]
-
-
 @query("ks_report", _ks_sql(with_panel(CUT, FEAT) + ",\n", 'feat WHERE "Open" = 1 AND',
-                            """CASE WHEN "Date" <= (SELECT c FROM cut) THEN 'ref' ELSE 'cur' END""", _KS_PANEL))
+                            """CASE WHEN "Date" <= (SELECT c FROM cut) THEN 'ref' ELSE 'cur' END""", _PSI_FEATURES))
 def q_ks_report(spark, sf):
-    """M3 as used on the model inputs: train vs test of the first eight panel features."""
+    """M3 as used on the model inputs: train vs test of every monitored panel feature."""
     ref, cur = _panel_sides(spark, sf)
-    k = M.ks_report(ref, cur, _KS_PANEL)
+    k = M.ks_report(ref, cur, _PSI_FEATURES)
     return k.select("feature", "n_ref", "n_cur", rnd("KS_stat", 6).alias("KS_stat"),
                     rnd("p_value", 6).alias("p_value"), "drift")

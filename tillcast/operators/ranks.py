@@ -32,19 +32,11 @@ from tillcast.sizing import broadcast_checked
 ROWS_PER_SLICE = 2_000_000
 
 
-def auto_buckets(counts: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, max_buckets: int = 4096) -> int:
+def auto_buckets(counts: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> int:
     """Slices needed so that no slice of a group exceeds ``rows_per_slice``
-    distinct values (counting all groups together, a safe upper bound).
-
-    Catalyst's size estimate (which errs on the large side for aggregates)
-    settles the common small case without a job; otherwise rows are counted.
-    """
-    from tillcast.sizing import estimated_bytes
-    est = estimated_bytes(counts)
-    if est is not None and est // 16 <= rows_per_slice:  # >= 16 bytes per (group, value, count) row
-        return 1
-    n = counts.count()
-    return int(min(max_buckets, max(1, math.ceil(n / rows_per_slice))))
+    distinct values (all groups counted together, a safe upper bound).
+    The rows are counted: pass a materialized table."""
+    return max(1, math.ceil(counts.count() / rows_per_slice))
 
 
 def cumulative_counts(counts: DataFrame, group: str, value: str, count_cols, buckets: int | None = None,

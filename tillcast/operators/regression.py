@@ -1,17 +1,11 @@
-"""Regression at scale on MLlib.
-
-Rows stay in Spark: features are standardised with the E3 scaler (mean,
-population std) fitted on the training rows, assembled into a vector and
-fitted with ``LinearRegression``/``GBTRegressor``.
-
-Penalty mapping to the reference objectives (features pre-scaled,
-``standardization=False``, ``solver="normal"``, s = population std of y,
-n = training rows):
-
-- ridge alpha:          regParam = alpha * s / n, elasticNetParam = 0
-- lasso alpha:          regParam = alpha,          elasticNetParam = 1
-- elastic net alpha, r: L1 = alpha * r, L2 = alpha * (1 - r) * s,
-                        regParam = L1 + L2, elasticNetParam = L1 / regParam
+"""Regression at scale.
+
+Linear models (least squares, ridge, lasso, elastic net; features standardised
+with mean and population std of the training rows) are solved from triangular
+factors of the rows (``operators.factors``): one pass, no collected rows, the
+accuracy of working on the rows. One solver serves single fits, folds, learning
+curves and the model comparison. Boosted trees are MLlib's ``GBTRegressor``, or
+the ``xgboost`` Spark estimator for a spec that names that engine.
 """
 
 from __future__ import annotations
@@ -21,7 +15,7 @@ import statistics
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +23,7 @@ from pyspark.sql import types as T
 from tillcast.operators import encoders as E
 from tillcast.operators import splits as V
 from tillcast.operators import stats as G
+from tillcast.operators.factors import segment_factors, stack
 
 # The compared model set and its hyper-parameters.
 MODEL_SPECS = {
@@ -44,6 +39,19 @@ ACCURATE_SPEC = {"kind": "gbt", "trees": 200, "depth": 6, "lr": 0.05, "subsample
                  "min_child": 1}
 
 
+LINEAR_KINDS = ("ols", "ridge", "lasso", "enet")
+
+
+@dataclass
+class Linear:
+    """A linear model: intercept and coefficients of the standardised features
+    (what importances compare), and of the features as they are."""
+    intercept: float
+    coefficients: list[float]
+    raw_intercept: float
+    raw: list[float]
+
+
 @dataclass
 class Fitted:
     kind: str
@@ -55,6 +63,11 @@ class Fitted:
     def predict(self, df: DataFrame, out: str = "p") -> DataFrame:
         if self.kind == "xgboost":
             return self.model.setPredictionCol(out).transform(df)
+        if self.kind in LINEAR_KINDS:  # a projection: no vector is built
+            p = F.lit(self.model.raw_intercept)
+            for f, c in zip(self.features, self.model.raw):
+                p = p + F.lit(c) * F.col(f)
+            return df.withColumn(out, p)
         x = self.scaler.transform(df) if self.scaler is not None else df
         x = VectorAssembler(inputCols=self.features, outputCol="__vec", handleInvalid="keep").transform(x)
         self.model.setFeaturesCol("__vec").setPredictionCol(out)
@@ -66,22 +79,15 @@ class Fitted:
             return [float(score.get(f, score.get(f"f{i}", 0.0))) for i, f in enumerate(self.features)]
         if self.kind == "gbt":
             return [float(v) for v in self.model.featureImportances.toArray()]
-        return [abs(float(v)) for v in self.model.coefficients.toArray()]
-
-
-def _label_stats(train: DataFrame, label: str) -> tuple[float, int]:
-    row = train.agg(F.stddev_pop(label).alias("s"), F.count(label).alias("n")).first()
-    return float(row["s"] or 0.0), int(row["n"])
+        return [abs(v) for v in self.model.coefficients]
 
 
 def fit(train: DataFrame, features, spec: dict, label: str = "y", seed: int = 42) -> Fitted:
     """Fit one model described by ``spec`` (see MODEL_SPECS)."""
     features = list(features)
     kind = spec["kind"]
-    if kind == "gbt" and spec.get("engine", "auto") in ("auto", "xgboost"):
-        xgb = _xgboost_fit(train, features, spec, label, seed)
-        if xgb is not None:
-            return xgb
+    if kind == "gbt" and spec.get("engine", "mllib") == "xgboost":
+        return _xgboost_fit(train, features, spec, label, seed)
     if kind == "gbt":
         vec = VectorAssembler(inputCols=features, outputCol="__vec", handleInvalid="keep").transform(train)
         gbt = GBTRegressor(featuresCol="__vec", labelCol=label, maxIter=spec["trees"], maxDepth=spec["depth"],
@@ -89,36 +95,18 @@ def fit(train: DataFrame, features, spec: dict, label: str = "y", seed: int = 42
                            featureSubsetStrategy=str(spec["colsample"]) if spec["colsample"] < 1 else "all",
                            minInstancesPerNode=spec["min_child"], seed=seed)
         return Fitted(kind, features, None, gbt.fit(vec), label)
-    scaler = E.fit_scaler(train, features)
-    x = VectorAssembler(inputCols=features, outputCol="__vec", handleInvalid="keep").transform(scaler.transform(train))
-    s, n = _label_stats(train, label)
-    alpha = float(spec.get("alpha", 0.0))
-    if kind == "ols":
-        reg, en = 0.0, 0.0
-    elif kind == "ridge":
-        reg, en = alpha * s / n, 0.0
-    elif kind == "lasso":
-        reg, en = alpha, 1.0
-    elif kind == "enet":
-        r = float(spec["l1_ratio"])
-        l1, l2 = alpha * r, alpha * (1 - r) * s
-        reg = l1 + l2
-        en = l1 / reg if reg else 0.0
-    else:
+    if kind not in LINEAR_KINDS:
         raise ValueError(kind)
-    lr = LinearRegression(featuresCol="__vec", labelCol=label, regParam=reg, elasticNetParam=en,
-                          standardization=False, solver="normal", maxIter=int(spec.get("max_iter", 100)))
-    return Fitted(kind, features, scaler, lr.fit(x), label)
-
-
-def _xgboost_fit(train: DataFrame, features, spec: dict, label: str, seed: int) -> Fitted | None:
-    """The exact boosted-tree model when the optional ``xgboost`` Spark
-    estimator is installed (distributed training on the executors); None
-    otherwise, and MLlib GBT is used instead."""
-    try:
-        from xgboost.spark import SparkXGBRegressor
-    except ImportError:
-        return None
+    rows = segment_factors(train, features, label, F.lit(0))[0]
+    b0, coef = rows.fit(spec)
+    return Fitted(kind, features, None, Linear(float(rows.means()[-1]), (coef * rows.scales()).tolist(), b0, coef.tolist()), label)
+
+
+def _xgboost_fit(train: DataFrame, features, spec: dict, label: str, seed: int) -> Fitted:
+    """The boosted-tree model of the optional ``xgboost`` Spark estimator, for specs
+    that name that engine; an error where it is not installed."""
+    from xgboost.spark import SparkXGBRegressor
+
     est = SparkXGBRegressor(features_col=list(features), label_col=label, n_estimators=spec["trees"],
                             max_depth=spec["depth"], learning_rate=spec["lr"], subsample=spec["subsample"],
                             colsample_bytree=spec["colsample"], min_child_weight=spec["min_child"],
@@ -131,133 +119,23 @@ def rmse(pred: DataFrame, label: str = "y", p: str = "p") -> float:
 
 
 # ---------------------------------------------------------------- one-pass folds for linear models
-LINEAR_KINDS = ("ols", "ridge", "lasso", "enet")
 
-
-def fold_moments(idx: DataFrame, n: int, k: int, features, label: str, idx_col: str = "__idx") -> dict:
-    """Moments per expanding-fold segment: segment 0 = rows before the first
+def fold_factors(idx: DataFrame, n: int, k: int, features, label: str, idx_col: str = "__idx") -> dict:
+    """Factors per expanding-fold segment: segment 0 = rows before the first
     test block, segment f+1 = test block of fold f."""
     first, t = V.fold_bounds(n, k)[0][1], n // (k + 1)
     i = F.col(idx_col)
-    seg = F.when(i < first, F.lit(0)).otherwise(F.least(F.floor((i - first) / t) + 1, F.lit(k))).cast("int")
-    return segment_moments(idx, features, label, seg)
+    seg = F.when(i < first, F.lit(0)).otherwise(F.least(F.floor((i - first) / t) + 1, F.lit(k)))
+    return segment_factors(idx, features, label, seg)
 
 
-def _cv_from_moments(spec: dict, mom: dict, k: int) -> dict:
+def _cv_from_factors(spec: dict, found: dict, k: int) -> dict:
     scores = []
     for f in range(k):
-        b0, coef = solve_from_moments(spec, _sum_moments([mom[s] for s in range(f + 1) if s in mom]))
-        te = mom[f + 1]
-        scores.append(math.sqrt(sse_from_moments(*te, b0, coef) / te[0]))
+        b0, coef = stack([found[s] for s in range(f + 1) if s in found]).fit(spec)
+        te = found[f + 1]
+        scores.append(math.sqrt(te.sse(b0, coef) / te.n))
     return {"cv_rmse_folds": scores, "cv_rmse_mean": statistics.fmean(scores), "cv_rmse_std": statistics.pstdev(scores)}
-def segment_moments(df: DataFrame, features, label: str, segment: F.Column) -> dict:
-    """One grouped aggregate: per segment, n and the sums of z = [x, y] and z z'.
-
-    Returns {segment: (n, lin (p+1,), quad (p+1, p+1))}; segments are few
-    (fold boundaries), each row of the result holds (p+1)(p+4)/2 numbers.
-    """
-    import numpy as np
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    features = list(features)
-    p = len(features)
-    z = [F.col(c).cast("double") for c in features] + [F.col(label).cast("double")]
-    prods = [z[i] * z[j] for i in range(p + 1) for j in range(i, p + 1)]
-    rows = (df.select(segment.alias("__seg"), array_to_vector(F.array(*z, *prods)).alias("__v"))
-            .groupBy("__seg").agg(F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.sum(F.col("__v"))).alias("s"))
-            .collect())
-    iu = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
-    out = {}
-    for r in rows:
-        s = np.array(r["s"], dtype=float)
-        quad = np.zeros((p + 1, p + 1))
-        for k, (i, j) in enumerate(iu):
-            quad[i, j] = quad[j, i] = s[p + 1 + k]
-        out[r["__seg"]] = (float(r["n"]), s[:p + 1], quad)
-    return out
-
-
-def _sum_moments(parts):
-    n = sum(p[0] for p in parts)
-    return n, sum(p[1] for p in parts), sum(p[2] for p in parts)
-
-
-def ridge_from_moments(n, lin, quad, alpha: float):
-    """Standardised ridge (population std, intercept unpenalised) from moments;
-    alpha = 0 is OLS (least-squares, minimum norm). Returns (b0, coef)."""
-    import numpy as np
-    p = len(lin) - 1
-    mu = lin / n
-    cov = quad / n - np.outer(mu, mu)
-    sx = np.sqrt(np.clip(np.diag(cov)[:p], 0.0, None))
-    sx[sx == 0] = 1.0
-    cxx = cov[:p, :p] * n / np.outer(sx, sx)
-    cxy = cov[:p, p] * n / sx
-    if alpha > 0:
-        ws = np.linalg.solve(cxx + alpha * np.eye(p), cxy)
-    else:
-        ws = np.linalg.lstsq(cxx, cxy, rcond=None)[0]
-    coef = ws / sx
-    return float(mu[p] - coef @ mu[:p]), coef
-
-
-def sse_from_moments(n, lin, quad, b0, coef) -> float:
-    """Sum of squared errors of y - (b0 + x.coef) from the moments of a row set."""
-    p = len(coef)
-    sx, sy = lin[:p], lin[p]
-    sxx, sxy, syy = quad[:p, :p], quad[:p, p], quad[p, p]
-    fit_sq = n * b0 * b0 + 2 * b0 * (coef @ sx) + coef @ sxx @ coef
-    return float(max(0.0, syy - 2 * (b0 * sy + coef @ sxy) + fit_sq))
-
-
-def _standardized(n, lin, quad):
-    import numpy as np
-    p = len(lin) - 1
-    mu = lin / n
-    cov = quad / n - np.outer(mu, mu)
-    sx = np.sqrt(np.clip(np.diag(cov)[:p], 0.0, None))
-    sx[sx == 0] = 1.0
-    gram = cov[:p, :p] / np.outer(sx, sx)   # (1/n) Z'Z of the standardised, centred inputs
-    cxy = cov[:p, p] / sx                    # (1/n) Z'(y - mean y)
-    return mu, sx, gram, cxy
-
-
-def enet_from_moments(n, lin, quad, alpha: float, l1_ratio: float, max_iter: int = 5000, tol: float = 1e-12):
-    """Elastic net / lasso by cyclic coordinate descent on the Gram matrix of
-    the standardised inputs (same objective as the sklearn pipeline:
-    1/(2n)||y - Zw - b||^2 + alpha*r*|w|_1 + alpha*(1-r)/2*|w|^2). Returns (b0, coef)."""
-    import numpy as np
-    mu, sx, gram, cxy = _standardized(n, lin, quad)
-    p = len(cxy)
-    w = np.zeros(p)
-    l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio)
-    for _ in range(max_iter):
-        delta = 0.0
-        for j in range(p):
-            rho = cxy[j] - gram[j] @ w + gram[j, j] * w[j]
-            den = gram[j, j] + l2
-            new = 0.0 if den == 0 else np.sign(rho) * max(abs(rho) - l1, 0.0) / den
-            delta = max(delta, abs(new - w[j]))
-            w[j] = new
-        if delta <= tol * max(1.0, float(np.max(np.abs(w)))):
-            break
-    coef = w / sx
-    return float(mu[p] - coef @ mu[:p]), coef
-
-
-def solve_from_moments(spec: dict, moments):
-    """(b0, coef) of a linear model spec from (n, lin, quad) moments, or None if not linear."""
-    kind = spec["kind"]
-    if kind in ("ols", "ridge"):
-        return ridge_from_moments(*moments, float(spec.get("alpha", 0.0)) if kind == "ridge" else 0.0)
-    if kind in ("lasso", "enet"):
-        r = 1.0 if kind == "lasso" else float(spec["l1_ratio"])
-        return enet_from_moments(*moments, float(spec["alpha"]), r, int(spec.get("max_iter", 5000)))
-    return None
-
-
-def _closed_alpha(spec: dict) -> float | None:
-    return {"ols": 0.0, "ridge": float(spec.get("alpha", 0.0))}.get(spec["kind"])
 
 
 def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key_store", order: str = "key_date",
@@ -265,15 +143,14 @@ def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key
     """Expanding-window CV by row order (entity, order); per-fold RMSE,
     their mean and population std. Each fold refits the scaler.
 
-    OLS and ridge use one pass: rows are labelled with their fold segment,
-    one aggregate gives per-segment moments, and every fold's fit and test
-    error come from prefix sums of those. Other models refit per fold.
+    Linear models use one pass: rows are labelled with their fold segment,
+    every segment is reduced to its triangular factor, and every fold's fit
+    and test error come from those. Other models refit per fold.
     """
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
     if spec["kind"] in LINEAR_KINDS:
-        mom = fold_moments(idx, n, k, features, label)
-        return _cv_from_moments(spec, mom, k)
+        return _cv_from_factors(spec, fold_factors(idx, n, k, features, label), k)
     scores = []
     for fold, lo, hi in V.fold_bounds(n, k):
         tr = idx.where(F.col("__idx") < lo)
@@ -296,8 +173,8 @@ def model_compare(train: DataFrame, test: DataFrame, features, specs: dict | Non
     """CV, full fit and train/test metrics per model, sorted by test RMSPE.
 
     Linear models (OLS, ridge, lasso, elastic net) are all solved from one
-    aggregate of per-fold-segment moments (closed form or coordinate descent
-    on the Gram matrix); other models are fitted per fold. Predictions of
+    pass of per-fold-segment triangular factors (least squares or coordinate
+    descent on the Gram matrix); other models are fitted per fold. Predictions of
     all models are stacked into one long (model, split, y, p) table and
     scored by a single grouped metrics aggregate.
     """
@@ -306,14 +183,14 @@ def model_compare(train: DataFrame, test: DataFrame, features, specs: dict | Non
     features = list(features)
     linear = {nm: sp for nm, sp in specs.items() if sp["kind"] in LINEAR_KINDS}
     if linear:
-        # every linear model, every fold and the full-train fit from ONE aggregate of segment moments
+        # every linear model, every fold and the full-train fit from ONE pass of segment factors
         idx = V.row_index(train, "key_store", "key_date", "__idx")
         n = train.count()
-        mom = fold_moments(idx, n, cv_folds or 1, features, label)
-        total = _sum_moments(list(mom.values()))
+        found = fold_factors(idx, n, cv_folds or 1, features, label)
+        total = stack(found.values())
         for name, spec in linear.items():
-            cv[name] = _cv_from_moments(spec, mom, cv_folds) if cv_folds else None
-            b0, coef = solve_from_moments(spec, total)
+            cv[name] = _cv_from_factors(spec, found, cv_folds) if cv_folds else None
+            b0, coef = total.fit(spec)
             p_expr = F.lit(float(b0))
             for f, c in zip(features, coef):
                 p_expr = p_expr + F.lit(float(c)) * F.col(f)
@@ -392,9 +269,8 @@ def learning_curve(train: DataFrame, features, spec: dict, sizes: int = 10, fold
     skipped); mean train and validation RMSE per size."""
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
-    alpha = _closed_alpha(spec)
-    if alpha is not None:
-        return _learning_curve_closed(train, idx, n, features, alpha, sizes, folds, label)
+    if spec["kind"] in LINEAR_KINDS:
+        return _learning_curve_linear(train, idx, n, features, spec, sizes, folds, label)
     rows = []
     for j in range(sizes):
         s = 0.1 + j * (1.0 - 0.1) / (sizes - 1)
@@ -423,9 +299,9 @@ def _learning_curve_plan(n: int, sizes: int, folds: int):
     return plan
 
 
-def _learning_curve_closed(train, idx, n, features, alpha, sizes, folds, label):
-    """V4 for OLS/ridge in one pass: the prefix sizes and fold bounds cut the
-    row order into segments; one aggregate gives per-segment moments."""
+def _learning_curve_linear(train, idx, n, features, spec, sizes, folds, label):
+    """V4 for linear models in one pass: the prefix sizes and fold bounds cut the
+    row order into segments, each reduced to its triangular factor."""
     import bisect
     plan = _learning_curve_plan(n, sizes, folds)
     cuts = sorted({c for _, _, fl in plan for lo, hi in fl for c in (lo, hi)} | {0})
@@ -433,20 +309,20 @@ def _learning_curve_closed(train, idx, n, features, alpha, sizes, folds, label):
     seg = F.lit(len(cuts) - 1)
     for k in range(len(cuts) - 1, 0, -1):
         seg = F.when(i < F.lit(cuts[k]), F.lit(k - 1)).otherwise(seg)
-    mom = segment_moments(idx, features, label, seg.cast("int"))
+    found = segment_factors(idx, features, label, seg)
 
     def rng(lo, hi):
         a, b = bisect.bisect_left(cuts, lo), bisect.bisect_left(cuts, hi)
-        return _sum_moments([mom[s] for s in range(a, b) if s in mom])
+        return stack([found[s] for s in range(a, b) if s in found])
 
     rows = []
     for j, end, fl in plan:
         tr_s, va_s = [], []
         for lo, hi in fl:
             tr, va = rng(0, lo), rng(lo, hi)
-            b0, coef = ridge_from_moments(*tr, alpha)
-            tr_s.append(math.sqrt(sse_from_moments(*tr, b0, coef) / tr[0]))
-            va_s.append(math.sqrt(sse_from_moments(*va, b0, coef) / va[0]))
+            b0, coef = tr.fit(spec)
+            tr_s.append(math.sqrt(tr.sse(b0, coef) / tr.n))
+            va_s.append(math.sqrt(va.sse(b0, coef) / va.n))
         if tr_s:
             rows.append((j, min(end, n), statistics.fmean(tr_s), statistics.fmean(va_s)))
     return train.sparkSession.createDataFrame(rows, "size_index int, n_rows int, train_rmse double, val_rmse double")

@@ -1,9 +1,9 @@
 """Model metrics and multicollinearity.
 
 Metrics are one grouped aggregate over a long (group, y, p) table, so any
-number of models or splits is scored in one pass. VIF needs a p x p matrix
-inverse: the matrix (correlations or second moments) is one aggregate over
-the rows, the inverse of that tiny matrix is driver arithmetic.
+number of models or splits is scored in one pass. VIF regresses every column
+on the others: the rows are reduced to their triangular factor in one pass, and
+the regressions of that p x p matrix are driver arithmetic.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.operators.factors import CONSTANT, segment_factors
 
 def rmspe(df: DataFrame, y: str = "y", p: str = "p", by=()) -> DataFrame:
     """sqrt(mean(((y - p) / y)^2)) over rows with y != 0."""
@@ -38,65 +39,46 @@ def regression_metrics(df: DataFrame, y: str = "y", p: str = "p", by=()) -> Data
 
 
 # ---------------------------------------------------------------- VIF
-def _corr_matrix(df: DataFrame, cols) -> tuple[np.ndarray, int]:
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    row = src.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
-                  *[F.corr(cols[i], cols[j]).alias(f"r{i}_{j}") for i, j in pairs]).first()
-    r = np.eye(len(cols))
-    for i, j in pairs:
-        v = row[f"r{i}_{j}"]
-        r[i, j] = r[j, i] = np.nan if v is None else v
-    const = [row[f"s{i}"] in (None, 0.0) for i in range(len(cols))]
-    return r, row["n"], const
-
-
-def _moment_matrix(df: DataFrame, cols) -> np.ndarray:
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    p = len(cols)
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    row = src.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"m{i}_{j}") for i, j in pairs]).first()
-    m = np.zeros((p, p))
-    for i, j in pairs:
-        m[i, j] = m[j, i] = row[f"m{i}_{j}"] or 0.0
-    return m
-
-
-def _vif_from_corr(r: np.ndarray, const) -> list[float | None]:
-    p = r.shape[0]
+COLLINEAR = 1e-10  # a column whose residual on the others is this small next to it is a combination of them
+
+
+def _vif_from_factor(rows: np.ndarray, const) -> list[float | None]:
+    """1 / (1 - R^2) per column of a matrix (or of its triangular factor): each column is
+    regressed on the others by a rank-revealing solve. inf for a linear combination of
+    the others, None for a constant column (``const``)."""
+    p = rows.shape[1]
+    keep = [j for j in range(p) if not const[j]]
+    norms = np.sqrt((rows ** 2).sum(axis=0))
+    unit = rows / np.where(norms == 0, 1.0, norms)
     out: list[float | None] = [None] * p
-    keep = [i for i in range(p) if not const[i]]
-    if not keep:
-        return out
-    sub = r[np.ix_(keep, keep)]
-    try:
-        inv = np.linalg.inv(sub)
-        diag = np.diag(inv)
-    except np.linalg.LinAlgError:
-        diag = np.full(len(keep), np.inf)
-    for k, i in enumerate(keep):
-        out[i] = float(diag[k])
+    for j in keep:
+        others = [i for i in keep if i != j]
+        gap = unit[:, j]
+        if others:
+            gap = gap - unit[:, others] @ np.linalg.lstsq(unit[:, others], unit[:, j], rcond=COLLINEAR)[0]
+        left = float(np.sqrt((gap ** 2).sum()))
+        out[j] = float("inf") if left <= COLLINEAR else 1.0 / left ** 2
     return out
 
 
-def vif_values(df: DataFrame, cols, intercept: bool = True) -> list[float | None]:
-    """VIF per column on the listwise-complete rows.
+def _column_factor(df: DataFrame, cols, intercept: bool) -> tuple[np.ndarray, list[bool]]:
+    """(triangular factor of the columns over the listwise-complete rows, centred with an
+    intercept, and whether each is constant)."""
+    found = segment_factors(df, cols[:-1], cols[-1], F.lit(0))
+    if not found:
+        return np.zeros((len(cols), len(cols))), [True] * len(cols)
+    f = found[0]
+    whole = np.sqrt((f.r[:, 1:] ** 2).sum(axis=0))
+    if not intercept:
+        return f.r[:, 1:], [w == 0 for w in whole]
+    return f.centred(), [s <= CONSTANT * w for s, w in zip(np.sqrt((f.centred() ** 2).sum(axis=0)), whole)]
 
-    With an intercept (statsmodels on [1, X]): VIF_j = (R^-1)_jj of the
-    correlation matrix; a constant column gets NULL, a singular matrix inf.
-    Without (notebook form, uncentered): VIF_j = M_jj (M^-1)_jj over the
-    second-moment matrix M = X'X.
-    """
-    cols = list(cols)
-    if intercept:
-        r, _, const = _corr_matrix(df, cols)
-        return _vif_from_corr(r, const)
-    m = _moment_matrix(df, cols)
-    try:
-        inv = np.linalg.inv(m)
-        return [float(m[i, i] * inv[i, i]) for i in range(len(cols))]
-    except np.linalg.LinAlgError:
-        return [float("inf")] * len(cols)
+
+def vif_values(df: DataFrame, cols, intercept: bool = True) -> list[float | None]:
+    """VIF per column on the listwise-complete rows: 1 / (1 - R^2) of the column on the
+    others, with an intercept or without (notebook form, uncentred). A constant column
+    gets NULL, a linear combination of the others inf."""
+    return _vif_from_factor(*_column_factor(df, list(cols), intercept))
 
 
 VIF_SCHEMA = T.StructType([T.StructField("feature", T.StringType()), T.StructField("VIF", T.DoubleType())])
@@ -113,37 +95,32 @@ def vif_drop(df: DataFrame, cols, threshold: float = 10.0) -> DataFrame:
     """Drop the highest-VIF column one at a time until the max VIF is
     <= threshold or two columns remain.
 
-    The correlation pass over the rows is repeated only when the dropped
-    column held nulls (the listwise row set then grows); otherwise the
-    inverse is recomputed on the sub-matrix, driver-side.
+    The pass over the rows is repeated only when the dropped column held
+    nulls (the listwise row set then grows); otherwise the remaining columns
+    of the factor are regressed again, driver-side.
 
     Output: feature, dropped, step (1-based drop order), VIF (at the drop
     for dropped columns, final for kept ones).
     """
     cols = list(cols)
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first().asDict()
-    r, _, const = _corr_matrix(df, cols)
-    idx = {c: i for i, c in enumerate(cols)}
     current = list(cols)
+    rows, const = _column_factor(df, current, True)
     dropped: list[tuple[str, int, float | None]] = []
     while True:
-        sub_i = [idx[c] for c in current]
-        vals = _vif_from_corr(r[np.ix_(sub_i, sub_i)], [const[i] for i in sub_i])
+        vals = _vif_from_factor(rows, const)
         ranked = sorted(zip(current, vals), key=lambda t: (-(t[1] if t[1] is not None else -np.inf), t[0]))
         top, top_v = ranked[0]
         if top_v is None or top_v <= threshold or len(current) <= 2:
             final = dict(zip(current, vals))
             break
+        at = current.index(top)
         current.remove(top)
         dropped.append((top, len(dropped) + 1, top_v))
         if nulls[top] > 0:
-            r2, _, const2 = _corr_matrix(df, current)
-            r = np.eye(len(cols))
-            const = [False] * len(cols)
-            for a, ca in enumerate(current):
-                const[idx[ca]] = const2[a]
-                for b, cb in enumerate(current):
-                    r[idx[ca], idx[cb]] = r2[a, b]
+            rows, const = _column_factor(df, current, True)
+        else:
+            rows, const = np.delete(rows, at, axis=1), const[:at] + const[at + 1:]
     rows = [(c, True, s, v) for c, s, v in dropped] + [(c, False, None, final[c]) for c in current]
     schema = "feature string, dropped boolean, step int, VIF double"
     return df.sparkSession.createDataFrame(rows, schema)

@@ -7,7 +7,6 @@ is what local runs and tests need.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,16 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the context at ``spark.checkpoint.dir``.
 
     On a cluster the launcher names a shared folder there and it is used
-    as-is. Only when the setting is absent (local runs, tests) is a scratch
-    folder created.
+    as-is. Only when the setting is absent on a local master (tests) is a
+    scratch folder created; on a cluster executors could not see it, so the
+    missing setting is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tillcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # noqa: BLE001 - some deployments reject setting core confs at runtime
-            pass
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tillcast-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)
     return configured

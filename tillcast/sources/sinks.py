@@ -29,9 +29,12 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def read_json_report(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read a JSON report: JSON lines, or one indented array of records (``multiLine``)."""
-    r = spark.read.option("multiLine", True)
+def read_json_report(spark: SparkSession, path: str, schema=None, form: str = "lines") -> DataFrame:
+    """Read a JSON report. ``form`` is ``lines`` (what ``write_json`` writes: a record per
+    line) or ``array`` (each file one array of records, possibly indented)."""
+    if form not in ("lines", "array"):
+        raise ValueError(f"unknown form of JSON report: {form}")
+    r = spark.read.option("multiLine", form == "array")
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)
@@ -40,9 +43,8 @@ def read_json_report(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def alerts(states: DataFrame) -> DataFrame:
     """A4: alert records from CUSUM states: type, message, timestamp and the fired sum."""
     a = states.where(F.col("alert").isNotNull())
-    msg = (F.when(F.col("alert") == "POSITIVE_DRIFT",
-                  F.format_string("Model underpredicting. CUSUM_pos=%.2f", F.col("alert_value")))
-           .otherwise(F.format_string("Model overpredicting. CUSUM_neg=%.2f", F.col("alert_value"))))
+    msg = F.format_string("Residuals drift %s: sum %.2f",
+                          F.when(F.col("alert") == "POSITIVE_DRIFT", "up").otherwise("down"), F.col("alert_value"))
     return a.select("entity", F.col("alert").alias("type"), msg.alias("message"),
                     F.col("batch").cast("string").alias("timestamp"),
                     F.when(F.col("alert") == "POSITIVE_DRIFT", F.col("alert_value")).alias("cusum_pos"),
