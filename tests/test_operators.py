@@ -433,19 +433,19 @@ def test_model_matrix_is_29_wide_and_fit_on_train_only(spark):
     assert enc(md) == enc(md2)
 
 
-def test_enet_from_moments_satisfies_kkt(spark):
-    from tillcast.operators import regression as R
+def test_enet_satisfies_kkt(spark):
+    from tillcast.operators.factors import segment_factors
     rng = np.random.default_rng(12)
     X = rng.normal(size=(300, 5)) * [1, 3, 10, 0.1, 2]
     X[:, 4] = X[:, 0] * 2 + rng.normal(scale=0.1, size=300)      # collinear pair
     y = X @ [1.0, 0.0, 0.3, 5.0, 0.0] + rng.normal(size=300) + 7
     df = spark.createDataFrame([(*map(float, X[i]), float(y[i])) for i in range(300)], "a double, b double, c double, d double, e double, y double")
-    mom = R.segment_moments(df, list("abcde"), "y", F.lit(0))[0]
+    rows = segment_factors(df, list("abcde"), "y", F.lit(0))[0]
+    Z = (X - X.mean(0)) / X.std(0)
     for alpha, r in ((0.5, 1.0), (0.5, 0.5)):
-        b0, coef = R.enet_from_moments(*mom, alpha, r)
-        mu, sx, gram, cxy = R._standardized(*mom)
-        w = coef * sx
-        grad = cxy - gram @ w - alpha * (1 - r) * w                 # must lie in alpha*r * subgradient(|w|)
+        b0, coef = rows.elastic_net(alpha, r)
+        w = coef * X.std(0)
+        grad = Z.T @ (y - y.mean() - Z @ w) / 300 - alpha * (1 - r) * w   # must lie in alpha*r * subgradient(|w|)
         for j in range(5):
             if abs(w[j]) > 1e-12:
                 assert grad[j] == pytest.approx(alpha * r * np.sign(w[j]), abs=1e-8)
@@ -454,6 +454,115 @@ def test_enet_from_moments_satisfies_kkt(spark):
         assert b0 == pytest.approx(float(y.mean() - coef @ X.mean(axis=0)), rel=1e-9)
 
 
+def _numpy_fit(x, y, alpha):
+    """Standardised least squares (minimum norm) or ridge on the rows."""
+    mu, sd = x.mean(0), x.std(0)
+    sd = np.where(sd <= 1e-12 * np.sqrt((x ** 2).mean(0)), 1.0, sd)
+    z = (x - mu) / sd
+    z[:, np.abs(z).max(0) < 1e-9] = 0.0
+    if alpha:
+        z_, y_ = np.vstack([z, np.sqrt(alpha) * np.eye(x.shape[1])]), np.append(y - y.mean(), np.zeros(x.shape[1]))
+    else:
+        z_, y_ = z, y - y.mean()
+    coef = np.linalg.lstsq(z_, y_, rcond=np.finfo(float).eps * max(len(x), 1000))[0] / sd
+    return y.mean() - mu @ coef, coef
+
+
+@pytest.mark.parametrize("alpha", [0.0, 10.0])
+def test_folds_and_learning_curve_equal_numpy(spark, alpha):
+    """Rank-deficient and constant inputs, prefixes of one entity included."""
+    from tillcast.operators import regression as R
+    rng = np.random.default_rng(3)
+    n = 900
+    x = np.column_stack([rng.normal(1e5, 10, n), np.repeat([0.1, 0.3, 0.7], n // 3), rng.normal(size=n), rng.normal(size=n)])
+    x = np.column_stack([x, x[:, 2] - x[:, 3], x[:, 1] * 3])        # a combination, and a copy of a column constant per entity
+    y = 1e6 + x @ [2.0, 1e4, 30.0, -20.0, 5.0, 0.0] + rng.normal(size=n)
+    names = list("abcdef")
+    df = spark.createDataFrame([(k // 300, k, *map(float, x[k]), float(y[k])) for k in range(n)],
+                               "key_store int, key_date int, " + ", ".join(f"{c} double" for c in names) + ", y double").repartition(5)
+    spec = {"kind": "ridge", "alpha": alpha} if alpha else {"kind": "ols"}
+    rmse = lambda b0, c, lo, hi: np.sqrt(np.mean((y[lo:hi] - b0 - x[lo:hi] @ c) ** 2))
+    got = R.ts_cv(df, names, spec, 5)["cv_rmse_folds"]
+    for f, (_, lo, hi) in enumerate(R.V.fold_bounds(n, 5)):
+        assert got[f] == pytest.approx(rmse(*_numpy_fit(x[:lo], y[:lo], alpha), lo, hi), rel=1e-6)
+    for r in R.learning_curve(df, names, spec).collect():
+        train, val = [], []
+        for _, lo, hi in R.V.fold_bounds(r["n_rows"], 3):
+            fit = _numpy_fit(x[:lo], y[:lo], alpha)
+            train.append(rmse(*fit, 0, lo))
+            val.append(rmse(*fit, lo, hi))
+        assert r["train_rmse"] == pytest.approx(np.mean(train), rel=1e-6) and r["val_rmse"] == pytest.approx(np.mean(val), rel=1e-6)
+
+
+def test_single_fits_equal_the_same_solver(spark):
+    from tillcast.operators import regression as R
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 3)) * [1, 100, 0.01]
+    y = x @ [1.0, 0.5, -3.0] + rng.normal(size=200)
+    df = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], "a double, b double, c double, y double")
+    for name in ("LinearRegression", "Ridge (L2)"):
+        m = R.fit(df, ["a", "b", "c"], R.MODEL_SPECS[name])
+        b0, coef = _numpy_fit(x, y, R.MODEL_SPECS[name].get("alpha", 0.0))
+        assert np.allclose(m.model.raw, coef, rtol=1e-9) and m.model.raw_intercept == pytest.approx(b0, rel=1e-9)
+        assert m.importances() == pytest.approx(np.abs(coef * x.std(0)).tolist())
+        got = m.predict(df).select("p").toPandas()["p"].to_numpy()
+        assert np.allclose(np.sort(got), np.sort(b0 + x @ coef))
+
+
+def test_vif_of_a_combination_is_infinite_and_dropped(spark):
+    from tillcast.operators import stats as G
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        a, b, d = rng.normal(1e3, 1, 200), rng.normal(size=200), rng.normal(size=200)
+        df = spark.createDataFrame([tuple(map(float, r)) for r in zip(a, b, a - b, d, np.ones(200))], "a double, b double, c double, d double, one double")
+        vals = dict(zip("abcd", G.vif_values(df, list("abcd"))))
+        assert all(vals[k] == float("inf") for k in "abc") and 1 <= vals["d"] < 1.2
+        assert G.vif_values(df, ["a", "b", "c"], intercept=False) == [float("inf")] * 3
+        out = {r["feature"]: r for r in G.vif_drop(df, list("abcd")).collect()}
+        assert sum(r["dropped"] for r in out.values()) == 1 and not out["d"]["dropped"]
+        assert G.vif_values(df, ["a", "b", "one"])[2] is None
+    z = np.column_stack([a, b, d])
+    want = [1 / (1 - np.corrcoef(z[:, j], z[:, [i for i in range(3) if i != j]] @ np.linalg.lstsq(
+        np.column_stack([z[:, [i for i in range(3) if i != j]], np.ones(200)]), z[:, j], rcond=None)[0][:2])[0, 1] ** 2) for j in range(3)]
+    assert G.vif_values(df, ["a", "b", "d"]) == pytest.approx(want, rel=1e-6)
+
+
+def test_json_report_in_both_forms(spark, tmp_path):
+    from tillcast.sources import sinks
+    df = spark.range(20).select("id", F.concat(F.lit("f"), F.col("id")).alias("feature")).repartition(3)
+    sinks.write_json(df, str(tmp_path / "lines"))
+    assert sorted(r["id"] for r in sinks.read_json_report(spark, str(tmp_path / "lines")).collect()) == list(range(20))
+    (tmp_path / "array").mkdir()
+    (tmp_path / "array" / "a.json").write_text('[\n {"id": 1},\n {"id": 2}\n]')
+    assert sorted(r["id"] for r in sinks.read_json_report(spark, str(tmp_path / "array"), form="array").collect()) == [1, 2]
+
+
+def test_small_features_are_reported_as_skipped(spark):
+    df = spark.range(40).select(F.col("id").cast("double").alias("x"), F.when(F.col("id") < 3, F.col("id")).cast("double").alias("few"),
+                                F.lit(None).cast("double").alias("none"))
+    psi = {r["feature"]: (r["PSI"], r["status"]) for r in M.psi_report(df, df, ["x", "few", "none"]).collect()}
+    assert psi == {"x": (0.0, "OK"), "few": (None, "SKIPPED"), "none": (None, "SKIPPED")}
+    ks = {r["feature"]: (r["n_ref"], r["KS_stat"]) for r in M.ks_report(df, df, ["x", "few", "none"]).collect()}
+    assert ks == {"x": (40, 0.0), "few": (3, None), "none": (0, None)}
+
+
+def test_row_index_over_many_entities(spark):
+    from tillcast.operators import splits as V
+    df = spark.range(500).select((F.col("id") * 7 % 97).alias("Store"), F.col("id").alias("Date")).repartition(6)
+    want = sorted((r["Store"], r["Date"]) for r in df.collect())
+    got = sorted((r["row_idx"], r["Store"], r["Date"]) for r in V.row_index(df).collect())
+    assert got == [(i, *k) for i, k in enumerate(want)]
+
+
+def test_filters_reach_the_scan(spark):
+    from tillcast.sources.tables import store_panel
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    panel = store_panel(spark, "/root/testdata/sf0.001")
+    year = plan(panel.where((F.col("Date") >= F.lit("1996-01-01").cast("date")) & (F.col("Date") <= F.lit("1996-12-31").cast("date"))))
+    assert "GreaterThanOrEqual(o_orderdate" in year
+    assert "o_totalprice" not in plan(panel.select("Store", "Date"))
+
+
 def test_sliced_and_bounded_rank_paths_agree(spark):
     rng = np.random.default_rng(21)
     a = spark.createDataFrame([(float(v), float(w)) for v, w in zip(np.round(rng.normal(0, 1, 2000), 3),
@@ -478,14 +587,17 @@ def test_broadcast_only_behind_a_bound(spark):
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString() or \
         "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(broadcast_checked(small))
-    # past the row bound (and with a large size estimate) no hint is added: the join will shuffle
-    assert not hinted(broadcast_checked(big, max_rows=100, max_bytes=1))
+    # past the bound on rows times width no hint is added: the join will shuffle
+    assert not hinted(broadcast_checked(big, max_bytes=100 * 128))
+    assert not hinted(broadcast_checked(big, known_rows=10**9))
 
 
 def test_one_hot_refuses_unbounded_levels(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError):
         E.fit_one_hot(df, ["c"], max_levels=10)
+    long = E.fit_one_hot_long(df, ["c"]).transform(df.withColumn("k", F.col("c")), ["k"])  # any number of levels
+    assert sorted((r["k"], r["feature"]) for r in long.collect()) == sorted((str(i), f"c_{i}") for i in range(1, 50))
     enc = E.fit_one_hot(spark.createDataFrame([("b",), ("a",), ("c",)], "c string"), ["c"])
     assert enc.levels == {"c": ["b", "c"]}                      # first sorted level dropped
 

@@ -29,7 +29,7 @@ PRED = ("pr AS (" + " UNION ALL ".join(
 
 
 def _features(spark, sf):
-    p = store_panel(spark, sf)
+    p = store_panel(spark, sf, materialize=True)
     f = W.rolling_mean(W.lag_features(p, lags=(7,)), windows=(7, 30))
     f = W.rolling_std(f, windows=(7,))
     return W.trend_slope(f)

@@ -19,7 +19,7 @@ PI = "3.141592653589793"
 
 
 def _train_open(spark, sf):
-    p = store_panel(spark, sf)
+    p = store_panel(spark, sf, materialize=True)
     train, _ = V.time_split(p, 3)
     return p, B.drop_closed(train, keep_flag=True)
 
@@ -44,7 +44,7 @@ _CYC = ("Month_sin", "Month_cos", "Week_sin", "Week_cos")
 SELECT "Store", "Date", {_DATE_PARTS_SQL},
        CASE WHEN "DayOfWeek" IN (6, 7) THEN 1 ELSE 0 END AS "IsWeekend_dow" FROM panel""")
 def q_date_parts(spark, sf):
-    p = store_panel(spark, sf)
+    p = store_panel(spark, sf, materialize=True)
     d = F.col("Date")
     return p.select("Store", "Date", S.year(d).alias("Year"), S.month(d).alias("Month"),
                     S.iso_week(d).alias("WeekOfYear"), S.day_of_month(d).alias("DayOfMonth"),
@@ -62,7 +62,7 @@ def q_cyclical(spark, sf):
 
 @query("date_features", with_panel() + f'SELECT "Store", "Sales", {_DATE_PARTS_SQL}, {_cyc_sql()} FROM panel')
 def q_date_features(spark, sf):
-    p = E.date_features(store_panel(spark, sf).select("Store", "Date", "Sales"))
+    p = E.date_features(store_panel(spark, sf, materialize=True).select("Store", "Date", "Sales"))
     return p.select("Store", "Sales", *[c for c in E.DATE_FEATURES if c not in _CYC], *[rnd(c, 6).alias(c) for c in _CYC])
 
 
@@ -171,7 +171,7 @@ FROM o LEFT JOIN gm ON o."StoreType" = gm."StoreType"
        LEFT JOIN te_StoreType a ON o."StoreType" = a."StoreType"
        LEFT JOIN te_Assortment b ON o."Assortment" = b."Assortment" """)
 def q_preprocess(spark, sf):
-    p = store_panel(spark, sf)
+    p = store_panel(spark, sf, materialize=True)
     train, _ = V.time_split(p, 3)
     pre = E.fit_preprocessor(train)
     out = pre.transform(p.drop("Customers")).drop("Sales")

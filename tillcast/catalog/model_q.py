@@ -20,7 +20,7 @@ OPEN = 'o AS (SELECT * FROM panel WHERE "Open" = 1)'
 
 # ---------------------------------------------------------------- L1 simple, R1, R2
 def _simple_fit(spark, sf):
-    o = B.drop_closed(store_panel(spark, sf), keep_flag=True)
+    o = B.drop_closed(store_panel(spark, sf, materialize=True), keep_flag=True)
     c = o.agg(F.regr_slope("Sales", "Customers").alias("slope"), F.regr_intercept("Sales", "Customers").alias("intercept"),
               F.regr_r2("Sales", "Customers").alias("r2"), F.regr_count("Sales", "Customers").alias("n")).first()
     return o, c
@@ -179,7 +179,7 @@ _LO_Q, _HI_Q = (1 - 0.90) / 2, (1 + 0.90) / 2
 
 
 def _ensemble(spark, sf):
-    p = store_panel(spark, sf)
+    p = store_panel(spark, sf, materialize=True)
     f = W.rolling_mean(W.lag_features(p), windows=(7, 30))
     cut = V.cutoff_date(f, 3)
     f = B.drop_closed(f, keep_flag=True).where(F.col("lag_30").isNotNull())

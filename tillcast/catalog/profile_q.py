@@ -199,7 +199,7 @@ def q_value_counts(spark, sf):
     for n in ("weekend_lift_pct", "promo_lift_pct", "customers_sales_corr", "competition_missing_pct"))
     + " UNION ALL SELECT 'store_type_order', CAST(NULL AS DOUBLE), detail FROM t")
 def q_eda_findings(spark, sf):
-    f = G.eda_findings(store_panel(spark, sf))
+    f = G.eda_findings(store_panel(spark, sf, materialize=True))
     return f.select("finding", rnd("value", 6).alias("value"), "detail")
 
 

@@ -97,7 +97,7 @@ SELECT kn.request_id, kn."Store", lv.t AS "Date", lv.j, {srnd('lv.v')} AS v, lv.
 FROM kn JOIN lv ON kn."Store" = lv."Store" AND kn."Date" = lv.d""")
 def q_calendar_spine(spark, sf):
     rp = P.request_to_panel(P.validate_requests(_requests(spark, sf)).where("valid"))
-    sp = P.calendar_spine(rp, store_panel(spark, sf))
+    sp = P.calendar_spine(rp, store_panel(spark, sf, materialize=True))
     return sp.select("request_id", "Store", "Date", "j", rnd("v").alias("v"), "is_history")
 
 
@@ -120,14 +120,14 @@ SELECT kn.request_id, kn."Store", kn."Date", {", ".join(f"{srnd('ff.' + c)} AS {
 FROM kn JOIN ff ON kn."Store" = ff."Store" AND kn."Date" = ff.d""")
 def q_scoring_frame(spark, sf):
     rp = P.request_to_panel(P.validate_requests(_requests(spark, sf)).where("valid"))
-    f = P.request_window_features(rp, store_panel(spark, sf))
+    f = P.request_window_features(rp, store_panel(spark, sf, materialize=True))
     return f.select("request_id", "Store", "Date", *[rnd(c).alias(c) for c in _WIN], "Promo_x_SchoolHoliday")
 
 
 @query("batch_score")
 def q_batch_score(spark, sf):
     """Every request of the table scored in one plan."""
-    sc = fit_scorer(store_panel(spark, sf), n_boot=30)
+    sc = fit_scorer(store_panel(spark, sf, materialize=True), n_boot=30)
     return sc.score(_requests(spark, sf))
 
 
@@ -190,7 +190,7 @@ SELECT unk.request_id, {cols}, true AS used_fallback FROM unk CROSS JOIN med"""
 def q_scoring_fallback(spark, sf):
     """P5: unknown-store requests scored on the training-median vector."""
     from tillcast.plans.training import FEATURES, model_frames
-    md = model_frames(store_panel(spark, sf))
+    md = model_frames(store_panel(spark, sf, materialize=True))
     valid = P.validate_requests(_requests(spark, sf)).where("valid")
     fb = P.fallback_rows(P.unknown_store(valid, store_panel(spark, sf)), md.medians, FEATURES)
     return fb.select("request_id", *[rnd(c, 6).alias(c) for c in FEATURES], "used_fallback")
@@ -246,7 +246,7 @@ def q_scoring_features(spark, sf):
     """P4 + P5: the 29 model inputs per valid request (unknown stores: training medians)."""
     from tillcast.plans.scoring import request_features
     from tillcast.plans.training import FEATURES, model_frames
-    hist = store_panel(spark, sf)
+    hist = store_panel(spark, sf, materialize=True)
     x = request_features(_requests(spark, sf), hist, model_frames(hist))
     return x.select("request_id", *[rnd(c, 4).alias(c) for c in FEATURES], "used_fallback", "store_id", "date")
 
@@ -268,6 +268,6 @@ def q_psi_model_inputs(spark, sf):
     training matrix vs filled test matrix."""
     from tillcast.operators import drift as M
     from tillcast.plans.training import FEATURES, model_frames
-    md = model_frames(store_panel(spark, sf))
+    md = model_frames(store_panel(spark, sf, materialize=True))
     r = M.psi_report(md.train, md.test, FEATURES)
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")

@@ -10,6 +10,7 @@ by the number of batches, never by rows.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,11 @@ from tillcast.operators.ranks import cumulative_counts, quantiles_from_counts
 from tillcast.session import cut_lineage
 from tillcast.sizing import broadcast_checked
 
+STATES = [T.StructField("mean_residual", T.DoubleType()), T.StructField("std_residual", T.DoubleType()),
+          T.StructField("n_samples", T.LongType()), T.StructField("cusum_pos", T.DoubleType()),
+          T.StructField("cusum_neg", T.DoubleType()), T.StructField("alert", T.StringType()),
+          T.StructField("alert_value", T.DoubleType())]
+SKIPPED = "SKIPPED"
 PSI_CRITICAL = 0.25
 PSI_WARNING = 0.10
 
@@ -54,9 +60,15 @@ def side_value_counts(reference: DataFrame, current: DataFrame | None, features)
     return cut_lineage(vc)
 
 
-def _sizes(vc: DataFrame, min_rows: int) -> DataFrame:
+def _sizes(vc: DataFrame, features) -> DataFrame:
+    """(feature, n_ref, n_cur) of every named feature, those without any value included."""
+    named = vc.sparkSession.createDataFrame([(f,) for f in features], "feature string")  # the caller's list
     s = vc.groupBy("feature").agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
-    return s.where((F.col("n_ref") >= min_rows) & (F.col("n_cur") >= min_rows))
+    return named.join(s, "feature", "left").fillna(0, ["n_ref", "n_cur"])
+
+
+def _enough(min_rows: int) -> F.Column:
+    return (F.col("n_ref") >= min_rows) & (F.col("n_cur") >= min_rows)
 
 
 def psi_status(psi) -> F.Column:
@@ -74,11 +86,11 @@ def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins
     Counts get ``epsilon`` added, are normalised per side, and
     PSI = sum((cur - ref) * ln(cur / ref)). A single distinct breakpoint
     gives PSI 0. Features with fewer than ``min_rows`` non-null values on
-    either side are skipped.
+    either side are reported with status ``SKIPPED`` and no PSI.
     """
     vc = side_value_counts(reference, current, features)
     nf = len(features)  # tables keyed by feature hold at most this many rows
-    sizes = _sizes(vc, min_rows)
+    sizes = _sizes(vc, features)
     probs = [i / n_bins for i in range(n_bins + 1)]
     q = quantiles_from_counts(vc, "feature", "value", "c_ref", probs, buckets, n_groups=nf)
     bp = q.groupBy("feature").agg(F.array_distinct(F.array_sort(F.collect_list("q"))).alias("bp"))  # <= n_bins+1 each
@@ -105,8 +117,9 @@ def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins
     per = Window.partitionBy("feature")  # bins of one feature: at most n_bins rows
     pct = c.select("feature", (F.col("r") / F.sum("r").over(per)).alias("r"), (F.col("u") / F.sum("u").over(per)).alias("u"))
     psi = pct.groupBy("feature").agg(F.sum((F.col("u") - F.col("r")) * F.log(F.col("u") / F.col("r"))).alias("psi"))
-    out = sizes.join(psi, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("PSI"))
-    return out.withColumn("status", psi_status(F.col("PSI"))).orderBy(F.desc("PSI"), "feature")  # one row per feature
+    out = sizes.join(psi, "feature", "left").select("feature", F.when(_enough(min_rows), F.coalesce("psi", F.lit(0.0))).alias("PSI"))
+    status = F.when(F.col("PSI").isNull(), F.lit(SKIPPED)).otherwise(psi_status(F.col("PSI")))
+    return out.withColumn("status", status).orderBy(F.desc("PSI"), "feature")  # one row per feature
 
 
 def _kolmogorov_sf(lam) -> F.Column:
@@ -124,18 +137,20 @@ def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha:
     Counts per (feature, value) first; the empirical CDFs come from exact
     distributed cumulative counts. The p-value uses the asymptotic
     Kolmogorov distribution at sqrt(n m / (n + m)) * D (small samples get
-    the asymptotic value too, unlike an exact small-sample test).
+    the asymptotic value too, unlike an exact small-sample test). Features
+    with fewer than ``min_rows`` non-null values on either side are reported
+    with their sizes and no statistic.
     """
     vc = side_value_counts(reference, current, features)
-    sizes = _sizes(vc, min_rows)
+    sizes = _sizes(vc, features)
     nf = len(features)
     cum = cumulative_counts(vc, "feature", "value", ["c_ref", "c_cur"], buckets, n_groups=nf)
-    d = (cum.join(broadcast_checked(sizes, known_rows=nf), "feature")
-         .groupBy("feature", "n_ref", "n_cur")
+    d = (cum.join(broadcast_checked(sizes.where(_enough(min_rows)), known_rows=nf), "feature").groupBy("feature")
          .agg(F.max(F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))).alias("KS_stat")))
+    d = sizes.join(d, "feature", "left")
     n_r, n_c = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     en = F.sqrt(n_r * n_c / (n_r + n_c))
-    d = d.withColumn("p_value", _kolmogorov_sf(en * F.col("KS_stat")))
+    d = d.withColumn("p_value", F.when(F.col("KS_stat").isNotNull(), _kolmogorov_sf(en * F.col("KS_stat"))))
     return d.withColumn("drift", F.col("p_value") < alpha).orderBy(F.desc("KS_stat"), "feature")
 
 
@@ -155,37 +170,32 @@ def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5) ->
     only the side that fired resets. Output per batch: the sums after the
     update (after reset), the alert type and the sum that fired.
 
-    Implemented as an ordered fold (``aggregate``) over the entity's batch
-    array: exact, native, and the array is bounded by the batch count.
+    The sums depend on every earlier batch of the entity, so an entity's
+    batch summaries (one row per batch, never per input row) are folded in
+    order by one loop over numpy arrays.
     """
-    item = F.struct("batch", "mean_residual", "std_residual", "n_samples")
-    per = batches.groupBy("entity").agg(F.array_sort(F.collect_list(item)).alias("b"))
-    zero = F.struct(F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"),
-                    F.array().cast(T.ArrayType(T.StructType([
-                        T.StructField("batch", batches.schema["batch"].dataType),
-                        T.StructField("mean_residual", T.DoubleType()), T.StructField("std_residual", T.DoubleType()),
-                        T.StructField("n_samples", T.LongType()),
-                        T.StructField("cusum_pos", T.DoubleType()), T.StructField("cusum_neg", T.DoubleType()),
-                        T.StructField("alert", T.StringType()), T.StructField("alert_value", T.DoubleType())]))).alias("out"))
-
-    def step(acc, x):
-        k = F.lit(k_factor) * x["std_residual"]
-        p = F.greatest(F.lit(0.0), acc["pos"] + x["mean_residual"] - k)
-        n = F.greatest(F.lit(0.0), acc["neg"] - x["mean_residual"] - k)
-        fired_p = p > F.lit(threshold)
-        fired_n = ~fired_p & (n > F.lit(threshold))
-        new_p = F.when(fired_p, F.lit(0.0)).otherwise(p)
-        new_n = F.when(fired_n, F.lit(0.0)).otherwise(n)
-        alert = F.when(fired_p, F.lit("POSITIVE_DRIFT")).when(fired_n, F.lit("NEGATIVE_DRIFT"))
-        value = F.when(fired_p, p).when(fired_n, n)
-        row = F.struct(x["batch"].alias("batch"), x["mean_residual"].alias("mean_residual"),
-                       x["std_residual"].alias("std_residual"), x["n_samples"].cast("long").alias("n_samples"),
-                       new_p.alias("cusum_pos"), new_n.alias("cusum_neg"), alert.alias("alert"),
-                       value.cast("double").alias("alert_value"))
-        return F.struct(new_p.alias("pos"), new_n.alias("neg"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    folded = per.select("entity", F.aggregate("b", zero, step)["out"].alias("o"))
-    return folded.select("entity", F.inline("o"))
+    batch_type = batches.schema["batch"].dataType
+    schema = T.StructType([T.StructField("entity", batches.schema["entity"].dataType), T.StructField("batch", batch_type), *STATES])
+
+    def fold(pdf):
+        pdf = pdf.sort_values("batch", kind="stable")
+        mean, std = pdf["mean_residual"].to_numpy(dtype=float), pdf["std_residual"].to_numpy(dtype=float)
+        up, down = np.zeros(len(pdf)), np.zeros(len(pdf))
+        alert, value = [None] * len(pdf), np.full(len(pdf), np.nan)
+        pos = neg = 0.0
+        for i in range(len(pdf)):
+            k = k_factor * std[i]
+            pos, neg = max(0.0, pos + mean[i] - k), max(0.0, neg - mean[i] - k)
+            if pos > threshold:
+                alert[i], value[i], pos = "POSITIVE_DRIFT", pos, 0.0
+            elif neg > threshold:
+                alert[i], value[i], neg = "NEGATIVE_DRIFT", neg, 0.0
+            up[i], down[i] = pos, neg
+        return pdf.assign(cusum_pos=up, cusum_neg=down, alert=alert, alert_value=value)[[f.name for f in schema.fields]]
+
+    out = batches.select("entity", "batch", "mean_residual", "std_residual", F.col("n_samples").cast("long").alias("n_samples"))
+    out = out.groupBy("entity").applyInPandas(fold, schema)
+    return out.withColumn("alert_value", F.when(F.col("alert").isNotNull(), F.col("alert_value")))
 
 
 def monitor_summary(states: DataFrame, drift_window: int = 7) -> DataFrame:

@@ -62,18 +62,43 @@ class OneHot:
 
 
 def fit_one_hot(train: DataFrame, cols, max_levels: int = 1000) -> OneHot:
-    """Levels become output columns, so they are needed on the driver: the
-    distinct set is fetched only after checking its size is bounded."""
+    """Wide form: levels become output columns, so they are needed on the driver and
+    must be few. ``fit_one_hot_long`` serves any number of levels."""
     levels = {}
     for c in cols:
         distinct = train.select(c).where(F.col(c).isNotNull()).distinct()
         vals = distinct.limit(max_levels + 1).collect()
         if len(vals) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels; one-hot is not a fit for it")
+            raise ValueError(f"{c} has more than {max_levels} levels: too many columns; use fit_one_hot_long")
         levels[c] = sorted(str(r[0]) for r in vals)[1:]
     return OneHot(levels)
 
 
+@dataclass
+class OneHotLong:
+    """E2 for any number of levels: ``levels`` is a table (column, level) of the levels that
+    get an indicator; the output has one row per indicator that is set."""
+    cols: list[str]
+    levels: DataFrame
+
+    def transform(self, df: DataFrame, keys) -> DataFrame:
+        """(keys, feature): the set indicators ``column_level`` of every row."""
+        long = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in self.cols]).unpivot(list(keys), self.cols, "column", "level")
+        return (long.join(broadcast_checked(self.levels), ["column", "level"])
+                .select(*keys, F.concat_ws("_", "column", "level").alias("feature")))
+
+
+def fit_one_hot_long(train: DataFrame, cols) -> OneHotLong:
+    """Distinct levels per column without the first in sort order. The levels stay a
+    table (written once), so their number is not bounded."""
+    cols = list(cols)
+    long = train.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "level")
+    found = long.where(F.col("level").isNotNull()).distinct()
+    first = found.groupBy("column").agg(F.min("level").alias("__first"))
+    levels = found.join(F.broadcast(first), "column").where(F.col("level") != F.col("__first"))  # one row per named column
+    return OneHotLong(cols, cut_lineage(levels.select("column", "level")))
+
+
 # ---------------------------------------------------------------- E3 scaler
 @dataclass
 class Scaler:

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from tillcast.sizing import broadcast_checked
 from pyspark.sql import types as T
 
 # Day-of-week labels (1 = Monday).
@@ -203,7 +205,7 @@ def box_stats(df: DataFrame, group: str, col: str = "Sales", accuracy: int | Non
                        "hi_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     x = F.col(col)
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    w = (df.select(group, col).where(x.isNotNull()).join(q, group)
+    w = (df.select(group, col).where(x.isNotNull()).join(broadcast_checked(q), group)
          .groupBy(group).agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
                              F.count_if(~inside).alias("n_outliers"), F.count(F.lit(1)).alias("n")))
     return q.join(w, group).select(group, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")

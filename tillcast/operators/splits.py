@@ -2,7 +2,7 @@
 
 Row positions over the (entity, date) order are computed without a
 single-partition window: per-entity counts (one row per entity) are
-prefix-summed, then joined back and added to the row number inside the
+prefix-summed by ranges, then joined back and added to the row number inside the
 entity, so the row-level window stays partitioned by entity.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcast.session import cut_lineage
 from tillcast.sizing import broadcast_checked
 
 
@@ -38,13 +39,19 @@ def label_time_split(df: DataFrame, months: int = 3, date: str = "Date", name: s
 def row_index(df: DataFrame, entity: str = "Store", order: str = "Date", name: str = "row_idx") -> DataFrame:
     """0-based global position in (entity, order) order.
 
-    The per-entity offset table has one row per entity; it is broadcast
-    behind a size check and otherwise shuffle-joined.
+    The per-entity counts are range-partitioned by entity and written once;
+    sums run inside each range, and only the ranges' totals (one row per
+    partition) are summed in one task. The offset table has one row per
+    entity; it is broadcast behind a size check and otherwise shuffle-joined.
     """
     counts = df.groupBy(entity).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(entity, (F.sum("__n").over(
-        Window.orderBy(entity).rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    offsets = offsets.select(entity, F.coalesce("__off", F.lit(0)).alias("__off"))
+    counts = cut_lineage(counts.repartitionByRange(F.col(entity).asc_nulls_first()).withColumn("__range", F.spark_partition_id()))
+    before = (Window.unboundedPreceding, -1)
+    ranges = counts.groupBy("__range").agg(F.sum("__n").alias("__total"))
+    ranges = ranges.select("__range", F.coalesce(F.sum("__total").over(Window.orderBy("__range").rowsBetween(*before)), F.lit(0)).alias("__start"))
+    inside = F.coalesce(F.sum("__n").over(Window.partitionBy("__range").orderBy(entity).rowsBetween(*before)), F.lit(0))
+    offsets = (counts.withColumn("__off", inside).join(F.broadcast(ranges), "__range")  # a row per partition
+               .select(entity, (F.col("__off") + F.col("__start")).alias("__off")))
     rn = F.row_number().over(Window.partitionBy(entity).orderBy(order))
     return (df.withColumn("__rn", rn).join(broadcast_checked(offsets), entity)
             .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long")).drop("__off", "__rn"))

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from tillcast.operators.ranks import exact_quantiles
 
 
-def _poisson1_thresholds(kmax: int = 12) -> list[float]:
-    """CDF of Poisson(1) at 0..kmax-1 (rule: e^-1 * sum 1/i!)."""
+def _poisson1_thresholds(kmax: int = 19) -> list[float]:
+    """CDF of Poisson(1) at 0..kmax-1 (rule: e^-1 * sum 1/i!). At 18 the CDF is 1 to the 53 bits
+    of the uniform draw, so the inversion is exact."""
     out, acc = [], 0.0
     for k in range(kmax):
         acc += math.exp(-1.0) / math.factorial(k)
@@ -64,9 +65,10 @@ class Ensemble:
         return df.withColumn(name, F.array(*reps))
 
 
-def _moment_partials(n_boot: int, zcols: list[str]):
-    """mapInPandas body: per partition, the Poisson-weighted moments of z = [x, y]
-    for every replica (numpy BLAS), one output row per replica."""
+def _moment_partials(n_boot: int, zcols: list[str], shift: np.ndarray):
+    """mapInPandas body: per partition, the Poisson-weighted moments of z = [x, y] - shift
+    for every replica (numpy BLAS), one output row per replica. The shift (global
+    means) keeps the later subtraction of means from cancelling digits."""
     q = len(zcols)
     iu = np.triu_indices(q)
 
@@ -75,16 +77,18 @@ def _moment_partials(n_boot: int, zcols: list[str]):
         n = np.zeros(n_boot)
         lin = np.zeros((n_boot, q))
         quad = np.zeros((n_boot, q, q))
+        task = 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            z = pdf[zcols].to_numpy(dtype=float)
+            task = int(pdf["__task"].iloc[0])
+            z = pdf[zcols].to_numpy(dtype=float) - shift
             w = np.stack(pdf["__w"].to_numpy()).astype(float)  # rows x replicas
             n += w.sum(axis=0)
             lin += w.T @ z
             for r in range(n_boot):
                 quad[r] += (z * w[:, r:r + 1]).T @ z
-        yield pd.DataFrame({"__r": np.arange(n_boot, dtype=np.int32), "n": n,
+        yield pd.DataFrame({"__r": np.arange(n_boot, dtype=np.int32), "__task": np.full(n_boot, task, dtype=np.int32), "n": n,
                             "s": [np.concatenate([lin[r], quad[r][iu]]) for r in range(n_boot)]})
     return run
 
@@ -103,10 +107,14 @@ def bootstrap_fit(train: DataFrame, features, n_boot: int = 30, alpha: float = 1
     zcols = features + [label]
     w = F.array(*[poisson_weight(keys, F.lit(r), seed) for r in range(n_boot)]).alias("__w")
     src = train.select(*[F.col(c).cast("double").alias(c) for c in zcols], w).dropna(subset=zcols)
-    parts = src.mapInPandas(_moment_partials(n_boot, zcols), "__r int, n double, s array<double>")
-    sums = (parts.groupBy("__r").agg(F.sum("n").alias("n"),
-                                     vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s"))
-            .orderBy("__r").collect())  # n_boot rows of (p+1)(p+4)/2 numbers
+    means = src.agg(*[F.avg(c).alias(c) for c in zcols]).first()
+    shift = np.array([means[c] or 0.0 for c in zcols])
+    parts = src.withColumn("__task", F.spark_partition_id()).mapInPandas(
+        _moment_partials(n_boot, zcols, shift), "__r int, __task int, n double, s array<double>")
+    total = vector_to_array(Summarizer.sum(array_to_vector(F.col("s")))).alias("s")
+    # two rounds: groups of tasks, then replicas
+    sums = parts.groupBy("__r", F.floor(F.col("__task") / 64).alias("__g")).agg(F.sum("n").alias("n"), total)
+    sums = sums.groupBy("__r").agg(F.sum("n").alias("n"), total).orderBy("__r").collect()  # n_boot rows of (p+1)(p+4)/2 numbers
     intercepts, coefs = [], []
     iu = list(zip(*np.triu_indices(p + 1)))
     for r in sums:
@@ -119,12 +127,13 @@ def bootstrap_fit(train: DataFrame, features, n_boot: int = 30, alpha: float = 1
         mu = lin / n
         cov = m / n - np.outer(mu, mu)           # population (co)variances
         sx = np.sqrt(np.clip(np.diag(cov)[:p], 0.0, None))
-        sx[sx == 0] = 1.0
+        sx[sx <= 1e-12 * np.sqrt(np.diag(m)[:p] / n)] = 1.0
         cxx = cov[:p, :p] * n / np.outer(sx, sx)  # centred, standardised X'X
         cxy = cov[:p, p] * n / sx
         ws = np.linalg.solve(cxx + alpha * np.eye(p), cxy)
         coef = ws / sx
-        intercepts.append(float(mu[p] - coef @ mu[:p]))
+        centre = mu + shift
+        intercepts.append(float(centre[p] - coef @ centre[:p]))
         coefs.append([float(v) for v in coef])
     return Ensemble(features, intercepts, coefs)
 

@@ -8,6 +8,7 @@ is what local runs and tests need.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,12 +63,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Used before loops that would otherwise grow the plan (iterative VIF
-    elimination, cross-validation folds). Survives executor loss because
-    the data lives in the shared folder, not on executors.
+    Cuts the lineage the way ``checkpoint()`` does, but columnar: later
+    reads prune columns and push filters, the size is known to the planner,
+    and a lost executor costs nothing but the tasks it was running.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A written copy of ``df``, for tables that several branches or fits read."""
+    return materialize(df, "tillcast")

@@ -9,41 +9,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Fitted tables (per-category statistics, coefficient rows, breakpoints)
-# hold one row per category/feature/replica. Beyond this many rows a hash
-# join is the safer plan.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-# Optimizer size estimate under which a side is broadcast without reading it.
-DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (the statistic behind
-    ``autoBroadcastJoinThreshold``; no job runs). Aggregates and filters
-    inherit their input's size, so it errs on the large side."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` iff it is provably small; otherwise leave the join to
-    a shuffle.
-
-    Checks, cheapest first: ``known_rows``, a bound the caller can prove
-    from how ``df`` was built (one row per feature of a fixed list); the
-    optimizer's size estimate; and finally ``limit(max_rows + 1).count()``,
-    which stops reading as soon as the bound is exceeded.
+# A side is broadcast up to this many bytes, counted as rows times row width.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+# Bytes counted for a field by its kind.
+_FIELD, _TEXT, _NESTED = 16, 96, 1024
+
+
+def row_width(df: DataFrame) -> int:
+    """Bytes counted for a row of ``df``, from its schema (texts and nested values at a generous size)."""
+    def width(t: T.DataType) -> int:
+        if isinstance(t, T.StructType):
+            return sum(width(f.dataType) for f in t.fields)
+        if isinstance(t, (T.ArrayType, T.MapType)):
+            return _NESTED
+        return _TEXT if isinstance(t, (T.StringType, T.BinaryType)) else _FIELD
+    return 32 + sum(width(f.dataType) for f in df.schema.fields)
+
+
+def broadcast_checked(df: DataFrame, known_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` iff it is provably small; otherwise leave the join to a shuffle.
+
+    The bound is on rows times row width. ``known_rows`` is a number of rows
+    the caller can prove from how ``df`` was built (one row per feature of a
+    fixed list); else ``limit(bound + 1).count()`` counts them, which stops
+    reading as soon as the bound is exceeded.
     """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return df
+    most = max(1, max_bytes // row_width(df))
+    rows = known_rows if known_rows is not None else df.limit(most + 1).count()
+    return F.broadcast(df) if rows <= most else df

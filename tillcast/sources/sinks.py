@@ -29,12 +29,14 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def read_json_report(spark: SparkSession, path: str, schema=None, form: str = "lines") -> DataFrame:
+def read_json_report(spark: SparkSession, path: str, schema=None, form: str | None = None) -> DataFrame:
     """Read a JSON report. ``form`` is ``lines`` (what ``write_json`` writes: a record per
-    line) or ``array`` (each file one array of records, possibly indented)."""
-    if form not in ("lines", "array"):
-        raise ValueError(f"unknown form of JSON report: {form}")
-    r = spark.read.option("multiLine", form == "array")
+    line) or ``array`` (each file one array of records, possibly indented); by
+    default the first character of the report tells."""
+    if form is None:
+        first = spark.read.text(path).where(F.trim("value") != "").limit(1).collect()
+        form = "array" if first and first[0]["value"].lstrip().startswith("[") else "lines"
+    r = spark.read.option("multiLine", {"lines": False, "array": True}[form])
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)

@@ -68,13 +68,13 @@ def _state_holiday(d: Column) -> Column:
             .otherwise(F.lit("0")))
 
 
-def store_panel(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def store_panel(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """Store-day panel derived from the driver tables.
 
-    The panel is an aggregate (entities x days), tiny next to ``orders``.
-    With ``materialize`` it is written once to the checkpoint folder, so
-    the many branches of a job (cutoffs, fits, joins, scalar statistics)
-    read it instead of re-joining and re-scanning the raw tables.
+    By default the panel is a plan: filters and column pruning of its
+    consumer reach the raw scans. With ``materialize`` it is written once to
+    the checkpoint folder, for jobs whose many branches (cutoffs, fits, joins,
+    scalar statistics) would otherwise re-join the raw tables.
 
     Plan shape: orders (4 columns) join customer (2 columns) on the customer
     key (sort-merge at scale, AQE splits hot customers), then one aggregate

@@ -101,19 +101,26 @@ def cusum_stream(events: DataFrame, entity: str, ts: str, residual, threshold: f
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str | None = None) -> DataFrame:
-    """Drive a streaming DataFrame over all available input (availableNow) into a
-    memory table and return it as a batch DataFrame. The stream checkpoint
-    goes under ``spark.checkpoint.dir``."""
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Drive a streaming DataFrame over all available input (availableNow) into
+    Parquet files under ``spark.checkpoint.dir`` (exactly once) and read them back.
+    The session's state store setting is put back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
     name = name or f"tc_stream_{uuid.uuid4().hex[:8]}"
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/rows")
+             .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{base}/rows")
 
 
 def event_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
