@@ -363,7 +363,7 @@ def test_artifact_roundtrip(spark, tmp_path):
     assert sinks.load_table(spark, str(tmp_path / "enc")).collect() == t.collect()
 
 
-def test_batch_scoring_end_to_end(spark):
+def test_batch_scoring_end_to_end(spark, tmp_path):
     """Routing follows the fitted threshold, predictions are clamped at 0,
     unknown stores use the fallback vector, every valid request is scored once."""
     from tillcast.plans.scoring import ACCURATE_LABEL, FAST_LABEL, fit_scorer
@@ -395,6 +395,19 @@ def test_batch_scoring_end_to_end(spark):
         assert r["predicted_sales"] >= 0.0
         assert r["model_used"] == (ACCURATE_LABEL if r["uncertainty"] > sc.threshold else FAST_LABEL)
         assert r["lower_bound"] <= r["upper_bound"]
+    # saved and loaded: equal scores; a missing model leaves the other one
+    from dataclasses import replace
+
+    from tillcast.sources.sinks import load_scorer, save_scorer
+    save_scorer(sc, str(tmp_path / "scorer"))
+    again = load_scorer(spark, str(tmp_path / "scorer"))
+    assert sorted(again.score(req).collect()) == sorted(out.values())
+    for part, label in (({"fast": None}, ACCURATE_LABEL), ({"accurate": None}, FAST_LABEL)):
+        save_scorer(replace(sc, **part), str(tmp_path / label[:4]))
+        one = load_scorer(spark, str(tmp_path / label[:4])).score(req).collect()
+        assert len(one) == 3 and {r["model_used"] for r in one} == {label}
+    with pytest.raises(ValueError):
+        replace(sc, fast=None, accurate=None).score(req)
 
 
 def test_as_of_scoring_sees_only_the_past(spark):

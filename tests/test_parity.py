@@ -11,9 +11,8 @@ from tests.parity import compare, duck
 
 SF = "/root/testdata/sf0.001"
 ORACLE = oracle_sql()
-# model-fitting queries checked by dedicated unit tests (runtime: many fits)
-SLOW = {"model_compare", "learning_curve", "gbt_fit", "ts_cv", "batch_score", "scoring_features",
-        "bootstrap_interval", "bootstrap_fit", "ols_fit", "ridge_fit", "lasso_fit", "enet_fit", "importance"}
+# many boosted trees: one job per tree level on a local master, minutes; the driver runs them
+SLOW = {"model_compare", "gbt_fit", "batch_score"}
 
 
 @pytest.fixture(scope="module")
@@ -21,13 +20,16 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+LLM = {n for n in queries() if n == "pipeline" or n.startswith("op")}  # tested in tests/llm
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LLM))
 def test_oracle(spark, con, name):
     ok, msg, _ = compare(spark, con, name, queries()[name], ORACLE[name], SF)
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(ORACLE) - SLOW - LLM))
 def test_runs(spark, name):
     assert queries()[name](spark, SF).count() >= 0
 

@@ -245,16 +245,19 @@ def _events_batches(spark, sf):
     return M.residual_batches(ev, "event_type", F.to_date("ts"), F.col("value") - F.lit(_BASE))
 
 
-def _cusum_sql():
+_EVENT_BATCHES = f"""b AS (SELECT event_type AS entity, CAST(ts AS DATE) AS batch, avg(value - {_BASE}) AS m,
+        stddev_pop(value - {_BASE}) AS s, count(value - {_BASE}) AS n FROM events GROUP BY 1, 2)"""
+
+
+def _cusum_sql(batches: str = f"WITH RECURSIVE {_EVENT_BATCHES}", kf: float = _KF):
     def step(pp, nn):
-        p = f"greatest(0.0, ({pp} + bi.m) - {_KF} * bi.s)"
-        n = f"greatest(0.0, ({nn} - bi.m) - {_KF} * bi.s)"
+        p = f"greatest(0.0, ({pp} + bi.m) - {kf} * bi.s)"
+        n = f"greatest(0.0, ({nn} - bi.m) - {kf} * bi.s)"
         return f"""CASE WHEN {p} > {_THR} THEN 0.0 ELSE {p} END AS pos,
             CASE WHEN {p} > {_THR} THEN {n} WHEN {n} > {_THR} THEN 0.0 ELSE {n} END AS neg,
             CASE WHEN {p} > {_THR} THEN 'POSITIVE_DRIFT' WHEN {n} > {_THR} THEN 'NEGATIVE_DRIFT' END AS alert,
             CASE WHEN {p} > {_THR} THEN {p} WHEN {n} > {_THR} THEN {n} END AS alert_value"""
-    return f"""WITH RECURSIVE b AS (SELECT event_type AS entity, CAST(ts AS DATE) AS batch, avg(value - {_BASE}) AS m,
-        stddev_pop(value - {_BASE}) AS s, count(value - {_BASE}) AS n FROM events GROUP BY 1, 2),
+    return f"""{batches},
     bi AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY batch) AS i FROM b),
     r AS (SELECT bi.entity, bi.i, bi.batch, bi.m, bi.s, bi.n, {step('0.0', '0.0')} FROM bi WHERE bi.i = 1
           UNION ALL
@@ -339,3 +342,53 @@ def q_ks_report(spark, sf):
     k = M.ks_report(ref, cur, _PSI_FEATURES)
     return k.select("feature", "n_ref", "n_cur", rnd("KS_stat", 6).alias("KS_stat"),
                     rnd("p_value", 6).alias("p_value"), "drift")
+
+
+# ---------------------------------------------------------------- composed flows
+def _baseline_residuals(spark, sf):
+    """Residuals of the lag-7 forecaster on all open days (missing lags at their median)."""
+    o = B.drop_closed(_features(spark, sf), keep_flag=True)
+    o = B.fill_with(o, B.train_medians(o, ["lag_7"]), ["lag_7"])
+    return o.select("Store", "Date", (F.col("Sales") - F.col("lag_7")).alias("residual"))
+
+
+_MONTH_BATCHES = with_panel(FEAT, 'o AS (SELECT * FROM feat WHERE "Open" = 1)', "med AS (SELECT quantile_cont(lag_7, 0.5) AS v FROM o)",
+                            """b AS (SELECT CAST("Store" AS VARCHAR) AS entity, CAST(date_trunc('month', "Date") AS DATE) AS batch,
+    avg("Sales" - coalesce(lag_7, v)) AS m, stddev_pop("Sales" - coalesce(lag_7, v)) AS s, count(*) AS n FROM o, med GROUP BY 1, 2)""")
+
+
+@query("monitor_flow", _cusum_sql(_MONTH_BATCHES.replace("WITH ", "WITH RECURSIVE ", 1).rstrip(), 0.5) + f"""
+SELECT entity, batch, {srnd('m')} AS mean_residual, {srnd('s')} AS std_residual, n AS n_samples,
+       {srnd('pos')} AS cusum_pos, {srnd('neg')} AS cusum_neg, alert, {srnd('alert_value')} AS alert_value FROM r""")
+def q_monitor_flow(spark, sf):
+    """Forecast residuals -> monthly batches per store -> CUSUM with k = 0.5 std."""
+    res = _baseline_residuals(spark, sf).withColumn("Store", F.col("Store").cast("string"))
+    c = M.cusum(M.residual_batches(res, "Store", F.trunc("Date", "month"), F.col("residual")), threshold=_THR, k_factor=0.5)
+    return c.select("entity", "batch", *[rnd(x).alias(x) for x in ("mean_residual", "std_residual")], "n_samples",
+                    rnd("cusum_pos").alias("cusum_pos"), rnd("cusum_neg").alias("cusum_neg"), "alert", rnd("alert_value").alias("alert_value"))
+
+
+@query("report_roundtrip", _PANEL_PSI_SQL)
+def q_report_roundtrip(spark, sf):
+    """A3: the PSI report written as JSON into the shared folder and read back."""
+    import uuid
+
+    from tillcast.session import ensure_checkpoint_dir
+    from tillcast.sources.sinks import read_json_report, write_json
+    ref, cur = _panel_sides(spark, sf)
+    report = M.psi_report(ref, cur, _PSI_FEATURES).select("feature", "PSI", "status")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    write_json(report, path)
+    return read_json_report(spark, path, report.schema).select("feature", rnd("PSI", 6).alias("PSI"), "status")
+
+
+@query("vif_drop_collinear", with_panel(FEAT) + f"""
+SELECT unnest(['lag_7', 'momentum', 'rolling_mean_7']) AS feature, unnest([true, false, false]) AS dropped,
+       unnest([NULL, v, v]) AS "VIF"
+FROM (SELECT {srnd('1 / (1 - power(corr(rolling_mean_7 - lag_7, rolling_mean_7), 2))', 4)} AS v FROM feat WHERE lag_7 IS NOT NULL AND rolling_mean_7 IS NOT NULL)""")
+def q_vif_drop_collinear(spark, sf):
+    """G20 on a linear combination (momentum = rolling_mean_7 - lag_7): all three are infinite, one goes."""
+    f = _features(spark, sf).withColumn("momentum", F.col("rolling_mean_7") - F.col("lag_7"))
+    f = f.where("lag_7 IS NOT NULL AND rolling_mean_7 IS NOT NULL")
+    out = G.vif_drop(f, ["lag_7", "rolling_mean_7", "momentum"], threshold=1e6)
+    return out.select("feature", "dropped", F.when(~F.col("dropped"), rnd("VIF", 4)).alias("VIF"))

@@ -80,6 +80,15 @@ def q_one_hot(spark, sf):
     return enc.transform(p.select("Store", "Date", "StoreType", "Assortment"))
 
 
+@query("one_hot_long", with_panel() + """
+SELECT "Store", "Date", 'StoreType_' || "StoreType" AS feature FROM panel WHERE "StoreType" <> 'a'
+UNION ALL SELECT "Store", "Date", 'Assortment_' || "Assortment" FROM panel WHERE "Assortment" <> 'basic'""")
+def q_one_hot_long(spark, sf):
+    """E2 in the form without a bound on the number of levels: one row per indicator that is set."""
+    p, train = _train_open(spark, sf)
+    return E.fit_one_hot_long(train, ["StoreType", "Assortment"]).transform(p, ["Store", "Date"])
+
+
 _SCALE = ("Sales", "Customers", "CompetitionDistance")
 
 

@@ -27,8 +27,8 @@ FAST_LABEL, ACCURATE_LABEL = "fast (ridge)", "accurate (gbt)"
 class Scorer:
     history: DataFrame
     data: ModelData
-    fast: R.Fitted
-    accurate: R.Fitted
+    fast: R.Fitted | None
+    accurate: R.Fitted | None
     ensemble: U.Ensemble
     threshold: float
 
@@ -37,12 +37,22 @@ class Scorer:
         return request_features(requests, self.history, self.data)
 
     def score(self, requests: DataFrame) -> DataFrame:
-        """Prediction (clamped at 0), ensemble interval, uncertainty and model used."""
+        """Prediction (clamped at 0), ensemble interval, uncertainty and model used.
+
+        With both models the uncertainty routes; with one of them every request
+        gets that one (the accurate one if it is there); without any it is an error.
+        """
+        if self.fast is None and self.accurate is None:
+            raise ValueError("the scorer has no model")
         x = self.features(requests)
-        x = self.fast.predict(x, "p_fast")
-        x = self.accurate.predict(x, "p_accurate")
+        for model, name in ((self.fast, "p_fast"), (self.accurate, "p_accurate")):
+            x = model.predict(x, name) if model is not None else x.withColumn(name, F.lit(None).cast("double"))
         x = U.interval(self.ensemble.predictions(x))
-        x = U.route(x, self.threshold)
+        if self.fast is not None and self.accurate is not None:
+            x = U.route(x, self.threshold)
+        else:
+            x = x.withColumns({"use_accurate": F.lit(self.accurate is not None),
+                               "prediction": F.coalesce("p_accurate", "p_fast")})
         return x.select("request_id", "store_id", "date",
                         F.greatest(F.lit(0.0), F.col("prediction")).alias("predicted_sales"),
                         F.col("lower").alias("lower_bound"), F.col("upper").alias("upper_bound"),

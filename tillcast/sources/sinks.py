@@ -9,6 +9,7 @@ parquet, parameters as one-row JSON, MLlib models with their own writer.
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,20 +82,59 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _save_model(model, path: str) -> dict | None:
+    """Description of a fitted model; boosted trees are written by MLlib next to it."""
+    if model is None:
+        return None
+    if hasattr(model.model, "raw"):
+        return {"kind": model.kind, "features": model.features, "label": model.label, "linear": asdict(model.model)}
+    if model.kind != "gbt":
+        raise ValueError(f"no writer for a model of kind {model.kind}")
+    model.model.write().overwrite().save(path)
+    return {"kind": model.kind, "features": model.features, "label": model.label, "path": path.rsplit("/", 1)[1]}
+
+
+def _load_model(spec: dict | None, path: str):
+    from pyspark.ml.regression import GBTRegressionModel
+
+    from tillcast.operators.regression import Fitted, Linear
+    if spec is None:
+        return None
+    model = Linear(**spec["linear"]) if "linear" in spec else GBTRegressionModel.load(f"{path}/{spec['path']}")
+    return Fitted(spec["kind"], spec["features"], None, model, spec["label"])
+
+
 def save_scorer(scorer, path: str) -> None:
-    """Persist every fitted artifact of a ``plans.scoring.Scorer``."""
+    """Persist every fitted artifact of a ``plans.scoring.Scorer``, and the history
+    its features look back on."""
     spark = scorer.history.sparkSession
     pre = scorer.data.preprocessor
+    save_table(scorer.history, f"{path}/history")
     save_table(pre.imputer.medians, f"{path}/imputer_medians")
     for c, t in pre.encoder.tables.items():
         save_table(t, f"{path}/encoding_{c}")
+    ens = scorer.ensemble
     save_params(spark, {
-        "imputer": {"target": pre.imputer.target, "group": pre.imputer.group, "global": pre.imputer.global_median},
-        "encoder": {"cols": list(pre.encoder.tables), "global": pre.encoder.global_mean},
-        "medians": scorer.data.medians, "threshold": scorer.threshold,
-        "fast_scaler": {"means": scorer.fast.scaler.means, "stds": scorer.fast.scaler.stds},
-        "ensemble": {"features": scorer.ensemble.features, "intercepts": scorer.ensemble.intercepts,
-                     "coefs": scorer.ensemble.coefs},
+        "imputer": {"target": pre.imputer.target, "group": pre.imputer.group, "global_median": pre.imputer.global_median,
+                    "n_levels": pre.imputer.n_levels},
+        "encoder": {"cols": list(pre.encoder.tables), "global_mean": pre.encoder.global_mean, "suffix": pre.encoder.suffix,
+                    "drop_source": pre.encoder.drop_source, "n_levels": pre.encoder.n_levels},
+        "categorical": pre.categorical, "medians": scorer.data.medians, "threshold": scorer.threshold,
+        "fast": _save_model(scorer.fast, f"{path}/fast_model"), "accurate": _save_model(scorer.accurate, f"{path}/accurate_model"),
+        "ensemble": {"features": ens.features, "intercepts": ens.intercepts, "coefs": ens.coefs},
     }, f"{path}/params")
-    scorer.fast.model.write().overwrite().save(f"{path}/fast_model")
-    scorer.accurate.model.write().overwrite().save(f"{path}/accurate_model")
+
+
+def load_scorer(spark: SparkSession, path: str):
+    """The ``Scorer`` that ``save_scorer`` wrote; a model that was not saved is missing in it too."""
+    from tillcast.operators.encoders import GroupMedian, Preprocessor, TargetEncoding
+    from tillcast.operators.uncertainty import Ensemble
+    from tillcast.plans.scoring import Scorer
+    from tillcast.plans.training import ModelData
+    p = load_params(spark, f"{path}/params")
+    imputer = GroupMedian(medians=load_table(spark, f"{path}/imputer_medians"), **p["imputer"])
+    enc = dict(p["encoder"])
+    tables = {c: load_table(spark, f"{path}/encoding_{c}") for c in enc.pop("cols")}
+    pre = Preprocessor(imputer, TargetEncoding(tables=tables, **enc), p["categorical"])
+    return Scorer(load_table(spark, f"{path}/history"), ModelData(None, None, pre, p["medians"]),
+                  _load_model(p["fast"], path), _load_model(p["accurate"], path), Ensemble(**p["ensemble"]), p["threshold"])
