@@ -17,26 +17,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import bpe, decontaminate, simhash, substring, toxicity
-from tillcast.llm.store import materialize
+from tillcast.llm.store import fresh, materialize
 from tillcast.sources.tables import read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
-    scored = toxicity.classify(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
-    return scored.filter("toxicity < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    score = fresh("_toxicity", docs.columns)
+    scored = toxicity.classify(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]), out=score)
+    return scored.filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id."""
-    return simhash.simhash_groups(docs).filter("is_first").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = fresh("_copies", docs.columns)
+    return simhash.simhash_groups(docs, out=found).filter(F.col(f"{found}.is_first")).drop(found)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without paragraphs that an earlier document holds; a document of
     which nothing is left goes."""
-    done = substring.remove_repeats(docs)
-    shorter = F.col("repeats.removed") > 0
+    found = fresh("_repeats", docs.columns)
+    done = substring.remove_repeats(docs, out=found)
+    shorter = F.col(f"{found}.removed") > 0
     kept = done.filter(~shorter | (F.trim(F.translate("text", "\n\t\r", "   ")) != ""))
     return kept.select(*[F.when(shorter, F.char_length("text").cast("long")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars"
                          else F.col(f"`{c}`") for c in docs.columns])
@@ -45,15 +48,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold benchmark items."""
     bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
-    return decontaminate.remove_documents(decontaminate.find_contamination(docs, bench))
+    found = fresh("_contamination", docs.columns)
+    return decontaminate.remove_documents(decontaminate.find_contamination(docs, bench, out=found), found)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and digests of the ids and of their decoded text."""
-    path = public_tokenizers.path("word_bpe_49k.json")
-    coded = docs.select("doc_id", "text", bpe.encode(F.col("text"), path).alias("ids"))
-    return coded.select("doc_id", "text", "ids", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-                        F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+    """Token ids of every document (little-endian unsigned 32-bit integers), and digests
+    of the ids and of the text decoded from them."""
+    coded = docs.select("doc_id", "text", bpe.encode_and_decode(F.col("text"), public_tokenizers.path("word_bpe_49k.json")).alias("c"))
+    return coded.select("doc_id", "text", F.col("c.ids").alias("ids"), (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("c.ids", 256).alias("ids_sha256"), F.sha2("c.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("substring_dedup", cut_repeats),

@@ -23,10 +23,10 @@ out on decoding; repeated rows and other columns are carried as they are.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNSPLIT = 512           # characters of a pre-token that are encoded in one piece
-CACHE_WORDS = 500_000   # words whose ids a task keeps; the table starts anew beyond it
+CACHE_WORDS = 300_000   # words whose ids a task keeps; the table starts anew beyond it
 CACHED_LENGTH = 48      # longer words are rarely met again
 CHUNK = 1 << 20         # characters of text per round of the word table
 _CODERS: dict[tuple[str, int], Coder] = {}
@@ -59,8 +59,7 @@ class Coder:
         bare = spec | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "decoder": None,
                        "added_tokens": [], "truncation": None, "padding": None}
         self.last = Tokenizer.from_str(json.dumps(bare))
-        # parts before the last one of a pre-token carry no end-of-word mark
-        self.inner = Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
+        self._inner = lambda: Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
         self.suffix = spec["model"]["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("|".join(re.escape(c) for c in self.special)) if self.special else None
@@ -78,6 +77,11 @@ class Coder:
 
     # -- encoding ---------------------------------------------------------
 
+    @cached_property
+    def inner(self):
+        """Tokenizer of the parts before the last one of a pre-token, which carry no end-of-word mark."""
+        return self._inner()
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of whitespace-free words, as little-endian unsigned 32-bit integers."""
         out = [b""] * len(words)
@@ -202,15 +206,19 @@ def coder(path: str, unsplit: int = UNSPLIT) -> Coder:
     return _CODERS[path, unsplit]
 
 
+def _lists(parts: list[bytes]) -> pa.ListArray:
+    """Packed ids as a list array."""
+    ends = np.zeros(len(parts) + 1, dtype=np.int64)
+    np.cumsum([len(p) // 4 for p in parts], out=ends[1:])
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+
+
 def encode(text: Column, path: str, unsplit: int = UNSPLIT) -> Column:
     """Token ids of each text (array of int; empty for null)."""
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def bpe_encode(column: pa.Array) -> pa.Array:
-        parts = coder(path, unsplit).encode_texts(column.to_pylist())
-        ends = np.zeros(len(parts) + 1, dtype=np.int64)
-        np.cumsum([len(p) // 4 for p in parts], out=ends[1:])
-        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+        return _lists(coder(path, unsplit).encode_texts(column.to_pylist()))
     return bpe_encode(text)
 
 
@@ -222,10 +230,20 @@ def decode(ids: Column, path: str) -> Column:
     return bpe_decode(ids)
 
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
-    @F.arrow_udf(T.StringType())
-    def digest(column: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(b"" if x is None else x.values.to_numpy().astype("<u4").tobytes()).hexdigest()
-                         for x in column], pa.string())
-    return digest(ids)
+CODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+
+
+def encode_and_decode(text: Column, path: str, unsplit: int = UNSPLIT) -> Column:
+    """Struct of each text's ids, packed as little-endian unsigned 32-bit integers, and
+    the text decoded from them. One pass, so that the ids are made only once and a
+    task needs one Python worker."""
+    @F.arrow_udf(CODED)
+    def bpe_code(column: pa.Array) -> pa.Array:
+        packed, decoded = [], []
+        for a in range(0, len(column), 512):
+            parts = coder(path, unsplit).encode_texts(column.slice(a, 512).to_pylist())
+            packed.append(pa.array(parts, pa.binary()))
+            decoded.append(coder(path, unsplit).decode_lists(_lists(parts)).cast(pa.string()))
+        return pa.StructArray.from_arrays([pa.concat_arrays(packed) if packed else pa.array([], pa.binary()),
+                                           pa.concat_arrays(decoded) if decoded else pa.array([], pa.string())], names=["ids", "decoded"])
+    return bpe_code(text)

@@ -27,7 +27,7 @@ def register(name: str, sql: str | None = None):
 @register("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
+    return simhash.simhash_groups(docs, keep_text=False).select("doc_id", "near_copies.fingerprint", "near_copies.component_id")
 
 
 OP6_SQL = r"""
@@ -66,9 +66,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    ids = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-                      F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", bpe.encode_and_decode(F.col("text"), path).alias("c"))
+    return coded.select("doc_id", (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"), F.sha2("c.ids", 256).alias("ids_sha256"),
+                        F.sha2("c.decoded", 256).alias("decoded_sha256"))
 
 
 @register("op5_toxicity")
