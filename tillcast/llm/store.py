@@ -1,13 +1,11 @@
-"""Intermediate tables in the shared folder named by ``spark.checkpoint.dir``."""
+"""Column names and intermediate tables of the operators."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.session import materialize  # noqa: F401  (the operators take it from here)
 
 
 def fresh(name: str, taken: list[str]) -> str:
@@ -17,20 +15,19 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def least_by_hash(df: DataFrame, order: str, max_rows: int) -> DataFrame:
+    """The ``max_rows`` rows of the least ``order`` (a uniform 64-bit hash; other columns break ties).
+
+    The rows are counted, and a bound on the hash that leaves about one and a
+    half times ``max_rows`` of them goes before the sort, so what is sorted and
+    sent to one task does not grow with the table or its partitions."""
+    n = df.count()
+    if n > 2 * max_rows:
+        df = df.filter(F.col(order) < int(-(1 << 63) + (1 << 64) * (1.5 * max_rows / n)))
+    return df.orderBy(order, *[c for c in df.columns if c != order]).limit(max_rows)
+
+
 def carried(columns: list[str], *replaced: str) -> list[Column]:
     """The columns that an operator passes on: all but those it replaces."""
     gone = {c.lower() for c in replaced}
     return [F.col(f"`{c}`") for c in columns if c.lower() not in gone]
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    Cuts the lineage the way ``checkpoint()`` does, but columnar: later
-    reads prune columns, the size is known to the planner, and a lost
-    executor costs nothing but the tasks it was running.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

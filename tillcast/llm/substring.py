@@ -39,12 +39,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
-from tillcast.llm.store import fresh, materialize
+from tillcast.llm.packing import packed, unpack
+from tillcast.llm.store import carried, fresh, materialize
 from tillcast.llm.wordhash import mix, range_hasher, text_slices, window_hashes, word_bounds
 
 SHINGLE = 5
@@ -170,18 +172,17 @@ def signature(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands:
 PARAGRAPHS = T.StructType([
     T.StructField("uid", T.LongType()), T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType()),
     T.StructField("digest", T.LongType()), T.StructField("check", T.LongType()),
-    T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("finer", T.ArrayType(T.LongType())),
-    T.StructField("shingles", T.ArrayType(T.LongType()))])
+    T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("packed", T.BinaryType())])
 
 
 def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
     """One row per paragraph (``PARAGRAPHS``); ``marks``: (uid, repeated: array of (pos, n)) of texts with repeated sentences."""
-    joined = docs.select(F.col(uid).alias("uid"), F.col(text).alias("text")).join(marks, "uid", "left")
+    joined = docs.select(F.col(uid).alias("uid"), packed(F.col(text)).alias("packed")).join(marks, "uid", "left")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, at = batch.column("uid").to_numpy(), 0
-            for data, offsets in text_slices(batch.column("text")):
+            for data, offsets in _slices(batch.column("packed")):
                 s = Slice(data, offsets)
                 _, sizes = s.sentence_keys()
                 line_of = np.searchsorted(s.lines, s.sentences[:-1], side="right")
@@ -202,24 +203,67 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
                     found.sort()
                     doc, i, j = np.array(found).T
                     w0, w1 = s.sentences[i], s.sentences[j]
-                    sh = window_hashes(s.words, shingle)
-                    sig = signature(sh, w0, w1 - shingle + 1, bands, rows)
-                    fine = signature(sh, w0, w1 - shingle + 1, 3 * bands, 2 * rows)
-                    sets = [np.unique(sh[x:y - shingle + 1]).view(np.int64) for x, y in zip(w0, w1)]
+                    sig = signature(window_hashes(s.words, shingle), w0, w1 - shingle + 1, bands, rows)
                     check = range_hasher(mix(s.words + np.uint64(1)))(w0, w1)
+                    raw, press = data.tobytes(), zstandard.ZstdCompressor(level=3).compress
+                    texts = [press(raw[x:y]) for x, y in zip(s.starts[w0].tolist(), s.ends[w1 - 1].tolist())]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(uids[at + doc]), pa.array((s.starts[w0] - offsets[doc]).astype(np.int32)),
                         pa.array((s.byte_ends(w1) - offsets[doc]).astype(np.int32)),
                         pa.array(s.hash(w0, w1).view(np.int64)), pa.array(check.view(np.int64)),
-                        pa.array(list(sig.view(np.int64)), pa.list_(pa.int64())), pa.array(list(fine.view(np.int64)), pa.list_(pa.int64())),
-                        pa.array(sets, pa.list_(pa.int64()))], PARAGRAPHS.names)
+                        pa.array(list(sig.view(np.int64)), pa.list_(pa.int64())), pa.array(texts, pa.binary())], PARAGRAPHS.names)
                 at += len(offsets) - 1
     return joined.mapInArrow(scan, PARAGRAPHS)
 
 
-def _similar(a: Column, b: Column, least: float) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return both >= F.lit(least) * (F.size(a) + F.size(b) - both)
+def _slices(packed_: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``text_slices`` of compressed texts, some hundred decompressed at a time."""
+    for a in range(0, len(packed_), 256):
+        yield from text_slices(pa.array([unpack(p) for p in packed_.slice(a, 256).to_pylist()], pa.large_binary()))
+
+
+def _shingle_set(text: bytes, shingle: int) -> frozenset[bytes]:
+    """The word shingles of a paragraph, as they are written (case folded)."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    low, starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
+    raw = low.tobytes()
+    words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    return frozenset(b" ".join(g) for g in zip(*(words[i:] for i in range(shingle))))
+
+
+def similar_column(a: Column, b: Column, least: float, shingle: int) -> Column:
+    """Whether two compressed paragraphs have a Jaccard similarity of ``least`` or more over their shingle sets."""
+    @F.arrow_udf(T.BooleanType())
+    def similar(a_: pa.Array, b_: pa.Array) -> pa.Array:
+        known: dict[bytes, frozenset[bytes]] = {}
+
+        def sets(p: bytes) -> frozenset[bytes]:
+            if p not in known:
+                if len(known) > 2000:
+                    known.clear()
+                known[p] = _shingle_set(unpack(p), shingle)
+            return known[p]
+
+        out = []
+        for p, q in zip(a_.to_pylist(), b_.to_pylist()):
+            x, y = sets(p), sets(q)
+            both = len(x & y)
+            out.append(both >= least * (len(x) + len(y) - both))
+        return pa.array(out, pa.bool_())
+    return similar(a, b)
+
+
+def finer_bands(packed_: Column, shingle: int, bands: int, rows: int) -> Column:
+    """Band keys of compressed paragraphs."""
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def keys(column: pa.Array) -> pa.Array:
+        out = []
+        for data, offsets in _slices(column):
+            s = Slice(data, offsets)
+            sig = signature(window_hashes(s.words, shingle), s.first[:-1], s.first[1:] - shingle + 1, bands, rows)
+            out += list(sig.view(np.int64))
+        return pa.array(out, pa.list_(pa.int64()))
+    return keys(packed_)
 
 
 def _bucket_pairs(banded: DataFrame) -> DataFrame:
@@ -229,27 +273,30 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
     return left.join(right, ["band", "key"]).filter("a < b").select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    out = (pairs.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("_sa")), "a")
-           .join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("_sb")), "b"))
-    return out.withColumn("similar", _similar(F.col("_sa"), F.col("_sb"), least)).drop("_sa", "_sb")
+def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    out = (pairs.join(texts.select(F.col("digest").alias("a"), F.col("packed").alias("_pa")), "a")
+           .join(texts.select(F.col("digest").alias("b"), F.col("packed").alias("_pb")), "b"))
+    return out.withColumn("similar", similar_column(F.col("_pa"), F.col("_pb"), least, shingle)).drop("_pa", "_pb")
 
 
-def links(distinct: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BUCKET_CAP) -> DataFrame:
-    """Verified links (a, b) between distinct paragraphs (digest, n, bands, finer, shingles)."""
+def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BUCKET_CAP, shingle: int = SHINGLE,
+          bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """Verified links (a, b) between distinct paragraphs of ``found`` (digest, bands, packed)."""
+    distinct = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     banded = distinct.select("digest", "n", F.posexplode("bands").alias("band", "key"))
     load = (banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("n", "digest")).alias("top"))
             .filter("members > 1").select("band", "key", "members", F.col("top.digest").alias("leader")))
     met = materialize(banded.select("digest", "band", "key").join(load, ["band", "key"]), "substring-buckets")
+    # only paragraphs that share a bucket are ever compared
+    texts = found.select("digest", "packed").join(met.select("digest").distinct(), "digest", "left_semi")
+    texts = materialize(texts.groupBy("digest").agg(F.first("packed").alias("packed")), "substring-compared")
     pairs = _bucket_pairs(met.filter(F.col("members") <= bucket_cap))
     star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")))
     star = star.select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
-    sets = distinct.select("digest", "shingles")
-    tried = materialize(_verified(star, sets, similarity), "substring-leaders")
-    parted = tried.filter("NOT similar").select(F.col("b").alias("digest")).distinct()
-    finer = distinct.select("digest", F.posexplode("finer").alias("band", "key")).join(parted, "digest", "left_semi")
-    again = _bucket_pairs(finer)
-    near = _verified(pairs.unionByName(again).distinct(), sets, similarity).filter("similar").select("a", "b")
+    tried = materialize(_verified(star, texts, similarity, shingle), "substring-leaders")
+    parted = texts.join(tried.filter("NOT similar").select(F.col("b").alias("digest")).distinct(), "digest", "left_semi")
+    again = _bucket_pairs(parted.select("digest", F.posexplode(finer_bands(F.col("packed"), shingle, 3 * bands, 2 * rows)).alias("band", "key")))
+    near = _verified(pairs.unionByName(again).distinct(), texts, similarity, shingle).filter("similar").select("a", "b")
     return near.unionByName(tried.filter("similar").select("a", "b"))
 
 
@@ -268,10 +315,7 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
     named = found.select("uid", "begin", "end", "digest", "check").join(
         docs.select(F.col(uid).alias("uid"), F.col(f"`{id_col}`").alias("id")), "uid")
     classes = materialize(named.groupBy("digest", "check").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")), "substring-classes")
-    content = (found.select("digest", "bands", "finer", "shingles").dropDuplicates(["digest"])
-               .join(classes.groupBy("digest").agg(F.sum("n").alias("n")), "digest"))
-    content = materialize(content, "substring-distinct")
-    roots = connected_components(spark, links(content, similarity, bucket_cap))
+    roots = connected_components(spark, links(found, similarity, bucket_cap, shingle, bands, rows))
     labelled = classes.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     heads = labelled.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("total")).filter("total > 1")
     plan = labelled.join(heads, "root").select("digest", "check", "head")
@@ -284,15 +328,16 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
 CUT = T.StructType([T.StructField("text", T.StringType()), T.StructField("removed", T.LongType()), T.StructField("runs", T.LongType())])
 
 
-def cut_column(text: Column, spans: Column) -> Column:
-    """The text without its spans, the bytes removed and the number of maximal removed runs."""
+def cut_column(packed_: Column, spans: Column) -> Column:
+    """The text of compressed bytes without its spans, the bytes removed and the number of maximal removed runs."""
     @F.arrow_udf(CUT)
     def cut(column: pa.Array, spans_: pa.Array) -> pa.Array:
         texts, removed, runs = [], [], []
-        for t, s in zip(column.to_pylist(), spans_.to_pylist()):
+        for p, s in zip(column.to_pylist(), spans_.to_pylist()):
             gone = n = 0
+            t = None if p is None else unpack(p)
             if t is not None and s:
-                raw, kept, at = t.encode("utf-8"), [], 0
+                raw, kept, at = t, [], 0
                 for x in s:
                     if x["end"] <= at:
                         continue
@@ -301,13 +346,13 @@ def cut_column(text: Column, spans: Column) -> Column:
                         n += 1
                     gone += x["end"] - max(at, x["begin"])
                     at = x["end"]
-                t = b"".join([*kept, raw[at:]]).decode("utf-8")
-            texts.append(t)
+                t = b"".join([*kept, raw[at:]])
+            texts.append(None if t is None else t.decode("utf-8"))
             removed.append(gone)
             runs.append(n)
         return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64())],
                                           names=["text", "removed", "runs"])
-    return cut(text, spans)
+    return cut(packed_, spans)
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", out: str = "repeats", **options) -> DataFrame:
@@ -318,8 +363,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
     spans = repeated_spans(numbered, uid, text_col, id_col, **options)
     spans = materialize(spans.withColumnRenamed("uid", f"{uid}r").withColumnRenamed("spans", f"{uid}s").withColumnRenamed("kept_in", f"{uid}k"), "substring-spans")
-    joined = numbered.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
-    done = joined.withColumn(f"{uid}c", cut_column(F.col(f"`{text_col}`"), F.col(f"{uid}s")))
+    texts = numbered.select(*carried(docs.columns, out, text_col), uid, packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
+    joined = texts.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
+    done = joined.withColumn(f"{uid}c", cut_column(F.col(f"{uid}p"), F.col(f"{uid}s")))
     own = [F.col(f"{uid}c.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
     return done.select(*own, F.struct(F.col(f"{uid}c.removed").alias("removed"), F.col(f"{uid}c.runs").alias("runs"),
                                       F.coalesce(F.col(f"{uid}k"), F.array().cast(spans.schema[f"{uid}k"].dataType)).alias("kept_in")).alias(out))

@@ -36,11 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.packing import packed, unpack
 from tillcast.llm.store import carried, fresh, materialize
 from tillcast.llm.wordhash import mix, range_hasher, text_slices
 
@@ -209,34 +209,30 @@ def run_rows(docs: DataFrame, uid: str, text: str, length: int, gram: int) -> Da
     return docs.select(uid, text).mapInArrow(scan, "uid long, first int, last int, key long, digest long, again boolean")
 
 
-def _packed(text: Column) -> Column:
-    """Zstandard-compressed bytes of a text, for the shuffle."""
-    @F.arrow_udf(T.BinaryType())
-    def pack(column: pa.Array) -> pa.Array:
-        press = zstandard.ZstdCompressor(level=3).compress
-        return pa.array((None if t is None else press(t.encode("utf-8")) for t in column.to_pylist()), pa.binary())
-    return pack(text)
-
-
-def _unpack(packed: bytes | None) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed) if packed is not None else b""
-
-
 def context_rows(docs: DataFrame, wanted: DataFrame, uid: str, text: str, length: int) -> DataFrame:
     """(uid, first, key, n, context bytes) of the wanted runs (uid, first, last, key, n)."""
     lists = wanted.groupBy("uid").agg(F.collect_list(F.struct("first", "last", "key", "n")).alias("runs"))  # the runs of one text
-    packed = docs.select(F.col(uid).alias("uid"), _packed(F.col(text)).alias("packed"))
+    texts = docs.select(F.col(uid).alias("uid"), packed(F.col(text)).alias("packed"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["uid", "first", "key", "n", "context"])
+
+        rows, size = [], 0
         for batch in batches:
             for u, p, runs in zip(batch.column("uid").to_pylist(), batch.column("packed").to_pylist(), batch.column("runs").to_pylist()):
-                raw = _unpack(p)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([u] * len(runs), pa.int64()), pa.array([r["first"] for r in runs], pa.int32()),
-                    pa.array([r["key"] for r in runs], pa.int64()), pa.array([r["n"] for r in runs], pa.int64()),
-                    pa.array([raw[r["first"]:r["last"] + length] for r in runs], pa.binary())], ["uid", "first", "key", "n", "context"])
+                raw = unpack(p)
+                for r in runs:
+                    rows.append((u, r["first"], r["key"], r["n"], raw[r["first"]:r["last"] + length]))
+                    size += len(rows[-1][4])
+                if size > _SLICE:
+                    yield flush(rows)
+                    rows, size = [], 0
+        if rows:
+            yield flush(rows)
 
-    return packed.join(lists, "uid").mapInArrow(scan, "uid long, first int, key long, n long, context binary")
+    return texts.join(lists, "uid").mapInArrow(scan, "uid long, first int, key long, n long, context binary")
 
 
 def shard_spans(contexts: DataFrame, shards: int, length: int, shard_bytes: int) -> DataFrame:
@@ -267,14 +263,21 @@ def shard_spans(contexts: DataFrame, shards: int, length: int, shard_bytes: int)
 def hot_spans(contexts: DataFrame, length: int) -> DataFrame:
     """The same for keys of very many contexts: windows counted by a 128-bit hash."""
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0  # contexts of the batch so far
         for batch in batches:
-            for uid, first, n, c in zip(*(batch.column(x).to_pylist() for x in ("uid", "first", "n", "context"))):
-                data = np.frombuffer(c, dtype=np.uint8)
-                at = np.arange(len(data) - length + 1)
+            # all contexts of the batch as one run of bytes; windows inside one context only
+            for data, offsets in text_slices(batch.column("context"), _SLICE):
+                at = np.arange(max(0, len(data) - length + 1))
+                whose = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                at = at[whose[at] == whose[at + length - 1]] if len(at) else at
+                row = done + whose[at] if len(at) else at
                 h1, h2 = range_hasher(data)(at, at + length), range_hasher(mix(data.astype(np.uint64) + np.uint64(7)))(at, at + length)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), uid)), pa.array((first + at).astype(np.int32)),
-                                                  pa.array(np.full(len(at), n)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                                                 ["uid", "begin", "n", "h1", "h2"])
+                begin = batch.column("first").to_numpy()[row] + at - offsets[row - done]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(batch.column("uid").to_numpy()[row]), pa.array(begin.astype(np.int32)), pa.array(batch.column("n").to_numpy()[row]),
+                    pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], ["uid", "begin", "n", "h1", "h2"])
+                done += len(offsets) - 1
+            done = 0
 
     rows = contexts.mapInArrow(windows, "uid long, begin int, n long, h1 long, h2 long")
     often = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
@@ -308,12 +311,12 @@ KEPT = T.StructType([T.StructField("kept", T.BinaryType()), T.StructField("n_byt
                      T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType())])
 
 
-def _cut_column(packed: Column, spans: Column) -> Column:
+def _cut_column(texts: Column, spans: Column) -> Column:
     @F.arrow_udf(KEPT)
     def cut(packed_: pa.Array, spans_: pa.Array) -> pa.Array:
         kept, size, removed, runs = [], [], [], []
         for p, s in zip(packed_, spans_):
-            raw = _unpack(p.as_py())
+            raw = unpack(p.as_py())
             parts, at, gone, n = [], 0, 0, 0
             if s.is_valid and len(s.values):
                 begin, end = s.values.field("begin").to_numpy(), s.values.field("end").to_numpy()
@@ -333,7 +336,7 @@ def _cut_column(packed: Column, spans: Column) -> Column:
             runs.append(n)
         return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, removed, runs))],
                                           names=[f.name for f in KEPT.fields])
-    return cut(packed, spans)
+    return cut(texts, spans)
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", out: str = "unique", **options) -> DataFrame:
@@ -343,6 +346,6 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", out: str = "unique",
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
     spans = materialize(repeated_spans(numbered, uid, text_col, **options), "suffix-spans").select(F.col("uid").alias(f"{uid}r"), F.col("spans").alias(f"{uid}s"))
     own = carried(docs.columns, out, text_col)
-    packed = numbered.select(*own, uid, _packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
-    joined = packed.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
+    texts = numbered.select(*own, uid, packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
+    joined = texts.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
     return joined.select(*own, _cut_column(F.col(f"{uid}p"), F.col(f"{uid}s")).alias(out))

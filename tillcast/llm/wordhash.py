@@ -42,6 +42,12 @@ def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tupl
         i = j
 
 
+def each_text(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """The texts one by one; only some hundred of them are Python strings at a time."""
+    for a in range(0, len(column), rows):
+        yield from column.slice(a, rows).to_pylist()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser: spreads every input bit over the whole word."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
