@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.store import least_by_hash, materialize
+
 MAX_ROWS = 8_000
 ROUNDS = 3
 PIECE_CHARS = 12       # longest piece that is looked up
@@ -178,10 +180,10 @@ def words_column(text: Column) -> Column:
 def fit(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         max_rows: int = MAX_ROWS, rounds: int = ROUNDS) -> list[tuple[str, int, np.ndarray]]:
     """(language, training texts, piece probabilities) for every language of ``docs``."""
-    some = (docs.filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
-            .select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
-                    F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).alias("_order"))
-            .orderBy("_order").limit(max_rows).repartition("_order"))
+    labelled = (docs.filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
+                .select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
+                        F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).alias("_order")))
+    some = materialize(least_by_hash(labelled, "_order", max_rows).repartition(8), "language-sample")
     sizes = some.groupBy("lang").agg(F.count(F.lit(1)).alias("n_texts"))
     counted = (some.select("lang", F.explode(words_column(F.col("text"))).alias("word"))
                .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -210,9 +212,8 @@ def predict_column(text: Column, model, path: str) -> Column:
             state["probs"], state["rows"], state["chars"], state["scores"] = (
                 np.stack([m[2] for m in model.value], axis=1), {}, 0, np.zeros((1 << 16, len(names))))
         langs, scores = [], []
-        texts = column.to_pylist()
-        for a in range(0, len(texts), 256):
-            found = [LETTERS.findall((t or "").lower()) for t in texts[a:a + 256]]
+        for a in range(0, len(column), 256):
+            found = [LETTERS.findall((t or "").lower()) for t in column.slice(a, 256).to_pylist()]
             if not names:
                 langs += [UNDETERMINED] * len(found)
                 scores += [0.0] * len(found)

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.store import least_by_hash, materialize
 from tillcast.llm.wordhash import mix, owner, range_hasher, text_slices, word_bounds
 
 MAX_ROWS = 10_000
@@ -98,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
            .groupBy(F.col(f"`{id_col}`").alias("_id")).agg(F.max(F.col(label_col)).cast("double").alias("_label"))
            .withColumn("_order", F.xxhash64(F.col("_id").cast("string"))))
     text = docs.filter(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    chosen = lab.orderBy("_order", "_id").limit(max_rows)  # at most max_rows narrow rows
+    chosen = materialize(least_by_hash(lab, "_order", max_rows), "toxicity-sample")  # at most max_rows narrow rows
     picked = text.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select("_order", "_id", "_label", "_text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
