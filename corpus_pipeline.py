@@ -55,9 +55,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit integers), and digests
     of the ids and of the text decoded from them."""
-    coded = docs.select("doc_id", "text", bpe.encode_and_decode(F.col("text"), public_tokenizers.path("word_bpe_49k.json")).alias("c"))
-    return coded.select("doc_id", "text", F.col("c.ids").alias("ids"), (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"),
-                        F.sha2("c.ids", 256).alias("ids_sha256"), F.sha2("c.decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode_and_decode(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "text", F.col("coded.ids").alias("ids"), (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_copies), ("substring_dedup", cut_repeats),

@@ -31,11 +31,14 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.store import carried
+
 UNSPLIT = 512           # characters of a pre-token that are encoded in one piece
+ROWS_OUT = 512          # rows of an outgoing batch
 CACHE_WORDS = 300_000   # words whose ids a task keeps; the table starts anew beyond it
 CACHED_LENGTH = 48      # longer words are rarely met again
 CHUNK = 1 << 20         # characters of text per round of the word table
@@ -230,20 +233,25 @@ def decode(ids: Column, path: str) -> Column:
     return bpe_decode(ids)
 
 
-CODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
-
-
-def encode_and_decode(text: Column, path: str, unsplit: int = UNSPLIT) -> Column:
-    """Struct of each text's ids, packed as little-endian unsigned 32-bit integers, and
-    the text decoded from them. One pass, so that the ids are made only once and a
-    task needs one Python worker."""
-    @F.arrow_udf(CODED)
-    def bpe_code(column: pa.Array) -> pa.Array:
-        packed, decoded = [], []
-        for a in range(0, len(column), 512):
-            parts = coder(path, unsplit).encode_texts(column.slice(a, 512).to_pylist())
-            packed.append(pa.array(parts, pa.binary()))
-            decoded.append(coder(path, unsplit).decode_lists(_lists(parts)).cast(pa.string()))
-        return pa.StructArray.from_arrays([pa.concat_arrays(packed) if packed else pa.array([], pa.binary()),
-                                           pa.concat_arrays(decoded) if decoded else pa.array([], pa.string())], names=["ids", "decoded"])
-    return bpe_code(text)
+def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", out: str = "coded", unsplit: int = UNSPLIT) -> DataFrame:
+    """``df`` plus a struct ``out`` (a column of that name is replaced): ids, packed as
+    little-endian unsigned 32-bit integers, and decoded, the text made from them.
+
+    One pass over the rows: the ids are made once, a task needs one Python
+    worker, and rows leave in small batches however large the incoming ones are."""
+    own = df.select(*carried(df.columns, out))
+    at, plain = own.columns.index(text_col), [f"c{i}" for i in range(len(own.columns) + 1)]  # names without dots inside
+    coded = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+    types = [f.dataType for f in own.schema.fields] + [coded]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, len(batch), ROWS_OUT):
+                part = batch.slice(a, ROWS_OUT)
+                ids = coder(path, unsplit).encode_texts(part.column(at).to_pylist())
+                both = pa.StructArray.from_arrays([pa.array(ids, pa.binary()), coder(path, unsplit).decode_lists(_lists(ids)).cast(pa.string())],
+                                                  names=["ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, both], names=plain)
+
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(plain, types)])
+    return own.toDF(*plain[:-1]).mapInArrow(code, schema).toDF(*own.columns, out)

@@ -66,9 +66,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    coded = docs.select("doc_id", bpe.encode_and_decode(F.col("text"), path).alias("c"))
-    return coded.select("doc_id", (F.octet_length("c.ids") / 4).cast("long").alias("n_tokens"), F.sha2("c.ids", 256).alias("ids_sha256"),
-                        F.sha2("c.decoded", 256).alias("decoded_sha256"))
+    coded = bpe.encode_and_decode(docs, path)
+    return coded.select("doc_id", (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 @register("op5_toxicity")

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
 from tillcast.llm.store import carried, fresh, materialize
+from tillcast.llm.wordhash import each_text
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -67,7 +68,7 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE, seed: int = SEED) -
     """Fingerprint as a signed long."""
     @F.arrow_udf(T.LongType())
     def simhash64(column: pa.Array) -> pa.Array:
-        out = np.fromiter((fingerprint(t, shingle, seed) for t in column.to_pylist()), dtype=np.uint64, count=len(column))
+        out = np.fromiter((fingerprint(t, shingle, seed) for t in each_text(column)), dtype=np.uint64, count=len(column))
         return pa.array(out.view(np.int64))
     return simhash64(text)
 
