@@ -25,9 +25,15 @@ def _brute(rows, k):
     out = {}
     for q, x in ok:
         if q % 100 == 0:
-            d = sorted((float(np.sqrt(sum((np.float64(np.float32(a)) - np.float64(np.float32(b))) ** 2 for a, b in zip(x, v)))), i)
-                       for i, v in ok if i != q and len(v) == len(x))
-            out[q] = d[:k]
+            d = []
+            for i, v in ok:
+                if i != q and len(v) == len(x):
+                    total = 0.0  # component by component (the built-in sum compensates rounding)
+                    for a, b in zip(x, v):
+                        gap = float(np.float32(a)) - float(np.float32(b))
+                        total += gap * gap
+                    d.append((float(np.sqrt(total)), i))
+            out[q] = sorted(d)[:k]
     return out
 
 
