@@ -48,7 +48,7 @@ LENGTH = 200
 GRAM = 64
 SHARD_BYTES = 4 << 20
 HOT_CONTEXTS = 4096
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 
 
 # -- suffix array of one shard ------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 _POWERS: list[np.ndarray] = []
 
