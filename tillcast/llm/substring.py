@@ -55,6 +55,7 @@ MIN_WORDS = 50
 SENTENCE_WORDS = 5
 BANDS, ROWS = 10, 4
 BUCKET_CAP = 64
+HELD_SHINGLES = 100_000  # shingles a comparing task keeps for the next pairs
 _EDITS_PER_WORD = 0.025  # an edited word breaks SHINGLE shingles: more edits than this cannot reach the similarity
 
 
@@ -236,12 +237,16 @@ def similar_column(a: Column, b: Column, least: float, shingle: int) -> Column:
     @F.arrow_udf(T.BooleanType())
     def similar(a_: pa.Array, b_: pa.Array) -> pa.Array:
         known: dict[bytes, frozenset[bytes]] = {}
+        held = 0  # shingles in ``known``
 
         def sets(p: bytes) -> frozenset[bytes]:
+            nonlocal held
             if p not in known:
-                if len(known) > 2000:
+                if held > HELD_SHINGLES:
                     known.clear()
+                    held = 0
                 known[p] = _shingle_set(unpack(p), shingle)
+                held += len(known[p])
             return known[p]
 
         out = []
