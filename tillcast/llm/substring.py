@@ -21,7 +21,10 @@ Dense buckets. In a bucket of more than ``bucket_cap`` distinct paragraphs, each
 verified against the bucket's leader (its most frequent paragraph). Those that
 agree are linked to the leader; those that do not are banded again with twice
 the rows and more bands, which parts paragraphs that only share a hot passage,
-and paired there whatever the bucket's size. Nothing is dropped.
+and paired there whatever the bucket's size: with each other, and with those that
+agreed with a leader near enough that such a pair can exist (the Jaccard distance
+is a metric). Two that agree with one leader are one component and need no
+comparison. Nothing is dropped.
 
 Removal. Linked paragraphs form components; of every component the first occurrence
 (smallest id, then position) stays, with the paragraphs that overlap it there, and
@@ -232,10 +235,13 @@ def _shingle_set(text: bytes, shingle: int) -> frozenset[bytes]:
     return frozenset(b" ".join(g) for g in zip(*(words[i:] for i in range(shingle))))
 
 
-def similar_column(a: Column, b: Column, least: float, shingle: int) -> Column:
-    """Whether two compressed paragraphs have a Jaccard similarity of ``least`` or more over their shingle sets."""
-    @F.arrow_udf(T.BooleanType())
-    def similar(a_: pa.Array, b_: pa.Array) -> pa.Array:
+OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
+
+
+def similarity_column(a: Column, b: Column, shingle: int) -> Column:
+    """(shared shingles, all shingles) of two compressed paragraphs; their quotient is the Jaccard similarity."""
+    @F.arrow_udf(OVERLAP)
+    def overlap(a_: pa.Array, b_: pa.Array) -> pa.Array:
         known: dict[bytes, frozenset[bytes]] = {}
         held = 0  # shingles in ``known``
 
@@ -249,13 +255,13 @@ def similar_column(a: Column, b: Column, least: float, shingle: int) -> Column:
                 held += len(known[p])
             return known[p]
 
-        out = []
+        shared, total = [], []
         for p, q in zip(a_.to_pylist(), b_.to_pylist()):
             x, y = sets(p), sets(q)
-            both = len(x & y)
-            out.append(both >= least * (len(x) + len(y) - both))
-        return pa.array(out, pa.bool_())
-    return similar(a, b)
+            shared.append(len(x & y))
+            total.append(len(x) + len(y) - shared[-1])
+        return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], names=["shared", "total"])
+    return overlap(a, b)
 
 
 def finer_bands(packed_: Column, shingle: int, bands: int, rows: int) -> Column:
@@ -278,10 +284,20 @@ def _bucket_pairs(banded: DataFrame) -> DataFrame:
     return left.join(right, ["band", "key"]).filter("a < b").select("a", "b").distinct()
 
 
+def _cross_pairs(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of a digest of ``one`` and a digest of ``other`` that share a bucket."""
+    left = one.select("band", "key", F.col("digest").alias("x"))
+    right = other.select("band", "key", F.col("digest").alias("y"))
+    return left.join(right, ["band", "key"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
+    """``pairs`` with ``similar``, and ``near``: whether something similar to ``a`` can be similar to ``b``."""
     out = (pairs.join(texts.select(F.col("digest").alias("a"), F.col("packed").alias("_pa")), "a")
            .join(texts.select(F.col("digest").alias("b"), F.col("packed").alias("_pb")), "b"))
-    return out.withColumn("similar", similar_column(F.col("_pa"), F.col("_pb"), least, shingle)).drop("_pa", "_pb")
+    out = out.withColumn("_o", similarity_column(F.col("_pa"), F.col("_pb"), shingle))
+    at_least = lambda x: F.col("_o.shared") >= F.lit(x) * F.col("_o.total")
+    return out.select(*pairs.columns, at_least(least).alias("similar"), at_least(2 * least - 1 - 1e-9).alias("near"))
 
 
 def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BUCKET_CAP, shingle: int = SHINGLE,
@@ -299,8 +315,16 @@ def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BU
     star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")))
     star = star.select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
     tried = materialize(_verified(star, texts, similarity, shingle), "substring-leaders")
-    parted = texts.join(tried.filter("NOT similar").select(F.col("b").alias("digest")).distinct(), "digest", "left_semi")
-    again = _bucket_pairs(parted.select("digest", F.posexplode(finer_bands(F.col("packed"), shingle, 3 * bands, 2 * rows)).alias("band", "key")))
+    parted = tried.filter("NOT similar").select(F.col("b").alias("digest")).distinct()
+    # those that agree with a leader, and those that do not but are near enough to it to resemble one that does
+    apart = tried.filter("near AND NOT similar")
+    agreed = tried.filter("similar").join(apart.select("a").distinct(), "a", "left_semi").select(F.col("b").alias("digest")).distinct()
+    agreed = agreed.join(parted, "digest", "left_anti")  # the others are among ``parted``
+    roles = (parted.join(apart.select(F.col("b").alias("digest"), F.lit(1).alias("role")).distinct(), "digest", "left").fillna(0, ["role"])
+             .unionByName(agreed.withColumn("role", F.lit(2))))
+    finer = texts.join(roles, "digest").select("digest", "role", F.posexplode(finer_bands(F.col("packed"), shingle, 3 * bands, 2 * rows)).alias("band", "key"))
+    finer = materialize(finer, "substring-finer")
+    again = _bucket_pairs(finer.filter("role < 2")).unionByName(_cross_pairs(finer.filter("role = 1"), finer.filter("role = 2")))
     near = _verified(pairs.unionByName(again).distinct(), texts, similarity, shingle).filter("similar").select("a", "b")
     return near.unionByName(tried.filter("similar").select("a", "b"))
 
