@@ -289,6 +289,17 @@ def test_substring_dense_buckets_link_through_members_that_agree(spark):
     assert 0 in kept and len(kept) <= 5  # the bands meet for all but a few thousandths of the pairs at 0.81
 
 
+def test_substring_short_sentences(spark):
+    """Passages made of sentences of fewer than five words: in one line, over many lines, and inside other text."""
+    words = [w for w in prose(31, 400).replace(".", "").lower().split()]
+    line = ". ".join(" ".join(words[k:k + 4]) for k in range(0, 80, 4)) + "."
+    verse = "\n".join(" ".join(words[k:k + 1 + k % 4]) for k in range(100, 180))
+    rows = [(0, line), (1, line), (2, verse), (3, verse), (4, prose(32, 60) + "\nSo it\n" + verse + "\nThe end\n" + prose(33, 60))]
+    text = {r["doc_id"]: r["text"] for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    assert text[0] == line and text[2] == verse and text[1] == text[3] == ""
+    assert text[4] == prose(32, 60) + "\nSo it\n\nThe end\n" + prose(33, 60)
+
+
 def test_substring_recall_of_banding():
     """Bands meet for nearly all pairs at the similarity threshold."""
     r = random.Random(4)

@@ -6,8 +6,9 @@ maximal runs, in a line and in the whole text, of sentences that occur more than
 once in the corpus (with or without one differing
 sentence in between), and (c) the runs of sentences that occur equally often, so
 that a passage pasted into the middle of a line, or into a text that is itself
-copied, is a paragraph of its own. Sentence counts are taken over all documents; sentences of fewer than
-``sentence_words`` words follow their neighbours. A line none of whose sentences
+copied, is a paragraph of its own. Sentence counts are taken over all documents; a sentence of fewer than
+``sentence_words`` words is counted together with the short sentences after it (or, at the end of
+such a row, before it) that make up that many words, and follows its neighbours where there are too few. A line none of whose sentences
 is repeated cannot reach the similarity and is left out, unless it has so few
 sentences that every one may hold an edit.
 
@@ -100,23 +101,41 @@ class Slice:
             out = np.where((mark >= close) & (mark < follows), mark + 1 - self.line_stop[at], close)
         return np.where(words == self.first[last + 1], self.offsets[last + 1], out)
 
-    def sentence_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, number of words) of every sentence."""
+    def sentence_keys(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, first, past the last) of what every sentence is counted by: itself, or consecutive sentences
+        of under ``least`` words that have as many together. Where there are too few, first = past the last."""
         a, b = self.sentences[:-1], self.sentences[1:]
-        return self.hash(a, b), b - a
+        first = np.arange(len(a))
+        last = first + 1
+        short = b - a < least
+        if short.any():
+            parted = np.concatenate([[True], ~(short[:-1] & short[1:])])
+            parted[self.first_sentence[self.first_sentence < len(a)]] = True
+            begins = np.flatnonzero(parted)
+            row = np.cumsum(parted) - 1
+            low, high = begins[row], np.append(begins[1:], len(a))[row]
+            ahead = np.searchsorted(self.sentences, a + least)
+            behind = np.searchsorted(self.sentences, b - least, side="right") - 1
+            forward, back = short & (ahead <= high), short & (ahead > high) & (behind >= low)
+            last[forward] = ahead[forward]
+            first[back] = behind[back]
+            none = short & ~forward & ~back
+            none[back] = forward[first[back]] & (last[first[back]] == last[back])  # the same words count once
+            last[none] = first[none]
+        return self.hash(self.sentences[first], self.sentences[last]), first, last
 
 
 def sentence_rows(docs: DataFrame, uid: str, text: str, least: int) -> DataFrame:
-    """(uid, pos, key) of every sentence of ``least`` words or more; pos counts all sentences of the text."""
+    """(uid, pos, key) of every sentence that can be counted (``Slice.sentence_keys``); pos counts all sentences of the text."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, at = batch.column(0).to_numpy(), 0
             for data, offsets in text_slices(batch.column(1)):
                 s = Slice(data, offsets)
-                keys, sizes = s.sentence_keys()
+                keys, low, high = s.sentence_keys(least)
                 doc = np.repeat(np.arange(len(offsets) - 1), np.diff(s.first_sentence))
                 pos = np.arange(len(keys)) - s.first_sentence[doc]
-                keep = sizes >= least
+                keep = low < high
                 yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc[keep]]), pa.array(pos[keep].astype(np.int32)),
                                                   pa.array(keys[keep].view(np.int64))], ["uid", "pos", "key"])
                 at += len(offsets) - 1
@@ -129,9 +148,9 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
-def _paragraphs(sizes: np.ndarray, counts: np.ndarray, line: np.ndarray, min_words: int) -> set[tuple[int, int]]:
-    """Sentence ranges of one text's paragraphs. ``counts``: occurrences in the corpus,
-    0 for sentences too short to be counted; ``line``: the line of each sentence."""
+def _paragraphs(sizes: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np.ndarray, line: np.ndarray, min_words: int) -> set[tuple[int, int]]:
+    """Sentence ranges of one text's paragraphs. ``counts``: occurrences in the corpus of the sentences
+    ``low`` to ``high`` that each one is counted by, 0 for sentences that cannot be counted; ``line``: the line of each sentence."""
     out: set[tuple[int, int]] = set()
     total = np.concatenate([[0], np.cumsum(sizes)])
     edges = np.flatnonzero(np.diff(line)) + 1
@@ -151,7 +170,7 @@ def _paragraphs(sizes: np.ndarray, counts: np.ndarray, line: np.ndarray, min_wor
         bridged = often.copy()  # one sentence that differs, as after an edit, between repeated ones
         bridged[1:-1] |= often[:-2] & often[2:]
         for x, y in {*_runs(often), *_runs(bridged), *((x, y) for x, y in equal if level[x] > 1)}:
-            i, j = int(known[x]), int(known[y - 1]) + 1
+            i, j = max(a, int(low[known[x:y]].min())), min(b, int(high[known[x:y]].max()))
             if total[j] - total[i] >= min_words:
                 out.add((i, j))
     return out
@@ -188,7 +207,8 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
             uids, at = batch.column("uid").to_numpy(), 0
             for data, offsets in _slices(batch.column("packed")):
                 s = Slice(data, offsets)
-                _, sizes = s.sentence_keys()
+                _, low, high = s.sentence_keys(SENTENCE_WORDS)
+                sizes = np.diff(s.sentences)
                 line_of = np.searchsorted(s.lines, s.sentences[:-1], side="right")
                 found = []
                 here = batch.column("repeated").slice(at, len(offsets) - 1)
@@ -197,12 +217,11 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
                     if not lengths[k]:
                         continue
                     a, b = s.first_sentence[k], s.first_sentence[k + 1]
-                    counts = np.zeros(b - a, dtype=np.int64)
-                    counts[sizes[a:b] >= SENTENCE_WORDS] = 1
+                    counts = (low[a:b] < high[a:b]).astype(np.int64)
                     if here[k].is_valid:
                         part = here[k].values
                         counts[part.field("pos").to_numpy()] = part.field("n").to_numpy()
-                    found += [(k, a + i, a + j) for i, j in _paragraphs(sizes[a:b], counts, line_of[a:b], min_words)]
+                    found += [(k, a + i, a + j) for i, j in _paragraphs(sizes[a:b], counts, low[a:b] - a, high[a:b] - a, line_of[a:b], min_words)]
                 if found:
                     found.sort()
                     doc, i, j = np.array(found).T
