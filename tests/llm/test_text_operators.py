@@ -300,6 +300,29 @@ def test_substring_short_sentences(spark):
     assert text[4] == prose(32, 60) + "\nSo it\n\nThe end\n" + prose(33, 60)
 
 
+def test_substring_cuts_by_content(spark):
+    """Passages that keep to no sentence or line border, edits in neighbouring sentences, other line widths."""
+    plain = lambda seed, n: prose(seed, n).replace(".", "").lower()
+    stretch, inside = plain(41, 60), prose(42, 55)
+    ten = [plain(430 + k, 10) for k in range(10)]
+    edited = [t.split() for t in ten]
+    edited[4][5], edited[5][5] = "changed", "altered"
+    ten, edited = ". ".join(ten) + ".", ". ".join(" ".join(t) for t in edited) + "."
+    words = plain(44, 200).split()
+    wrap = lambda n: "\n".join(" ".join(words[k:k + n]) for k in range(0, 200, n))
+    rows = [(0, plain(51, 40) + " " + stretch + " " + plain(52, 40)), (1, plain(53, 30) + " " + stretch + " " + plain(54, 50)),
+            (2, prose(55, 70) + "\n" + plain(56, 7) + " " + inside + " " + prose(57, 20)), (3, plain(58, 9) + " " + inside + " " + prose(59, 70)),
+            (4, prose(60, 60) + " " + ten + " " + prose(61, 60)), (5, prose(62, 60) + " " + edited + " " + prose(63, 60)),
+            (6, wrap(9)), (7, wrap(12))]
+    text = {r["doc_id"]: r["text"] for r in substring.remove_repeats(documents(spark, rows)).collect()}
+    source = dict(rows)
+    assert all(text[k] == source[k] for k in (0, 2, 4, 6))
+    assert text[1] == plain(53, 30) + "  " + plain(54, 50)
+    assert text[3].split() == (plain(58, 9) + " " + prose(59, 70)).split()
+    assert text[5].split() == (prose(62, 60) + " " + prose(63, 60)).split()
+    assert text[7] == ""
+
+
 def test_substring_recall_of_banding():
     """Bands meet for nearly all pairs at the similarity threshold."""
     r = random.Random(4)

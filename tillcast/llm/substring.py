@@ -4,7 +4,7 @@ Paragraphs. A text is cut into sentences (line ends, and ``.``, ``!`` or ``?`` b
 white space). Paragraphs of at least ``min_words`` words are (a) the lines, (b) the
 maximal runs, in a line and in the whole text, of sentences that occur more than
 once in the corpus (with or without one differing
-sentence in between), and (c) the runs of sentences that occur equally often, so
+sentence between any two, or with as many differing ones as the similarity allows for the run's words), and (c) the runs of sentences that occur equally often, so
 that a passage pasted into the middle of a line, or into a text that is itself
 copied, is a paragraph of its own. Sentence counts are taken over all documents; a sentence of fewer than
 ``sentence_words`` words is counted together with the short sentences after it (or, at the end of
@@ -12,6 +12,13 @@ such a row, before it) that make up that many words, and follows its neighbours
 is repeated cannot reach the similarity and is left out, unless it has so few
 sentences that every one may hold an edit.
 
+Passages that keep to no sentence or line border are found by content: a text is also cut
+where the hash of the next ``CUT_WORDS`` words falls in one of ``CUT_MOD`` classes, whatever
+marks stand there. These units are counted like sentences and give runs in the same
+ways. The runs are then extended word by word to where the repeated text ends: next
+to a unit that occurs more often, every window of ``EDGE_WORDS`` words is counted too. A
+passage of 50 words without two cuts in it has a probability of 0.002.
+
 Candidates. Equal paragraphs (by a 128-bit digest of their words) are one class from
 the start. The distinct ones get a MinHash signature over word shingles, in
 ``bands`` bands of ``rows`` values; with 10 bands of 4 a pair at similarity 0.8 meets
@@ -60,6 +67,8 @@ SENTENCE_WORDS = 5
 BANDS, ROWS = 10, 4
 BUCKET_CAP = 64
 HELD_SHINGLES = 100_000  # shingles a comparing task keeps for the next pairs
+CUT_WORDS, CUT_MOD, EDGE_WORDS = 4, 6, 5
+GAP_WORDS = 40  # a gap between repeated units holds one edit at least, and one more for so many words
 _EDITS_PER_WORD = 0.025  # an edited word breaks SHINGLE shingles: more edits than this cannot reach the similarity
 
 
@@ -124,9 +133,30 @@ class Slice:
             last[none] = first[none]
         return self.hash(self.sentences[first], self.sentences[last]), first, last
 
+    def units(self) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers of the cuts by content, number of cuts before each text). Two cuts of a text that
+        follow one another are a unit, which holds the words that decide both of them."""
+        windows = window_hashes(self.words, CUT_WORDS)
+        cut = windows % np.uint64(CUT_MOD) == 0
+        inner = np.ones(len(windows) + CUT_WORDS, dtype=bool)  # a text's first window has none before it
+        inner[self.first] = False
+        cut[1:] &= (windows[1:] != windows[:-1]) | ~inner[1:len(windows)]
+        at = np.flatnonzero(cut)
+        at = at[at + CUT_WORDS <= self.first[np.searchsorted(self.first, at, side="right")]]
+        return at, np.searchsorted(at, self.first)
+
+    def unit_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, number in the text, hash) of every unit."""
+        at, begins = self.units()
+        text = np.searchsorted(begins, np.arange(len(at)), side="right") - 1
+        whole = np.flatnonzero(text[:-1] == text[1:])
+        keys = mix(self.hash(at[whole], at[whole + 1] + CUT_WORDS) + np.uint64(1))
+        return text[whole], whole - begins[text[whole]], keys
+
 
 def sentence_rows(docs: DataFrame, uid: str, text: str, least: int) -> DataFrame:
-    """(uid, pos, key) of every sentence that can be counted (``Slice.sentence_keys``); pos counts all sentences of the text."""
+    """(uid, pos, key) of every sentence that can be counted (``Slice.sentence_keys``); pos counts all sentences
+    of the text. Units of content have pos -1, -2 and so on."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uids, at = batch.column(0).to_numpy(), 0
@@ -138,16 +168,105 @@ def sentence_rows(docs: DataFrame, uid: str, text: str, least: int) -> DataFrame
                 keep = low < high
                 yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc[keep]]), pa.array(pos[keep].astype(np.int32)),
                                                   pa.array(keys[keep].view(np.int64))], ["uid", "pos", "key"])
+                doc, number, keys = s.unit_keys()
+                yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc]), pa.array((-1 - number).astype(np.int32)),
+                                                  pa.array(keys.view(np.int64))], ["uid", "pos", "key"])
                 at += len(offsets) - 1
     return docs.select(uid, text).mapInArrow(scan, "uid long, pos int, key long")
 
 
+def _unit_counts(n: int, marks: pa.Scalar) -> np.ndarray:
+    """Occurrences of each of a text's ``n`` units."""
+    counts = np.ones(n, dtype=np.int64)
+    if marks.is_valid:
+        pos, times = marks.values.field("pos").to_numpy(), marks.values.field("n").to_numpy()
+        counts[-1 - pos[pos < 0]] = times[pos < 0]
+    return counts
+
+
+def edge_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str) -> DataFrame:
+    """(uid, pos, key) of every window of ``EDGE_WORDS`` words that begins in a unit beside one that occurs more often."""
+    cut = marks.filter(F.exists("repeated", lambda m: m["pos"] < 0))
+    joined = docs.select(F.col(uid).alias("uid"), packed(F.col(text)).alias("packed")).join(cut, "uid")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            uids, at = batch.column("uid").to_numpy(), 0
+            for data, offsets in _slices(batch.column("packed")):
+                s = Slice(data, offsets)
+                cuts, begins = s.units()
+                windows = window_hashes(s.words, EDGE_WORDS)
+                here = batch.column("repeated").slice(at, len(offsets) - 1)
+                doc, pos = [], []
+                for k in range(len(offsets) - 1):
+                    own = cuts[begins[k]:begins[k + 1]]
+                    if len(own) < 2:
+                        continue
+                    # the words before the first cut and after the last one are units that occur once
+                    counts = np.concatenate([[1], _unit_counts(len(own) - 1, here[k]), [1]])
+                    edges = np.concatenate([[s.first[k]], own, [max(int(own[-1]), int(s.first[k + 1]) - EDGE_WORDS + 1)]])
+                    beside = np.zeros(len(counts), dtype=bool)
+                    beside[1:] |= counts[:-1] > counts[1:]
+                    beside[:-1] |= counts[1:] > counts[:-1]
+                    words = np.repeat(beside, np.diff(edges))
+                    found = s.first[k] + np.flatnonzero(words)
+                    found = found[found + EDGE_WORDS <= s.first[k + 1]]
+                    pos.append(found)
+                    doc.append(np.full(len(found), k))
+                if pos:
+                    doc_, found = np.concatenate(doc), np.concatenate(pos)
+                    yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc_]), pa.array((found - s.first[doc_]).astype(np.int32)),
+                                                      pa.array(windows[found].view(np.int64))], ["uid", "pos", "key"])
+                at += len(offsets) - 1
+    return joined.mapInArrow(scan, "uid long, pos int, key long")
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of true entries, as (first, past the last)."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
+def _bridged(runs: list[tuple[int, int]], begins: np.ndarray, ends: np.ndarray, differing: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal joins of consecutive ``runs`` (words ``begins`` to ``ends`` each) with no more ``differing``
+    (a running number per run) between them than edits are allowed for their words."""
+    level = differing - _EDITS_PER_WORD * ends
+    least = np.minimum.accumulate(level[::-1])[::-1]
+    last = np.searchsorted(least, differing - _EDITS_PER_WORD * begins, side="right") - 1
+    out, done = [], -1
+    for i, j in enumerate(last.tolist()):
+        if j > max(i, done):
+            out.append((runs[i][0], runs[j][1]))
+            done = j
+    return out
+
+
+def _content_ranges(cuts: np.ndarray, counts: np.ndarray, edge: np.ndarray, min_words: int) -> set[tuple[int, int]]:
+    """Word ranges of one text's paragraphs by content. ``counts``: occurrences of the units between ``cuts``;
+    ``edge``: occurrences of the window that begins at each word, where they were counted."""
+    often = counts > 1
+    runs = _runs(often)
+    if not runs:
+        return set()
+    same = np.flatnonzero(np.diff(counts)) + 1
+    equal = zip([0, *same.tolist()], [*same.tolist(), len(counts)])
+    begins = cuts[[x for x, _ in runs]]
+    ends = cuts[[y for _, y in runs]] + CUT_WORDS
+    gaps = np.maximum(1.0, (begins[1:] - ends[:-1]) / GAP_WORDS)
+    joined = _bridged(runs, begins, ends, np.concatenate([[0.0], np.cumsum(gaps)]))
+    out: set[tuple[int, int]] = set()
+    for x, y in {*runs, *joined, *((x, y) for x, y in equal if counts[x] > 1)}:
+        i, j = int(cuts[x]), int(cuts[y]) + CUT_WORDS
+        level = counts[x] if (counts[x:y] == counts[x]).all() else 2
+        while i > 0 and edge[i - 1] >= level:
+            i -= 1
+        while j < len(edge) and edge[j - EDGE_WORDS + 1] >= level:
+            j += 1
+        if j - i >= min_words:
+            out.add((i, j))
+    return out
+
+
 def _paragraphs(sizes: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np.ndarray, line: np.ndarray, min_words: int) -> set[tuple[int, int]]:
     """Sentence ranges of one text's paragraphs. ``counts``: occurrences in the corpus of the sentences
     ``low`` to ``high`` that each one is counted by, 0 for sentences that cannot be counted; ``line``: the line of each sentence."""
@@ -169,7 +288,10 @@ def _paragraphs(sizes: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np
         often = level > 1
         bridged = often.copy()  # one sentence that differs, as after an edit, between repeated ones
         bridged[1:-1] |= often[:-2] & often[2:]
-        for x, y in {*_runs(often), *_runs(bridged), *((x, y) for x, y in equal if level[x] > 1)}:
+        runs = _runs(often)
+        begins, ends = total[[known[x] for x, _ in runs]], total[[known[y - 1] + 1 for _, y in runs]]
+        joined = _bridged(runs, begins, ends, np.cumsum(~often)[[x for x, _ in runs]].astype(float))
+        for x, y in {*runs, *_runs(bridged), *joined, *((x, y) for x, y in equal if level[x] > 1)}:
             i, j = max(a, int(low[known[x:y]].min())), min(b, int(high[known[x:y]].max()))
             if total[j] - total[i] >= min_words:
                 out.add((i, j))
@@ -198,9 +320,10 @@ PARAGRAPHS = T.StructType([
     T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("packed", T.BinaryType())])
 
 
-def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
-    """One row per paragraph (``PARAGRAPHS``); ``marks``: (uid, repeated: array of (pos, n)) of texts with repeated sentences."""
-    joined = docs.select(F.col(uid).alias("uid"), packed(F.col(text)).alias("packed")).join(marks, "uid", "left")
+def paragraph_rows(docs: DataFrame, marks: DataFrame, edges: DataFrame, uid: str, text: str, min_words: int, shingle: int, bands: int, rows: int) -> DataFrame:
+    """One row per paragraph (``PARAGRAPHS``); ``marks``: (uid, repeated: array of (pos, n)) of texts with
+    repeated sentences or units; ``edges``: (uid, edge: array of (pos, n)) of texts with repeated windows."""
+    joined = docs.select(F.col(uid).alias("uid"), packed(F.col(text)).alias("packed")).join(marks, "uid", "left").join(edges, "uid", "left")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +334,8 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
                 sizes = np.diff(s.sentences)
                 line_of = np.searchsorted(s.lines, s.sentences[:-1], side="right")
                 found = []
-                here = batch.column("repeated").slice(at, len(offsets) - 1)
+                here, edge_here = (batch.column(c).slice(at, len(offsets) - 1) for c in ("repeated", "edge"))
+                cuts, begins = s.units()
                 lengths = np.diff(s.first_sentence)
                 for k in range(len(offsets) - 1):
                     if not lengths[k]:
@@ -220,12 +344,24 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str, min_w
                     counts = (low[a:b] < high[a:b]).astype(np.int64)
                     if here[k].is_valid:
                         part = here[k].values
-                        counts[part.field("pos").to_numpy()] = part.field("n").to_numpy()
-                    found += [(k, a + i, a + j) for i, j in _paragraphs(sizes[a:b], counts, low[a:b] - a, high[a:b] - a, line_of[a:b], min_words)]
+                        pos, times = part.field("pos").to_numpy(), part.field("n").to_numpy()
+                        counts[pos[pos >= 0]] = times[pos >= 0]
+                    own = [(int(s.sentences[a + i]), int(s.sentences[a + j])) for i, j in
+                           _paragraphs(sizes[a:b], counts, low[a:b] - a, high[a:b] - a, line_of[a:b], min_words)]
+                    w = int(s.first[k])
+                    at_cuts = cuts[begins[k]:begins[k + 1]] - w
+                    if here[k].is_valid and len(at_cuts) > 1:
+                        edge = np.zeros(s.first[k + 1] - w, dtype=np.int64)
+                        if edge_here[k].is_valid:
+                            part = edge_here[k].values
+                            edge[part.field("pos").to_numpy()] = part.field("n").to_numpy()
+                        more = {(w + i, w + j) for i, j in _content_ranges(at_cuts, _unit_counts(len(at_cuts) - 1, here[k]), edge, min_words)}
+                        # one that fills a paragraph of whole sentences but for a few words is that paragraph
+                        own += [(i, j) for i, j in more if not any(x <= i and j <= y and 20 * (j - i) >= 19 * (y - x) for x, y in own)]
+                    found += [(k, i, j) for i, j in own]
                 if found:
                     found.sort()
-                    doc, i, j = np.array(found).T
-                    w0, w1 = s.sentences[i], s.sentences[j]
+                    doc, w0, w1 = np.array(found).T
                     sig = signature(window_hashes(s.words, shingle), w0, w1 - shingle + 1, bands, rows)
                     check = range_hasher(mix(s.words + np.uint64(1)))(w0, w1)
                     raw, press = data.tobytes(), zstandard.ZstdCompressor(level=3).compress
@@ -357,7 +493,12 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
     often = sentences.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     marks = (sentences.join(often, "key").groupBy("uid")
              .agg(F.collect_list(F.struct("pos", "n")).alias("repeated")))  # at most the sentences of one text
-    found = paragraph_rows(docs, marks, uid, f"`{text_col}`", min_words, shingle, bands, rows)
+    marks = materialize(marks, "substring-marks")
+    windows = materialize(edge_rows(docs, marks, uid, f"`{text_col}`"), "substring-edges")
+    shared = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    edges = (windows.join(shared, "key").groupBy("uid")
+             .agg(F.collect_list(F.struct("pos", "n")).alias("edge")))  # at most the words of one text
+    found = paragraph_rows(docs, marks, edges, uid, f"`{text_col}`", min_words, shingle, bands, rows)
     found = materialize(found, "substring-paragraphs")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"), F.col("begin"), (-F.col("end")).alias("size"))
     named = found.select("uid", "begin", "end", "digest", "check").join(
