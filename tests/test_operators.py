@@ -625,3 +625,15 @@ def test_positional_split_and_hash_folds_are_partition_independent(spark):
     f1 = sorted(df.repartition(5).select("Store", "Date", E.default_fold(["Store", "Date"]).alias("f")).collect())
     f2 = sorted(df.coalesce(1).select("Store", "Date", E.default_fold(["Store", "Date"]).alias("f")).collect())
     assert f1 == f2
+
+
+def test_model_compare_query_takes_the_specs_as_they_are(monkeypatch):
+    from types import SimpleNamespace
+
+    from tillcast.catalog import model_q
+
+    seen = []
+    monkeypatch.setattr(model_q, "_frames", lambda spark, sf: SimpleNamespace(train=None, test=None))
+    monkeypatch.setattr(model_q.R, "model_compare", lambda train, test, features, specs=None, cv_folds=5: seen.append(specs))
+    model_q.q_model_compare(None, None)
+    assert seen[0]["XGBoost"]["trees"] == 500 and seen == [model_q.R.MODEL_SPECS]

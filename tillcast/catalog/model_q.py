@@ -15,7 +15,6 @@ from tillcast.operators import windows as W
 from tillcast.plans.training import FEATURES, model_frames
 from tillcast.sources.tables import store_panel
 
-COMPARED_TREES = 20
 OPEN = 'o AS (SELECT * FROM panel WHERE "Open" = 1)'
 
 
@@ -140,11 +139,9 @@ def q_ts_cv(spark, sf):
 
 @query("model_compare")
 def q_model_compare(spark, sf):
-    """All five models with 5-fold expanding CV; the boosted one with ``COMPARED_TREES``
-    trees instead of the spec's 500 (a local run pays one job per tree level)."""
+    """All five models with 5-fold expanding CV, each as its spec has it."""
     md = _frames(spark, sf)
-    specs = {k: {**v, "trees": COMPARED_TREES} if v["kind"] == "gbt" else v for k, v in R.MODEL_SPECS.items()}
-    return R.model_compare(md.train, md.test, FEATURES, specs, cv_folds=5)
+    return R.model_compare(md.train, md.test, FEATURES, R.MODEL_SPECS, cv_folds=5)
 
 
 @query("importance")
