@@ -178,6 +178,17 @@ def test_main_text_of_pages(spark):
         assert r["main_text"] == want[r["page_id"]], r["page_id"]
 
 
+def test_copies_of_a_page_are_one_reference(spark):
+    """Whichever page has the copies, the slot that varies is found."""
+    template = "<html><body><div class='top'>" + "<p>one more line that every page has</p>" * 9 + "</div><div class='body'>"
+    pages = [template + "".join(f"<p>{p}</p>" for p in _article(70 + k, 3)) + "</div></body></html>" for k in range(4)]
+    rows = [(10 * h + k, f"http://copies{h}.com/{k}", pages[k if k < 4 else h]) for h in range(4) for k in range(9)]
+    for r in wrapper.extract(_pages(spark, rows)).collect():
+        k = r["page_id"] % 10
+        want = _article(70 + (k if k < 4 else r["page_id"] // 10), 3)
+        assert r["main_text"] == "\n\n".join(p.replace("&eacute;", "é") for p in want), r["page_id"]
+
+
 def test_both_join_ways_agree(spark):
     df = _pages(spark, [(k, f"http://h{k % 3}.com/{k}", _page(_article(k))) for k in range(9)])
     a, b = ({r["page_id"]: r["main_text"] for r in wrapper.extract(df, broadcast_bytes=n).collect()} for n in (1 << 20, 0))
