@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import bpe, decontaminate, language, linkgraph, simhash, substring, suffix, toxicity, vptree, wrapper
+from tillcast.llm import bpe, decontaminate, exact, fim, language, linkgraph, merkle, simhash, substring, suffix, toxicity, vptree, wrapper
 from tillcast.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,97 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix.remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return done.select("doc_id", "unique.n_bytes", "unique.n_removed", "unique.n_spans", F.sha2("unique.kept", 256).alias("kept_sha256"))
+
+
+# output: <P>prefix<S>suffix<M>middle or <S>suffix<P>prefix<M>middle; the restored text is cut out of it again
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t
+                          WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+                          ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END AS output FROM c),
+r AS (SELECT *, string_split_regex(output, '<[PSM]>') AS p FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(output) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN p[2] || p[4] || p[3] ELSE p[3] || p[4] || p[2] END) AS restored_sha256
+FROM r
+"""
+
+
+@register("op11_fim", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fim.fill_in_middle(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), keep_text=False)
+    return done.select("doc_id", *[f"fim.{c}" for c in ("n", "form", "prefix_chars", "middle_chars")],
+                       F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(fim.restore(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"))
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+
+@register("op12_exact", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return exact.exact_groups(docs, keep_text=False).select("doc_id", "copies.keep_id", "copies.group_size", "copies.kept", "text_sha256")
+
+
+def _tree_sql(name: str, source: str, groups: str) -> str:
+    """Levels of the trees over ``source`` (grp, i, h, n): ``name`` (k, grp, i, h, n)."""
+    return f"""{name} AS (SELECT 0 AS k, {groups} AS grp, i, h, n FROM {source}
+      UNION ALL SELECT k + 1, grp, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY k, grp, i // 2, n)"""
+
+
+def _path_sql(name: str, source: str, levels: str) -> str:
+    """Folds ``source`` (row_no, grp, i, n, f, proof) up the trees ``levels``, sibling by sibling."""
+    return f"""{name} AS (SELECT 0 AS k, row_no, grp, i, n, f, proof FROM {source}
+      UNION ALL SELECT p.k + 1, p.row_no, p.grp, p.i // 2, (p.n + 1) // 2,
+             CASE WHEN s.h IS NULL THEN sha256(p.f) WHEN p.i % 2 = 0 THEN sha256(p.f || s.h) ELSE sha256(s.h || p.f) END, p.proof || coalesce(s.h, '')
+      FROM {name} p LEFT JOIN {levels} s ON s.k = p.k AND s.grp = p.grp AND s.i = xor(p.i, 1) WHERE p.n > 1)"""
+
+
+def _leaf_sql(fields: list[str]) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END" for c in fields) + ")"
+
+
+# CRC-32 of the decimal id, bit by bit: each character enters once, then eight shifts
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    flatten(list_transform(range(1, length(id_text) + 1), lambda k: [CAST(ascii(substr(id_text, k, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))))"""
+OP13_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS row_no, doc_id, source, lang, n_chars, text,
+        coalesce('=' || lang, '') AS grp, CAST(doc_id AS VARCHAR) AS id_text FROM documents),
+e AS (SELECT row_no, doc_id, grp, {_leaf_sql(["doc_id", "source", "lang", "n_chars", "text"])} AS h,
+             {_leaf_sql(["doc_id", "source", "lang", "(n_chars + 1)", "text"])} AS tampered,
+             coalesce({_CRC_SQL} % 7 = 0, false) AS hit FROM d),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY grp) AS n FROM e),
+{_tree_sql("low", "leaves", "grp")},
+subs AS (SELECT grp AS of, h, row_number() OVER (ORDER BY grp) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+{_tree_sql("high", "subs", "''")},
+start AS (SELECT row_no, grp, i, n, CASE WHEN hit THEN tampered ELSE h END AS f, '' AS proof FROM leaves),
+{_path_sql("lower_path", "start", "low")},
+middle AS (SELECT row_no, '' AS grp, s.i, s.n, f, proof FROM lower_path JOIN subs s ON s.of = grp WHERE lower_path.n = 1),
+{_path_sql("upper_path", "middle", "high")}
+SELECT doc_id, leaves.h AS leaf, subs.h AS subroot, high.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = high.h AS verified
+FROM leaves JOIN subs ON subs.of = leaves.grp JOIN high ON high.n = 1 JOIN upper_path u ON u.row_no = leaves.row_no AND u.n = 1
+"""
+
+
+@register("op13_merkle", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read_table(spark, sf_dir, "documents", fields)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    shown = [F.when(hit, F.col(c) + 1).otherwise(F.col(c)) if c == "n_chars" else F.col(c) for c in fields]
+    made = merkle.manifest(docs.withColumn("shown_leaf", merkle.leaf(shown)), fields, keep=["doc_id", "shown_leaf"])
+    m = "merkle"
+    folded = merkle.fold(F.col("shown_leaf"), F.col(f"{m}.witness"))
+    return (made.select("doc_id", f"{m}.leaf", f"{m}.subroot", f"{m}.root", F.sha2(merkle.siblings(F.col(f"{m}.witness")), 256).alias("proof_sha256"),
+                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root")))
