@@ -378,7 +378,7 @@ def test_toxicity_without_labels_or_rows(spark, empty, awkward):
 def _brute_log_prob(word, known, probs):
     total = [1.0] + [0.0] * len(word)
     for end in range(1, len(word) + 1):
-        for start in range(max(0, end - language.PIECE_CHARS), end):
+        for start in range(max(0, end - 16), end):
             i = known.get(word[start:end], 0 if end - start == 1 else None)
             if i is not None:
                 total[end] += total[start] * probs[i]

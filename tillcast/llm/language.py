@@ -7,8 +7,8 @@ over its words. The probabilities are trained per language with
 expectation-maximisation: forward and backward sums give the expected number
 of uses of each piece over all segmentations of the training words.
 
-Training reads at most ``max_rows`` labelled texts (those of the least hash of
-the id) and only distinct words with their counts reach the per-language fits.
+Training reads at most ``max_rows`` labelled texts, shared equally by the
+languages (those of the least hash of id and text), and only distinct words with their counts reach the per-language fits.
 Every text is scored whole; a task remembers the scores of the words it has
 met in a bounded table, since a word's score does not depend on the text.
 
@@ -17,27 +17,29 @@ mark in front; a character that no piece covers is an unknown piece of its own.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; ties
 go to the language of more training texts, then the lesser name; without any
-labelled row every text is ``und``; repeated rows score alike; other columns
-are carried.
+labelled row every text is ``und``; a row of null id is scored but not learnt
+from; repeated rows score alike; very long words are summed in a sliding window;
+an empty table gives an empty result; other columns are carried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.store import least_by_hash, materialize
+from tillcast.llm.store import materialize
+from tillcast.sizing import broadcast_checked
 
 MAX_ROWS = 8_000
 ROUNDS = 3
-PIECE_CHARS = 12       # longest piece that is looked up
+SHORT = 24             # characters of a word whose sums stay far above the least double
 UNKNOWN_COST = 2.0     # an unknown character is this many times less likely than an unseen piece
 SMOOTHING = 0.1        # added to the expected count of every piece
 CACHE_WORDS = 400_000
@@ -45,28 +47,86 @@ CACHE_CHARS = 16_000_000
 MARK = "▁"             # word start in the vocabulary
 UNDETERMINED = "und"
 LETTERS = regex.compile(r"\p{L}+")
-_PIECES: dict[str, dict[str, int]] = {}
+_PIECES: dict[str, Pieces] = {}
+_TABLES: dict[int, dict] = {}  # the word table of the model in use, kept from task to task
+
+
+class Pieces(dict):
+    """Pieces by name, numbered from 1 (0 is the unknown character), and a hash table of
+    them that looks up all substrings of many words at once."""
+
+    def __init__(self, ids: dict[str, int]):
+        super().__init__(ids)
+        self.span = max(map(len, ids), default=1)
+        size = 1 << max(8, (4 * len(ids)).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.keys, self.ids = np.zeros(size, dtype=np.uint64), np.full(size, -1, dtype=np.int32)
+        by_length: dict[int, list[str]] = {}
+        for p in ids:
+            by_length.setdefault(len(p), []).append(p)
+        for names in by_length.values():
+            chars = code_points(names)
+            h = np.zeros(len(names), dtype=np.uint64)
+            for k in range(chars.shape[1]):
+                h = _roll(h, chars[:, k])
+            for p, key in zip(names, h.tolist()):
+                slot = key & (size - 1)
+                while self.ids[slot] >= 0:
+                    if int(self.keys[slot]) == key:
+                        raise ValueError(f"piece {p!r} has the hash of another one")
+                    slot = (slot + 1) & (size - 1)
+                self.keys[slot], self.ids[slot] = key, ids[p]
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Ids of the pieces of these hashes; -1 where there is none."""
+        slot = (h & self.mask).astype(np.int64)
+        found = self.ids[slot]
+        found[(found >= 0) & (self.keys[slot] != h)] = -2  # another piece sits there: look on
+        at = np.nonzero(found == -2)
+        while len(at[0]):
+            slot[at] = (slot[at] + 1) & int(self.mask)
+            ids = self.ids[slot[at]]
+            ids[(ids >= 0) & (self.keys[slot[at]] != h[at])] = -2
+            found[at] = ids
+            again = ids == -2
+            at = tuple(x[again] for x in at)
+        return found
+
+
+def code_points(words: list[str]) -> np.ndarray:
+    """[word, character] of equally long words."""
+    n = len(words[0])
+    return np.array(words, dtype=f"<U{n}").view("<u4").reshape(len(words), n)
+
+
+def _roll(h: np.ndarray, char: np.ndarray) -> np.ndarray:
+    """Hash of a string with one more character."""
+    h = (h + char + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
 
 
-def pieces(path: str) -> dict[str, int]:
+def pieces(path: str) -> Pieces:
     """Pieces made of letters and the word mark, numbered from 1; 0 is the unknown character."""
     if path not in _PIECES:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_control(i) and not model.is_byte(i))
-        plain = [p for p in names if len(p) <= PIECE_CHARS and LETTERS.fullmatch(p.replace(MARK, "", 1) or "a")]
-        _PIECES[path] = {p: k for k, p in enumerate(dict.fromkeys(plain), 1)}
+        plain = [p for p in names if LETTERS.fullmatch(p.replace(MARK, "", 1) or "a")]
+        _PIECES[path] = Pieces({p: k for k, p in enumerate(dict.fromkeys(plain), 1)})
     return _PIECES[path]
 
 
-def _lattice(words: list[str], known: dict[str, int]) -> np.ndarray:
+def _lattice(words: list[str], known: Pieces) -> np.ndarray:
     """Piece ids [word, start, length - 1] of equally long words; -1 where no piece fits."""
     n = len(words[0])
-    span = min(PIECE_CHARS, n)
-    get = known.get
-    flat = [get(w[i:i + k + 1], -1) if i + k < n else -1 for w in words for i in range(n) for k in range(span)]
-    out = np.array(flat, dtype=np.int32).reshape(len(words), n, span)
+    span = min(known.span, n)
+    chars = code_points(words)
+    out = np.full((len(words), n, span), -1, dtype=np.int32)
+    h = np.zeros((len(words), n), dtype=np.uint64)
+    for k in range(span):
+        h = _roll(h[:, :n - k], chars[:, k:])
+        out[:, :n - k, k] = known.find(h)
     single = out[:, :, 0]
     single[single < 0] = 0  # a character of its own is always possible
     return out
@@ -95,30 +155,45 @@ def _forward(edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return alpha, scale
 
 
-def log_probs(words: list[str], known: dict[str, int], probs: np.ndarray) -> np.ndarray:
+def _short_sums(lattice: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    """log P of words so short that their sums need no scale, [word, language]."""
+    size, n, span = lattice.shape
+    probs = np.concatenate([probs, np.zeros((1, probs.shape[1]))])  # -1: the row of zeros
+    alpha = np.zeros((size, n + 1, probs.shape[1]))
+    alpha[:, 0] = 1.0
+    for end in range(1, n + 1):
+        k = min(span, end)
+        back = np.arange(end - 1, end - 1 - k, -1)
+        alpha[:, end] = (alpha[:, back] * probs[lattice[:, back, np.arange(k)]]).sum(axis=1)
+    return np.log(alpha[:, n])
+
+
+def log_probs(words: list[str], known: Pieces, probs: np.ndarray) -> np.ndarray:
     """log P(word) summed over all segmentations, [word, language]."""
     out = np.zeros((len(words), probs.shape[1]))
     by_length: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         by_length.setdefault(len(w), []).append(k)
     for n, rows in by_length.items():
-        step = max(1, 200_000 // (n * min(n, PIECE_CHARS)))
+        step = max(1, 200_000 // (n * min(n, known.span)))
         for a in range(0, len(rows), step):
             part = rows[a:a + step]
             out[part] = _word_log_probs([words[k] for k in part], known, probs)
     return out
 
 
-def _word_log_probs(words: list[str], known: dict[str, int], probs: np.ndarray) -> np.ndarray:
+def _word_log_probs(words: list[str], known: Pieces, probs: np.ndarray) -> np.ndarray:
     n = len(words[0])
+    if n <= SHORT and probs.min() ** n > 1e-280:
+        return _short_sums(_lattice(words, known), probs)
     if n <= 64:
         return _forward(_edge_probs(_lattice(words, known), probs))[1][:, -1]
     out = np.zeros((len(words), probs.shape[1]))
     for r, w in enumerate(words):  # a very long word: a sliding window of sums, memory independent of its length
-        scale = np.zeros((PIECE_CHARS, probs.shape[1]))  # scale[k]: log sum k + 1 characters back
+        scale = np.zeros((known.span, probs.shape[1]))  # scale[k]: log sum k + 1 characters back
         scale[1:] = -np.inf
         for end in range(1, n + 1):
-            ids = [known.get(w[end - k:end], -1) for k in range(1, min(PIECE_CHARS, end) + 1)]
+            ids = [known.get(w[end - k:end], -1) for k in range(1, min(known.span, end) + 1)]
             ids[0] = max(ids[0], 0)
             use = [k for k, i in enumerate(ids) if i >= 0]
             top = scale[0].copy()
@@ -129,7 +204,7 @@ def _word_log_probs(words: list[str], known: dict[str, int], probs: np.ndarray)
     return out
 
 
-def train(words: list[str], counts: np.ndarray, known: dict[str, int], rounds: int = ROUNDS) -> np.ndarray:
+def train(words: list[str], counts: np.ndarray, known: Pieces, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities of one language by EM over words with counts."""
     probs = np.full((len(known) + 1, 1), 1.0 / (len(known) + 1))
     by_length: dict[int, list[int]] = {}
@@ -137,7 +212,7 @@ def train(words: list[str], counts: np.ndarray, known: dict[str, int], rounds: i
         by_length.setdefault(len(w), []).append(k)
     lattices = []
     for n, rows in by_length.items():
-        step = max(1, 400_000 // (n * min(n, PIECE_CHARS)))
+        step = max(1, 400_000 // (n * min(n, known.span)))
         for a in range(0, len(rows), step):
             part = rows[a:a + step]
             lattices.append((_lattice([words[k] for k in part], known), counts[part]))
@@ -177,13 +252,25 @@ def words_column(text: Column) -> Column:
     return letter_words(text)
 
 
+def _least_per_language(labelled: DataFrame, max_rows: int) -> DataFrame:
+    """The rows of the least hash of each language, ``max_rows`` shared equally. A bound on the hash that leaves about
+    one and a half times a language's share goes first, so no task sorts a whole language."""
+    sizes = materialize(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    share = max(1, max_rows // max(1, sizes.count()))
+    bound = F.when(F.col("n") > 2 * share, F.lit(float(-(1 << 63))) + F.lit(float(1 << 64)) * (1.5 * share) / F.col("n"))
+    near = labelled.join(broadcast_checked(sizes.select(F.col("lang").alias("_lang"), bound.alias("_bound"))), F.col("lang") == F.col("_lang"))
+    near = near.filter(F.col("_bound").isNull() | (F.col("_order").cast("double") < F.col("_bound")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "text"))
+    return near.withColumn("_place", place).filter(F.col("_place") <= share).select("lang", "text")
+
+
 def fit(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
         max_rows: int = MAX_ROWS, rounds: int = ROUNDS) -> list[tuple[str, int, np.ndarray]]:
     """(language, training texts, piece probabilities) for every language of ``docs``."""
     labelled = (docs.filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
                 .select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
                         F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).alias("_order")))
-    some = materialize(least_by_hash(labelled, "_order", max_rows).repartition(8), "language-sample")
+    some = materialize(_least_per_language(labelled, max_rows).repartition(8), "language-sample")
     sizes = some.groupBy("lang").agg(F.count(F.lit(1)).alias("n_texts"))
     counted = (some.select("lang", F.explode(words_column(F.col("text"))).alias("word"))
                .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -203,14 +290,18 @@ PREDICTION = T.StructType([T.StructField("lang", T.StringType()), T.StructField(
 
 def predict_column(text: Column, model, path: str) -> Column:
     """(language, posterior probability) of each text; ``model`` is a broadcast of ``fit``'s list."""
-    state: dict = {}
+    uid = uuid.uuid4().int  # of the model: a reused worker keeps the table of one model
 
     @F.arrow_udf(PREDICTION)
     def predict(column: pa.Array) -> pa.Array:
+        from tillcast.llm.language import _TABLES  # the worker's module, not a copy sent with the function
+
         names = [m[0] for m in model.value]
-        if names and not state:
-            state["probs"], state["rows"], state["chars"], state["scores"] = (
-                np.stack([m[2] for m in model.value], axis=1), {}, 0, np.zeros((1 << 16, len(names))))
+        state = _TABLES.get(uid)
+        if names and state is None:
+            _TABLES.clear()
+            state = _TABLES[uid] = {"probs": np.stack([m[2] for m in model.value], axis=1), "rows": {}, "chars": 0,
+                                    "scores": np.zeros((1 << 16, len(names)))}
         langs, scores = [], []
         for a in range(0, len(column), 256):
             found = [LETTERS.findall((t or "").lower()) for t in column.slice(a, 256).to_pylist()]
@@ -264,6 +355,6 @@ def held_out(ident: Column, folds: int = 4, fold: int = 2) -> Column:
 def identify(docs: DataFrame, path: str, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
              max_rows: int = MAX_ROWS, rounds: int = ROUNDS, out: str = "prediction") -> DataFrame:
     """``docs`` plus a struct ``out`` of lang and score (a column of that name is replaced); learns from rows outside the held-out fold only."""
-    learn = docs.filter(~held_out(F.col(f"`{id_col}`")))
+    learn = docs.filter(F.col(f"`{id_col}`").isNotNull() & ~held_out(F.col(f"`{id_col}`")))
     model = docs.sparkSession.sparkContext.broadcast(fit(learn, path, text_col, lang_col, id_col, max_rows, rounds))
     return docs.withColumn(out, predict_column(F.col(f"`{text_col}`"), model, path))
