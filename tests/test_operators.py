@@ -576,15 +576,44 @@ def test_filters_reach_the_scan(spark):
     assert "o_totalprice" not in plan(panel.select("Store", "Date"))
 
 
+@pytest.mark.parametrize("most, sketch", [(2_000_000, 10_000), (40, 100), (3, 100), (1, 20)])
+def test_selection_in_passes_equals_numpy(spark, most, sketch):
+    rng = np.random.default_rng(5)
+    data = {"normal": rng.normal(size=4000), "ties": rng.integers(0, 4, 4000).astype(float), "one": np.full(3, 2.5), "wide": rng.exponential(size=4000) ** 5,
+            "mostly": np.where(rng.random(4000) < 0.9, 0.0, rng.normal(size=4000))}
+    n = max(map(len, data.values()))
+    padded = {g: [float(v) for v in x] + [None, float("nan")] * ((n - len(x)) // 2 + 1) for g, x in data.items()}
+    df = spark.createDataFrame([(*r, None) for r in zip(*padded.values())], ", ".join(f"`{g}` double" for g in [*data, "a.b"]))
+    probs = [0.0, 0.001, 0.1, 0.25, 0.5, 0.77, 0.999, 1.0]
+    got = {(r["column"], r["pi"]): r["q"] for r in K.select_quantiles(df.repartition(4), [*data, "a.b"], probs, most, sketch).collect()}
+    assert len(got) == len(data) * len(probs)
+    for g, x in data.items():
+        assert np.allclose([got[g, i] for i in range(len(probs))], np.quantile(x, probs), rtol=1e-12), g
+    assert K.select_quantiles(df.limit(0), list(data), probs).count() == 0
+
+
+def test_psi_does_not_collapse_values(spark):
+    """Nothing is grouped by value over all rows: the written tables hold a few values per feature."""
+    a = spark.range(60_000).select(F.rand(1).alias("x"))
+    written = []
+    real = M.cut_lineage
+    try:
+        M.cut_lineage = lambda df: written.append(real(df)) or written[-1]
+        out = M.psi_report(a, a, ["x"]).first()
+    finally:
+        M.cut_lineage = real
+    assert out["PSI"] == 0.0 and all(w.count() <= 40 for w in written)
+
+
 def test_sliced_and_bounded_rank_paths_agree(spark):
     rng = np.random.default_rng(21)
     a = spark.createDataFrame([(float(v), float(w)) for v, w in zip(np.round(rng.normal(0, 1, 2000), 3),
                                                                     rng.exponential(2.0, 2000))], "x double, z double")
     b = spark.createDataFrame([(float(v), float(w)) for v, w in zip(np.round(rng.normal(0.1, 1, 1500), 3),
                                                                     rng.exponential(2.5, 1500))], "x double, z double")
-    for fn in (M.psi_report, M.ks_report):
-        one = {r["feature"]: r for r in fn(a, b, ["x", "z"], buckets=1).collect()}
-        many = {r["feature"]: r for r in fn(a, b, ["x", "z"], buckets=7).collect()}
+    for fn, few, lots in ((M.psi_report, {}, {"most": 5}), (M.ks_report, {"buckets": 1}, {"buckets": 7})):
+        one = {r["feature"]: r for r in fn(a, b, ["x", "z"], **few).collect()}
+        many = {r["feature"]: r for r in fn(a, b, ["x", "z"], **lots).collect()}
         for f in ("x", "z"):
             for k in one[f].asDict():
                 if isinstance(one[f][k], float):

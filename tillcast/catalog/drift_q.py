@@ -12,6 +12,7 @@ from tillcast.operators import ordering as D
 from tillcast.operators import splits as V
 from tillcast.operators import stats as G
 from tillcast.operators import windows as W
+from tillcast.session import cut_lineage
 from tillcast.sources.tables import read_table, store_panel
 
 CUT = 'cut AS (SELECT CAST(max("Date") - INTERVAL 3 MONTH AS DATE) AS c FROM panel)'
@@ -169,14 +170,16 @@ FROM sz LEFT JOIN ps ON sz.feature = ps.feature {where}"""
 
 
 def _panel_sides(spark, sf):
+    """Both sides of the time split; written once, since PSI reads its input in passes."""
     f = B.drop_closed(V.label_time_split(_features(spark, sf)), keep_flag=True)
+    f = cut_lineage(f.select("split", *_PSI_FEATURES))
     return f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
 
 
 def _lineitem_long(spark, sf, features):
     """Reference = shipped before the split date, current = after; one scan."""
     li = read_table(spark, sf, "lineitem", [*features, "l_shipdate"])
-    return M.long_labelled(li, F.col("l_shipdate") < F.lit(_LI_SPLIT).cast("timestamp_ntz"), features)
+    return M.labelled(li, F.col("l_shipdate") < F.lit(_LI_SPLIT).cast("timestamp_ntz"), features)
 
 
 _PANEL_PSI_SQL = _psi_sql([CUT, FEAT], 'feat WHERE "Open" = 1 AND',

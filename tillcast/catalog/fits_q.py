@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from tillcast.catalog.drift_q import FEAT, _features
 from tillcast.catalog.registry import query, rnd, srnd
 from tillcast.catalog.sqlbase import with_panel
+from tillcast.operators import boosting
 from tillcast.operators import filters as B
 from tillcast.operators import regression as R
 from tillcast.operators.factors import segment_factors
+from tillcast.session import cut_lineage
 
 TWO = ["lag_7", "rolling_mean_7"]
 OLS, RIDGE, LASSO, ENET = (R.MODEL_SPECS[k] for k in ("LinearRegression", "Ridge (L2)", "Lasso (L1)", "ElasticNet"))
@@ -140,3 +142,68 @@ def q_learning_curve_ols(spark, sf):
 @query("learning_curve_ridge", _curve_sql(RIDGE["alpha"]))
 def q_learning_curve_ridge(spark, sf):
     return _curve_rows(spark, sf, RIDGE)
+
+
+# ---------------------------------------------------------------- boosted trees on two inputs
+BOOSTED = {"kind": "gbt", "trees": 3, "depth": 2, "lr": 0.3, "subsample": 1.0, "colsample": 1.0, "min_child": 5, "l1": 0.1, "l2": 1.0}
+BOOSTED_BINS = 16
+
+
+def _boosted_ctes() -> list[str]:
+    """Every level of every tree as an aggregate over (node, input, cut): ``t<k>`` has the predictions after k trees,
+    ``s<k>_<d>`` the splits of a level."""
+    probs = ", ".join(repr(i / BOOSTED_BINS) for i in range(1, BOOSTED_BINS))
+    cut = "SELECT {} AS fi, unnest(list_distinct(quantile_cont({}, [{}]))) AS cut FROM x"
+    score = lambda g, h: f"(greatest(abs({g}) - {BOOSTED['l1']!r}, 0) ** 2 / ({h} + {BOOSTED['l2']!r}))"
+    ctes = [f"edges AS ({cut.format(0, 'a', probs)} UNION ALL {cut.format(1, 'b', probs)})",
+            't0 AS (SELECT "Store", "Date", i, y, a, b, avg(y) OVER () AS p FROM x)']
+    for k in range(BOOSTED["trees"]):
+        ctes.append(f"n{k}_0 AS (SELECT *, p - y AS g, 0 AS node FROM t{k})")
+        for d in range(BOOSTED["depth"]):
+            ctes += [f"""c{k}_{d} AS (SELECT node, fi, cut, coalesce(sum(g) FILTER (WHERE v <= cut), 0) AS gl, count(*) FILTER (WHERE v <= cut) AS hl,
+                           sum(g) AS gs, count(*) AS hs FROM (SELECT node, g, fi, cut, CASE fi WHEN 0 THEN a ELSE b END AS v FROM n{k}_{d}, edges) GROUP BY node, fi, cut)""",
+                     f"""s{k}_{d} AS (SELECT * FROM (SELECT *, {score('gl', 'hl')} + {score('(gs - gl)', '(hs - hl)')} - {score('gs', 'hs')} AS gain FROM c{k}_{d}
+                           WHERE hl >= {BOOSTED['min_child']} AND hs - hl >= {BOOSTED['min_child']}) WHERE gain > 1e-6
+                           QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, fi, cut) = 1)""",
+                     f"""n{k}_{d + 1} AS (SELECT n.* EXCLUDE (node), CASE WHEN s.cut IS NULL THEN n.node
+                           ELSE 2 * n.node + 1 + CAST(CASE s.fi WHEN 0 THEN a ELSE b END > s.cut AS INTEGER) END AS node
+                           FROM n{k}_{d} n LEFT JOIN s{k}_{d} s ON s.node = n.node)"""]
+        leaf = f"-sign(sum(g)) * greatest(abs(sum(g)) - {BOOSTED['l1']!r}, 0) / (count(*) + {BOOSTED['l2']!r}) * {BOOSTED['lr']!r}"
+        ctes += [f"l{k} AS (SELECT node, {leaf} AS value FROM n{k}_{BOOSTED['depth']} GROUP BY node)",
+                 f't{k + 1} AS (SELECT "Store", "Date", i, y, a, b, p + value AS p FROM n{k}_{BOOSTED["depth"]} JOIN l{k} USING (node))']
+    return ctes
+
+
+_X_KEYS = (X[0], X[1], X[2].replace("- 1 AS i, y,", '- 1 AS i, "Store", "Date", y,'))
+_BOOSTED_SQL = with_panel(FEAT, *_X_KEYS, *_boosted_ctes())
+
+
+def _boosted(spark, sf):
+    rows = cut_lineage(_two(spark, sf))
+    return rows, boosting.fit_many(rows, TWO, "y", BOOSTED, [F.lit(True)], bins=BOOSTED_BINS)[0]
+
+
+@query("gbt_two", _BOOSTED_SQL + f'SELECT "Store", "Date", {srnd("p", 4)} AS p FROM t{BOOSTED["trees"]}')
+def q_gbt_two(spark, sf):
+    rows, model = _boosted(spark, sf)
+    return model.predict(rows, "p").select("Store", "Date", rnd("p", 4).alias("p"))
+
+
+@query("staged_errors", _BOOSTED_SQL + " UNION ALL ".join(
+    f"SELECT {k} AS trees, count(*) AS n, {srnd('sqrt(avg((y - p) ** 2))', 4)} AS rmse, {srnd('avg(abs(y - p))', 4)} AS mae FROM t{k}"
+    for k in range(1, BOOSTED["trees"] + 1)))
+def q_staged_errors(spark, sf):
+    rows, model = _boosted(spark, sf)
+    return boosting.staged_errors(rows, model, every=1).select("trees", "n", rnd("rmse", 4).alias("rmse"), rnd("mae", 4).alias("mae"))
+
+
+_ALL_SPLITS = " UNION ALL ".join(f"SELECT fi, gain FROM s{k}_{d}" for k in range(BOOSTED["trees"]) for d in range(BOOSTED["depth"]))
+
+
+@query("importance_two", _BOOSTED_SQL + f"""
+SELECT feature, {srnd("coalesce(m, 0) / sum(m) OVER ()", 6)} AS importance FROM (VALUES (0, '{TWO[0]}'), (1, '{TWO[1]}')) f(fi, feature)
+LEFT JOIN (SELECT fi, avg(gain) AS m FROM ({_ALL_SPLITS}) GROUP BY fi) USING (fi)""")
+def q_importance_two(spark, sf):
+    _, model = _boosted(spark, sf)
+    return spark.createDataFrame(list(zip(TWO, model.importances())), "feature string, importance double").select(
+        "feature", rnd("importance", 6).alias("importance"))

@@ -150,6 +150,13 @@ def q_importance(spark, sf):
     return R.importance_table(R.fit(md.train, FEATURES, R.MODEL_SPECS["Ridge (L2)"]), 20)
 
 
+@query("importance_tree")
+def q_importance_tree(spark, sf):
+    """Importances of the 200-tree boosted model."""
+    md = _frames(spark, sf)
+    return R.importance_table(R.fit(md.train, FEATURES, R.ACCURATE_SPEC), 20)
+
+
 @query("learning_curve")
 def q_learning_curve(spark, sf):
     md = _frames(spark, sf)

@@ -1,10 +1,9 @@
 """Drift statistics (M1-M4, M6, M7): PSI, two-sample KS, CUSUM.
 
 All features are handled in one plan: the reference and current frames
-are unpivoted into (side, feature, value) rows and every statistic is a
-grouped aggregate keyed by feature. Breakpoints and empirical CDFs come
-from ``ranks`` (exact, with no feature's distinct values held in one
-task). CUSUM folds over per-entity batch summaries, whose count is bounded
+become one frame labelled by side, and every statistic is a grouped
+aggregate keyed by feature. Breakpoints and empirical CDFs come from
+``ranks`` (exact, with no feature's distinct values held in one task). CUSUM folds over per-entity batch summaries, whose count is bounded
 by the number of batches, never by rows.
 """
 
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.operators.ranks import cumulative_counts, quantiles_from_counts
+from tillcast.operators.ranks import VALUES_PER_BRACKET, cumulative_counts, select_quantiles
 from tillcast.session import cut_lineage
 from tillcast.sizing import broadcast_checked
 
@@ -28,33 +27,33 @@ PSI_CRITICAL = 0.25
 PSI_WARNING = 0.10
 
 
-def long_sides(reference: DataFrame, current: DataFrame, features) -> DataFrame:
-    """(side, feature, value) with side 'ref'/'cur'; nulls dropped per column."""
-    def one(df, side):
-        return (df.select(F.lit(side).alias("side"), *[F.col(c).cast("double").alias(c) for c in features])
-                .unpivot(["side"], list(features), "feature", "value"))
-    return one(reference, "ref").unionByName(one(current, "cur")).where(F.col("value").isNotNull())
+def labelled(df: DataFrame, is_reference, features) -> DataFrame:
+    """(side, features ...) from ONE frame whose rows are labelled by a
+    predicate (e.g. a date split): a single scan instead of two."""
+    return df.select(F.when(is_reference, F.lit("ref")).otherwise(F.lit("cur")).alias("side"), *[F.col(c).cast("double").alias(c) for c in features])
 
 
-def long_labelled(df: DataFrame, is_reference, features) -> DataFrame:
-    """(side, feature, value) from ONE frame whose rows are labelled by a
-    predicate (e.g. a date split): a single scan instead of two."""
-    return (df.select(F.when(is_reference, F.lit("ref")).otherwise(F.lit("cur")).alias("side"),
-                      *[F.col(c).cast("double").alias(c) for c in features])
-            .unpivot(["side"], list(features), "feature", "value").where(F.col("value").isNotNull()))
+def both_sides(reference: DataFrame, current: DataFrame | None, features) -> DataFrame:
+    """The same from two frames; ``current=None``: the first one is labelled already."""
+    if current is None:
+        return reference
+    return labelled(reference, F.lit(True), features).unionByName(labelled(current, F.lit(False), features))
+
+
+def long_sides(wide: DataFrame, features) -> DataFrame:
+    """(side, feature, value); nulls and NaN dropped per column."""
+    return wide.unpivot(["side"], list(features), "feature", "value").where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def side_value_counts(reference: DataFrame, current: DataFrame | None, features) -> DataFrame:
     """(feature, value, c_ref, c_cur): one row per distinct value of each feature.
 
     This single aggregate (partial-aggregated map-side) is the only pass
-    over the input rows; PSI and KS work from it (``current=None``: the
-    first argument is already a ``long_labelled`` frame). It is referenced by
-    several branches (sizes, quantiles, bins), so it is written once to the
-    checkpoint folder: the input is scanned once and the downstream plan
-    stays small.
+    over the input rows; KS works from it (``current=None``: the first
+    argument is already a ``labelled`` frame). Two branches read it, so it is
+    written once to the checkpoint folder.
     """
-    long = reference if current is None else long_sides(reference, current, features)
+    long = long_sides(both_sides(reference, current, features), features)
     vc = long.groupBy("feature", "value").agg(F.count_if(F.col("side") == "ref").alias("c_ref"),
                                               F.count_if(F.col("side") == "cur").alias("c_cur"))
     return cut_lineage(vc)
@@ -77,22 +76,26 @@ def psi_status(psi) -> F.Column:
 
 
 def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins: int = 10, epsilon: float = 1e-6,
-               min_rows: int = 10, open_ended: bool = False, buckets: int | None = None) -> DataFrame:
+               min_rows: int = 10, open_ended: bool = False, most: int = VALUES_PER_BRACKET) -> DataFrame:
     """M1/M2: PSI per feature with its status.
 
     Breakpoints are the distinct exact deciles of the reference. Bins are
     half-open, the last closed; current values outside the reference range
     are dropped (``open_ended=True`` folds them into the end bins instead).
     Counts get ``epsilon`` added, are normalised per side, and
-    PSI = sum((cur - ref) * ln(cur / ref)). A single distinct breakpoint
-    gives PSI 0. Features with fewer than ``min_rows`` non-null values on
+    PSI = sum((cur - ref) * ln(cur / ref)). The breakpoints come from a
+    selection in passes (``select_quantiles``; ``most`` values of a bracket are
+    sorted at once) and the bins are counted in one scan: no distinct values are
+    shuffled or written. The input is read three times, so pass a table or a
+    cheap plan. A single distinct breakpoint gives PSI 0. Features with fewer than ``min_rows`` non-null values on
     either side are reported with status ``SKIPPED`` and no PSI.
     """
-    vc = side_value_counts(reference, current, features)
+    wide = both_sides(reference, current, features)
+    long = long_sides(wide, features)
     nf = len(features)  # tables keyed by feature hold at most this many rows
-    sizes = _sizes(vc, features)
+    is_ref = F.col("side") == "ref"
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = quantiles_from_counts(vc, "feature", "value", "c_ref", probs, buckets, n_groups=nf)
+    q = cut_lineage(select_quantiles(wide.where(is_ref), features, probs, most).withColumnRenamed("column", "feature"))
     bp = q.groupBy("feature").agg(F.array_distinct(F.array_sort(F.collect_list("q"))).alias("bp"))  # <= n_bins+1 each
     nb = F.size("bp")
     v = F.col("value")
@@ -106,9 +109,10 @@ def psi_report(reference: DataFrame, current: DataFrame | None, features, n_bins
     else:
         bin_ = (F.when(nb < 2, None).when((v < first) | (v > last), None)
                 .when(v == last, nb - 2).otherwise(inner))
-    binned = (vc.join(broadcast_checked(bp, known_rows=nf), "feature")
-              .select("feature", bin_.alias("bin"), "c_ref", "c_cur").where(F.col("bin").isNotNull())
-              .groupBy("feature", "bin").agg(F.sum("c_ref").alias("n_r"), F.sum("c_cur").alias("n_u")))
+    # one scan: rows per feature and bin, those outside all bins (null) for the sizes only
+    binned = cut_lineage(long.join(broadcast_checked(bp, known_rows=nf), "feature", "left").select("feature", bin_.alias("bin"), "side")
+                         .groupBy("feature", "bin").agg(F.count_if(is_ref).alias("n_r"), F.count_if(~is_ref).alias("n_u")))
+    sizes = _sizes(binned.select("feature", F.col("n_r").alias("c_ref"), F.col("n_u").alias("c_cur")), features)
     grid = bp.where(nb >= 2).select("feature", F.explode(F.sequence(F.lit(0), nb - 2)).alias("bin"))
     c = (grid.join(binned, ["feature", "bin"], "left")
          .select("feature", "bin",

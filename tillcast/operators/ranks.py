@@ -21,7 +21,10 @@ no join of ranges.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,3 +140,142 @@ def scalar_quantile(df: DataFrame, col: str, p: float) -> float | None:
     """One exact quantile of one column, as a number."""
     rows = column_quantiles(df, [col], [p]).collect()
     return rows[0]["q"] if rows else None
+
+
+# ---------------------------------------------------------------- selection in several passes
+
+SKETCH = 10_000             # accuracy of the sketch: a rank is off by n / SKETCH at most
+VALUES_PER_BRACKET = 2_000_000
+_GRID = 200                 # steps of the sketch that narrows a bracket
+_HELD = 1 << 20             # values inside brackets that a task holds before it sends them on
+
+
+def _places(bounds: list[float], brackets: list[tuple[float, float]]) -> list[bool]:
+    """Whether a place lies in one of ``brackets``: 2j is between bounds j - 1 and j, 2j + 1 on bound j."""
+    out = []
+    for k in range(2 * len(bounds) + 1):
+        j = k // 2
+        if k % 2:
+            out.append(any(lo <= bounds[j] <= hi for lo, hi in brackets))
+        else:
+            out.append(0 < j < len(bounds) and any(lo <= bounds[j - 1] and bounds[j] <= hi for lo, hi in brackets))
+    return out
+
+
+def _placed_counts(rows: DataFrame, bounds: list[np.ndarray], inside: list[np.ndarray]) -> DataFrame:
+    """(k, place, v, c): rows of column k in each place, by value inside the brackets (v is null outside)."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outside = [np.zeros(2 * len(b) + 1, dtype=np.int64) for b in bounds]
+        held: list[list[np.ndarray]] = [[] for _ in bounds]
+
+        def values(k: int) -> pa.RecordBatch:
+            v, c = np.unique(np.concatenate(held[k]), return_counts=True)
+            held[k] = []
+            place = np.searchsorted(bounds[k], v, "left") + np.searchsorted(bounds[k], v, "right")
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k, np.int32)), pa.array(place.astype(np.int32)), pa.array(v), pa.array(c.astype(np.int64))],
+                                              names=["k", "place", "v", "c"])
+
+        for batch in batches:
+            for k, b in enumerate(bounds):
+                v = batch.column(k).drop_null().to_numpy(zero_copy_only=False)
+                v = v[~np.isnan(v)]
+                place = np.searchsorted(b, v, "left") + np.searchsorted(b, v, "right")
+                kept = inside[k][place]
+                outside[k] += np.bincount(place[~kept], minlength=len(outside[k]))
+                held[k].append(v[kept])
+                if sum(map(len, held[k])) > _HELD:
+                    yield values(k)
+        for k, n in enumerate(outside):
+            if any(map(len, held[k])):
+                yield values(k)
+            at = np.flatnonzero(n)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.nulls(len(at), pa.float64()), pa.array(n[at])],
+                                                 names=["k", "place", "v", "c"])
+
+    return rows.mapInArrow(count, "k int, place int, v double, c long").groupBy("k", "place", "v").agg(F.sum("c").alias("c"))
+
+
+def select_quantiles(df: DataFrame, cols, probs, most: int = VALUES_PER_BRACKET, sketch: int = SKETCH) -> DataFrame:
+    """(column, pi, p, q): exact interpolated quantiles of several columns, like ``column_quantiles``, without
+    collapsing the rows by value. Nulls and NaN are left out.
+
+    A sketch brackets every wanted rank; one more pass counts the rows of each
+    place between the brackets and keeps the distinct values inside them, about
+    ``4 / sketch`` of the rows per rank. A bracket of more than ``most`` distinct
+    values is narrowed by a sketch of its own rows and the pass is made again.
+    Every pass is one scan; columns x probs bracket ends go through the driver,
+    and the last step sorts one bracket per task.
+    """
+    from tillcast.session import cut_lineage
+    spark, cols, probs = df.sparkSession, list(cols), [float(p) for p in probs]
+    own = [F.col(f"`{c}`").cast("double") for c in cols]
+    rows = df.select(*[F.when(~F.isnan(c), c).alias(f"c{k}") for k, c in enumerate(own)])
+    eps = 2.0 / sketch
+    asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)} | {0.0, 1.0})
+    found = rows.agg(*[x for k in range(len(cols)) for x in (F.count(f"c{k}").alias(f"n{k}"), F.min(f"c{k}").alias(f"lo{k}"), F.max(f"c{k}").alias(f"hi{k}"),
+                                                             F.percentile_approx(f"c{k}", asked, sketch).alias(f"s{k}"))]).first()
+    n = [found[f"n{k}"] for k in range(len(cols))]
+    brackets = []  # per column, an interval for every prob
+    for k in range(len(cols)):
+        at, few = dict(zip(asked, found[f"s{k}"] or [])), n[k] <= sketch  # of few rows the next rank may lie outside
+        brackets.append([(found[f"lo{k}"] if few or p <= eps else at[p - eps], found[f"hi{k}"] if few or p + eps >= 1 else at[p + eps])
+                         for p in probs] if n[k] else [])
+    while True:
+        bounds = [sorted({x for pair in pairs for x in pair}) for pairs in brackets]
+        inside = [np.array(_places(b, pairs)) for b, pairs in zip(bounds, brackets)]
+        counts = cut_lineage(_placed_counts(rows, [np.array(b, dtype=float) for b in bounds], inside))
+        totals = [{} for _ in cols]  # a few places per rank: rows and distinct values
+        for r in counts.groupBy("k", "place").agg(F.sum("c").alias("t"), F.count("v").alias("d")).collect():
+            totals[r["k"]][r["place"]] = (r["t"], r["d"])
+        big = [(k, place) for k, t in enumerate(totals) for place, (_, d) in t.items() if d > most]
+        if not big:
+            break
+        brackets = _narrowed(rows, brackets, bounds, totals, n, probs, big, sketch)
+    # the values of one place are sorted in one task; what lies before the place is known
+    offsets = [(k, place, sum(x for q, (x, _) in t.items() if q < place)) for k, t in enumerate(totals) for place in t]
+    offsets = spark.createDataFrame(offsets, "k int, place int, off long")
+    run = Window.partitionBy("k", "place").orderBy("v")
+    cum = counts.where(F.col("v").isNotNull()).join(F.broadcast(offsets), ["k", "place"]).select(
+        "k", "v", (F.col("off") + F.sum("c").over(run)).alias("end"), "c")
+    want = spark.createDataFrame([(k, cols[k], i, p, math.floor(p * (m - 1)), math.ceil(p * (m - 1)), p * (m - 1) - math.floor(p * (m - 1)))
+                                  for k, m in enumerate(n) if m for i, p in enumerate(probs)],
+                                 "k int, column string, pi int, p double, lo_rank long, hi_rank long, frac double")
+    first, last = F.col("end") - F.col("c"), F.col("end") - 1
+
+    def covers(rank):
+        return (F.col(rank) >= first) & (F.col(rank) <= last)
+
+    hits = cum.join(F.broadcast(want), "k").where(covers("lo_rank") | covers("hi_rank"))  # columns x probs rows
+    agg = hits.groupBy("column", "pi", "p", "frac").agg(*[F.max(F.when(covers(r), F.col("v"))).alias(r[:2]) for r in ("lo_rank", "hi_rank")])
+    return agg.select("column", "pi", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("q"))
+
+
+def _narrowed(rows: DataFrame, brackets: list, bounds: list, totals: list, n: list[int], probs: list[float], big: list, sketch: int) -> list:
+    """Brackets around the same ranks inside the places that hold too many values, from a sketch of those places' rows."""
+    def within(k, place):  # between two bounds: a place on a bound has one value
+        c = F.col(f"c{k}")
+        return F.when((c > bounds[k][place // 2 - 1]) & (c < bounds[k][place // 2]), c)
+
+    found = rows.agg(*[F.percentile_approx(within(k, place), [i / _GRID for i in range(_GRID + 1)], sketch).alias(f"s{j}") for j, (k, place) in enumerate(big)]).first()
+    sketches = {at: found[f"s{j}"] for j, at in enumerate(big)}
+    margin = 1 + math.ceil(2 * _GRID / sketch)  # the sketch's error, in steps
+
+    def ends(k: int, rank: int) -> tuple[float, float]:
+        below = 0
+        for place in sorted(totals[k]):
+            t = totals[k][place][0]
+            if rank < below + t:
+                break
+            below += t
+        if (k, place) in sketches:
+            at, s = (rank - below) / max(1, t - 1) * _GRID, sketches[k, place]
+            return s[max(0, math.floor(at) - margin)], s[min(_GRID, math.ceil(at) + margin)]
+        b = bounds[k]
+        return (b[place // 2], b[place // 2]) if place % 2 else (b[place // 2 - 1], b[place // 2])
+
+    out = []
+    for k, pairs in enumerate(brackets):
+        both = [[ends(k, r) for r in (math.floor(p * (n[k] - 1)), math.ceil(p * (n[k] - 1)))] for p in probs] if pairs else []
+        out.append([(min(x for x, _ in two), max(y for _, y in two)) for two in both])
+    return out

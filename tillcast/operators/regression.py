@@ -4,8 +4,9 @@ Linear models (least squares, ridge, lasso, elastic net; features standardised
 with mean and population std of the training rows) are solved from triangular
 factors of the rows (``operators.factors``): one pass, no collected rows, the
 accuracy of working on the rows. One solver serves single fits, folds, learning
-curves and the model comparison. Boosted trees are MLlib's ``GBTRegressor``, or
-the ``xgboost`` Spark estimator for a spec that names that engine.
+curves and the model comparison. Boosted trees grow on histograms
+(``operators.boosting``), all folds of a run at once; a spec that names the engine
+``xgboost`` takes that package's Spark estimator.
 """
 
 from __future__ import annotations
@@ -14,13 +15,11 @@ import math
 import statistics
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.operators import encoders as E
+from tillcast.operators import boosting, encoders as E
 from tillcast.operators import splits as V
 from tillcast.operators import stats as G
 from tillcast.operators.factors import segment_factors, stack
@@ -68,17 +67,14 @@ class Fitted:
             for f, c in zip(self.features, self.model.raw):
                 p = p + F.lit(c) * F.col(f)
             return df.withColumn(out, p)
-        x = self.scaler.transform(df) if self.scaler is not None else df
-        x = VectorAssembler(inputCols=self.features, outputCol="__vec", handleInvalid="keep").transform(x)
-        self.model.setFeaturesCol("__vec").setPredictionCol(out)
-        return self.model.transform(x).drop("__vec")
+        return self.model.predict(df, out)
 
     def importances(self) -> list[float]:
         if self.kind == "xgboost":
             score = self.model.get_booster().get_score(importance_type="gain")
             return [float(score.get(f, score.get(f"f{i}", 0.0))) for i, f in enumerate(self.features)]
         if self.kind == "gbt":
-            return [float(v) for v in self.model.featureImportances.toArray()]
+            return self.model.importances()
         return [abs(v) for v in self.model.coefficients]
 
 
@@ -86,15 +82,10 @@ def fit(train: DataFrame, features, spec: dict, label: str = "y", seed: int = 42
     """Fit one model described by ``spec`` (see MODEL_SPECS)."""
     features = list(features)
     kind = spec["kind"]
-    if kind == "gbt" and spec.get("engine", "mllib") == "xgboost":
-        return _xgboost_fit(train, features, spec, label, seed)
+    if kind == "gbt" and _own_engine(spec):
+        return Fitted(kind, features, None, boosting.fit_many(train, features, label, spec, [F.lit(True)], seed)[0], label)
     if kind == "gbt":
-        vec = VectorAssembler(inputCols=features, outputCol="__vec", handleInvalid="keep").transform(train)
-        gbt = GBTRegressor(featuresCol="__vec", labelCol=label, maxIter=spec["trees"], maxDepth=spec["depth"],
-                           stepSize=spec["lr"], subsamplingRate=spec["subsample"],
-                           featureSubsetStrategy=str(spec["colsample"]) if spec["colsample"] < 1 else "all",
-                           minInstancesPerNode=spec["min_child"], seed=seed)
-        return Fitted(kind, features, None, gbt.fit(vec), label)
+        return _xgboost_fit(train, features, spec, label, seed)
     if kind not in LINEAR_KINDS:
         raise ValueError(kind)
     rows = segment_factors(train, features, label, F.lit(0))[0]
@@ -102,6 +93,10 @@ def fit(train: DataFrame, features, spec: dict, label: str = "y", seed: int = 42
     return Fitted(kind, features, None, Linear(float(rows.means()[-1]), (coef * rows.scales()).tolist(), b0, coef.tolist()), label)
 
 
+def _own_engine(spec: dict) -> bool:
+    return spec.get("engine", "histogram") != "xgboost"
+
+
 def _xgboost_fit(train: DataFrame, features, spec: dict, label: str, seed: int) -> Fitted:
     """The boosted-tree model of the optional ``xgboost`` Spark estimator, for specs
     that name that engine; an error where it is not installed."""
@@ -145,12 +140,15 @@ def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key
 
     Linear models use one pass: rows are labelled with their fold segment,
     every segment is reduced to its triangular factor, and every fold's fit
-    and test error come from those. Other models refit per fold.
+    and test error come from those. Boosted models of all folds grow in one
+    run. Other models refit per fold.
     """
     idx = V.row_index(train, entity, order, "__idx")
     n = train.count()
     if spec["kind"] in LINEAR_KINDS:
         return _cv_from_factors(spec, fold_factors(idx, n, k, features, label), k)
+    if spec["kind"] == "gbt" and _own_engine(spec):
+        return _boosted_folds(idx, n, features, spec, k, label)[1]
     scores = []
     for fold, lo, hi in V.fold_bounds(n, k):
         tr = idx.where(F.col("__idx") < lo)
@@ -161,6 +159,25 @@ def ts_cv(train: DataFrame, features, spec: dict, k: int = 5, entity: str = "key
             "cv_rmse_std": statistics.pstdev(scores)}
 
 
+def _in(lo, hi=None) -> Column:
+    return (F.col("__idx") < lo) if hi is None else (F.col("__idx") >= lo) & (F.col("__idx") < hi)
+
+
+def _sides(*sides: tuple[int, str, Column]) -> Column:
+    """Array of (model, side) for the rows that each condition holds for."""
+    return F.array_compact(F.array(*[F.when(c, F.struct(F.lit(m).alias("model"), F.lit(side).alias("side"))) for m, side, c in sides]))
+
+
+def _boosted_folds(idx: DataFrame, n: int, features, spec: dict, k: int, label: str) -> tuple[Fitted, dict]:
+    """The model of all rows and the fold errors, from one run of ``k`` + 1 fits."""
+    features, bounds = list(features), V.fold_bounds(n, k)
+    rows = idx.select("__idx", *features, label)
+    models = boosting.fit_many(rows, features, label, spec, [_in(lo) for _, lo, _ in bounds] + [F.lit(True)])
+    found = boosting.errors_by(rows, models, label, _sides(*[(f, "test", _in(lo, hi)) for f, lo, hi in bounds])) if k else {}
+    scores = [boosting.rmse_of(found[f, "test"]) for f in range(k)]
+    return Fitted("gbt", features, None, models[-1], label), boosting.spread(scores) if k else {}
+
+
 COMPARE_SCHEMA = T.StructType([T.StructField(c, t) for c, t in [
     ("model", T.StringType()), ("train_R2", T.DoubleType()), ("test_R2", T.DoubleType()),
     ("test_RMSE", T.DoubleType()), ("test_MAE", T.DoubleType()), ("test_RMSPE", T.DoubleType()),
@@ -174,7 +191,7 @@ def model_compare(train: DataFrame, test: DataFrame, features, specs: dict | Non
 
     Linear models (OLS, ridge, lasso, elastic net) are all solved from one
     pass of per-fold-segment triangular factors (least squares or coordinate
-    descent on the Gram matrix); other models are fitted per fold. Predictions of
+    descent on the Gram matrix); a boosted model grows with those of its folds. Predictions of
     all models are stacked into one long (model, split, y, p) table and
     scored by a single grouped metrics aggregate.
     """
@@ -200,8 +217,11 @@ def model_compare(train: DataFrame, test: DataFrame, features, specs: dict | Non
     for name, spec in specs.items():
         if name in linear:
             continue
-        cv[name] = ts_cv(train, features, spec, cv_folds, label=label) if cv_folds else None
-        m = fit(train, features, spec, label)
+        if spec["kind"] == "gbt" and _own_engine(spec):
+            m, cv[name] = _boosted_folds(V.row_index(train, "key_store", "key_date", "__idx"), train.count(), features, spec, cv_folds or 0, label)
+        else:
+            cv[name] = ts_cv(train, features, spec, cv_folds, label=label) if cv_folds else None
+            m = fit(train, features, spec, label)
         for split, df in (("train", train), ("test", test)):
             preds.append(m.predict(df.select(*features, label)).select(
                 F.lit(name).alias("model"), F.lit(split).alias("split"), F.col(label).alias("y"), F.col("p")))
@@ -271,6 +291,8 @@ def learning_curve(train: DataFrame, features, spec: dict, sizes: int = 10, fold
     n = train.count()
     if spec["kind"] in LINEAR_KINDS:
         return _learning_curve_linear(train, idx, n, features, spec, sizes, folds, label)
+    if spec["kind"] == "gbt" and _own_engine(spec):
+        return _learning_curve_boosted(train, idx, n, features, spec, sizes, folds, label)
     rows = []
     for j in range(sizes):
         s = 0.1 + j * (1.0 - 0.1) / (sizes - 1)
@@ -299,6 +321,20 @@ def _learning_curve_plan(n: int, sizes: int, folds: int):
     return plan
 
 
+def _learning_curve_boosted(train, idx, n, features, spec, sizes, folds, label):
+    """V4 for boosted trees: the models of all sizes and folds grow in one run, and one pass gives all errors."""
+    cuts = [(j, end, lo, hi) for j, end, fl in _learning_curve_plan(n, sizes, folds) for lo, hi in fl]
+    idx = idx.select("__idx", *features, label)
+    models = boosting.fit_many(idx, features, label, spec, [_in(lo) for _, _, lo, _ in cuts])
+    found = boosting.errors_by(idx, models, label, _sides(*[(m, side, c) for m, (_, _, lo, hi) in enumerate(cuts)
+                                                            for side, c in (("train", _in(lo)), ("val", _in(lo, hi)))]))
+    rows = []
+    for j in sorted({c[0] for c in cuts}):
+        mine = [m for m, c in enumerate(cuts) if c[0] == j]
+        rows.append((j, min(cuts[mine[0]][1], n), *(statistics.fmean(boosting.rmse_of(found[m, side]) for m in mine) for side in ("train", "val"))))
+    return train.sparkSession.createDataFrame(rows, "size_index int, n_rows int, train_rmse double, val_rmse double")
+
+
 def _learning_curve_linear(train, idx, n, features, spec, sizes, folds, label):
     """V4 for linear models in one pass: the prefix sizes and fold bounds cut the
     row order into segments, each reduced to its triangular factor."""

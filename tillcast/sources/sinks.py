@@ -82,25 +82,32 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_NODES = "tree int, node int, feature int, threshold double, value double, gain double"
+
+
 def _save_model(model, path: str) -> dict | None:
-    """Description of a fitted model; boosted trees are written by MLlib next to it."""
+    """Description of a fitted model; the nodes of boosted trees are a table next to it."""
     if model is None:
         return None
     if hasattr(model.model, "raw"):
         return {"kind": model.kind, "features": model.features, "label": model.label, "linear": asdict(model.model)}
     if model.kind != "gbt":
         raise ValueError(f"no writer for a model of kind {model.kind}")
-    model.model.write().overwrite().save(path)
-    return {"kind": model.kind, "features": model.features, "label": model.label, "path": path.rsplit("/", 1)[1]}
+    save_table(SparkSession.getActiveSession().createDataFrame(model.model.rows(), _NODES), path)  # trees x nodes numbers
+    return {"kind": model.kind, "features": model.features, "label": model.label, "path": path.rsplit("/", 1)[1],
+            "base": model.model.base, "shape": list(model.model.feature.shape)}
 
 
 def _load_model(spec: dict | None, path: str):
-    from pyspark.ml.regression import GBTRegressionModel
-
+    from tillcast.operators.boosting import Trees
     from tillcast.operators.regression import Fitted, Linear
     if spec is None:
         return None
-    model = Linear(**spec["linear"]) if "linear" in spec else GBTRegressionModel.load(f"{path}/{spec['path']}")
+    if "linear" in spec:
+        model = Linear(**spec["linear"])
+    else:
+        nodes = load_table(SparkSession.getActiveSession(), f"{path}/{spec['path']}").collect()
+        model = Trees.of_rows(spec["features"], spec["base"], tuple(spec["shape"]), nodes)
     return Fitted(spec["kind"], spec["features"], None, model, spec["label"])
 
 
