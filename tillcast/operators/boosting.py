@@ -11,7 +11,9 @@ run, so six fits of 500 trees of depth 6 take 3,000 small jobs and not 18,000.
 Splits maximise T(GL)^2/(HL+l2) + T(GR)^2/(HR+l2) - T(G)^2/(H+l2), with G the sum of
 gradients (prediction minus label), H the number of sampled rows and T the soft
 threshold at ``l1``; a leaf is -T(G)/(H+l2) times the learning rate. Rows are drawn
-per tree by a hash of their key and columns per tree by the seed.
+per tree by a hash of their key and columns per tree by the seed. A fit whose rows
+lie in one block has nothing to add up, so its task grows ``CUT`` trees a job; the
+trees are the same either way.
 
 Gradients are rounded to a grid (a power of two, so fine that a block's sum is
 exact in a double), and blocks are added as integers: a model does not depend on
@@ -162,78 +164,127 @@ def _soft(g: np.ndarray, l1: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0) if l1 else g
 
 
-def best_split(g: np.ndarray, h: np.ndarray, columns: np.ndarray, grow: Growth) -> tuple | None:
-    """(gain, column, bin, G and H left, G and H right) of the best split of a node, from gradient and count sums
-    [column, bin]; None without one. G and H of the node itself if ``columns`` has no split."""
-    whole_g, whole_h = g[0].sum(), h[0].sum()
-    left_g, left_h = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
+def best_splits(g: np.ndarray, h: np.ndarray, columns: np.ndarray, grow: Growth) -> list[tuple | None]:
+    """For every node (gain, column, bin, G and H left, G and H right) of its best split, or None, from the sums of
+    gradients and counts [node, column, bin]."""
+    whole_g, whole_h = g[:, :1].sum(axis=2, keepdims=True), h[:, :1].sum(axis=2, keepdims=True)
+    left_g, left_h = np.cumsum(g, axis=2)[:, :, :-1], np.cumsum(h, axis=2)[:, :, :-1]
     right_g, right_h = whole_g - left_g, whole_h - left_h
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = (_soft(left_g, grow.l1) ** 2 / (left_h + grow.l2) + _soft(right_g, grow.l1) ** 2 / (right_h + grow.l2)
                 - _soft(whole_g, grow.l1) ** 2 / (whole_h + grow.l2))
     least = max(grow.min_child, 1)
-    gain = np.where((left_h >= least) & (right_h >= least), gain, -np.inf)
-    if not gain.size:
-        return None
-    at = int(np.argmax(gain))
-    c, b = divmod(at, gain.shape[1])
-    if not gain[c, b] > LEAST_GAIN:
-        return None
-    return (float(gain[c, b]), int(columns[c]), b, float(left_g[c, b]), float(left_h[c, b]), float(right_g[c, b]), float(right_h[c, b]))
+    gain = np.where((left_h >= least) & (right_h >= least), gain, -np.inf).reshape(len(g), -1)
+    if not gain.shape[1]:
+        return [None] * len(g)
+    out = []
+    for k, at in enumerate(np.argmax(gain, axis=1).tolist()):
+        c, b = divmod(at, left_g.shape[2])
+        out.append((float(gain[k, at]), int(columns[c]), b, float(left_g[k, c, b]), float(left_h[k, c, b]), float(right_g[k, c, b]), float(right_h[k, c, b]))
+                   if gain[k, at] > LEAST_GAIN else None)
+    return out
+
+
+class Tree:
+    """A tree that grows level by level: nodes in heap order, -1 where a node is a leaf."""
+
+    def __init__(self, depth: int):
+        size = (1 << (depth + 1)) - 1
+        self.feature, self.split = np.full(size, -1, np.int16), np.zeros(size, np.int16)
+        self.value, self.gain, self.open = np.zeros(size), np.zeros(size), [0]
+
+    def extend(self, depth: int, found: list[tuple], grow: Growth) -> None:
+        """Take in (node, G, H, best split) of the open nodes of a level."""
+        self.open = []
+        for node, g, h, best in found:
+            if depth == 0:
+                self.value[0] = _leaf(g, h, grow)
+            if best is None:
+                continue
+            gain, column, cut, lg, lh, rg, rh = best
+            self.feature[node], self.split[node], self.gain[node], self.value[node] = column, cut, gain, 0.0
+            self.value[2 * node + 1], self.value[2 * node + 2] = _leaf(lg, lh, grow), _leaf(rg, rh, grow)
+            if depth + 1 < grow.depth:
+                self.open += [2 * node + 1, 2 * node + 2]
+
+    def walk(self, bins: np.ndarray, depth: int) -> np.ndarray:
+        return _walk_bins(self.feature, self.split, bins, depth)
 
 
-class _Level:
-    """What a job needs to know: the run's settings, each fit's trees since the blocks' last checkpoint and its open tree."""
+def _leaf(g: float, h: float, grow: Growth) -> float:
+    return float(-_soft(np.float64(g), grow.l1) / (h + grow.l2) * grow.lr) if h + grow.l2 > 0 else 0.0
 
-    def __init__(self, run: str, grow: Growth, tree: int, since: int, done: dict, open_: dict, nodes: dict, grid: dict, width: int, columns: np.ndarray):
-        self.run, self.grow, self.tree, self.since = run, grow, tree, since
-        self.done, self.open, self.nodes, self.grid, self.width, self.columns = done, open_, nodes, grid, width, columns
 
-    def advanced(self, block: dict) -> np.ndarray:
-        """The block's predictions after the trees so far; a worker keeps its own from job to job."""
+class _Job:
+    """What a job needs to know: the run's settings, and each fit's trees since the blocks' last checkpoint, the open one included."""
+
+    def __init__(self, run: str, grow: Growth, since: int, trees: dict[int, list[Tree]], grid: dict, width: int):
+        self.run, self.grow, self.since, self.trees, self.grid, self.width = run, grow, since, trees, grid, width
+
+    def advanced(self, block: dict, upto: int) -> np.ndarray:
+        """The block's predictions after ``upto`` trees; a worker keeps its own from job to job."""
         key = (self.run, block["fit"], block["part"])
         if any(k[0] != self.run for k in _STATES):
             _STATES.clear()
         count, margin = _STATES.get(key, (-1, None))
-        if not self.since <= count <= self.tree:
+        if not self.since <= count <= upto:
             count, margin = self.since, block["margin"]
-        for feature, split, value in self.done[block["fit"]][count - self.since:]:
-            margin = margin + value[_walk_bins(feature, split, block["bins"], self.grow.depth)]
-        _STATES[key] = (self.tree, margin)
+        for tree in self.trees[block["fit"]][count - self.since:upto - self.since]:
+            margin = margin + tree.value[tree.walk(block["bins"], self.grow.depth)]
+        _STATES[key] = (upto, margin)
         return margin
 
-    def sums(self, block: dict) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
-        """((fit, node), sums [2, column, bin] of gradients and counts) of the open nodes."""
-        fit, bins = block["fit"], block["bins"]
-        margin = self.advanced(block)
-        gradient = np.rint((margin - block["y"]) * self.grid[fit])
-        feature, split = self.open[fit]
-        at = _walk_bins(feature, split, bins, self.grow.depth)
-        slot = np.full(len(feature), -1, dtype=np.int32)
-        slot[self.nodes[fit]] = np.arange(len(self.nodes[fit]))
-        at = slot[at]
+    def sums(self, block: dict, number: int, tree: Tree) -> np.ndarray:
+        """Sums [2, node, column, bin] of gradients (on the fit's grid) and counts of the open nodes of tree ``number``."""
+        bins, width = block["bins"], self.width
+        gradient = np.rint((self.advanced(block, number) - block["y"]) * self.grid[block["fit"]])
+        slot = np.full(len(tree.feature), -1, dtype=np.int32)
+        slot[tree.open] = np.arange(len(tree.open))
+        at = slot[tree.walk(bins, self.grow.depth)]
         use = at >= 0
-        picked = _drawn(block["key"], self.grow.seed, self.tree, self.grow.subsample)
+        picked = _drawn(block["key"], self.grow.seed, number, self.grow.subsample)
         if picked is not None:
             use &= picked
         rows = np.flatnonzero(use)
-        at, gradient = at[rows], gradient[rows]
-        columns, width = self.columns, self.width
-        shape = (len(self.nodes[fit]), len(columns), width)
-        out = np.zeros((2, *shape), dtype=np.int64)
-        base = at.astype(np.int64) * width
-        for k, c in enumerate(columns):  # one column at a time: memory of a few rows' numbers
+        base, gradient = at[rows].astype(np.int64) * width, gradient[rows]
+        columns, nodes = drawn_columns(len(bins), self.grow, number), len(tree.open)
+        out = np.zeros((2, nodes, len(columns), width), dtype=np.int64)
+        for k, c in enumerate(columns):
             where = base + bins[c, rows]
-            out[0, :, k] = np.bincount(where, weights=gradient, minlength=shape[0] * width).reshape(shape[0], width).astype(np.int64)
-            out[1, :, k] = np.bincount(where, minlength=shape[0] * width).reshape(shape[0], width)
-        for k, node in enumerate(self.nodes[fit]):
-            yield (fit, int(node)), out[:, k]
-
-    def split(self, found: tuple[tuple[int, int], np.ndarray]) -> tuple:
-        """(fit, node, G, H, best split) of the added-up sums of a node."""
-        (fit, node), sums = found
+            out[0, :, k] = np.bincount(where, weights=gradient, minlength=nodes * width).reshape(nodes, width)
+            out[1, :, k] = np.bincount(where, minlength=nodes * width).reshape(nodes, width)
+        return out
+
+    def best(self, fit: int, number: int, nodes: list[int], sums: np.ndarray, p: int) -> list[tuple]:
+        """(node, G, H, best split) from the added-up sums of some nodes."""
         g, h = sums[0] / self.grid[fit], sums[1].astype(float)
-        return fit, node, float(g[0].sum()), float(h[0].sum()), best_split(g, h, self.columns, self.grow)
+        found = best_splits(g, h, drawn_columns(p, self.grow, number), self.grow)
+        return [(node, float(g[k, 0].sum()), float(h[k, 0].sum()), found[k]) for k, node in enumerate(nodes)]
+
+    def level(self, block: dict) -> Iterator[tuple]:
+        """((fit, node), sums) of one block for the open nodes of the last tree."""
+        tree = self.trees[block["fit"]][-1]
+        sums = self.sums(block, self.since + len(self.trees[block["fit"]]) - 1, tree) if tree.open else None
+        for k, node in enumerate(tree.open):
+            yield (block["fit"], node), sums[:, k:k + 1]
+
+    def chosen(self, item: tuple, p: int) -> tuple:
+        """(fit, (node, G, H, best split)) of a node's sums over all blocks."""
+        (fit, node), sums = item
+        return fit, self.best(fit, self.since + len(self.trees[fit]) - 1, [node], sums, p)[0]
+
+    def whole(self, block: dict, upto: int) -> tuple[int, list[Tree]]:
+        """(fit, its trees up to ``upto``): for a fit of one block, whose sums need no other task."""
+        fit, p = block["fit"], len(block["bins"])
+        grown = []
+        for number in range(self.since, upto):
+            tree = Tree(self.grow.depth)
+            for depth in range(self.grow.depth):
+                if tree.open:
+                    tree.extend(depth, self.best(fit, number, tree.open, self.sums(block, number, tree), p), self.grow)
+            grown.append(tree)
+            self.trees[fit].append(tree)
+        return fit, grown
 
 
 def _blocks(df: DataFrame, features: list[str], edges: list[np.ndarray], parts: int) -> DataFrame:
@@ -307,57 +358,52 @@ def fit_many(df: DataFrame, features: list[str], label: str, spec: dict, fits: l
     parts = max(1, -(-max([r["n"] for r in about], default=0) // block_rows))
     packed = materialize(_blocks(rows, features, edges, parts).withColumn("part", F.monotonically_increasing_id()), "boosting-blocks")
     ids = {r["part"]: k for k, r in enumerate(packed.select("part").orderBy("part").collect())}  # a row per block
-    p, names = len(features), list(base)
+    p = len(features)
     blocks = packed.rdd.map(lambda r: _unpacked(r, p, base)).partitionBy(max(1, len(ids)), lambda part: ids[part]).values().persist()
     ensure_checkpoint_dir(spark)
-    run, size = uuid.uuid4().hex, (1 << (grow.depth + 1)) - 1
-    made = {f: Trees(features, base[f], np.full((grow.trees, size), -1, np.int16), *(np.zeros((grow.trees, size)) for _ in range(3))) for f in names}
-    splits = {f: np.zeros((grow.trees, size), np.int16) for f in names}
-    since = 0
-    for tree in range(grow.trees if names else 0):
-        if tree - since >= CUT:
-            done = {f: [(made[f].feature[t], splits[f][t], made[f].value[t]) for t in range(since, tree)] for f in names}
-            blocks, old, since = _moved(blocks, _Level(run, grow, tree, since, done, {}, {}, grid, width, np.zeros(0, int))), blocks, tree
-            old.unpersist()
-        done = {f: [(made[f].feature[t], splits[f][t], made[f].value[t]) for t in range(since, tree)] for f in names}
-        open_nodes, columns = {f: [0] for f in names}, drawn_columns(p, grow, tree)
-        for depth in range(grow.depth):
-            level = _Level(run, grow, tree, since, done, {f: (made[f].feature[tree], splits[f][tree]) for f in names}, open_nodes, grid, width, columns)
-            sums = blocks.filter(lambda b, now=level: now.nodes[b["fit"]]).flatMap(level.sums)
-            if len(ids) > len(names):  # several blocks a fit
-                sums = sums.reduceByKey(np.add)
-            found = sums.map(level.split).collect()  # a few numbers a node
-            open_nodes = {f: [] for f in names}
-            for f, node, g, h, best in found:
-                model = made[f]
-                if depth == 0:
-                    model.value[tree, 0] = _leaf(g, h, grow)
-                if best is None:
-                    continue
-                gain, column, cut, lg, lh, rg, rh = best
-                model.feature[tree, node], splits[f][tree, node], model.gain[tree, node] = column, cut, gain
-                model.threshold[tree, node] = edges[column][cut] if cut < len(edges[column]) else np.inf
-                model.value[tree, node] = 0.0
-                model.value[tree, 2 * node + 1], model.value[tree, 2 * node + 2] = _leaf(lg, lh, grow), _leaf(rg, rh, grow)
-                if depth + 1 < grow.depth:
-                    open_nodes[f] += [2 * node + 1, 2 * node + 2]
-            if not any(open_nodes.values()):
-                break
+    run, grown = uuid.uuid4().hex, {f: [] for f in base}
+    for since in range(0, grow.trees if base else 0, CUT):
+        upto = min(since + CUT, grow.trees)
+        recent = {f: [] for f in base}
+        if len(ids) == len(base):  # one block a fit: nothing to add up between the levels
+            job = _Job(run, grow, since, {f: [] for f in base}, grid, width)
+            for f, trees in blocks.map(lambda b, job=job, upto=upto: job.whole(b, upto)).collect():  # trees x nodes numbers
+                recent[f] = trees
+        else:
+            for _ in range(since, upto):
+                for f in base:
+                    recent[f].append(Tree(grow.depth))
+                for depth in range(grow.depth):
+                    if not any(recent[f][-1].open for f in base):
+                        break
+                    job = _Job(run, grow, since, recent, grid, width)
+                    sums = blocks.flatMap(job.level).reduceByKey(np.add)
+                    found = {f: [] for f in base}
+                    for f, node in sums.map(lambda item, job=job: job.chosen(item, p)).collect():  # a few numbers a node
+                        found[f].append(node)
+                    for f in base:
+                        recent[f][-1].extend(depth, sorted(found[f], key=lambda x: x[0]), grow)
+        for f in base:
+            grown[f] += recent[f]
+        if upto < grow.trees:
+            job = _Job(run, grow, since, recent, grid, width)
+            moved = blocks.map(lambda b, job=job, upto=upto: b | {"margin": job.advanced(b, upto)}).persist()
+            moved.checkpoint()
+            moved.count()
+            blocks.unpersist()
+            blocks = moved
     blocks.unpersist()
-    empty = Trees(features, 0.0, np.full((grow.trees, size), -1, np.int16), *(np.zeros((grow.trees, size)) for _ in range(3)))
-    return [made.get(f, empty) for f in range(len(fits))]
-
+    return [_model(features, base.get(f, 0.0), grown.get(f, []), grow, edges) for f in range(len(fits))]
 
-def _moved(blocks, level: _Level):
-    """The blocks with their predictions brought up to date, checkpointed."""
-    moved = blocks.map(lambda b: b | {"margin": level.advanced(b)}).persist()
-    moved.checkpoint()
-    moved.count()
-    return moved
 
-
-def _leaf(g: float, h: float, grow: Growth) -> float:
-    return float(-_soft(np.float64(g), grow.l1) / (h + grow.l2) * grow.lr) if h + grow.l2 > 0 else 0.0
+def _model(features: list[str], base: float, trees: list[Tree], grow: Growth, edges: list[np.ndarray]) -> Trees:
+    shape = (grow.trees, (1 << (grow.depth + 1)) - 1)
+    out = Trees(features, base, np.full(shape, -1, np.int16), *(np.zeros(shape) for _ in range(3)))
+    for t, tree in enumerate(trees):
+        out.feature[t], out.value[t], out.gain[t] = tree.feature, tree.value, tree.gain
+        for node in np.flatnonzero(tree.feature >= 0):
+            out.threshold[t, node] = edges[tree.feature[node]][tree.split[node]]
+    return out
 
 
 # ---------------------------------------------------------------- errors
