@@ -256,20 +256,71 @@ def test_interval_matches_numpy(spark):
         assert r["upper"] == pytest.approx(np.percentile(p, 95))
 
 
-def test_bootstrap_replica_is_weighted_ridge(spark):
+def _bootstrap_frame(spark, n=300):
     rng = np.random.default_rng(2)
-    X = rng.normal(size=(200, 3)) * [1, 10, 100]
-    y = X @ [2.0, -1.0, 0.05] + rng.normal(size=200)
-    rows = [(i, D0, *map(float, X[i]), float(y[i])) for i in range(200)]
-    df = spark.createDataFrame(rows, "key_store int, key_date date, a double, b double, c double, y double")
-    ens = U.bootstrap_fit(df, ["a", "b", "c"], n_boot=2, alpha=10.0)
-    w = np.array([r[0] for r in df.select(U.poisson_weight(["key_store", "key_date"], F.lit(1))).collect()], float)
+    X = rng.normal(size=(n, 3)) * [1, 10, 100]
+    X[:, 2] = X[:, 0] * 3 - X[:, 1] if n % 2 else X[:, 2]  # odd n: rank-deficient inputs
+    y = X @ [2.0, -1.0, 0.05] + rng.normal(size=n)
+    rows = [(i, D0, *map(float, X[i]), float(y[i])) for i in range(n)]
+    return X, y, spark.createDataFrame(rows, "key_store int, key_date date, a double, b double, c double, y double")
+
+
+def _weighted_ridge(X, y, w, alpha):
     mu = (w @ X) / w.sum()
     sd = np.sqrt((w @ (X - mu) ** 2) / w.sum())
-    Z = (X - mu) / sd
-    ym = (w @ y) / w.sum()
-    ws = np.linalg.solve(Z.T @ (Z * w[:, None]) + 10.0 * np.eye(3), Z.T @ (w * (y - ym)))
-    assert ens.coefs[1] == pytest.approx(list(ws / sd), rel=1e-8)
+    root = np.sqrt(w)[:, None]
+    Z, t = (X - mu) / sd * root, (y - (w @ y) / w.sum()) * root[:, 0]
+    if alpha:
+        Z, t = np.vstack([Z, np.sqrt(alpha) * np.eye(X.shape[1])]), np.append(t, np.zeros(X.shape[1]))
+    return np.linalg.lstsq(Z, t, rcond=1e-10)[0] / sd
+
+
+def _draws(X, keys, n_boot, cell_rows):
+    """Multinomial weights by brute force: the canonical tree over the hashes, cell by cell."""
+    n = len(keys)
+    bits = max(0, math.ceil(math.log2(n / cell_rows))) + 2
+    counts = np.bincount((keys >> np.uint64(64 - bits)).astype(int), minlength=1 << bits)
+    out = np.zeros((n, n_boot))
+    for depth, prefix, draws in U.split_draws(counts, bits, n_boot, 0, cell_rows):
+        at = np.flatnonzero((keys >> np.uint64(64 - depth)).astype(int) == prefix) if depth else np.arange(n)
+        at = at[np.argsort(keys[at])]
+        out[at] = U.cell_draws(len(at), np.array(draws), 0, depth, prefix)
+    return out
+
+
+@pytest.mark.parametrize("n, base", [(300, {"kind": "ridge", "alpha": 10.0}), (301, {"kind": "ols"}), (301, {"kind": "ridge", "alpha": 1.0})])
+def test_bootstrap_replicas_equal_weighted_fits(spark, n, base):
+    X, y, df = _bootstrap_frame(spark, n)
+    X, y = X[:n], y[:n]
+    keys = np.array([r[0] for r in df.select(F.xxhash64("key_store", "key_date")).collect()]).view(np.uint64)
+    poisson = np.array([[r[0], r[1]] for r in df.select(*[U.poisson_weight(["key_store", "key_date"], F.lit(k)) for k in (0, 1)]).collect()], float)
+    for resample, cell, w in (("multinomial", 1 << 16, _draws(X, keys, 2, 1 << 16)), ("multinomial", 40, _draws(X, keys, 2, 40)), ("poisson", 0, poisson)):
+        ens = U.bootstrap_fit(df.repartition(3), ["a", "b", "c"], n_boot=2, base=base, resample=resample, cell_rows=cell)
+        for k in range(2):
+            assert np.allclose(ens.coefs[k], _weighted_ridge(X, y, w[:, k], base.get("alpha", 0.0)), rtol=1e-6, atol=1e-9)
+        if resample == "multinomial":
+            assert (w.sum(axis=0) == n).all()
+            again = U.bootstrap_fit(df.repartition(7), ["a", "b", "c"], n_boot=2, base=base, cell_rows=cell)
+            assert np.allclose(again.coefs, ens.coefs, rtol=1e-9)
+    with pytest.raises(ValueError):
+        U.bootstrap_fit(df, ["a"], base={"kind": "gbt"})
+
+
+def test_resampled_rows_are_multinomial():
+    """Every row is drawn as often as any other (chi-square over rows), and replicas differ."""
+    keys = U.mix64(np.arange(1, 1001, dtype=np.uint64))
+    for cell_rows in (1 << 16, 60):
+        w = _draws(np.zeros((1000, 1)), keys, 200, cell_rows)
+        assert (w.sum(axis=0) == 1000).all() and len({tuple(c) for c in w.T}) == 200
+        chi = ((w.sum(axis=1) - 200) ** 2 / 200).sum()
+        assert abs(chi - 999) < 5 * np.sqrt(2 * 999)
+        assert abs((w == 0).mean() - np.exp(-1)) < 0.01  # a row is left out with probability 1 / e
+
+
+def test_mixed_key_is_the_same_in_spark(spark):
+    x = [0, 1, -1, 123456789, -(1 << 63), (1 << 63) - 1, 987654321987]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "v long").select(U.mixed_key(F.col("v"))).collect()]
+    assert got == U.mix64(np.array(x, dtype=np.int64).view(np.uint64)).view(np.int64).tolist()
 
 
 def test_routing_threshold_and_stats(spark):

@@ -15,6 +15,7 @@ from tillcast.catalog.sqlbase import with_panel
 from tillcast.operators import boosting
 from tillcast.operators import filters as B
 from tillcast.operators import regression as R
+from tillcast.operators import uncertainty as U
 from tillcast.operators.factors import segment_factors
 from tillcast.session import cut_lineage
 
@@ -207,3 +208,41 @@ def q_importance_two(spark, sf):
     _, model = _boosted(spark, sf)
     return spark.createDataFrame(list(zip(TWO, model.importances())), "feature string, importance double").select(
         "feature", rnd("importance", 6).alias("importance"))
+
+
+# ---------------------------------------------------------------- bootstrap on two inputs
+BOOT = 5
+_TWO_64 = 1 << 64
+
+
+def _mixed_sql(x: str, rest: str, source: str) -> str:
+    """``rest`` and ``h``, the 64-bit mixing of column expression ``x`` (unsigned), over ``source``."""
+    times = lambda z, m: f"CAST((CAST({z} AS UHUGEINT) * {m}) % {_TWO_64} AS UBIGINT)"
+    first = f"SELECT {rest}, {x} AS z FROM {source}"
+    second = f"SELECT {rest}, {times('xor(z, z >> 30)', U.MIX_1)} AS z FROM ({first})"
+    third = f"SELECT {rest}, {times('xor(z, z >> 27)', U.MIX_2)} AS z FROM ({second})"
+    return f"SELECT {rest}, xor(z, z >> 31) AS h FROM ({third})"
+
+
+def _bootstrap_sql() -> str:
+    mixed = lambda x: int(U.mix64(np.array([x % _TWO_64], dtype=np.uint64))[0])
+    streams = ", ".join(f"({r}, CAST({mixed((r + 1) * U.STEP + U.MIX_1)} AS UBIGINT))" for r in range(BOOT))
+    key = """CAST("Store" * 100000 + date_diff('day', DATE '1970-01-01', "Date") AS UBIGINT)"""
+    draw = f"CAST((CAST(stream AS UHUGEINT) + CAST(j AS UHUGEINT) * {U.GOLDEN}) % {_TWO_64} AS UBIGINT)"
+    return with_panel(
+        FEAT, *_X_KEYS, f"hashed AS ({_mixed_sql(key, 'y, a, b, total', 'x')})",
+        "placed AS (SELECT y, a, b, row_number() OVER (ORDER BY h) - 1 AS place FROM hashed)",
+        f"streams AS (SELECT * FROM (VALUES {streams}) t(rep, stream))",
+        f"drawn AS ({_mixed_sql(draw, 'rep, total', '(SELECT rep, stream, total, unnest(range(1, total + 1)) AS j FROM streams, (SELECT any_value(total) AS total FROM x))')})",
+        "picked AS (SELECT rep, CAST(floor(CAST(h >> 11 AS DOUBLE) / 9007199254740992.0 * total) AS BIGINT) AS place FROM drawn)",
+        *_solved("fit", f"SELECT rep, {_MOMENTS} FROM picked JOIN placed USING (place) GROUP BY rep", RIDGE["alpha"], "rep, ")) + f"""
+SELECT CAST(rep AS INTEGER) AS replica, {srnd('b0', 4)} AS intercept, {srnd('ca', 6)} AS lag_7, {srnd('cb', 6)} AS rolling_mean_7 FROM fit"""
+
+
+@query("bootstrap_two", _bootstrap_sql())
+def q_bootstrap_two(spark, sf):
+    key = U.mixed_key(F.col("Store") * 100000 + F.unix_date("Date"))
+    ens = U.bootstrap_fit(_two(spark, sf), TWO, BOOT, RIDGE, key=key)
+    rows = [(r, b0, *c) for r, (b0, c) in enumerate(zip(ens.intercepts, ens.coefs))]  # model parameters
+    return spark.createDataFrame(rows, "replica int, intercept double, lag_7 double, rolling_mean_7 double").select(
+        "replica", rnd("intercept", 4).alias("intercept"), *[rnd(c, 6).alias(c) for c in TWO])

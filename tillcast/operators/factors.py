@@ -140,16 +140,29 @@ def segment_factors(df: DataFrame, features, label: str, segment: Column) -> dic
         yield pd.DataFrame({"seg": np.array(list(held), dtype=np.int32), "task": np.full(len(held), task, dtype=np.int32),
                             "r": [r.ravel() for r in held.values()]})
 
-    parts = src.mapInPandas(reduce_rows, _SCHEMA)
+    return merged_factors(src.mapInPandas(reduce_rows, _SCHEMA), src.rdd.getNumPartitions(), q)
 
+
+def merged_factors(parts: DataFrame, tasks: int, q: int) -> dict[int, Factor]:
+    """{segment: Factor} of partial factors (seg, task, r) of ``tasks`` tasks, merged ``FAN_IN`` at a time."""
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("task")  # the same order however the rows arrived
         r = _reduce(np.vstack([x.reshape(q, q) for x in pdf["r"]]))
         return pd.DataFrame({"seg": pdf["seg"].iloc[:1], "task": pdf["group"].iloc[:1].astype(np.int32), "r": [r.ravel()]})
 
-    tasks = src.rdd.getNumPartitions()
     while tasks > FAN_IN:
         parts = parts.withColumn("group", F.floor(F.col("task") / FAN_IN)).groupBy("seg", "group").applyInPandas(merge, _SCHEMA)
         tasks = -(-tasks // FAN_IN)
     rows = parts.withColumn("group", F.lit(0)).groupBy("seg").applyInPandas(merge, _SCHEMA).collect()
     return {r["seg"]: Factor(np.array(r["r"]).reshape(q, q)) for r in rows}
+
+
+def weighted_factors(rows: np.ndarray, weights: np.ndarray, held: dict[int, np.ndarray]) -> None:
+    """Add ``rows`` ([1, x, y]) with the weights of every replica [row, replica] to the replicas' factors."""
+    for k in range(weights.shape[1]):
+        use = weights[:, k] > 0
+        part = rows[use] * np.sqrt(weights[use, k])[:, None]
+        held[k] = _reduce(np.vstack([held[k], part]) if k in held else part)
+
+
+PARTIAL_FACTORS = _SCHEMA

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python workers over TCP wait some 40 ms per task for a delayed acknowledgement
+    "spark.python.unix.domain.socket.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # checkpoint files of DataFrames that are no longer referenced are removed
@@ -55,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tillcast-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -63,19 +67,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+# removes the shuffle files of a SQL execution when it ends; else they stay until the driver collects its garbage
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SCOPES: list[list[str]] = []
+
+
+def materialize(df: DataFrame, name: str = "table", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage the way ``checkpoint()`` does, but columnar: later
     reads prune columns and push filters, the size is known to the planner,
-    and a lost executor costs nothing but the tasks it was running.
+    and a lost executor costs nothing but the tasks it was running. The
+    shuffle files of the write go with it. Inside ``temporary_tables`` the table goes
+    when the innermost scope ends, with ``keep`` when the one around it does.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+    scopes = _SCOPES[:-1] if keep else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized inside are removed at the end: nothing read later may depend on them."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A written copy of ``df``, for tables that several branches or fits read."""
     return materialize(df, "tillcast")
