@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.packing import packed, unpack
-from tillcast.llm.store import carried, fresh, materialize
+from tillcast.llm.store import carried, fresh, materialize, temporary_tables
 from tillcast.llm.wordhash import mix, range_hasher, text_slices
 
 LENGTH = 200
@@ -62,15 +62,41 @@ def _words8(text: np.ndarray) -> np.ndarray:
     return out
 
 
+def _window_hashes(keys: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` symbols from each position (zeros past the end), by doubling from eight symbols."""
+    def ahead(x: np.ndarray, by: int) -> np.ndarray:
+        return np.concatenate([x[by:], np.zeros(min(by, len(x)), np.uint64)])
+
+    out, done, power, width = np.zeros(len(keys), np.uint64), 0, keys.copy(), 8
+    while True:
+        if (length // 8) & (width // 8):  # a part of this width belongs to the window
+            out = mix(out * np.uint64(0xD1342543DE82EF95) + ahead(power, done) + np.uint64(width))
+            done += width
+        if done + 8 > length:
+            break
+        power = mix(power * np.uint64(0x9E3779B97F4A7C15) + ahead(power, width))
+        width *= 2
+    return mix(out + ahead(keys, length - 8)) if length % 8 else out
+
+
 def _direct_sort(rows: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes ``rows`` sorted by their first ``length`` symbols, eight a round; later rounds hold ties only."""
+    """Suffixes ``rows`` sorted by their first ``length`` symbols.
+
+    Suffixes that agree in all of them stand together by a hash, and one of each kind is sorted: by eight symbols,
+    then eight more a round among those that tie, five symbols to a round where the tie's number leaves no more room."""
     n = len(keys)
-    order = rows[np.argsort(keys[rows], kind="stable")]
-    group = np.zeros(len(order), dtype=np.int64)
-    if len(order):
-        group[1:] = np.cumsum(keys[order[1:]] != keys[order[:-1]])
-    todo = np.arange(len(order))
-    for depth in range(8, length, 8):
+    kind = _window_hashes(keys, length)[rows]
+    by = np.argsort(kind, kind="stable")
+    head = np.ones(len(rows), dtype=bool)
+    head[1:] = kind[by[1:]] != kind[by[:-1]]
+    first = np.flatnonzero(head)
+    one = rows[by[first]]  # the first suffix of every kind
+    place = np.argsort(keys[one])
+    group = np.zeros(len(one), dtype=np.int64)
+    if len(one):
+        group[1:] = np.cumsum(keys[one[place[1:]]] != keys[one[place[:-1]]])
+    todo = np.arange(len(one))
+    for depth in range(8, length, 5):
         if len(todo):
             tied = np.zeros(len(todo), dtype=bool)
             same = group[todo[1:]] == group[todo[:-1]]
@@ -79,19 +105,26 @@ def _direct_sort(rows: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
             todo = todo[tied]
         if not len(todo):
             break
-        at = order[todo] + depth
-        key = np.where(at < n, keys[np.minimum(at, n - 1)], np.uint64(0))
-        by = np.lexsort((key, group[todo]))
-        order[todo], key, base = order[todo][by], key[by], group[todo]
+        base = group[todo]
+        number = np.cumsum(np.concatenate([[0], base[1:] != base[:-1]])).astype(np.uint64)  # below 2^24: ties come in pairs
+        at = one[place[todo]] + depth
+        key = (number << np.uint64(40)) | (np.where(at < n, keys[np.minimum(at, n - 1)], np.uint64(0)) >> np.uint64(24))
+        by_key = np.argsort(key)
+        place[todo], key = place[todo[by_key]], key[by_key]
         new = np.ones(len(todo), dtype=bool)
-        new[1:] = (base[1:] != base[:-1]) | (key[1:] != key[:-1])
+        new[1:] = key[1:] != key[:-1]
         # numbers that keep the old groups apart and number the parts inside them
         group[todo] = todo[np.maximum.accumulate(np.where(new, np.arange(len(todo)), 0))]
-    return order
+    size = np.diff(np.append(first, len(rows)))[place]
+    begin = np.cumsum(size) - size
+    return rows[by[np.arange(len(rows)) + np.repeat(first[place] - begin, size)]]
+
 
+def suffix_array(text: np.ndarray, length: int, room: np.ndarray | None = None) -> np.ndarray:
+    """Two-stage suffix array of symbols 0..255 (0 separates and ends), in order by the first ``length`` symbols.
 
-def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
-    """Two-stage suffix array of symbols 0..255 (0 separates and ends), in order by the first ``length`` symbols."""
+    With ``room`` (symbols up to the next separator) only suffixes of ``length`` symbols or more are sure to be there:
+    a shorter type B suffix is sorted only if the run of type A before it reaches back to one of them."""
     n = len(text)
     if not n:
         return np.zeros(0, dtype=np.int64)
@@ -105,8 +138,14 @@ def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
     keys = _words8(text)
     ends = np.zeros(n, dtype=bool)
     ends[-1] = True  # the last symbol has no successor: sorted directly too
-    direct = _direct_sort(np.flatnonzero(type_b | ends), keys, length)
     type_a = ~(type_b | ends)
+    wanted = ~type_a
+    if room is not None:
+        start = np.maximum.accumulate(np.where(type_a, 0, np.arange(n) + 1))  # where the run of type A up to a position begins
+        before = np.zeros(n, dtype=np.int64)
+        before[1:] = np.arange(1, n) - start[:-1]
+        wanted &= room + before >= length
+    direct = _direct_sort(np.flatnonzero(wanted), keys, length)
     cut = np.searchsorted(text[direct], np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
 
@@ -129,7 +168,7 @@ def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
         if len(ordered):
             deal(ordered)
             out.append(ordered)
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
 
 
 def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
@@ -141,7 +180,7 @@ def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     for b, s, c in zip(begin, size, contexts):
         text[b:b + s] = np.frombuffer(c, dtype=np.uint8) + np.uint8(1)  # UTF-8 has no byte above 0xF7
         room[b:b + s] = np.arange(s, 0, -1)
-    order = suffix_array(text, length)
+    order = suffix_array(text, length, room)
     order = order[room[order] >= length]  # what stood between two equal strings is equal to them as well
     keys = _words8(text)
     a, b = order[:-1], order[1:]
@@ -344,7 +383,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", out: str = "unique",
     n_spans (maximal removed runs)."""
     uid = fresh("_suffix", docs.columns)
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
-    spans = materialize(repeated_spans(numbered, uid, text_col, **options), "suffix-spans").select(F.col("uid").alias(f"{uid}r"), F.col("spans").alias(f"{uid}s"))
+    with temporary_tables(docs.sparkSession):
+        spans = materialize(repeated_spans(numbered, uid, text_col, **options), "suffix-spans", keep=True).select(F.col("uid").alias(f"{uid}r"), F.col("spans").alias(f"{uid}s"))
     own = carried(docs.columns, out, text_col)
     texts = numbered.select(*own, uid, packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
     joined = texts.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
