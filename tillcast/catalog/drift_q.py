@@ -24,9 +24,22 @@ FEAT = f"""feat AS (SELECT *, lag("Sales", 7) OVER {w()} AS lag_7,
          THEN coalesce(regr_slope("Sales", rn) OVER {w(rows(-30, -1))}, 0) ELSE 0 END AS trend_slope_30d
   FROM (SELECT *, CAST(row_number() OVER {w()} AS DOUBLE) AS rn FROM panel))"""
 MODELS = (("naive_lag7", "lag_7"), ("mean_7", "rolling_mean_7"), ("mean_30", "rolling_mean_30"))
+
+
+def filled_sql(c: str, source: str = "feat") -> str:
+    """Column ``c`` with the median of the open days where it is missing (a store's first days)."""
+    return f'coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM {source} WHERE "Open" = 1))'
+
+
+def filled(df, cols):
+    """Open days, with each column's median where it is missing."""
+    o = B.drop_closed(df, keep_flag=True)
+    return B.fill_with(o, B.train_medians(o, cols), cols)
+
+
 PRED = ("pr AS (" + " UNION ALL ".join(
     f"""SELECT '{m}' AS model, CASE WHEN "Date" <= (SELECT c FROM cut) THEN 'train' ELSE 'test' END AS split,
-        "Sales" AS y, {c} AS p FROM feat WHERE "Open" = 1 AND lag_7 IS NOT NULL""" for m, c in MODELS) + ")")
+        "Sales" AS y, {filled_sql(c)} AS p FROM feat WHERE "Open" = 1""" for m, c in MODELS) + ")")
 
 
 def _features(spark, sf):
@@ -38,8 +51,7 @@ def _features(spark, sf):
 
 def _predictions(spark, sf):
     """Long (model, split, y, p) table of baseline forecasters on open days."""
-    f = V.label_time_split(_features(spark, sf))
-    f = B.drop_closed(f, keep_flag=True).where(F.col("lag_7").isNotNull())
+    f = filled(V.label_time_split(_features(spark, sf)), [c for _, c in MODELS])
     parts = [f.select(F.lit(m).alias("model"), "split", F.col("Sales").alias("y"), F.col(c).alias("p"))
              for m, c in MODELS]
     return D.union_reports(parts)
@@ -293,12 +305,15 @@ def q_monitor_summary(spark, sf):
                     "last_alert_type", "last_alert_batch")
 
 
+_LAG_7 = filled_sql("lag_7")
+
+
 @query("residual_monthly", with_panel(FEAT) + f"""
-SELECT CAST(date_trunc('month', "Date") AS DATE) AS "month", {srnd('avg("Sales" - lag_7)')} AS mean_residual,
-       abs(avg("Sales" - lag_7)) > 500 AS flagged
-FROM feat WHERE "Open" = 1 AND lag_7 IS NOT NULL GROUP BY 1""")
+SELECT CAST(date_trunc('month', "Date") AS DATE) AS "month", {srnd(f'avg("Sales" - {_LAG_7})')} AS mean_residual,
+       abs(avg("Sales" - {_LAG_7})) > 500 AS flagged
+FROM feat WHERE "Open" = 1 GROUP BY 1""")
 def q_residual_monthly(spark, sf):
-    f = B.drop_closed(_features(spark, sf), keep_flag=True).where(F.col("lag_7").isNotNull())
+    f = filled(_features(spark, sf), ["lag_7"])
     m = M.residual_monthly(f, "Date", F.col("Sales") - F.col("lag_7"))
     return m.select("month", rnd("mean_residual").alias("mean_residual"), "flagged")
 

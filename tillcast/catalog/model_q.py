@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillcast.catalog.drift_q import filled, filled_sql
 from tillcast.catalog.registry import query, rnd, srnd
 from tillcast.catalog.sqlbase import rows, w, with_panel
 from tillcast.operators import filters as B
@@ -189,7 +190,7 @@ def _ensemble(spark, sf):
     p = store_panel(spark, sf, materialize=True)
     f = W.rolling_mean(W.lag_features(p), windows=(7, 30))
     cut = V.cutoff_date(f, 3)
-    f = B.drop_closed(f, keep_flag=True).where(F.col("lag_30").isNotNull())
+    f = filled(f, _ENS)
     f = f.select(F.col("Store").alias("key_store"), F.col("Date").alias("key_date"), F.col("Sales").alias("y"),
                  F.array(*_ENS).alias("preds"), F.col("rolling_mean_7").alias("p_fast"),
                  F.col("rolling_mean_30").alias("p_accurate"), (F.col("Date") > cut).alias("is_test"))
@@ -209,9 +210,9 @@ _ENS_SQL = with_panel(
     f"""f AS (SELECT *, lag("Sales", 7) OVER {w()} AS lag_7, lag("Sales", 14) OVER {w()} AS lag_14,
         lag("Sales", 30) OVER {w()} AS lag_30, avg("Sales") OVER {w(rows(-7, -1))} AS rolling_mean_7,
         avg("Sales") OVER {w(rows(-30, -1))} AS rolling_mean_30 FROM panel)""",
+    "g AS (SELECT * REPLACE (" + ", ".join(f"{filled_sql(c, 'f')} AS {c}" for c in _ENS) + """) FROM f WHERE "Open" = 1)""",
     f"""e AS (SELECT "Store" AS key_store, "Date" AS key_date, "Sales" AS y, [{", ".join(_ENS)}] AS preds,
-        rolling_mean_7 AS p_fast, rolling_mean_30 AS p_accurate, "Date" > (SELECT c FROM cut) AS is_test
-        FROM f WHERE "Open" = 1 AND lag_30 IS NOT NULL)""",
+        rolling_mean_7 AS p_fast, rolling_mean_30 AS p_accurate, "Date" > (SELECT c FROM cut) AS is_test FROM g)""",
     "m AS (SELECT *, list_sum(preds) / len(preds) AS mean_pred FROM e)",
     f"""i AS (SELECT *, sqrt(list_sum(list_transform(preds, lambda x: (x - mean_pred) * (x - mean_pred))) / len(preds)) AS std_pred,
         {_pct_sql(_LO_Q)} AS lower, {_pct_sql(_HI_Q)} AS upper FROM m)""",
