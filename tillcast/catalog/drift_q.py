@@ -206,10 +206,18 @@ def q_psi_report(spark, sf):
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")
 
 
-@query("psi_status_filter", "SELECT * FROM (" + _PANEL_PSI_SQL + ") WHERE status IN ('WARNING', 'CRITICAL')")
+# days after a week of low sales (reference) and of high sales: the week's other measures differ
+_WEAK_WEEK = 200_000
+_WEEK_SQL = _psi_sql([FEAT], 'feat WHERE "Open" = 1 AND rolling_mean_7 IS NOT NULL AND',
+                     f"CASE WHEN rolling_mean_7 <= {_WEAK_WEEK} THEN 'ref' ELSE 'cur' END", _PSI_FEATURES)
+_WEEK_SQL = _WEEK_SQL.replace("IS NOT NULL AND WHERE", "IS NOT NULL AND")
+
+
+@query("psi_status_filter", "SELECT * FROM (" + _WEEK_SQL + ") WHERE status IN ('WARNING', 'CRITICAL')")
 def q_psi_status_filter(spark, sf):
-    ref, cur = _panel_sides(spark, sf)
-    r = B.filter_isin(M.psi_report(ref, cur, _PSI_FEATURES), "status", ["WARNING", "CRITICAL"])
+    f = B.drop_closed(_features(spark, sf), keep_flag=True).where(F.col("rolling_mean_7").isNotNull())
+    sides = cut_lineage(M.labelled(f, F.col("rolling_mean_7") <= _WEAK_WEEK, _PSI_FEATURES))
+    r = B.filter_isin(M.psi_report(sides, None, _PSI_FEATURES), "status", ["WARNING", "CRITICAL"])
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")
 
 

@@ -9,12 +9,15 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillcast.catalog.drift_q import FEAT, _features
+from tillcast.catalog.drift_q import _THR as MONITOR_LIMIT
+from tillcast.catalog.drift_q import CUT, FEAT, _cusum_sql, _features
 from tillcast.catalog.registry import query, rnd, srnd
 from tillcast.catalog.sqlbase import with_panel
 from tillcast.operators import boosting
+from tillcast.operators import drift as M
 from tillcast.operators import filters as B
 from tillcast.operators import regression as R
+from tillcast.operators import splits as V
 from tillcast.operators import uncertainty as U
 from tillcast.operators.factors import segment_factors
 from tillcast.session import cut_lineage
@@ -246,3 +249,23 @@ def q_bootstrap_two(spark, sf):
     rows = [(r, b0, *c) for r, (b0, c) in enumerate(zip(ens.intercepts, ens.coefs))]  # model parameters
     return spark.createDataFrame(rows, "replica int, intercept double, lag_7 double, rolling_mean_7 double").select(
         "replica", rnd("intercept", 4).alias("intercept"), *[rnd(c, 6).alias(c) for c in TWO])
+
+
+# ---------------------------------------------------------------- the fitted model in the monitor (M4, M6)
+_MONITORED = with_panel(CUT, FEAT, *_X_KEYS,
+                        *_solved("fit", f"""SELECT {_MOMENTS} FROM x WHERE "Date" <= (SELECT c FROM cut)""", RIDGE["alpha"]),
+                        """e AS (SELECT "Store", "Date", y - (b0 + ca * a + cb * b) AS residual FROM x, fit WHERE "Date" > (SELECT c FROM cut))""",
+                        """b AS (SELECT CAST("Store" AS VARCHAR) AS entity, CAST(date_trunc('month', "Date") AS DATE) AS batch,
+                           avg(residual) AS m, stddev_pop(residual) AS s, count(*) AS n FROM e GROUP BY 1, 2)""")
+
+
+@query("monitor_model", _cusum_sql(_MONITORED.replace("WITH ", "WITH RECURSIVE ", 1).rstrip(), 0.5) + f"""
+SELECT entity, batch, {srnd('m', 4)} AS mean_residual, {srnd('s', 4)} AS std_residual, n AS n_samples,
+       {srnd('pos', 3)} AS cusum_pos, {srnd('neg', 3)} AS cusum_neg, alert FROM r""")
+def q_monitor_model(spark, sf):
+    """A model fitted on the training days, its test residuals in monthly batches per store, CUSUM over them."""
+    train, test = V.time_split(cut_lineage(_two(spark, sf)), 3)
+    scored = R.fit(train, TWO, RIDGE).predict(test, "p").withColumn("Store", F.col("Store").cast("string"))
+    c = M.cusum(M.residual_batches(scored, "Store", F.trunc("Date", "month"), F.col("y") - F.col("p")), threshold=MONITOR_LIMIT, k_factor=0.5)
+    return c.select("entity", "batch", rnd("mean_residual", 4).alias("mean_residual"), rnd("std_residual", 4).alias("std_residual"), "n_samples",
+                    rnd("cusum_pos", 3).alias("cusum_pos"), rnd("cusum_neg", 3).alias("cusum_neg"), "alert")
