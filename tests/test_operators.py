@@ -717,3 +717,47 @@ def test_model_compare_query_takes_the_specs_as_they_are(monkeypatch):
     monkeypatch.setattr(model_q.R, "model_compare", lambda train, test, features, specs=None, cv_folds=5: seen.append(specs))
     model_q.q_model_compare(None, None)
     assert seen[0]["XGBoost"]["trees"] == 500 and seen == [model_q.R.MODEL_SPECS]
+
+
+def _enumerated_ks(n, m):
+    """{reach: P(D * n * m >= reach)} over all orders of two samples without ties."""
+    from itertools import combinations
+    reaches = []
+    for first in combinations(range(n + m), n):
+        i = j = top = 0
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in first else (i, j + 1)
+            top = max(top, abs(i * m - j * n))
+        reaches.append(top)
+    return {r: sum(x >= r for x in reaches) / len(reaches) for r in set(reaches)}
+
+
+def test_exact_ks_p_equals_enumeration(spark):
+    rows = [(n, m, r / (n * m), p) for n, m in ((1, 1), (2, 5), (4, 4), (6, 3), (5, 8), (8, 8)) for r, p in _enumerated_ks(n, m).items()]
+    df = spark.createDataFrame(rows, "n long, m long, d double, want double")
+    got = df.withColumn("got", M.exact_ks_p(F.col("d"), F.col("n"), F.col("m"))).collect()
+    assert all(abs(r["got"] - r["want"]) < 1e-12 for r in got)
+    a, b = (spark.createDataFrame([(float(v),) for v in x], "x double") for x in (range(12), range(6, 20)))
+    few = M.ks_report(a, b, ["x"]).first()
+    assert few["KS_stat"] == pytest.approx(0.5, abs=0.08) and 0 < few["p_value"] < 0.1
+
+
+def test_balanced_folds(spark):
+    from tillcast.operators import splits as V
+    df = spark.range(1003).withColumn("other", F.col("id") % 7)
+    got = {n: {r["id"]: r["fold"] for r in V.balanced_folds(df.repartition(n), ["id"], 5, seed=3).collect()} for n in (1, 4)}
+    assert got[1] == got[4] and len(got[1]) == 1003
+    sizes = np.bincount(list(got[1].values()))
+    assert len(sizes) == 5 and sizes.max() - sizes.min() <= 1
+    again = {r["id"]: r["fold"] for r in V.balanced_folds(df, ["id"], 5, seed=4).collect()}
+    assert again != got[1]
+
+
+def test_column_lists_and_top_by_size(spark):
+    """B6, B15 and the top rows by absolute value."""
+    from tillcast.operators import ordering as O
+    from tillcast.operators import profile as P
+    df = spark.createDataFrame([(1, 2.5, "a", True), (2, -9.0, "b", False), (3, 4.0, None, True)], "i int, d double, s string, b boolean")
+    assert P.numeric_columns(df) == ["i", "d"] and P.string_columns(df) == ["s"]
+    assert B.new_columns(df.select("i", "s"), df) == ["d", "b"]
+    assert [r["d"] for r in O.top_n_abs(df, "d", 2).collect()] == [-9.0, 4.0]

@@ -15,12 +15,14 @@ from tillcast.catalog.registry import query, rnd, srnd
 from tillcast.catalog.sqlbase import with_panel
 from tillcast.operators import boosting
 from tillcast.operators import drift as M
+from tillcast.operators import encoders as E
 from tillcast.operators import filters as B
 from tillcast.operators import regression as R
 from tillcast.operators import splits as V
 from tillcast.operators import uncertainty as U
 from tillcast.operators.factors import segment_factors
 from tillcast.session import cut_lineage
+from tillcast.sources.tables import store_panel
 
 TWO = ["lag_7", "rolling_mean_7"]
 OLS, RIDGE, LASSO, ENET = (R.MODEL_SPECS[k] for k in ("LinearRegression", "Ridge (L2)", "Lasso (L1)", "ElasticNet"))
@@ -269,3 +271,28 @@ def q_monitor_model(spark, sf):
     c = M.cusum(M.residual_batches(scored, "Store", F.trunc("Date", "month"), F.col("y") - F.col("p")), threshold=MONITOR_LIMIT, k_factor=0.5)
     return c.select("entity", "batch", rnd("mean_residual", 4).alias("mean_residual"), rnd("std_residual", 4).alias("std_residual"), "n_samples",
                     rnd("cusum_pos", 3).alias("cusum_pos"), rnd("cusum_neg", 3).alias("cusum_neg"), "alert")
+
+
+# ---------------------------------------------------------------- balanced random folds
+def _folds_sql() -> str:
+    key = """CAST("Store" * 100000 + date_diff('day', DATE '1970-01-01', "Date") AS UBIGINT)"""
+    signed = f"CASE WHEN h >= {1 << 63} THEN CAST(CAST(h AS HUGEINT) - {_TWO_64} AS BIGINT) ELSE CAST(h AS BIGINT) END"
+    hashed = _mixed_sql(key, '"Store", "Date", "StoreType", "Sales"', 'panel WHERE "Open" = 1')
+    return with_panel(f"hashed AS ({hashed})",
+                      f"""folds AS (SELECT "Store", "Date", "StoreType", "Sales",
+                          CAST((row_number() OVER (ORDER BY {signed}) - 1) % 5 AS INTEGER) AS fold FROM hashed)""",
+                      """st AS (SELECT "StoreType", fold, sum("Sales") AS s, count("Sales") AS n FROM folds GROUP BY ALL)""",
+                      """other AS (SELECT "StoreType", fold, (sum(s) OVER t - s) / nullif(sum(n) OVER t - n, 0) AS enc FROM st
+                          WINDOW t AS (PARTITION BY "StoreType"))""") + f"""
+SELECT "Store", "Date", fold, {srnd('coalesce(enc, (SELECT avg("Sales") FROM folds))', 4)} AS "StoreType_target_enc"
+FROM folds LEFT JOIN other USING ("StoreType", fold)"""
+
+
+@query("oof_balanced", _folds_sql())
+def q_oof_balanced(spark, sf):
+    """Out-of-fold target means over folds of equal size."""
+    o = B.drop_closed(store_panel(spark, sf, materialize=True), keep_flag=True)
+    key = U.mixed_key(F.col("Store") * 100000 + F.unix_date("Date"))
+    o = V.balanced_folds(o, ["Store", "Date"], 5, key=key)
+    enc = E.target_encode_oof(o, ["StoreType"], "Sales", fold=F.col("fold"))
+    return enc.select("Store", "Date", "fold", rnd("StoreType_target_enc", 4).alias("StoreType_target_enc"))

@@ -134,15 +134,35 @@ def _kolmogorov_sf(lam) -> F.Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+EXACT_PAIRS = 10_000  # n * m up to which the p-value is exact
+
+
+def exact_ks_p(d, n, m) -> F.Column:
+    """P(D >= d) of two samples of ``n`` and ``m`` values without ties: one minus the share of the lattice paths
+    from (0, 0) to (n, m) that stay inside |i/n - j/m| < d, row by row (an array aggregate of n * m steps)."""
+    n, m = n.cast("long"), m.cast("long")
+    reach = F.round(d * n * m).cast("long")
+    empty, zero = F.array().cast("array<double>"), F.lit(0).cast("long")
+
+    def row(before, i):
+        def cell(done, j):
+            below = F.when(i > 0, F.get(before, j.cast("int")) * i / (i + j)).otherwise(F.lit(0.0))
+            left = F.when(j > 0, F.get(done, (j - 1).cast("int")) * j / (i + j)).otherwise(F.lit(0.0))
+            share = F.when((i == 0) & (j == 0), F.lit(1.0)).when(F.abs(i * m - j * n) < reach, below + left).otherwise(F.lit(0.0))
+            return F.concat(done, F.array(share))
+        return F.aggregate(F.sequence(zero, m), empty, cell)
+
+    return F.greatest(F.lit(0.0), F.lit(1.0) - F.element_at(F.aggregate(F.sequence(zero, n), empty, row), -1))
+
+
 def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha: float = 0.05, min_rows: int = 10,
               buckets: int | None = None) -> DataFrame:
     """M3: two-sample KS statistic D = max |F_ref - F_cur| over the pooled values.
 
     Counts per (feature, value) first; the empirical CDFs come from exact
-    distributed cumulative counts. The p-value uses the asymptotic
-    Kolmogorov distribution at sqrt(n m / (n + m)) * D (small samples get
-    the asymptotic value too, unlike an exact small-sample test). Features
-    with fewer than ``min_rows`` non-null values on either side are reported
+    distributed cumulative counts. The p-value is exact (no ties assumed) up
+    to n * m = ``EXACT_PAIRS`` and beyond it that of the asymptotic
+    Kolmogorov distribution at sqrt(n m / (n + m)) * D. Features with fewer than ``min_rows`` non-null values on either side are reported
     with their sizes and no statistic.
     """
     vc = side_value_counts(reference, current, features)
@@ -154,7 +174,9 @@ def ks_report(reference: DataFrame, current: DataFrame | None, features, alpha:
     d = sizes.join(d, "feature", "left")
     n_r, n_c = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
     en = F.sqrt(n_r * n_c / (n_r + n_c))
-    d = d.withColumn("p_value", F.when(F.col("KS_stat").isNotNull(), _kolmogorov_sf(en * F.col("KS_stat"))))
+    few = F.col("n_ref") * F.col("n_cur") <= EXACT_PAIRS
+    p = F.when(few, exact_ks_p(F.col("KS_stat"), F.col("n_ref"), F.col("n_cur"))).otherwise(_kolmogorov_sf(en * F.col("KS_stat")))
+    d = d.withColumn("p_value", F.when(F.col("KS_stat").isNotNull(), p))
     return d.withColumn("drift", F.col("p_value") < alpha).orderBy(F.desc("KS_stat"), "feature")
 
 

@@ -57,6 +57,23 @@ def row_index(df: DataFrame, entity: str = "Store", order: str = "Date", name: s
             .withColumn(name, (F.col("__off") + F.col("__rn") - 1).cast("long")).drop("__off", "__rn"))
 
 
+def balanced_folds(df: DataFrame, keys, k: int = 5, seed: int = 0, name: str = "fold", key: Column | None = None) -> DataFrame:
+    """Random folds whose sizes differ by one at most: the place in the order of a hash of the row key, modulo ``k``.
+
+    Rows are range-partitioned by the hash and written once; row numbers run inside each range and the ranges' counts
+    (one row per partition) are summed, so no task orders all rows and a row's fold does not change with the partitions.
+    ``keys`` tell rows apart; ``key``: the 64-bit hash to order by, as signed numbers."""
+    order = [F.xxhash64(F.lit(seed), *[F.col(c) for c in keys]) if key is None else key, *[F.col(c) for c in keys]]
+    names = [f"__o{i}" for i in range(len(order))]
+    rows = df.withColumns(dict(zip(names, order))).repartitionByRange(*names).sortWithinPartitions(*names)
+    rows = cut_lineage(rows.withColumn("__at", F.monotonically_increasing_id())).withColumn("__range", F.shiftright("__at", 33))
+    ranges = rows.groupBy("__range").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per partition
+    placed = rows.join(F.broadcast(ranges.select("__range", "__first", before.alias("__before"))), "__range")
+    place = F.col("__at") - F.col("__first") + F.col("__before")
+    return placed.withColumn(name, (place % k).cast("int")).drop("__at", "__range", "__first", "__before", *names)
+
+
 def positional_split(df: DataFrame, frac: float = 0.8, entity: str = "Store", order: str = "Date",
                      name: str = "split") -> DataFrame:
     """V2: first floor(frac * n) rows in (entity, order) order are train."""
