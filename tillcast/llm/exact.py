@@ -156,7 +156,8 @@ def exact_groups(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     rows = materialize(work.withColumn("uid", F.monotonically_increasing_id()), "exact-rows")
     texts, settled, rnd = rows.select("uid", "id", "text"), None, 0
     while True:
-        grouped = materialize(_grouped(fingerprints(texts, "text", rnd, primes, chunk)), f"exact-groups-{rnd}")
+        printed = materialize(fingerprints(texts, "text", rnd, primes, chunk), f"exact-fingerprints-{rnd}")  # hashed once
+        grouped = materialize(_grouped(printed), f"exact-groups-{rnd}")
         wrong = materialize(_collided(texts.select("uid", "text"), grouped, chunk), f"exact-collided-{rnd}")
         done = grouped.select("uid", "size", "fp", "n", "lead")
         last = wrong.isEmpty()
