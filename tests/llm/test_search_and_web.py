@@ -189,6 +189,55 @@ def test_copies_of_a_page_are_one_reference(spark):
         assert r["main_text"] == "\n\n".join(p.replace("&eacute;", "é") for p in want), r["page_id"]
 
 
+def test_ids_and_single_words_do_not_cost_text(spark):
+    def page(k):
+        t = [f"text {k} number {j} of this page" for j in range(6)]
+        return (f'<body><nav>menu</nav><article><p>{t[0]}</p><h2 id="search">{t[1]}</h2><p id="notice-period">{t[2]}</p><section id="social"><p>{t[3]}</p></section>'
+                f'<div class="skip-lines">{t[4]}</div><table class="menu-prices"><tr><td>{t[5]}</table><div class="comment-list"><p>reader {k}</p></div>'
+                f'<div class="ad">buy {k}</div></article></body>'), "\n\n".join(t)
+    for sites in (1, 5):  # all pages of one host, or one page a host
+        rows = [(k, f"http://w{k % sites}.com/{k}", page(k)[0]) for k in range(5)]
+        for r in wrapper.extract(_pages(spark, rows)).collect():
+            assert r["main_text"] == page(r["page_id"])[1]
+
+
+def test_template_lines_inside_the_content_go(spark):
+    """Two layouts of one host, each with constant lines beside varying paragraphs."""
+    one = lambda t: f'<body><div class="wrap"><p>Brand of the site</p>{"".join(f"<p>{x}</p>" for x in t)}<p>All rights kept</p></div></body>'
+    two = lambda t: f'<body><section class="top">Another brand</section><section class="text"><div>{"</div><div>".join(t)}</div><div>Printed daily</div></section></body>'
+    texts = {k: [f"line {j} of page {k} " * 5 for j in range(2 + k % 3)] for k in range(12)}
+    rows = [(k, f"http://both.com/{k}", (one if k % 2 else two)(t)) for k, t in texts.items()]
+    for r in wrapper.extract(_pages(spark, rows)).collect():
+        assert r["main_text"] == "\n\n".join(x.strip() for x in texts[r["page_id"]]), r["page_id"]
+
+
+def test_long_lists_of_blocks_are_matched_in_linear_memory():
+    import time
+    import tracemalloc
+    page = lambda n, extra: wrapper.parse("<div>" + "".join(f"<p>{k}</p>" if k % 50 else "<ul><li>a</ul>" for k in range(n)) + extra + "</div>")
+    a, b = page(10_000, "<table><tr><td>x</table>"), page(9_300, "<dl><dt>y</dl>")
+    began = time.time()
+    tracemalloc.start()
+    pairs = wrapper.match(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(pairs) > 9_300 and peak < 64 << 20 and time.time() - began < 60
+    assert all(x.label == y.label for x, y in pairs)
+
+
+def test_pages_of_the_given_table_equal_their_article(spark):
+    """The given pages have one template: everything in the article, block by block."""
+    import html as entities
+    import re
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r["page_id"]: r["main_text"] for r in wrapper.extract(df).collect()}
+    for r in df.collect():
+        body = re.search(r"(?s)<article[^>]*>(.*?)(</article>|$)", r["html"] or "")
+        inner = re.sub(r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", "", body[1]) if body else ""
+        parts = [" ".join(entities.unescape(re.sub(r"(?s)<[^>]*>", "", re.sub("<br>", " ", x))).split()) for x in re.split(r"</?(?:h1|p)[^>]*>", inner)]
+        assert found[r["page_id"]] == "\n\n".join(x for x in parts if x), r["page_id"]
+
+
 def test_both_join_ways_agree(spark):
     df = _pages(spark, [(k, f"http://h{k % 3}.com/{k}", _page(_article(k))) for k in range(9)])
     a, b = ({r["page_id"]: r["main_text"] for r in wrapper.extract(df, broadcast_bytes=n).collect()} for n in (1 << 20, 0))
