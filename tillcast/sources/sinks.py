@@ -82,7 +82,7 @@ def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-_NODES = "tree int, node int, feature int, threshold double, value double, gain double"
+NODES = "tree int, node int, feature int, threshold double, value double, gain double"
 
 
 def _save_model(model, path: str) -> dict | None:
@@ -93,7 +93,7 @@ def _save_model(model, path: str) -> dict | None:
         return {"kind": model.kind, "features": model.features, "label": model.label, "linear": asdict(model.model)}
     if model.kind != "gbt":
         raise ValueError(f"no writer for a model of kind {model.kind}")
-    save_table(SparkSession.getActiveSession().createDataFrame(model.model.rows(), _NODES), path)  # trees x nodes numbers
+    save_table(SparkSession.getActiveSession().createDataFrame(model.model.rows(), NODES), path)  # trees x nodes numbers
     return {"kind": model.kind, "features": model.features, "label": model.label, "path": path.rsplit("/", 1)[1],
             "base": model.model.base, "shape": list(model.model.feature.shape)}
 
