@@ -200,6 +200,30 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == [3.0, 7.0, 16.0]  # 9 January stays open until a later event
 
 
+def test_stream_goes_on_where_the_batch_ended(spark, tmp_path):
+    """Batch up to day 15, then a stream from day 16 (or a second batch): the same rows as the whole batch."""
+    from tillcast.streaming.cusum_stream import cusum_stream, event_stream, run_to_table
+    rng = np.random.default_rng(8)
+    rows = [(e, dt.datetime(2024, 1, d, h), float(v)) for e in ("a", "b") for d in range(1, 31) for h, v in zip((3, 12, 21), rng.normal(0.4, 2, 3))]
+    rows += [("new", dt.datetime(2024, 1, d, 5), 1.0) for d in range(20, 31)]
+    src = spark.createDataFrame(rows, "event_type string, ts timestamp, value double")
+    batches = M.residual_batches(src, "event_type", F.to_date("ts"), F.col("value"))
+    whole = {(r["entity"], r["batch"]): (r["cusum_pos"], r["cusum_neg"], r["alert"]) for r in M.cusum(batches, 4.0, 0.5).collect()}
+    assert any(v[2] for v in whole.values())
+    cut = dt.date(2024, 1, 15)
+    start = M.last_states(M.cusum(batches.where(F.col("batch") <= cut), 4.0, 0.5))
+    src.where(F.to_date("ts") > cut).coalesce(1).write.parquet(str(tmp_path / "late"))
+    late = event_stream(spark, str(tmp_path / "late"), src.schema)
+    stream = run_to_table(spark, cusum_stream(late, "event_type", "ts", F.col("value"), threshold=4.0, k_factor=0.5, initial=start))
+    second = M.cusum(batches.where(F.col("batch") > cut), 4.0, 0.5, initial=start)
+    for found, last in ((stream, 29), (second, 30)):
+        got = {(r["entity"], r["batch"]): (r["cusum_pos"], r["cusum_neg"], r["alert"]) for r in found.collect()}
+        want = {k: v for k, v in whole.items() if cut < k[1] <= dt.date(2024, 1, last)}
+        assert set(got) == set(want)
+        for k, v in want.items():
+            assert got[k][:2] == pytest.approx(v[:2], abs=1e-9) and got[k][2] == v[2]
+
+
 # ---------------------------------------------------------------- VIF
 def test_vif_matches_regression_definition(spark):
     rng = np.random.default_rng(11)

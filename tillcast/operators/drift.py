@@ -188,7 +188,13 @@ def residual_batches(df: DataFrame, entity: str, batch, residual) -> DataFrame:
         F.count(residual).alias("n_samples"))
 
 
-def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5) -> DataFrame:
+def last_states(states: DataFrame) -> DataFrame:
+    """(entity, cusum_pos, cusum_neg) after each entity's last batch: where a later fold, in batch or as a stream, goes on."""
+    return states.groupBy("entity").agg(F.max_by(F.struct("cusum_pos", "cusum_neg"), "batch").alias("s")).select(
+        "entity", F.col("s.cusum_pos").alias("cusum_pos"), F.col("s.cusum_neg").alias("cusum_neg"))
+
+
+def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5, initial: DataFrame | None = None) -> DataFrame:
     """M4: sequential two-sided CUSUM per entity over its batches in order.
 
     k = k_factor * std of the batch. pos = max(0, pos + mean - k),
@@ -198,7 +204,8 @@ def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5) ->
 
     The sums depend on every earlier batch of the entity, so an entity's
     batch summaries (one row per batch, never per input row) are folded in
-    order by one loop over numpy arrays.
+    order by one loop over numpy arrays. ``initial`` (``last_states``) gives the
+    sums to start from; entities that are not in it start at zero.
     """
     batch_type = batches.schema["batch"].dataType
     schema = T.StructType([T.StructField("entity", batches.schema["entity"].dataType), T.StructField("batch", batch_type), *STATES])
@@ -208,7 +215,7 @@ def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5) ->
         mean, std = pdf["mean_residual"].to_numpy(dtype=float), pdf["std_residual"].to_numpy(dtype=float)
         up, down = np.zeros(len(pdf)), np.zeros(len(pdf))
         alert, value = [None] * len(pdf), np.full(len(pdf), np.nan)
-        pos = neg = 0.0
+        pos, neg = float(pdf["start_pos"].iloc[0]), float(pdf["start_neg"].iloc[0])
         for i in range(len(pdf)):
             k = k_factor * std[i]
             pos, neg = max(0.0, pos + mean[i] - k), max(0.0, neg - mean[i] - k)
@@ -220,6 +227,11 @@ def cusum(batches: DataFrame, threshold: float = 5.0, k_factor: float = 0.5) ->
         return pdf.assign(cusum_pos=up, cusum_neg=down, alert=alert, alert_value=value)[[f.name for f in schema.fields]]
 
     out = batches.select("entity", "batch", "mean_residual", "std_residual", F.col("n_samples").cast("long").alias("n_samples"))
+    if initial is None:
+        out = out.withColumns({"start_pos": F.lit(0.0), "start_neg": F.lit(0.0)})
+    else:
+        start = initial.select("entity", F.col("cusum_pos").alias("start_pos"), F.col("cusum_neg").alias("start_neg"))
+        out = out.join(start, "entity", "left").fillna(0.0, ["start_pos", "start_neg"])
     out = out.groupBy("entity").applyInPandas(fold, schema)
     return out.withColumn("alert_value", F.when(F.col("alert").isNotNull(), F.col("alert_value")))
 

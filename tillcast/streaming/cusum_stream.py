@@ -47,6 +47,9 @@ class CusumProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("cusum", STATE)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N803
+        self.state.update((float(initialState["cusum_pos"].iloc[0]), float(initialState["cusum_neg"].iloc[0])))
+
     def handleInputRows(self, key, rows, timerValues):
         batches = pd.concat(list(rows), ignore_index=True).sort_values("batch", kind="stable")
         pos, neg = (0.0, 0.0)
@@ -93,11 +96,15 @@ def daily_batches(events: DataFrame, entity: str, ts: str, residual, watermark:
 
 
 def cusum_stream(events: DataFrame, entity: str, ts: str, residual, threshold: float = 5.0,
-                 k_factor: float = 0.5, watermark: str = "1 hour") -> DataFrame:
-    """Streaming DataFrame of per-day CUSUM states and alerts (append mode)."""
+                 k_factor: float = 0.5, watermark: str = "1 hour", initial: DataFrame | None = None) -> DataFrame:
+    """Streaming DataFrame of per-day CUSUM states and alerts (append mode).
+
+    ``initial`` (``drift.last_states`` of a batch fold or of an earlier stream's rows) warms the
+    state up: the stream goes on where those days ended. Its events must be later ones."""
     b = daily_batches(events, entity, ts, residual, watermark)
+    start = None if initial is None else initial.select(F.col("entity").cast("string").alias("entity"), "cusum_pos", "cusum_neg").groupBy("entity")
     return b.groupBy("entity").transformWithStateInPandas(
-        CusumProcessor(threshold, k_factor), OUTPUT, "Append", "None")
+        CusumProcessor(threshold, k_factor), OUTPUT, "Append", "None", initialState=start)
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str | None = None) -> DataFrame:
