@@ -5,9 +5,12 @@ kept and returns a DataFrame; all but the last return the columns of
 ``documents``. ``run`` writes each stage's rows as Parquet in the shared folder
 and rereads them as the next one's ``docs``.
 
-Rows with null text are clean, have fingerprint zero and no tokens; an empty
-table passes through every stage; extra columns are carried up to the last
-stage, which returns ids next to id and text.
+Rows with null or empty text are clean, have fingerprint zero (so one of them stays)
+and no tokens; rows of null id take part like any other and come last where ids
+decide; of repeated rows one stays, as of any near copies; ties between near copies
+of one id go to an arbitrary fixed row; very long texts are worked on whole in every
+stage; an empty table passes through every stage; extra columns, whatever their
+names, are carried up to the last stage, which returns ids next to id and text.
 """
 
 from __future__ import annotations

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tillcast.catalog.registry import query, rnd, srnd
 from tillcast.catalog.sqlbase import with_panel
+from tillcast.functions import scalars as S
 from tillcast.operators import scoring as P
 from tillcast.plans.scoring import fit_scorer
+from tillcast.session import cut_lineage
 from tillcast.sources.requests import REQUESTS_SQL, requests_from_suppliers
 from tillcast.sources.tables import read_table, store_panel
 
@@ -269,5 +271,6 @@ def q_psi_model_inputs(spark, sf):
     from tillcast.operators import drift as M
     from tillcast.plans.training import FEATURES, model_frames
     md = model_frames(store_panel(spark, sf, materialize=True))
-    r = M.psi_report(md.train, md.test, FEATURES)
+    equal = {c: S.canonical(c) for c in ("Month_sin", "Month_cos", "Week_sin", "Week_cos")}  # as on the other engine
+    r = M.psi_report(cut_lineage(md.train.withColumns(equal)), cut_lineage(md.test.withColumns(equal)), FEATURES)
     return r.select("feature", rnd("PSI", 6).alias("PSI"), "status")

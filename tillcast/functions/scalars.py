@@ -52,21 +52,16 @@ def is_weekend_from_dow(dow) -> Column:
     return _c(dow).isin(6, 7).cast("int")
 
 
-CYCLICAL_DECIMALS = 12
-
-
 def cyclical(x, period: float) -> tuple[Column, Column]:
-    """(sin, cos) of 2*pi*x/period; week 53 of period 52 wraps past a turn.
-
-    Canonicalised to 12 decimals: mathematically equal angles
-    (sin(x) = sin(pi - x)) can differ in the last bit between sin
-    implementations (JVM intrinsics vary with the executor's hardware), and
-    such equal values must stay equal for quantiles and ties. "+ 0.0" turns
-    a rounded -0.0 into 0.0 so the two zeros group together.
-    """
+    """(sin, cos) of 2*pi*x/period; week 53 of period 52 wraps past a turn."""
     angle = F.lit(2 * math.pi) * _c(x) / F.lit(float(period))
-    return (F.round(F.sin(angle), CYCLICAL_DECIMALS) + F.lit(0.0),
-            F.round(F.cos(angle), CYCLICAL_DECIMALS) + F.lit(0.0))
+    return F.sin(angle), F.cos(angle)
+
+
+def canonical(x, decimals: int = 12) -> Column:
+    """A value rounded so that equal angles compare equal wherever they were computed: sin implementations
+    differ in the last bit, which matters to quantiles and ties. "+ 0.0" joins the two zeros."""
+    return F.round(_c(x), decimals) + F.lit(0.0)
 
 
 def holiday_binary(h) -> Column:
