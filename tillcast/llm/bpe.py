@@ -18,7 +18,8 @@ have happened in the encoding of that pair alone.
 Edge cases: null and empty texts give no ids and decode to the empty string;
 special tokens written in a text become their ids, as in the library; lone
 surrogates cannot occur in Spark strings; ids outside the vocabulary are left
-out on decoding; repeated rows and other columns are carried as they are.
+out on decoding; very long texts are coded whole; repeated rows and other columns are carried as they are;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,11 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.memory import give_back, lean
 from tillcast.llm.store import carried
 
 UNSPLIT = 512           # characters of a pre-token that are encoded in one piece
-ROWS_OUT = 512          # rows of an outgoing batch
-CACHE_WORDS = 300_000   # words whose ids a task keeps; the table starts anew beyond it
+ROWS_OUT = 256          # rows of an outgoing batch
+CACHE_WORDS = 200_000   # words whose ids a task keeps; the table starts anew beyond it
 CACHED_LENGTH = 48      # longer words are rarely met again
 CHUNK = 1 << 20         # characters of text per round of the word table
 _CODERS: dict[tuple[str, int], Coder] = {}
@@ -54,15 +56,12 @@ class Coder:
     def __init__(self, path: str, unsplit: int = UNSPLIT):
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        self.path = path
+        spec = self._spec()
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        bare = spec | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "decoder": None,
-                       "added_tokens": [], "truncation": None, "padding": None}
-        self.last = Tokenizer.from_str(json.dumps(bare))
-        self._inner = lambda: Tokenizer.from_str(json.dumps(bare | {"model": spec["model"] | {"end_of_word_suffix": None}}))
+        self.last = self._bare(spec)
         self.suffix = spec["model"]["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("|".join(re.escape(c) for c in self.special)) if self.special else None
@@ -78,12 +77,25 @@ class Coder:
         self.names = pa.array([n or "" for n in names], pa.large_string())
         self.width = [len(n[:-1].removesuffix(self.suffix) if self.suffix else n[:-1]) if n else 0 for n in names]
 
+    def _spec(self) -> dict:
+        with open(self.path, encoding="utf-8") as f:
+            return json.load(f)
+
+    @staticmethod
+    def _bare(spec: dict):
+        """The model alone."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "decoder": None,
+                                                     "added_tokens": [], "truncation": None, "padding": None}))
+
     # -- encoding ---------------------------------------------------------
 
     @cached_property
     def inner(self):
         """Tokenizer of the parts before the last one of a pre-token, which carry no end-of-word mark."""
-        return self._inner()
+        spec = self._spec()
+        return self._bare(spec | {"model": spec["model"] | {"end_of_word_suffix": None}})
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of whitespace-free words, as little-endian unsigned 32-bit integers."""
@@ -206,6 +218,7 @@ def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
 def coder(path: str, unsplit: int = UNSPLIT) -> Coder:
     if (path, unsplit) not in _CODERS:
         _CODERS[path, unsplit] = Coder(path, unsplit)
+        give_back()  # what reading the file took
     return _CODERS[path, unsplit]
 
 
@@ -254,4 +267,4 @@ def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", out: str
                 yield pa.RecordBatch.from_arrays([*part.columns, both], names=plain)
 
     schema = T.StructType([T.StructField(n, t) for n, t in zip(plain, types)])
-    return own.toDF(*plain[:-1]).mapInArrow(code, schema).toDF(*own.columns, out)
+    return own.toDF(*plain[:-1]).mapInArrow(lean(code), schema).toDF(*own.columns, out)

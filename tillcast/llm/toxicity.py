@@ -17,7 +17,8 @@ Edge cases: null and empty texts score with the bias alone; null labels are
 not learnt from; an id labelled more than once counts with its largest label;
 without any labelled row the score is 0.5 and the prediction 1 is avoided by
 the bias of an untrained model being slightly negative; repeated rows score
-alike; other columns are carried.
+alike; very long texts are scored whole; an empty table gives an empty result; other
+columns are carried.
 """
 
 from __future__ import annotations
