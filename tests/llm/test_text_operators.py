@@ -416,3 +416,74 @@ def test_language_empty_and_unlabelled(spark, empty, awkward):
     assert language.identify(empty, PIECES).count() == 0
     none = language.identify(awkward.withColumn("lang", F.lit(None).cast("string")), PIECES).collect()
     assert all(r["prediction"]["lang"] == "und" for r in none)
+
+
+# -- substring dedup against brute force ------------------------------------------------------
+
+def _family(seed, size, words=120, edits=3, base=None):
+    """Variants of one passage, each with some words replaced."""
+    r = random.Random(seed)
+    base = base or [f"w{r.randrange(10_000)}" for _ in range(words)]
+    out = []
+    for _ in range(size):
+        own = list(base)
+        for k in r.sample(range(words), edits):
+            own[k] = f"x{r.randrange(10**9)}"
+        out.append(" ".join(own))
+    return base, out
+
+
+def _linked(spark, texts, **options):
+    """Components that the operator's links give, by text."""
+    from tillcast.llm.components import connected_components
+    marks = spark.createDataFrame([], "uid long, repeated array<struct<pos:int,n:long>>")
+    edges = spark.createDataFrame([], "uid long, edge array<struct<pos:int,n:long>>")
+    docs = spark.createDataFrame(list(enumerate(texts)), "uid long, text string")
+    found = substring.materialize(substring.paragraph_rows(docs, marks, edges, "uid", "text", 50, 5, substring.BANDS, substring.ROWS), "test-paragraphs")
+    roots = {r["node"]: r["root"] for r in connected_components(spark, substring.links(found, **options)).collect()}
+    return {r["uid"]: roots.get(r["digest"], r["digest"]) for r in found.select("uid", "digest").collect()}
+
+
+def _brute_components(texts, least=0.8):
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= least * (len(sets[i]) + len(sets[j]) - shared):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("cap", [64, 8])
+def test_links_give_the_components_of_brute_force(spark, cap):
+    base, one = _family(1, 30, edits=2)
+    _, two = _family(2, 30, edits=2, base=base[:80] + [f"q{k}" for k in range(40)])  # shares two thirds of the first family
+    _, three = _family(3, 12, edits=1)
+    texts = one + two + three + [" ".join(f"z{k}{j}" for j in range(60)) for k in range(10)]
+    got, want = _linked(spark, texts, bucket_cap=cap), _brute_components(texts)
+    by_got, by_want = {}, {}
+    for i in range(len(texts)):
+        by_got.setdefault(got[i], set()).add(i)
+        by_want.setdefault(want[i], set()).add(i)
+    assert sorted(map(sorted, by_got.values())) == sorted(map(sorted, by_want.values()))
+
+
+def test_pairs_of_two_families_grow_linearly(spark, monkeypatch):
+    """A family that shares a dense bucket with a more frequent one is not compared pair by pair."""
+    counts, real = [], substring._verified
+    monkeypatch.setattr(substring, "_verified", lambda pairs, *rest: counts.append(pairs) or real(pairs, *rest))
+    totals = []
+    for size in (100, 200):
+        base, one = _family(4, size, edits=1)
+        _, two = _family(5, size, edits=1, base=base[:80] + [f"q{k}" for k in range(40)])
+        counts.clear()
+        got = _linked(spark, one + two, bucket_cap=8)
+        assert len({got[i] for i in range(size)}) == 1 and len({got[i] for i in range(size, 2 * size)}) == 1
+        totals.append(sum(p.count() for p in counts))
+    assert totals[1] <= 2.5 * totals[0], totals

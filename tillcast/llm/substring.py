@@ -27,12 +27,14 @@ the exact Jaccard similarity of their shingle sets.
 
 Dense buckets. In a bucket of more than ``bucket_cap`` distinct paragraphs, each is
 verified against the bucket's leader (its most frequent paragraph). Those that
-agree are linked to the leader; those that do not are banded again with twice
-the rows and more bands, which parts paragraphs that only share a hot passage,
-and paired there whatever the bucket's size: with each other, and with those that
-agreed with a leader near enough that such a pair can exist (the Jaccard distance
-is a metric). Two that agree with one leader are one component and need no
-comparison. Nothing is dropped.
+agree are linked to the leader; those that do not are banded again with more
+rows and bands, which parts paragraphs that only share a hot passage, and meet
+there in the same way: in pairs where the bucket is sparse, else with a leader of
+their own. They meet each other, and those that agreed with a leader near
+enough that such a pair can exist (the Jaccard distance is a metric). Two that
+agree with one leader are one component and need no comparison. After ``LEVELS``
+bandings what is left (paragraphs that agree with no leader of any dense bucket, and
+yet share twelve minima) is paired whatever the bucket's size. Nothing is dropped.
 
 Removal. Linked paragraphs form components; of every component the first occurrence
 (smallest id, then position) stays, with the paragraphs that overlap it there, and
@@ -47,6 +49,7 @@ must be a repeatable read (such as a table), since rows are numbered by it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +59,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
+from tillcast.llm.memory import lean
 from tillcast.llm.packing import packed, unpack
-from tillcast.llm.store import carried, fresh, materialize
+from tillcast.llm.store import carried, fresh, materialize, temporary_tables
 from tillcast.llm.wordhash import mix, range_hasher, text_slices, window_hashes, word_bounds
 
 SHINGLE = 5
@@ -66,6 +70,7 @@ MIN_WORDS = 50
 SENTENCE_WORDS = 5
 BANDS, ROWS = 10, 4
 BUCKET_CAP = 64
+LEVELS = 3               # bandings: 4, 8 and 12 minima in a band
 HELD_SHINGLES = 100_000  # shingles a comparing task keeps for the next pairs
 CUT_WORDS, CUT_MOD, EDGE_WORDS = 4, 6, 5
 GAP_WORDS = 40  # a gap between repeated units holds one edit at least, and one more for so many words
@@ -172,7 +177,7 @@ def sentence_rows(docs: DataFrame, uid: str, text: str, least: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc]), pa.array((-1 - number).astype(np.int32)),
                                                   pa.array(keys.view(np.int64))], ["uid", "pos", "key"])
                 at += len(offsets) - 1
-    return docs.select(uid, text).mapInArrow(scan, "uid long, pos int, key long")
+    return docs.select(uid, text).mapInArrow(lean(scan), "uid long, pos int, key long")
 
 
 def _unit_counts(n: int, marks: pa.Scalar) -> np.ndarray:
@@ -218,7 +223,7 @@ def edge_rows(docs: DataFrame, marks: DataFrame, uid: str, text: str) -> DataFra
                     yield pa.RecordBatch.from_arrays([pa.array(uids[at + doc_]), pa.array((found - s.first[doc_]).astype(np.int32)),
                                                       pa.array(windows[found].view(np.int64))], ["uid", "pos", "key"])
                 at += len(offsets) - 1
-    return joined.mapInArrow(scan, "uid long, pos int, key long")
+    return joined.mapInArrow(lean(scan), "uid long, pos int, key long")
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -272,16 +277,19 @@ def _paragraphs(sizes: np.ndarray, counts: np.ndarray, low: np.ndarray, high: np
     ``low`` to ``high`` that each one is counted by, 0 for sentences that cannot be counted; ``line``: the line of each sentence."""
     out: set[tuple[int, int]] = set()
     total = np.concatenate([[0], np.cumsum(sizes)])
-    edges = np.flatnonzero(np.diff(line)) + 1
-    lines = list(zip([0, *edges.tolist()], [*edges.tolist(), len(line)]))
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(line)) + 1, [len(line)]])
+    long = np.flatnonzero(np.diff(total[edges]) >= min_words)
+    lines = list(zip(edges[long].tolist(), edges[long + 1].tolist()))
     for a, b in lines:
         few = b - a <= _EDITS_PER_WORD * (total[b] - total[a]) + 1
-        if total[b] - total[a] >= min_words and (few or counts[a:b].max(initial=0) > 1):
+        if few or counts[a:b].max(initial=0) > 1:
             out.add((a, b))
+    if total[-1] < min_words or counts.max(initial=0) < 2:
+        return out
     for a, b in {(0, len(line)), *lines}:
         known = a + np.flatnonzero(counts[a:b] > 0)
         level = counts[known]
-        if total[b] - total[a] < min_words or level.max(initial=0) < 2:
+        if level.max(initial=0) < 2:
             continue
         same = np.flatnonzero(np.diff(level)) + 1
         equal = zip([0, *same.tolist()], [*same.tolist(), len(level)])
@@ -308,8 +316,12 @@ def signature(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray, bands:
     if len(starts):
         index = np.stack([starts, ends], axis=1).ravel()
         padded = np.append(shingles, np.uint64(0xFFFFFFFFFFFFFFFF))
-        for k, m in enumerate(_multipliers(bands * rows)):
-            low = np.minimum.reduceat(mix(padded * m), index)[::2]
+        draw = _multipliers(2 * bands * rows)
+        work = np.empty_like(padded)
+        for k, (m, x) in enumerate(zip(draw[::2], draw[1::2])):  # shingles are hashes: a shift and a product order them anew
+            np.bitwise_xor(padded, x, out=work)
+            work *= m
+            low = np.minimum.reduceat(work, index)[::2]
             out[:, k // rows] = mix(out[:, k // rows] * np.uint64(31) + low)
     return out
 
@@ -372,7 +384,7 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, edges: DataFrame, uid: str
                         pa.array(s.hash(w0, w1).view(np.int64)), pa.array(check.view(np.int64)),
                         pa.array(list(sig.view(np.int64)), pa.list_(pa.int64())), pa.array(texts, pa.binary())], PARAGRAPHS.names)
                 at += len(offsets) - 1
-    return joined.mapInArrow(scan, PARAGRAPHS)
+    return joined.mapInArrow(lean(scan), PARAGRAPHS)
 
 
 def _slices(packed_: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -455,33 +467,48 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
     return out.select(*pairs.columns, at_least(least).alias("similar"), at_least(2 * least - 1 - 1e-9).alias("near"))
 
 
+def _next_roles(open_: DataFrame, tried: DataFrame) -> DataFrame:
+    """(digest, n, role) of the paragraphs that must meet again after ``tried`` (a: leader, b, similar, near).
+
+    Role 0: agreed with no leader so far; role 1: like that, but near enough to a leader to resemble one that agreed with
+    it; role 2: agreed with such a leader, and only compared with role 1."""
+    failed = tried.filter("NOT similar").join(open_.select(F.col("digest").alias("b"), F.col("role").alias("old")), "b").filter("old < 2 OR near")
+    parted = failed.groupBy(F.col("b").alias("digest")).agg(F.max(F.when(F.col("near") | (F.col("old") == 1), 1).otherwise(0)).alias("role"))
+    apart = tried.filter("near AND NOT similar").select("a").distinct()
+    agreed = tried.filter("similar").join(apart, "a", "left_semi").select(F.col("b").alias("digest")).unionByName(
+        open_.filter("role = 2").select("digest")).distinct().join(parted, "digest", "left_anti")
+    roles = parted.unionByName(agreed.withColumn("role", F.lit(2)))
+    return roles.join(open_.select("digest", "n"), "digest").select("digest", "n", "role")
+
+
 def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BUCKET_CAP, shingle: int = SHINGLE,
           bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Verified links (a, b) between distinct paragraphs of ``found`` (digest, bands, packed)."""
-    distinct = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
-    banded = distinct.select("digest", "n", F.posexplode("bands").alias("band", "key"))
-    load = (banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.max(F.struct("n", "digest")).alias("top"))
-            .filter("members > 1").select("band", "key", "members", F.col("top.digest").alias("leader")))
-    met = materialize(banded.select("digest", "band", "key").join(load, ["band", "key"]), "substring-buckets")
-    # only paragraphs that share a bucket are ever compared
-    texts = found.select("digest", "packed").join(met.select("digest").distinct(), "digest", "left_semi")
-    texts = materialize(texts.groupBy("digest").agg(F.first("packed").alias("packed")), "substring-compared")
-    pairs = _bucket_pairs(met.filter(F.col("members") <= bucket_cap))
-    star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")))
-    star = star.select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
-    tried = materialize(_verified(star, texts, similarity, shingle), "substring-leaders")
-    parted = tried.filter("NOT similar").select(F.col("b").alias("digest")).distinct()
-    # those that agree with a leader, and those that do not but are near enough to it to resemble one that does
-    apart = tried.filter("near AND NOT similar")
-    agreed = tried.filter("similar").join(apart.select("a").distinct(), "a", "left_semi").select(F.col("b").alias("digest")).distinct()
-    agreed = agreed.join(parted, "digest", "left_anti")  # the others are among ``parted``
-    roles = (parted.join(apart.select(F.col("b").alias("digest"), F.lit(1).alias("role")).distinct(), "digest", "left").fillna(0, ["role"])
-             .unionByName(agreed.withColumn("role", F.lit(2))))
-    finer = texts.join(roles, "digest").select("digest", "role", F.posexplode(finer_bands(F.col("packed"), shingle, 3 * bands, 2 * rows)).alias("band", "key"))
-    finer = materialize(finer, "substring-finer")
-    again = _bucket_pairs(finer.filter("role < 2")).unionByName(_cross_pairs(finer.filter("role = 1"), finer.filter("role = 2")))
-    near = _verified(pairs.unionByName(again).distinct(), texts, similarity, shingle).filter("similar").select("a", "b")
-    return near.unionByName(tried.filter("similar").select("a", "b"))
+    open_ = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")).withColumn("role", F.lit(0))
+    banded = open_.select("digest", "n", "role", F.posexplode("bands").alias("band", "key"))
+    texts, out = None, []
+    for level in range(1, LEVELS + 1):
+        load = (banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.max(F.when(F.col("role") < 2, F.struct("role", "n", "digest"))).alias("top"))
+                .filter("members > 1 AND top IS NOT NULL").select("band", "key", "members", F.col("top.digest").alias("leader"), F.col("top.role").alias("leads")))
+        met = materialize(banded.join(load, ["band", "key"]), f"substring-buckets-{level}")
+        if texts is None:  # only paragraphs that share a bucket are ever compared
+            texts = found.select("digest", "packed").join(met.select("digest").distinct(), "digest", "left_semi")
+            texts = materialize(texts.groupBy("digest").agg(F.first("packed").alias("packed")), "substring-compared")
+        sparse = met if level == LEVELS else met.filter(F.col("members") <= bucket_cap)
+        pairs = _bucket_pairs(sparse.filter("role < 2")).unionByName(_cross_pairs(sparse.filter("role = 1"), sparse.filter("role = 2"))).distinct()
+        out.append(_verified(pairs, texts, similarity, shingle).filter("similar").select("a", "b"))
+        if level == LEVELS:
+            break
+        star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")) & ((F.col("role") < 2) | (F.col("leads") == 1)))
+        star = star.select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
+        tried = materialize(_verified(star, texts, similarity, shingle), f"substring-leaders-{level}")
+        out.append(tried.filter("similar").select("a", "b"))
+        open_ = materialize(_next_roles(open_.select("digest", "n", "role"), tried), f"substring-roles-{level}")
+        if open_.filter("role < 2").isEmpty():
+            break
+        finer = finer_bands(F.col("packed"), shingle, 3 ** level * bands, (level + 1) * rows)
+        banded = materialize(texts.join(open_, "digest").select("digest", "n", "role", F.posexplode(finer).alias("band", "key")), f"substring-finer-{level}")
+    return reduce(DataFrame.unionByName, out)
 
 
 def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, similarity: float = SIMILARITY, min_words: int = MIN_WORDS,
@@ -493,13 +520,14 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
     often = sentences.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     marks = (sentences.join(often, "key").groupBy("uid")
              .agg(F.collect_list(F.struct("pos", "n")).alias("repeated")))  # at most the sentences of one text
-    marks = materialize(marks, "substring-marks")
-    windows = materialize(edge_rows(docs, marks, uid, f"`{text_col}`"), "substring-edges")
-    shared = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    edges = (windows.join(shared, "key").groupBy("uid")
-             .agg(F.collect_list(F.struct("pos", "n")).alias("edge")))  # at most the words of one text
-    found = paragraph_rows(docs, marks, edges, uid, f"`{text_col}`", min_words, shingle, bands, rows)
-    found = materialize(found, "substring-paragraphs")
+    with temporary_tables(spark):
+        marks = materialize(marks, "substring-marks")
+        windows = materialize(edge_rows(docs, marks, uid, f"`{text_col}`"), "substring-edges")
+        shared = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        edges = (windows.join(shared, "key").groupBy("uid")
+                 .agg(F.collect_list(F.struct("pos", "n")).alias("edge")))  # at most the words of one text
+        found = paragraph_rows(docs, marks, edges, uid, f"`{text_col}`", min_words, shingle, bands, rows)
+        found = materialize(found, "substring-paragraphs", keep=True)
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"), F.col("begin"), (-F.col("end")).alias("size"))
     named = found.select("uid", "begin", "end", "digest", "check").join(
         docs.select(F.col(uid).alias("uid"), F.col(f"`{id_col}`").alias("id")), "uid")
@@ -550,8 +578,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     that keep the removed paragraphs)."""
     uid = fresh("_substring", docs.columns)
     numbered = docs.withColumn(uid, F.monotonically_increasing_id())
-    spans = repeated_spans(numbered, uid, text_col, id_col, **options)
-    spans = materialize(spans.withColumnRenamed("uid", f"{uid}r").withColumnRenamed("spans", f"{uid}s").withColumnRenamed("kept_in", f"{uid}k"), "substring-spans")
+    with temporary_tables(docs.sparkSession):
+        spans = repeated_spans(numbered, uid, text_col, id_col, **options)
+        spans = materialize(spans.withColumnRenamed("uid", f"{uid}r").withColumnRenamed("spans", f"{uid}s").withColumnRenamed("kept_in", f"{uid}k"), "substring-spans", keep=True)
     texts = numbered.select(*carried(docs.columns, out, text_col), uid, packed(F.col(f"`{text_col}`")).alias(f"{uid}p"))
     joined = texts.join(spans, F.col(uid) == F.col(f"{uid}r"), "left")
     done = joined.withColumn(f"{uid}c", cut_column(F.col(f"{uid}p"), F.col(f"{uid}s")))
