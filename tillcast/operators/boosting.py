@@ -36,6 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -359,7 +360,7 @@ def fit_many(df: DataFrame, features: list[str], label: str, spec: dict, fits: l
     packed = materialize(_blocks(rows, features, edges, parts).withColumn("part", F.monotonically_increasing_id()), "boosting-blocks")
     ids = {r["part"]: k for k, r in enumerate(packed.select("part").orderBy("part").collect())}  # a row per block
     p = len(features)
-    blocks = packed.rdd.map(lambda r: _unpacked(r, p, base)).partitionBy(max(1, len(ids)), lambda part: ids[part]).values().persist()
+    blocks = packed.rdd.map(lambda r: _unpacked(r, p, base)).partitionBy(max(1, len(ids)), lambda part: ids[part]).values().persist(StorageLevel.MEMORY_AND_DISK)
     ensure_checkpoint_dir(spark)
     run, grown = uuid.uuid4().hex, {f: [] for f in base}
     for since in range(0, grow.trees if base else 0, CUT):
@@ -387,7 +388,7 @@ def fit_many(df: DataFrame, features: list[str], label: str, spec: dict, fits: l
             grown[f] += recent[f]
         if upto < grow.trees:
             job = _Job(run, grow, since, recent, grid, width)
-            moved = blocks.map(lambda b, job=job, upto=upto: b | {"margin": job.advanced(b, upto)}).persist()
+            moved = blocks.map(lambda b, job=job, upto=upto: b | {"margin": job.advanced(b, upto)}).persist(StorageLevel.MEMORY_AND_DISK)
             moved.checkpoint()
             moved.count()
             blocks.unpersist()
