@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.llm.memory import lean
 from tillcast.llm.store import least_by_hash, materialize
 from tillcast.llm.wordhash import mix, owner, range_hasher, text_slices, word_bounds
 
@@ -125,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         yield pa.RecordBatch.from_arrays([pa.array([-1, *hot.tolist()], pa.int64()),
                                           pa.array([bias, *model.weights(hot).tolist()], pa.float64())], ["coordinate", "weight"])
 
-    rows = picked.repartition(1).mapInArrow(train, MODEL_SCHEMA).collect()
+    rows = picked.repartition(1).mapInArrow(lean(train), MODEL_SCHEMA).collect()
     return [(r["coordinate"], r["weight"]) for r in rows] or [(-1, UNTRAINED_BIAS)]
 
 
