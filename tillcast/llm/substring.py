@@ -496,7 +496,8 @@ def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BU
             texts = materialize(texts.groupBy("digest").agg(F.first("packed").alias("packed")), "substring-compared")
         sparse = met if level == LEVELS else met.filter(F.col("members") <= bucket_cap)
         pairs = _bucket_pairs(sparse.filter("role < 2")).unionByName(_cross_pairs(sparse.filter("role = 1"), sparse.filter("role = 2"))).distinct()
-        out.append(_verified(pairs, texts, similarity, shingle).filter("similar").select("a", "b"))
+        # written level by level, so that only one level's texts are in shuffle files at a time
+        out.append(materialize(_verified(pairs, texts, similarity, shingle).filter("similar").select("a", "b"), f"substring-links-{level}"))
         if level == LEVELS:
             break
         star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")) & ((F.col("role") < 2) | (F.col("leads") == 1)))
