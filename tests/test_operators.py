@@ -15,6 +15,7 @@ from tillcast.functions import scalars as S
 from tillcast.operators import drift as M
 from tillcast.operators import encoders as E
 from tillcast.operators import filters as B
+from tillcast.operators import profile as P
 from tillcast.operators import ranks as K
 from tillcast.operators import stats as G
 from tillcast.operators import uncertainty as U
@@ -785,3 +786,17 @@ def test_column_lists_and_top_by_size(spark):
     assert P.numeric_columns(df) == ["i", "d"] and P.string_columns(df) == ["s"]
     assert B.new_columns(df.select("i", "s"), df) == ["d", "b"]
     assert [r["d"] for r in O.top_n_abs(df, "d", 2).collect()] == [-9.0, 4.0]
+
+
+# ---------------------------------------------------------------- correlations of columns that do not vary
+def _flat(spark):
+    rows = [(1.0, 2.0, 7.0, None), (2.0, 3.0, 7.0, None), (4.0, 1.0, 7.0, None), (5.0, None, 7.0, None)]
+    return spark.createDataFrame(rows, "y double, x double, flat double, none double")
+
+
+def test_corr_matrix_of_a_column_that_does_not_vary(spark):
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in P.corr_matrix(_flat(spark), ["y", "x", "flat", "none"], listwise=False).collect()}
+    assert len(got) == 16 and math.isclose(got["x", "x"], 1.0)
+    assert math.isclose(got["y", "x"], np.corrcoef([1, 2, 4], [2, 3, 1])[0, 1], rel_tol=1e-12)
+    assert all(math.isnan(got[p]) for p in [("y", "flat"), ("flat", "x"), ("flat", "flat")])
+    assert got["y", "none"] is None and got["none", "none"] is None

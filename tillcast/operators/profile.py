@@ -157,18 +157,25 @@ def promo_lift(df: DataFrame, flag: str = "Promo", col: str = "Sales") -> DataFr
     return out.withColumn("lift_pct", F.when(base != 0, (F.col("mean_promo") - base) / base * 100.0))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson correlation of the rows that hold both: null without such a row, NaN where a side does not vary
+    (``F.corr`` divides by zero there)."""
+    ab = F.sqrt(F.regr_sxx(b, a) * F.regr_syy(b, a))
+    return F.when(ab == 0, F.lit(float("nan"))).otherwise(F.regr_sxy(b, a) / ab)
+
+
 def corr_matrix(df: DataFrame, cols, listwise: bool = True) -> DataFrame:
     """Correlation matrix in long form (col_a, col_b, corr).
 
     ``listwise`` drops rows with any null among ``cols`` first; otherwise
-    each pair uses its complete cases (``corr`` skips null pairs).
-    One aggregate computes the n(n+1)/2 distinct pairs.
+    each pair uses its complete cases. A column that does not vary has NaN
+    with every other and with itself. One aggregate computes the n(n+1)/2 distinct pairs.
     """
     src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     if listwise:
         src = src.dropna()
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = src.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = src.agg(*[correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     structs = []
     for i, (a, b) in enumerate(pairs):
         structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{i}").alias("corr")))
@@ -240,7 +247,7 @@ def eda_findings(df: DataFrame) -> DataFrame:
         ((F.avg(F.when(wk, F.col("Sales"))) / F.avg(F.when(~wk, F.col("Sales"))) - 1) * 100).alias("weekend_lift_pct"),
         ((F.avg(F.when(F.col("Promo") == 1, F.col("Sales"))) / F.avg(F.when(F.col("Promo") == 0, F.col("Sales"))) - 1)
          * 100).alias("promo_lift_pct"),
-        F.corr("Customers", "Sales").alias("customers_sales_corr"),
+        correlation("Customers", "Sales").alias("customers_sales_corr"),
         (F.count_if(F.col("CompetitionDistance").isNull()) * 100.0 / F.count(F.lit(1))).alias("competition_missing_pct"),
     )
     order = (open_df.groupBy("StoreType").agg(F.avg("Sales").alias("m"))
