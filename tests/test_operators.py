@@ -800,3 +800,8 @@ def test_corr_matrix_of_a_column_that_does_not_vary(spark):
     assert math.isclose(got["y", "x"], np.corrcoef([1, 2, 4], [2, 3, 1])[0, 1], rel_tol=1e-12)
     assert all(math.isnan(got[p]) for p in [("y", "flat"), ("flat", "x"), ("flat", "flat")])
     assert got["y", "none"] is None and got["none", "none"] is None
+
+
+def test_corr_rank_of_a_column_that_does_not_vary(spark):
+    got = [(r["feature"], r["rank"]) for r in P.corr_rank(_flat(spark), "y", ["x", "flat", "none"]).collect()]
+    assert got == [("flat", 1), ("x", 2), ("none", 3)]  # NaN is the largest value, nulls are last
