@@ -251,3 +251,15 @@ def test_tree_matching_size():
 
 def test_pages_empty(spark):
     assert wrapper.extract(_pages(spark, [(1, "x", "y")]).limit(0)).count() == 0
+
+
+def test_long_lists_are_aligned_far_from_the_diagonal():
+    many = "".join(f"<p>{k}</p>" for k in range(100))
+    a = wrapper.parse(f"<div><h1>x</h1>{many}<h2>x</h2></div>")
+    b = wrapper.parse(f"<div><h3>y</h3>{'<blockquote>y</blockquote>' * 70}{many}{'<hr>' * 10}</div>")
+    pairs = wrapper.match(a, b)
+    assert len(pairs) == 102 and all(x.text() == y.text() for x, y in pairs)  # root, div, 100 paragraphs
+    rows = lambda s, ks: wrapper.parse("<table>" + "".join(f"<tr><td>{s}{k}</td><td>{k % 9}</td></tr>" for k in ks) + "</table>")
+    pairs = wrapper.match(rows("a", range(150)), rows("b", range(60, 260)))  # every row has a partner, the second cells of all agree
+    assert sum(x.tag == "tr" for x, _ in pairs) == 150
+    assert sum(x.tag == "td" and x.text() == y.text() for x, y in pairs) == 150

@@ -20,9 +20,9 @@ An ``article`` or ``main`` element is the content node where there is one. A
 page that does not fit its wrapper is judged by its own tree alone, and marks need
 ``least_pages`` different pages of a layout, so a host with a single page needs no wrapper.
 
-Matching is exact where the children of two nodes make a table of ``TABLE`` cells at
-most; beyond that equal subtrees at both ends are paired first and the rest is
-matched in a band around the diagonal, so memory grows with the number of blocks.
+Matching is exact for any number of children. Equal subtrees at the ends are paired first,
+which loses nothing; the table of the rest is worked on row by row, and of a long one only
+every few rows are kept, so its memory grows with the blocks times the square root of them.
 
 Edge cases: null and empty html give an empty text; unclosed, misnested and
 truncated markup is read like a browser reads it as far as blocks go; very long pages
@@ -33,9 +33,13 @@ carried; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +50,9 @@ from tillcast.llm.store import carried, fresh, materialize
 from tillcast.llm.wordhash import each_text
 
 LEAST_PAGES = 3      # different pages of a layout that a mark needs
-TABLE = 4096         # cells of an exact alignment of two lists of children
-BAND = 32            # children on each side of the diagonal beyond that
+TABLE = 4096         # cells of an alignment's table that are worked on at once
+SIZES_HELD = 1 << 16  # sizes of matched subtrees that are kept; others are made again
+KINDS_HELD = 4096    # kinds of elements that a worker keeps
 NODE = 1 << 20       # weight of a matched node; an equal text weighs one
 BROADCAST_BYTES = 8 << 20
 MODELS_HELD = 64     # parsed models that a task keeps
@@ -80,18 +85,39 @@ class Node:
     """A block element: its label, children (nodes and text runs in page order) and part: ``skip`` if it is no
     main text by its name, ``hint`` if only a word of its class or id says so."""
 
-    __slots__ = ("hint", "kids", "label", "said", "shape", "skip", "tag")
+    __slots__ = ("code", "full", "hint", "inner", "kids", "label", "said", "shape", "skip", "tag", "whole", "words")
 
     def __init__(self, tag: str, label: str, skip: bool, hint: bool = False):
         self.tag, self.label, self.skip, self.hint = tag, label, skip, hint
         self.kids: list[Node | str] = []
-        self.shape = self.said = 0
+        self.code = self.full = self.said = self.shape = self.whole = 0
+        self.inner: list[Node] | None = None
+        self.words: str | None = None
 
     def nodes(self) -> list[Node]:
-        return [k for k in self.kids if isinstance(k, Node)]
+        """Child nodes; asked for when the page is read to its end, like the text."""
+        if self.inner is None:
+            self.inner = [k for k in self.kids if isinstance(k, Node)]
+        return self.inner
 
     def text(self) -> str:
-        return " ".join("".join(k for k in self.kids if isinstance(k, str)).split())
+        if self.words is None:
+            self.words = " ".join("".join(k for k in self.kids if isinstance(k, str)).split())
+        return self.words
+
+
+@lru_cache(KINDS_HELD)
+def kind(tag: str, role: str, classes: str, name: str, hidden: bool, inside: bool) -> tuple[str, bool, bool]:
+    """(label, skip, hint) of an element by its attributes and whether it is inside an article or main element."""
+    split = lambda x: re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", x).lower())
+    names, words = set(classes.lower().split()), set(split(classes))
+    skip = (tag in NOT_MAIN or role.lower() in NOT_MAIN_ROLES or not NOT_MAIN_WORDS.isdisjoint(names)
+            or not REGION_WORDS.isdisjoint(words) or hidden or (tag == "header" and not inside) or ("header" in names and not inside))
+    hint = not NOT_MAIN_WORDS.isdisjoint(words | set(split(name))) or ("header" in words and not inside)
+    if tag in ("article", "main", "body", "html"):
+        skip = skip and tag in ("article", "main") and bool({"comment", "comments", "related", "recommended"} & words)
+        hint = False
+    return " ".join([tag, *sorted(words)]), skip, hint
 
 
 class _Builder(HTMLParser):
@@ -119,17 +145,9 @@ class _Builder(HTMLParser):
         while len(self.stack) > 1 and tag in CLOSED_BY.get(self.stack[-1].tag, ()):
             self.stack.pop()
         given = {k: (v or "") for k, v in attrs}
-        split = lambda x: re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", x).lower())
-        classes = given.get("class", "")
-        names, words = set(classes.lower().split()), set(split(classes))
         inside = any(n.tag in ("article", "main") for n in self.stack)
-        skip = (tag in NOT_MAIN or given.get("role", "").lower() in NOT_MAIN_ROLES or not NOT_MAIN_WORDS.isdisjoint(names)
-                or not REGION_WORDS.isdisjoint(words) or "hidden" in given or (tag == "header" and not inside) or ("header" in names and not inside))
-        hint = not NOT_MAIN_WORDS.isdisjoint(words | set(split(given.get("id", "")))) or ("header" in words and not inside)
-        if tag in ("article", "main", "body", "html"):
-            skip = skip and tag in ("article", "main") and bool({"comment", "comments", "related", "recommended"} & words)
-            hint = False
-        node = Node(tag, " ".join([tag, *sorted(words)]), skip, hint)
+        label, skip, hint = kind(tag, given.get("role", ""), given.get("class", ""), given.get("id", ""), "hidden" in given, inside)
+        node = Node(tag, label, skip, hint)
         self.stack[-1].kids.append(node)
         if tag not in VOID and len(self.stack) < MAX_DEPTH:
             self.stack.append(node)
@@ -163,19 +181,35 @@ def parse(html: str | None) -> Node:
 
 
 def shape(node: Node) -> int:
-    """Digest of the labels under a node; kept in the nodes, with one of each node's own text (0 if it has none)."""
-    order, todo = [], [node]
+    """Digest of the labels under a node; kept in the nodes, with one of each node's own text (0 if it has none),
+    one of all that is under it and the weight of a match with an equal subtree."""
+    order, todo = [], [] if node.shape else [node]
     while todo:
         n = todo.pop()
         order.append(n)
         todo += n.nodes()
     for n in reversed(order):
+        n.code = hash(n.label)
         n.shape = hash((n.label, *[k.shape for k in n.nodes()])) or 1
         text = n.text()
         n.said = hash(text) or 1 if text else 0
+        n.whole = hash((n.label, n.said, *[k.whole for k in n.nodes()]))
+        n.full = NODE + (n.said != 0) + sum(k.full for k in n.nodes())
     return node.shape
 
 
+def _texts(node: Node) -> list[int]:
+    return [n.said for n in numbered(node)]
+
+
+class Side(NamedTuple):
+    nodes: list[Node]
+    code: np.ndarray
+    said: np.ndarray
+    shapes: dict[int, list[int]]
+    texts: dict[int, np.ndarray]
+
+
 def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Simple tree matching: pairs of aligned nodes, the roots first (none if their labels differ). Of the largest
     matchings one with most equal texts is taken."""
@@ -183,72 +217,109 @@ def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     for root in (a, b):
         shape(root)
 
-    def size(x: Node, y: Node) -> int:
-        if x.label != y.label:
-            return 0
-        xs, ys = x.nodes(), y.nodes()
-        own = NODE + (x.said == y.said != 0)
+    def head(xs: list[Node], ys: list[Node]) -> int:
+        """Number of equal subtrees at the start: pairing them loses nothing, as no subtree has a better partner."""
+        k = 0
+        while k < len(xs) and k < len(ys) and xs[k].shape == ys[k].shape and xs[k].whole == ys[k].whole:
+            k += 1
+        return k
+
+    def known(ns: list[Node]) -> Side:
+        """Nodes, their labels and texts, the places of those with children by shape, and the texts under these."""
+        shapes: dict[int, list[int]] = {}
+        for k, n in enumerate(ns):
+            if n.nodes():
+                shapes.setdefault(n.shape, []).append(k)
+        return Side(ns, np.array([n.code for n in ns], np.int64), np.array([n.said for n in ns], np.int64), shapes,
+                    {s: np.array([_texts(ns[k]) for k in at], np.int64) for s, at in shapes.items()})
+
+    def weights(x: Side, y: Side) -> np.ndarray:
+        """Largest matching of every pair."""
+        same = x.code[:, None] == y.code
+        out = same * NODE + (same & (x.said[:, None] == y.said) & (y.said != 0))
+        for sx, rows in x.shapes.items():
+            for sy, columns in y.shapes.items():
+                if sx == sy:  # every node is matched only where equal places are paired
+                    vx, vy = x.texts[sx], y.texts[sx]
+                    out[np.ix_(rows, columns)] = NODE * vx.shape[1] + sum((vx[:, [k]] == vy[:, k]) & (vy[:, k] != 0) for k in range(vx.shape[1]))
+                elif x.code[rows[0]] == y.code[columns[0]]:
+                    for i in rows:
+                        for j in columns:
+                            pair = id(x.nodes[i]), id(y.nodes[j])
+                            if pair not in sizes:
+                                under = total(x.nodes[i].nodes(), y.nodes[j].nodes())
+                                if len(sizes) >= SIZES_HELD:
+                                    sizes.clear()
+                                sizes[pair] = under
+                            out[i, j] += sizes[pair]
+        return out
+
+    def below(row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        best = row.copy()
+        np.maximum(best[1:], row[:-1] + weight, out=best[1:])
+        return np.maximum.accumulate(best)
+
+    def total(xs: list[Node], ys: list[Node]) -> int:
+        """Weight of the best alignment of two lists of children."""
+        first = head(xs, ys)
+        found, xs, ys = sum(x.full for x in xs[:first]), xs[first:], ys[first:]
+        last = head(xs[::-1], ys[::-1])
+        found, xs, ys = found + sum(x.full for x in xs[len(xs) - last:]), xs[:len(xs) - last], ys[:len(ys) - last]
+        if not xs or not ys:
+            return found
+        row, columns = np.zeros(len(ys) + 1, np.int64), known(ys)
+        step = max(64, TABLE // len(row))
+        for at in range(0, len(xs), step):
+            for weight in weights(known(xs[at:at + step]), columns):
+                row = below(row, weight)
+        return found + int(row[-1])
+
+    def paired(xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
+        """Pairs of the best alignment: of a long table the first row of each of some blocks is kept, and a block's
+        rows are made again on the way back, so memory grows with the square root of the rows."""
+        first = head(xs, ys)
+        out, xs, ys = [*zip(xs[:first], ys[:first])], xs[first:], ys[first:]
         if not xs or not ys:
-            return own
-        if (id(x), id(y)) not in sizes:
-            sizes[id(x), id(y)] = own + (sum(map(size, xs, ys)) if x.shape == y.shape else aligned(xs, ys)[0])
-        return sizes[id(x), id(y)]
-
-    def aligned(xs: list[Node], ys: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
-        """(nodes matched, pairs of children)"""
-        pairs, total = [], 0
-        if len(xs) * len(ys) > TABLE:  # equal subtrees at both ends, those of equal text first
-            for texts in (True, False):
-                short, head, tail = min(len(xs), len(ys)), 0, 0
-                same = lambda x, y: x.shape == y.shape and (not texts or x.said == y.said)  # noqa: B023, E731
-                while head < short and same(xs[head], ys[head]):
-                    head += 1
-                while tail < short - head and same(xs[-1 - tail], ys[-1 - tail]):
-                    tail += 1
-                pairs += [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail:], ys[len(ys) - tail:])]
-                xs, ys = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
-            total = sum(size(x, y) for x, y in pairs)
-        wide = len(xs) * len(ys) <= TABLE
-        slope = len(ys) / max(1, len(xs))
-        rows: list[tuple[int, list[int]]] = [(0, [0] * (len(ys) + 1 if wide else min(len(ys), BAND) + 1))]  # first column, best sums
-
-        def at(i: int, j: int) -> int:
-            low, row = rows[i]
-            return row[min(j - low, len(row) - 1)] if j >= low else 0
-
-        for i, x in enumerate(xs, 1):
-            middle = round(i * slope)
-            low, high = (0, len(ys)) if wide else (max(0, middle - BAND), min(len(ys), middle + BAND))
-            row: list[int] = []
-            for j in range(low, high + 1):
-                best = at(i - 1, j)
-                if j:
-                    best = max(best, row[-1] if row else 0, at(i - 1, j - 1) + size(x, ys[j - 1]))
-                row.append(best)
-            rows.append((low, row))
-        total += at(len(xs), len(ys))
-        i, j = len(xs), len(ys)
-        while i and j:
-            here = at(i, j)
-            if here == at(i - 1, j):
-                i -= 1
-            elif here == at(i, j - 1):
-                j -= 1
-            else:
-                if size(xs[i - 1], ys[j - 1]):  # at the band's edge the sums may hide the step
-                    pairs.append((xs[i - 1], ys[j - 1]))
-                i, j = i - 1, j - 1
-        return total, pairs
+            return out
+        lx, ly = {x.label: x for x in xs}, {y.label: y for y in ys}
+        common = [k for k in lx if k in ly]
+        if len(lx) == len(xs) and len(ly) == len(ys) and common == [k for k in ly if k in lx]:
+            return out + [(lx[k], ly[k]) for k in common]  # each has one partner at most, and all go together
+        step = max(1, len(xs))
+        if len(xs) * len(ys) > TABLE:
+            last = head(xs[::-1], ys[::-1])
+            out += zip(xs[len(xs) - last:], ys[len(ys) - last:])
+            xs, ys = xs[:len(xs) - last], ys[:len(ys) - last]
+            step = math.isqrt(len(xs)) + 1
+        starts, row, columns = [], np.zeros(len(ys) + 1, np.int64), known(ys)
+        for at in range(0, len(xs) if ys else 0, step):
+            starts.append(row)
+            if at + step < len(xs):
+                for weight in weights(known(xs[at:at + step]), columns):
+                    row = below(row, weight)
+        j = len(ys)
+        for block in reversed(range(len(starts))):
+            rows = [starts[block]]
+            for weight in weights(known(xs[block * step:(block + 1) * step]), columns):
+                rows.append(below(rows[-1], weight))
+            i = len(rows) - 1
+            while i and j:
+                here = rows[i][j]
+                if here == rows[i - 1][j]:
+                    i -= 1
+                elif here == rows[i][j - 1]:
+                    j -= 1
+                else:
+                    out.append((xs[block * step + i - 1], ys[j - 1]))
+                    i, j = i - 1, j - 1
+        return out
 
     pairs: list[tuple[Node, Node]] = []
     todo = [(a, b)] if a.label == b.label else []
     while todo:
         x, y = todo.pop()
         pairs.append((x, y))
-        if x.shape == y.shape:
-            todo += zip(x.nodes(), y.nodes())
-        else:
-            todo += aligned(x.nodes(), y.nodes())[1]
+        todo += zip(x.nodes(), y.nodes()) if x.shape == y.shape else paired(x.nodes(), y.nodes())
     return pairs
 
 
