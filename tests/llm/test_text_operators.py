@@ -487,3 +487,21 @@ def test_pairs_of_two_families_grow_linearly(spark, monkeypatch):
         assert len({got[i] for i in range(size)}) == 1 and len({got[i] for i in range(size, 2 * size)}) == 1
         totals.append(sum(p.count() for p in counts))
     assert totals[1] <= 2.5 * totals[0], totals
+
+
+def test_compared_pairs_are_held_some_at_a_time():
+    """A batch of pairs of 10 KB each stays Arrow data but for the pairs at work."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+    draw = random.Random(3)
+    text = " ".join(f"{draw.getrandbits(64):x}" for _ in range(1200))
+    one, other = (zstandard.ZstdCompressor(level=3).compress(t.encode()) for t in (text, text.rsplit(" ", 1)[0]))
+    a, b = pa.array([one] * 3000, pa.binary()), pa.array([other] * 3000, pa.binary())
+    tracemalloc.start()
+    out = substring.overlaps(a, b, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.field("shared").to_pylist() == [1195] * 3000 and out.field("total").to_pylist() == [1196] * 3000
+    assert peak < 16 << 20  # 3,000 pairs take over 50 MB

@@ -59,7 +59,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
-from tillcast.llm.memory import lean
+from tillcast.llm.memory import give_back, lean, settle
 from tillcast.llm.packing import packed, unpack
 from tillcast.llm.store import carried, fresh, materialize, temporary_tables
 from tillcast.llm.wordhash import mix, range_hasher, text_slices, window_hashes, word_bounds
@@ -405,29 +405,38 @@ def _shingle_set(text: bytes, shingle: int) -> frozenset[bytes]:
 OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
 
 
+def overlaps(a: pa.Array, b: pa.Array, shingle: int) -> pa.StructArray:
+    """(shared shingles, all shingles) of pairs of compressed paragraphs, some hundred pairs at a time."""
+    known: dict[bytes, frozenset[bytes]] = {}
+    held = 0  # shingles in ``known``
+
+    def sets(p: bytes) -> frozenset[bytes]:
+        nonlocal held
+        if p not in known:
+            if held > HELD_SHINGLES:
+                known.clear()
+                held = 0
+            known[p] = _shingle_set(unpack(p), shingle)
+            held += len(known[p])
+        return known[p]
+
+    shared, total = [], []
+    for at in range(0, len(a), 256):
+        for p, q in zip(a.slice(at, 256).to_pylist(), b.slice(at, 256).to_pylist()):
+            x, y = sets(p), sets(q)
+            shared.append(len(x & y))
+            total.append(len(x) + len(y) - shared[-1])
+    return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], names=["shared", "total"])
+
+
 def similarity_column(a: Column, b: Column, shingle: int) -> Column:
     """(shared shingles, all shingles) of two compressed paragraphs; their quotient is the Jaccard similarity."""
     @F.arrow_udf(OVERLAP)
     def overlap(a_: pa.Array, b_: pa.Array) -> pa.Array:
-        known: dict[bytes, frozenset[bytes]] = {}
-        held = 0  # shingles in ``known``
-
-        def sets(p: bytes) -> frozenset[bytes]:
-            nonlocal held
-            if p not in known:
-                if held > HELD_SHINGLES:
-                    known.clear()
-                    held = 0
-                known[p] = _shingle_set(unpack(p), shingle)
-                held += len(known[p])
-            return known[p]
-
-        shared, total = [], []
-        for p, q in zip(a_.to_pylist(), b_.to_pylist()):
-            x, y = sets(p), sets(q)
-            shared.append(len(x & y))
-            total.append(len(x) + len(y) - shared[-1])
-        return pa.StructArray.from_arrays([pa.array(shared, pa.int64()), pa.array(total, pa.int64())], names=["shared", "total"])
+        settle()
+        out = overlaps(a_, b_, shingle)
+        give_back()
+        return out
     return overlap(a, b)
 
 
