@@ -805,3 +805,24 @@ def test_corr_matrix_of_a_column_that_does_not_vary(spark):
 def test_corr_rank_of_a_column_that_does_not_vary(spark):
     got = [(r["feature"], r["rank"]) for r in P.corr_rank(_flat(spark), "y", ["x", "flat", "none"]).collect()]
     assert got == [("flat", 1), ("x", 2), ("none", 3)]  # NaN is the largest value, nulls are last
+
+
+def test_correlation_queries_of_tables_with_an_urgent_order_every_day(spark, tmp_path):
+    """Promo does not vary: the queries rank it first, with NaN, as their SQL does."""
+    import datetime as dt
+
+    import duckdb
+    import __spark_entry__ as entry
+    day = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(days=k)
+    orders = [(k * 10 + c, c, 100.0 + (k * 37 + c * 11) % 50, day(k), "1-URGENT") for k in range(20) for c in range(8) if (k + c) % 3]
+    tables = {"customer": ([(c, c % 5) for c in range(8)], "c_custkey long, c_nationkey int"),
+              "orders": (orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+              "nation": ([(n, n % 3) for n in range(5)], "n_nationkey int, n_regionkey int")}
+    with duckdb.connect() as db:
+        for name, (rows, schema) in tables.items():
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+            db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        for name in ("corr_rank", "corr_pairwise"):
+            got = sorted(map(str, (tuple(r) for r in entry.queries()[name](spark, str(tmp_path)).collect())))
+            assert got == sorted(map(str, db.execute(entry.oracle_sql()[name]).fetchall()))
+            assert any("Promo" in r and "nan" in r for r in got)
