@@ -505,3 +505,19 @@ def test_compared_pairs_are_held_some_at_a_time():
     tracemalloc.stop()
     assert out.field("shared").to_pylist() == [1195] * 3000 and out.field("total").to_pylist() == [1196] * 3000
     assert peak < 16 << 20  # 3,000 pairs take over 50 MB
+
+
+def test_toxicity_bounds_the_bytes_of_a_batch(spark):
+    """Long texts reach Python some megabytes at a time, not 10,000 rows at a time."""
+    docs = spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 1000).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    scored = toxicity.classify(docs, labels, max_rows=20)
+    sizes = [r["n"] for r in scored.mapInArrow(_batch_bytes, "n long").collect()]
+    assert scored.filter("toxicity IS NOT NULL").count() == 2000
+    assert sum(sizes) > 20 << 20 and max(sizes) < 8 << 20, max(sizes)
+
+
+def _batch_bytes(batches):
+    import pyarrow as pa
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.session import materialize, temporary_tables  # noqa: F401  (the operators take them from here)
+from tillcast.session import materialize, small_batches, temporary_tables  # noqa: F401  (the operators take them from here)
 
 
 def fresh(name: str, taken: list[str]) -> str:

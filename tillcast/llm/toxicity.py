@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillcast.llm.memory import lean
-from tillcast.llm.store import least_by_hash, materialize
+from tillcast.llm.memory import give_back, lean, settle
+from tillcast.llm.store import least_by_hash, materialize, small_batches
 from tillcast.llm.wordhash import mix, owner, range_hasher, text_slices, word_bounds
 
 MAX_ROWS = 10_000
@@ -42,6 +42,7 @@ STEMS = (4, 5, 6, 7, 8)
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.1
 EPOCHS = 4
 UNTRAINED_BIAS = -1e-6
+AT_ONCE = 1 << 17  # bytes of text whose features are held at a time
 _PAIR, _SKIP = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 _STEM = np.uint64(0xA0761D6478BD642F)
 
@@ -109,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str
         for b in batches:
             y, at = b.column("_label").to_pylist(), 0
             rank = list(zip(b.column("_order").to_pylist(), b.column("_id").cast(pa.string()).to_pylist()))
-            for data, offsets in text_slices(b.column("_text")):
+            for data, offsets in text_slices(b.column("_text"), AT_ONCE):
                 d, c = _features(data, offsets, bits)
                 pairs = np.unique((d.astype(np.int64) << bits) | c)
                 cuts = np.searchsorted(pairs >> bits, np.arange(len(offsets)))
@@ -134,18 +135,21 @@ def score_column(text: Column, model, bits: int = BITS) -> Column:
     """Probability that a text is toxic; ``model`` is a broadcast of ``fit``'s list."""
     @F.arrow_udf(T.DoubleType())
     def score(column: pa.Array) -> pa.Array:
+        settle()
         known = dict(model.value)
         bias = known.pop(-1)
         table = np.zeros(1 << bits, dtype=np.float64)
         table[list(known)] = list(known.values())
         used = table != 0
         parts = [np.zeros(0)]
-        for data, offsets in text_slices(column):
+        for data, offsets in text_slices(column, AT_ONCE):
             d, c = _features(data, offsets, bits)
             keep = used[c]
             pairs = np.unique((d[keep] << bits) | c[keep])
             total = np.bincount(pairs >> bits, weights=table[pairs & ((1 << bits) - 1)], minlength=len(offsets) - 1)
             parts.append(1.0 / (1.0 + np.exp(-np.clip(total + bias, -35, 35))))
+            del d, c, keep, pairs, total
+        give_back()
         return pa.array(np.concatenate(parts), pa.float64())
     return score(text)
 
@@ -158,6 +162,7 @@ def held_out(ident: Column, folds: int = 5, fold: int = 0) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
              max_rows: int = MAX_ROWS, out: str = "toxicity") -> DataFrame:
     """``docs`` plus ``out``, a score from 0 to 1 (a column of that name is replaced); learns from labels outside the held-out fold only."""
+    small_batches(docs.sparkSession)
     learn = labels.filter(~held_out(F.col(f"`{id_col}`")))
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, learn, text_col, id_col, label_col, max_rows))
     return docs.withColumn(out, score_column(F.col(f"`{text_col}`"), model))

@@ -67,6 +67,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+# rows go to Python in batches of at most so many rows, 10,000 by default, whatever their size
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """From now on a batch of rows for Python ends at about ``size`` bytes, unless the launcher names a size: a task of
+    long texts else holds the same 10,000 texts in Spark's buffers and in the worker."""
+    if not spark.sparkContext.getConf().contains(_BATCH_BYTES):
+        spark.conf.set(_BATCH_BYTES, size)
+
+
 # removes the shuffle files of a SQL execution when it ends; else they stay until the driver collects its garbage
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SCOPES: list[list[str]] = []
