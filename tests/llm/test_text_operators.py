@@ -507,6 +507,35 @@ def test_compared_pairs_are_held_some_at_a_time():
     assert peak < 16 << 20  # 3,000 pairs take over 50 MB
 
 
+def _sketched(spark, texts):
+    import zstandard
+    rows = [(i, bytearray(zstandard.ZstdCompressor().compress(t.encode()))) for i, t in enumerate(texts)]
+    made = spark.createDataFrame(rows, "i int, packed binary").withColumn("s", substring.sketches(F.col("packed"), 5))
+    return [bytes(r["s"]) for r in made.orderBy("i").select("s").collect()]
+
+
+def test_sketches_rule_out_only_pairs_that_cannot_be_similar(spark):
+    import pyarrow as pa
+    draw = random.Random(9)
+    base = [draw.choice(["lorem", "Ipsum", "dolor", "éa", "x9"]) + str(draw.randrange(60)) for _ in range(150)]
+    texts = [" ".join(base)] + [" ".join(w if draw.random() > share else w + "q" for w in base)
+                                for share in (0.005, 0.02, 0.03, 0.05, 0.1, 0.3) for _ in range(12)]
+    texts += ["again " * 400, "again " * 70, "", "Two words", "two WORDS", " ".join(base * 150)]  # repeats, too few words, full bins
+    made, sets = _sketched(spark, texts), [substring._shingle_set(t.encode(), 5) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    kept = substring.may_reach(*(pa.array([made[p[k]] for p in pairs], pa.binary()) for k in (0, 1)), 0.8)
+    similar = np.array([len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in pairs])
+    assert similar.sum() > 50 and kept[similar].all()
+    assert kept.sum() < similar.sum() + 0.15 * (~similar).sum()
+
+
+def test_shingles_are_the_words_as_written():
+    for text in ("One, two;THREE four\nfive six", "a b c d", "", "Été déjà 3,5 à la", "x " * 30):
+        words = [w.decode() for w in re.findall(rb"[0-9a-z\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode()))]
+        want = {" ".join([*words[i:i + 5], ""]).encode() for i in range(len(words) - 4)}
+        assert substring._shingle_set(text.encode(), 5) == want
+
+
 def test_toxicity_bounds_the_bytes_of_a_batch(spark):
     """Long texts reach Python some megabytes at a time, not 10,000 rows at a time."""
     docs = spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 1000).alias("text"))

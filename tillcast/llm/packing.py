@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column
@@ -20,6 +22,12 @@ def packed(text: Column) -> Column:
     return pack(text)
 
 
+def unpacker() -> Callable[[bytes | None], bytes]:
+    """``unpack`` for many texts: they share a decompressor."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return lambda data: expand(data) if data is not None else b""
+
+
 def unpack(data: bytes | None) -> bytes:
     """The bytes again; empty for null."""
-    return zstandard.ZstdDecompressor().decompress(data) if data is not None else b""
+    return unpacker()(data)

@@ -23,7 +23,8 @@ Candidates. Equal paragraphs (by a 128-bit digest of their words) are one class
 the start. The distinct ones get a MinHash signature over word shingles, in
 ``bands`` bands of ``rows`` values; with 10 bands of 4 a pair at similarity 0.8 meets
 with probability 0.995. Paragraphs that share a band are paired and verified by
-the exact Jaccard similarity of their shingle sets.
+the exact Jaccard similarity of their shingle sets, but for pairs that the counts of
+their shingles in 64 bins (an upper bound of what they share) rule out before.
 
 Dense buckets. In a bucket of more than ``bucket_cap`` distinct paragraphs, each is
 verified against the bucket's leader (its most frequent paragraph). Those that
@@ -50,6 +51,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -60,9 +62,9 @@ from pyspark.sql import types as T
 
 from tillcast.llm.components import connected_components
 from tillcast.llm.memory import give_back, lean, settle
-from tillcast.llm.packing import packed, unpack
+from tillcast.llm.packing import packed, unpack, unpacker
 from tillcast.llm.store import carried, fresh, materialize, temporary_tables
-from tillcast.llm.wordhash import mix, range_hasher, text_slices, window_hashes, word_bounds
+from tillcast.llm.wordhash import ALNUM, FOLD, mix, range_hasher, text_slices, window_hashes, word_bounds
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -389,17 +391,20 @@ def paragraph_rows(docs: DataFrame, marks: DataFrame, edges: DataFrame, uid: str
 
 def _slices(packed_: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``text_slices`` of compressed texts, some hundred decompressed at a time."""
+    expand = unpacker()
     for a in range(0, len(packed_), 256):
-        yield from text_slices(pa.array([unpack(p) for p in packed_.slice(a, 256).to_pylist()], pa.large_binary()))
+        yield from text_slices(pa.array([expand(p) for p in packed_.slice(a, 256).to_pylist()], pa.large_binary()))
+
+
+_WORD_BYTES = np.where(ALNUM[FOLD], FOLD, 32).astype(np.uint8).tobytes()  # case folded, spaces between words
 
 
 def _shingle_set(text: bytes, shingle: int) -> frozenset[bytes]:
-    """The word shingles of a paragraph, as they are written (case folded)."""
-    data = np.frombuffer(text, dtype=np.uint8)
-    low, starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
-    raw = low.tobytes()
-    words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    return frozenset(b" ".join(g) for g in zip(*(words[i:] for i in range(shingle))))
+    """The word shingles of a paragraph, as they are written (case folded), each with a space after every word."""
+    words = text.translate(_WORD_BYTES).split()
+    row = b" ".join([*words, b""])
+    edges = list(accumulate([len(w) + 1 for w in words], initial=0))
+    return frozenset([row[a:b] for a, b in zip(edges, edges[shingle:])])
 
 
 OVERLAP = T.StructType([T.StructField("shared", T.LongType()), T.StructField("total", T.LongType())])
@@ -409,6 +414,7 @@ def overlaps(a: pa.Array, b: pa.Array, shingle: int) -> pa.StructArray:
     """(shared shingles, all shingles) of pairs of compressed paragraphs, some hundred pairs at a time."""
     known: dict[bytes, frozenset[bytes]] = {}
     held = 0  # shingles in ``known``
+    expand = unpacker()
 
     def sets(p: bytes) -> frozenset[bytes]:
         nonlocal held
@@ -416,7 +422,7 @@ def overlaps(a: pa.Array, b: pa.Array, shingle: int) -> pa.StructArray:
             if held > HELD_SHINGLES:
                 known.clear()
                 held = 0
-            known[p] = _shingle_set(unpack(p), shingle)
+            known[p] = _shingle_set(expand(p), shingle)
             held += len(known[p])
         return known[p]
 
@@ -453,6 +459,50 @@ def finer_bands(packed_: Column, shingle: int, bands: int, rows: int) -> Column:
     return keys(packed_)
 
 
+SKETCH = np.dtype([("distinct", "<u4"), ("bins", "u1", 64)])
+
+
+def sketches(packed_: Column, shingle: int) -> Column:
+    """``SKETCH`` of compressed paragraphs: how many distinct shingles they have at least, and how many shingles,
+    repeats included, fall in each of 64 bins (255: so many or more)."""
+    @F.arrow_udf(T.BinaryType())
+    def sketch(column: pa.Array) -> pa.Array:
+        settle()
+        out = []
+        for data, offsets in _slices(column):
+            low, starts, ends, first = word_bounds(data, offsets)
+            windows = window_hashes(range_hasher(low)(starts, ends), shingle)
+            rows = np.zeros(len(offsets) - 1, dtype=SKETCH)
+            for k, (a, b) in enumerate(zip(first[:-1].tolist(), (first[1:] - shingle + 1).tolist())):
+                own = np.sort(windows[a:max(a, b)])
+                rows[k]["distinct"] = np.count_nonzero(own[1:] != own[:-1]) + min(len(own), 1)
+                rows[k]["bins"] = np.minimum(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=64), 255)
+            out += [r.tobytes() for r in rows]
+        give_back()
+        return pa.array(out, pa.binary())
+    return sketch(packed_)
+
+
+def may_reach(a: pa.Array, b: pa.Array, least: float) -> np.ndarray:
+    """Whether paragraphs of these sketches can have the Jaccard similarity ``least``: they share no more
+    shingles than fall in the same bins. False is certain, true is not."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), dtype=SKETCH) for c in (a, b))
+    shared = np.minimum(x["bins"], y["bins"]).sum(axis=1, dtype=np.int64)
+    total = x["distinct"].astype(np.int64) + y["distinct"] - shared
+    full = ((x["bins"] == 255) & (y["bins"] == 255)).any(axis=1)
+    return full | (shared >= least * total)
+
+
+def _possible(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """``pairs`` without those whose sketches rule out the similarity ``least``."""
+    @F.arrow_udf(T.BooleanType())
+    def possible(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(may_reach(a, b, least))
+    return (pairs.join(texts.select(F.col("digest").alias("a"), F.col("sketch").alias("_sa")), "a")
+            .join(texts.select(F.col("digest").alias("b"), F.col("sketch").alias("_sb")), "b")
+            .filter(possible("_sa", "_sb")).select(*pairs.columns))
+
+
 def _bucket_pairs(banded: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of digests that share a bucket (columns digest, band, key)."""
     left = banded.select("band", "key", F.col("digest").alias("a"))
@@ -502,9 +552,11 @@ def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BU
         met = materialize(banded.join(load, ["band", "key"]), f"substring-buckets-{level}")
         if texts is None:  # only paragraphs that share a bucket are ever compared
             texts = found.select("digest", "packed").join(met.select("digest").distinct(), "digest", "left_semi")
-            texts = materialize(texts.groupBy("digest").agg(F.first("packed").alias("packed")), "substring-compared")
+            texts = texts.groupBy("digest").agg(F.first("packed").alias("packed"))
+            texts = materialize(texts.withColumn("sketch", sketches(F.col("packed"), shingle)), "substring-compared")
         sparse = met if level == LEVELS else met.filter(F.col("members") <= bucket_cap)
         pairs = _bucket_pairs(sparse.filter("role < 2")).unionByName(_cross_pairs(sparse.filter("role = 1"), sparse.filter("role = 2"))).distinct()
+        pairs = _possible(pairs, texts, similarity)
         # written level by level, so that only one level's texts are in shuffle files at a time
         out.append(materialize(_verified(pairs, texts, similarity, shingle).filter("similar").select("a", "b"), f"substring-links-{level}"))
         if level == LEVELS:
