@@ -489,6 +489,46 @@ def test_pairs_of_two_families_grow_linearly(spark, monkeypatch):
     assert totals[1] <= 2.5 * totals[0], totals
 
 
+def test_open_members_of_a_dense_bucket_make_few_rows(spark, monkeypatch):
+    """Paragraphs that share a hot passage and resemble nothing meet again by the few shingles that others hold too."""
+    rows, real = {}, substring.materialize
+
+    def kept(df, name, **options):
+        out = real(df, name, **options)
+        rows[name] = out.count()
+        return out
+    monkeypatch.setattr(substring, "materialize", kept)
+    base, alone = _family(7, 150, edits=8)
+    pair = _family(8, 2, edits=1, base=alone[0].split())[1]  # they resemble each other, and the first
+    texts = alone + pair
+    got, want = _linked(spark, texts, bucket_cap=8), _brute_components(texts)
+    assert [[got[i] == got[j] for j in range(i)] for i in range(len(texts))] == [[want[i] == want[j] for j in range(i)] for i in range(len(texts))]
+    assert max(n for name, n in rows.items() if name != "test-paragraphs") <= 12 * len(texts), rows
+
+
+def test_similar_paragraphs_share_a_shingle_of_their_prefixes(spark):
+    import zstandard
+    _, texts = _family(12, 40, words=150, edits=1)
+    texts += _family(13, 20, words=150, edits=20)[1]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    rows = [(i, bytearray(zstandard.ZstdCompressor().compress(t.encode()))) for i, t in enumerate(texts)]
+    packed = spark.createDataFrame(rows, "i int, packed binary")
+    counts = substring.shingle_counts(packed, 5)
+    assert counts.sum() == sum(map(len, sets))
+    made = packed.select("i", substring.prefixes(F.col("packed"), spark.sparkContext.broadcast(counts), 5, 0.8).alias("p")).collect()
+    by = {r["i"]: {k["key"]: k for k in r["p"]} for r in made}
+    similar = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+                similar += 1
+                first = min(by[i].keys() & by[j].keys(), key=lambda k: by[i][k]["pos"])
+                x, y = by[i][first], by[j][first]
+                assert 1.8 * min(x["size"] - x["pos"], y["size"] - y["pos"]) >= 0.8 * (x["size"] + y["size"]) - 1e-6
+    assert similar > 20
+
+
 def test_compared_pairs_are_held_some_at_a_time():
     """A batch of pairs of 10 KB each stays Arrow data but for the pairs at work."""
     import tracemalloc

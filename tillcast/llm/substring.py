@@ -26,16 +26,16 @@ with probability 0.995. Paragraphs that share a band are paired and verified by
 the exact Jaccard similarity of their shingle sets, but for pairs that the counts of
 their shingles in 64 bins (an upper bound of what they share) rule out before.
 
-Dense buckets. In a bucket of more than ``bucket_cap`` distinct paragraphs, each is
-verified against the bucket's leader (its most frequent paragraph). Those that
-agree are linked to the leader; those that do not are banded again with more
-rows and bands, which parts paragraphs that only share a hot passage, and meet
-there in the same way: in pairs where the bucket is sparse, else with a leader of
-their own. They meet each other, and those that agreed with a leader near
-enough that such a pair can exist (the Jaccard distance is a metric). Two that
-agree with one leader are one component and need no comparison. After ``LEVELS``
-bandings what is left (paragraphs that agree with no leader of any dense bucket, and
-yet share twelve minima) is paired whatever the bucket's size. Nothing is dropped.
+Components. Two paragraphs of one component need no comparison. So every bucket's
+paragraphs are first verified against its leader (the most frequent one), and what is
+left of a bucket is paired across components only.
+
+Dense buckets. In a bucket of more than ``bucket_cap`` distinct paragraphs, those
+outside the leader's component meet again by an exact way, the prefix filter: with all
+shingles in one order, rare ones first, paragraphs at the similarity share one of the first few
+of each, and those shingles from there on do for the similarity. This parts paragraphs that only share a hot
+passage. They meet each other, and those of the leader's component where such a pair can
+exist (the Jaccard distance is a metric), whatever the number. Nothing is dropped.
 
 Removal. Linked paragraphs form components; of every component the first occurrence
 (smallest id, then position) stays, with the paragraphs that overlap it there, and
@@ -72,7 +72,8 @@ MIN_WORDS = 50
 SENTENCE_WORDS = 5
 BANDS, ROWS = 10, 4
 BUCKET_CAP = 64
-LEVELS = 3               # bandings: 4, 8 and 12 minima in a band
+COUNT_BINS, COUNT_RANGES = 1 << 20, 64  # classes of shingle hashes whose paragraphs are counted, and parts they are added up in
+_BIN_SHIFT = np.uint64(44)
 HELD_SHINGLES = 100_000  # shingles a comparing task keeps for the next pairs
 CUT_WORDS, CUT_MOD, EDGE_WORDS = 4, 6, 5
 GAP_WORDS = 40  # a gap between repeated units holds one edit at least, and one more for so many words
@@ -446,16 +447,65 @@ def similarity_column(a: Column, b: Column, shingle: int) -> Column:
     return overlap(a, b)
 
 
-def finer_bands(packed_: Column, shingle: int, bands: int, rows: int) -> Column:
-    """Band keys of compressed paragraphs."""
-    @F.arrow_udf(T.ArrayType(T.LongType()))
+def _distinct(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The distinct shingle hashes of each compressed paragraph, ascending."""
+    for data, offsets in _slices(column):
+        low, starts, ends, first = word_bounds(data, offsets)
+        windows = window_hashes(range_hasher(low)(starts, ends), shingle)
+        for a, b in zip(first[:-1].tolist(), (first[1:] - shingle + 1).tolist()):
+            yield np.unique(windows[a:max(a, b)])
+
+
+def shingle_counts(texts: DataFrame, shingle: int) -> np.ndarray:
+    """How many paragraphs (column packed) hold a shingle of each of ``COUNT_BINS`` classes of hashes, shingles
+    counted one by one. The size is fixed; what a task finds is added up range by range."""
+    per = COUNT_BINS // COUNT_RANGES
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNT_BINS, dtype=np.int64)
+        for batch in batches:
+            for own in _distinct(batch.column(0), shingle):
+                np.add.at(total, (own >> _BIN_SHIFT).astype(np.int64), 1)
+        press = zstandard.ZstdCompressor(level=1).compress
+        filled = [r for r in range(COUNT_RANGES) if total[r * per:(r + 1) * per].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array([press(total[r * per:(r + 1) * per].tobytes()) for r in filled], pa.binary())],
+                                         ["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, part = np.zeros(per, dtype=np.int64), None
+        for batch in batches:
+            for part, c in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                total += np.frombuffer(unpack(c), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.minimum(total, 1 << 31).astype(np.uint32).tobytes()], pa.binary())], ["part", "counts"])
+
+    found = texts.select("packed").mapInArrow(lean(scan), "part int, counts binary").groupBy("part").applyInArrow(add, "part int, counts binary")
+    out = np.zeros(COUNT_BINS, dtype=np.uint32)
+    for r in found.collect():
+        out[r["part"] * per:(r["part"] + 1) * per] = np.frombuffer(r["counts"], dtype=np.uint32)
+    return out
+
+
+PREFIX = T.ArrayType(T.StructType([T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("size", T.IntegerType())]))
+
+
+def prefixes(packed_: Column, counts, shingle: int, least: float) -> Column:
+    """The shingles of compressed paragraphs by which those of the Jaccard similarity ``least`` meet: with all shingles in
+    one order (here rare ones first, by the broadcast ``counts``), two of them share one of the first few of each.
+    Shingles of no other paragraph are left out. ``pos``: place in the order, ``size``: distinct shingles."""
+    @F.arrow_udf(PREFIX)
     def keys(column: pa.Array) -> pa.Array:
-        out = []
-        for data, offsets in _slices(column):
-            s = Slice(data, offsets)
-            sig = signature(window_hashes(s.words, shingle), s.first[:-1], s.first[1:] - shingle + 1, bands, rows)
-            out += list(sig.view(np.int64))
-        return pa.array(out, pa.list_(pa.int64()))
+        settle()
+        offsets, key, pos, size = [0], [], [], []
+        for own in _distinct(column, shingle):
+            times = counts.value[(own >> _BIN_SHIFT).astype(np.int64)]
+            first = np.argsort(times, kind="stable")[:int((1 - least) * len(own) + 1e-6) + 1]
+            at = np.flatnonzero(times[first] > 1)
+            key.append(own[first[at]].view(np.int64))
+            pos.append(at.astype(np.int32))
+            size.append(np.full(len(at), len(own), dtype=np.int32))
+            offsets.append(offsets[-1] + len(at))
+        flat = [pa.array(np.concatenate(x) if x else np.zeros(0, t), pa.from_numpy_dtype(t)) for x, t in ((key, np.int64), (pos, np.int32), (size, np.int32))]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(flat, names=["key", "pos", "size"]))
     return keys(packed_)
 
 
@@ -503,18 +553,21 @@ def _possible(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
             .filter(possible("_sa", "_sb")).select(*pairs.columns))
 
 
-def _bucket_pairs(banded: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of digests that share a bucket (columns digest, band, key)."""
-    left = banded.select("band", "key", F.col("digest").alias("a"))
-    right = banded.select("band", "key", F.col("digest").alias("b"))
-    return left.join(right, ["band", "key"]).filter("a < b").select("a", "b").distinct()
+def _named(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (rows of ``met``) of the buckets that hold paragraphs of more than one component, with their ``root``."""
+    named = met.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    mixed = named.groupBy("band", "key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low < _high")
+    return named.join(mixed.select("band", "key"), ["band", "key"], "left_semi")
 
 
-def _cross_pairs(one: DataFrame, other: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of a digest of ``one`` and a digest of ``other`` that share a bucket."""
-    left = one.select("band", "key", F.col("digest").alias("x"))
-    right = other.select("band", "key", F.col("digest").alias("y"))
-    return left.join(right, ["band", "key"]).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _bucket_pairs(named: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, of digests of different components that share a bucket (columns digest, band, key, role, root,
+    pos, size). Those of role 2 meet those of role 1 only. In a bucket of prefixes the key is the first that similar
+    paragraphs share, so the shingles from there on must do for the similarity."""
+    left, right = (named.select("band", "key", F.col("digest").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("role", "root", "pos", "size")]) for x in "ab")
+    rest = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
+    return (left.join(right, ["band", "key"]).filter("a < b AND root_a != root_b AND (role_a < 2 AND role_b < 2 OR role_a + role_b = 3)")
+            .filter(rest * F.lit(1 + least) + F.lit(1e-6) >= F.lit(least) * (F.col("size_a") + F.col("size_b"))).select("a", "b").distinct())
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
@@ -526,27 +579,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
     return out.select(*pairs.columns, at_least(least).alias("similar"), at_least(2 * least - 1 - 1e-9).alias("near"))
 
 
-def _next_roles(open_: DataFrame, tried: DataFrame) -> DataFrame:
+def _next_roles(open_: DataFrame, tried: DataFrame, roots: DataFrame) -> DataFrame:
     """(digest, n, role) of the paragraphs that must meet again after ``tried`` (a: leader, b, similar, near).
 
-    Role 0: agreed with no leader so far; role 1: like that, but near enough to a leader to resemble one that agreed with
-    it; role 2: agreed with such a leader, and only compared with role 1."""
-    failed = tried.filter("NOT similar").join(open_.select(F.col("digest").alias("b"), F.col("role").alias("old")), "b").filter("old < 2 OR near")
-    parted = failed.groupBy(F.col("b").alias("digest")).agg(F.max(F.when(F.col("near") | (F.col("old") == 1), 1).otherwise(0)).alias("role"))
-    apart = tried.filter("near AND NOT similar").select("a").distinct()
-    agreed = tried.filter("similar").join(apart, "a", "left_semi").select(F.col("b").alias("digest")).unionByName(
+    Those of the leader's component need not meet each other. Role 0: in no leader's component so far, and far from what
+    agreed with a leader; role 1: like that, but something in a leader's component may resemble it (the leader is near, or
+    the component holds members of the bucket that do not resemble the leader themselves); role 2: what role 1 may
+    resemble there, and only compared with role 1."""
+    root = lambda x: roots.select(F.col("digest").alias(x), F.col("root").alias(f"c{x}"))
+    judged = (tried.join(root("a"), "a", "left").join(root("b"), "b", "left")
+              .withColumn("one", F.coalesce("ca", "a") == F.coalesce("cb", "b")))
+    heads = judged.groupBy("a").agg(F.max(~F.col("one")).alias("apart"), F.max(~F.col("one") & F.col("near")).alias("beside"),
+                                    F.max(F.col("one") & ~F.col("similar")).alias("chained")).filter("apart")
+    judged = judged.join(heads, "a").join(open_.select(F.col("digest").alias("b"), F.col("role").alias("old")), "b")
+    parted = judged.filter("NOT one AND (old < 2 OR near OR chained)").groupBy(F.col("b").alias("digest")).agg(
+        F.max(F.when(F.col("near") | F.col("chained") | (F.col("old") == 1), 1).otherwise(0)).alias("role"))
+    met = judged.filter("one AND (NOT similar OR beside)").select(F.col("b").alias("digest")).unionByName(
         open_.filter("role = 2").select("digest")).distinct().join(parted, "digest", "left_anti")
-    roles = parted.unionByName(agreed.withColumn("role", F.lit(2)))
+    roles = parted.unionByName(met.withColumn("role", F.lit(2)))
     return roles.join(open_.select("digest", "n"), "digest").select("digest", "n", "role")
 
 
 def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BUCKET_CAP, shingle: int = SHINGLE,
           bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Verified links (a, b) between distinct paragraphs of ``found`` (digest, bands, packed)."""
+    """Verified links (a, b) between distinct paragraphs of ``found`` (digest, bands, packed), enough to join each component."""
+    spark = found.sparkSession
     open_ = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")).withColumn("role", F.lit(0))
-    banded = open_.select("digest", "n", "role", F.posexplode("bands").alias("band", "key"))
+    banded = open_.select("digest", "n", "role", F.posexplode("bands").alias("band", "key"), F.lit(0).alias("pos"), F.lit(0).alias("size"))
     texts, out = None, []
-    for level in range(1, LEVELS + 1):
+    for level in (1, 2):
         load = (banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.max(F.when(F.col("role") < 2, F.struct("role", "n", "digest"))).alias("top"))
                 .filter("members > 1 AND top IS NOT NULL").select("band", "key", "members", F.col("top.digest").alias("leader"), F.col("top.role").alias("leads")))
         met = materialize(banded.join(load, ["band", "key"]), f"substring-buckets-{level}")
@@ -554,22 +615,26 @@ def links(found: DataFrame, similarity: float = SIMILARITY, bucket_cap: int = BU
             texts = found.select("digest", "packed").join(met.select("digest").distinct(), "digest", "left_semi")
             texts = texts.groupBy("digest").agg(F.first("packed").alias("packed"))
             texts = materialize(texts.withColumn("sketch", sketches(F.col("packed"), shingle)), "substring-compared")
-        sparse = met if level == LEVELS else met.filter(F.col("members") <= bucket_cap)
-        pairs = _bucket_pairs(sparse.filter("role < 2")).unionByName(_cross_pairs(sparse.filter("role = 1"), sparse.filter("role = 2"))).distinct()
-        pairs = _possible(pairs, texts, similarity)
-        # written level by level, so that only one level's texts are in shuffle files at a time
+        star = met.filter((F.col("digest") != F.col("leader")) & ((F.col("role") < 2) | (F.col("leads") == 1)))
+        star = star.groupBy(F.col("leader").alias("a"), F.col("digest").alias("b")).agg(F.max(F.col("members") > bucket_cap).alias("dense"))
+        # written step by step, so that only one step's texts are in shuffle files at a time
+        tried = materialize(_verified(_possible(star, texts, 2 * similarity - 1 - 1e-9), texts, similarity, shingle), f"substring-leaders-{level}")
+        out.append(tried.filter("similar").select("a", "b"))
+        roots = materialize(connected_components(spark, reduce(DataFrame.unionByName, out)).withColumnRenamed("node", "digest"), f"substring-roots-{level}")
+        named = materialize(_named(met, roots), f"substring-mixed-{level}")
+        sparse = named if level == 2 else named.filter(F.col("members") <= bucket_cap)
+        pairs = _possible(_bucket_pairs(sparse, similarity), texts, similarity)
         out.append(materialize(_verified(pairs, texts, similarity, shingle).filter("similar").select("a", "b"), f"substring-links-{level}"))
-        if level == LEVELS:
+        if level == 2:
             break
-        star = met.filter((F.col("members") > bucket_cap) & (F.col("digest") != F.col("leader")) & ((F.col("role") < 2) | (F.col("leads") == 1)))
-        star = star.select(F.col("leader").alias("a"), F.col("digest").alias("b")).distinct()
-        tried = materialize(_verified(star, texts, similarity, shingle), f"substring-leaders-{level}")
-        out.append(tried.filter("similar").select("a", "b"))
-        open_ = materialize(_next_roles(open_.select("digest", "n", "role"), tried), f"substring-roles-{level}")
+        tried = star.filter("dense").select("a", "b").join(tried.select("a", "b", "similar", "near"), ["a", "b"], "left").na.fill(False)
+        open_ = materialize(_next_roles(open_.select("digest", "n", "role"), tried, roots), f"substring-roles-{level}")
         if open_.filter("role < 2").isEmpty():
             break
-        finer = finer_bands(F.col("packed"), shingle, 3 ** level * bands, (level + 1) * rows)
-        banded = materialize(texts.join(open_, "digest").select("digest", "n", "role", F.posexplode(finer).alias("band", "key")), f"substring-finer-{level}")
+        again = materialize(texts.join(open_, "digest").select("digest", "n", "role", "packed"), "substring-again")
+        counts = spark.sparkContext.broadcast(shingle_counts(again, shingle))
+        met_by = F.explode(prefixes(F.col("packed"), counts, shingle, similarity)).alias("by")
+        banded = materialize(again.select("digest", "n", "role", met_by).select("digest", "n", "role", F.lit(0).alias("band"), "by.key", "by.pos", "by.size"), "substring-prefixes")
     return reduce(DataFrame.unionByName, out)
 
 
