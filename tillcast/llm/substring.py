@@ -522,11 +522,15 @@ def sketches(packed_: Column, shingle: int) -> Column:
         for data, offsets in _slices(column):
             low, starts, ends, first = word_bounds(data, offsets)
             windows = window_hashes(range_hasher(low)(starts, ends), shingle)
-            rows = np.zeros(len(offsets) - 1, dtype=SKETCH)
-            for k, (a, b) in enumerate(zip(first[:-1].tolist(), (first[1:] - shingle + 1).tolist())):
-                own = np.sort(windows[a:max(a, b)])
-                rows[k]["distinct"] = np.count_nonzero(own[1:] != own[:-1]) + min(len(own), 1)
-                rows[k]["bins"] = np.minimum(np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=64), 255)
+            n = len(offsets) - 1
+            size = np.maximum(np.diff(first) - shingle + 1, 0)
+            text = np.repeat(np.arange(n), size)
+            own = windows[np.arange(len(text)) + np.repeat(first[:-1] - np.cumsum(size) + size, size)]
+            rows = np.zeros(n, dtype=SKETCH)
+            bins = np.bincount(text * 64 + (own >> np.uint64(58)).astype(np.int64), minlength=64 * n)
+            rows["bins"] = np.minimum(bins, 255).reshape(n, 64)
+            seen = np.sort(text.astype(np.uint64) << np.uint64(40) | own >> np.uint64(24))  # equal ones count once: not too many
+            rows["distinct"] = np.bincount((seen[np.append(True, seen[1:] != seen[:-1])[:len(seen)]] >> np.uint64(40)).astype(np.int64), minlength=n)
             out += [r.tobytes() for r in rows]
         give_back()
         return pa.array(out, pa.binary())
@@ -643,7 +647,7 @@ def repeated_spans(docs: DataFrame, uid: str, text_col: str, id_col: str, simila
     """(uid, spans, kept_in): byte ranges to remove and the ids of the documents that keep
     the removed paragraphs, for every text that loses any."""
     spark = docs.sparkSession
-    sentences = sentence_rows(docs, uid, f"`{text_col}`", SENTENCE_WORDS)
+    sentences = sentence_rows(docs, uid, f"`{text_col}`", SENTENCE_WORDS).repartition("key")  # one scan and shuffle for both uses
     often = sentences.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     marks = (sentences.join(often, "key").groupBy("uid")
              .agg(F.collect_list(F.struct("pos", "n")).alias("repeated")))  # at most the sentences of one text
